@@ -1,4 +1,4 @@
-"""The registered queries of the session engine and their SQL counterparts."""
+"""All registered queries of the session engine and their SQL counterparts."""
 
 from __future__ import annotations
 
@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import session_queries, text_queries, work_queries
+
+_PARTS = (text_queries, session_queries, work_queries)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for p in _PARTS for k, f in p.QUERIES.items()}
+ORACLES: dict[str, str] = {k: s for p in _PARTS for k, s in p.ORACLES.items()}
