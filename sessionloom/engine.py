@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import text as T
 from .operators import blocks, chains, facts, render, turns, work
 from .sources import discovery
+from .storage import written
 
 
 class Compressor(Protocol):
@@ -56,6 +57,7 @@ def distill(spark: SparkSession, roots: list[discovery.Root], options: Options |
 
         sessions = under(sessions, o.root)
         entries = entries.join(sessions.select("session_key"), "session_key", "left_semi")
+    entries, sessions = written(entries), written(sessions)  # the logs are parsed once; every table below reads these
     out = {"entries": entries, "sessions": sessions} | analyse(entries, o)
     paths = out["ledger"].groupBy("session_key").agg(F.collect_set("path").alias("paths"))
     mains = sessions.where("role = 'main'").join(paths, "session_key", "left").withColumns({"paths": F.coalesce("paths", F.array().cast("array<string>")), "started_at": F.try_to_timestamp("started_at"), "ended_at": F.try_to_timestamp("ended_at"), "first_parent": F.col("leaf_uuid")})

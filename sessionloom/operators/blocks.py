@@ -83,24 +83,48 @@ def blocks(entries: DataFrame) -> DataFrame:
     return shaped.select("session_key", "block_index", _label().alias("label"), _summary().alias("summary"), T.cap_block(F.col("assistant_text"), 500).alias("assistant_text"), "calls", "errors", "line_from", "line_to", "started_at", "ended_at")
 
 
+#: Tools whose result is told by changed lines, and by its size (fixed values).
+EDIT_TOOLS = ("Edit", "MultiEdit", "Write", "apply_patch", "create_file", "str_replace_based_edit_tool", "NotebookEdit")
+READ_TOOLS = ("Read", "view", "view_image")
+
+
 def render_fact() -> Column:
-    """What a call's result says, in short: interrupted, error, changed lines, number of lines, or its text."""
-    lines = T.count_lines(F.col("content"))
+    """What a call's result says, in short, from the columns of call_results: interrupted, error, changed lines, size of what was read, or its text."""
+    content = F.col("content")
+    body = F.when(F.startswith(content, F.lit("Chunk ID:")), C.strip_exec_header(content)).otherwise(content)
+    spent = F.regexp_extract(content, r"Original token count: (\d+)", 1)
+    own = F.when(F.col("tool_name") == "apply_patch", C.patch_diff(F.coalesce(F.get_json_object("tool_input", "$.input"), "tool_input"))).otherwise(C.edit_diff(F.col("tool_name"), F.col("tool_input")))
+    added, removed = F.coalesce("diff_added", own["added"]), F.coalesce("diff_removed", own["removed"])
+    tomb = lambda t: T.tombstone(F.length(t), T.count_lines(t), T.short_hash(content), F.col("result_line"))
+    short = T.first_line(body, 140)
+    tokens = F.when(F.startswith(content, F.lit("Chunk ID:")) & (spent != ""), F.concat(F.lit(", ~"), spent, F.lit(" tok"))).otherwise("")
     return (
-        F.when(F.col("content").isNull(), "(no result)").when(F.col("is_error"), F.concat(F.lit("ERR "), T.first_line(F.col("content"), 80)))
-        .when(F.length("content") == 0, "").when(lines > 1, F.format_string("%d ln", lines)).when(F.length("content") <= 60, F.col("content")).otherwise(T.head_tail(F.col("content"), 60))
+        F.when(content.isNull(), "no result").when(F.col("interrupted"), "interrupted").when(F.col("is_error"), F.concat(F.lit("ERR "), T.first_line(body, 140)))
+        .when(F.col("tool_name").isin(*EDIT_TOOLS) & added.isNotNull(), F.format_string("+%d/−%d", added, F.coalesce(removed, F.lit(0))))
+        .when(F.col("tool_name").isin(*READ_TOOLS), F.concat(F.format_string("%d ln ", T.count_lines(content)), tomb(content)))
+        .when(F.length(body) <= 160, F.when(F.length(short) > 0, short).otherwise("ok")).otherwise(F.concat(T.first_line(body, 90), F.lit(" "), tomb(body), tokens))
     )
 
 
-def tool_lines(entries: DataFrame) -> DataFrame:
-    """(session_key, block_index, pos, text, log_line, is_error, family, occurrences): calls of a block, equal ones as one line at
-    the first place with the last one's line."""
+def rendered_calls(entries: DataFrame, cwd: str | None = None) -> DataFrame:
+    """call_results with signature, fact and line: the call, its place and what came of it; the result's place only if it isn't close by."""
+    pairs = call_results(entries)
+    signature = C.tool_signature(F.col("tool_name"), F.col("tool_input"))
+    if cwd:
+        signature = F.when(F.startswith(signature, F.lit(f"cd {cwd} && ")), F.substr(signature, F.lit(len(f"cd {cwd} && ") + 1))).otherwise(signature)
+    rows = pairs.withColumn("signature", T.cap_line(signature, 110)).withColumn("fact", render_fact())
+    called = F.concat_ws(" ", F.concat(F.lit("`"), T.display_name(F.col("tool_name")), F.lit("`")), F.nullif(F.col("signature"), F.lit("")), T.ref_tag(F.col("call_line")))
+    far = F.when(F.col("result_line") - F.col("call_line") > 2, F.concat(F.lit(" "), T.ref_tag(F.col("result_line")))).otherwise("")
+    return rows.withColumn("line", F.concat(called, F.lit(" → "), "fact", far))
+
+
+def tool_lines(entries: DataFrame, cwd: str | None = None) -> DataFrame:
+    """(session_key, block_index, pos, text, log_line, is_error, family, occurrences): calls of a block, equal ones (places aside) as one line at
+    the first place with the last one's text."""
     called = with_blocks(entries).where("kind = 'tool_call'").select("session_key", "seq", "block_index", "family")
-    pairs = call_results(entries).withColumnRenamed("call_seq", "seq").drop("sidechain")
     key = F.concat_ws("|", "tool_name", "signature", F.coalesce("is_error", F.lit(False)).cast("string"), T.strip_refs(F.col("fact")))
-    rows = called.join(pairs, ["session_key", "seq"]).withColumn("signature", T.cap_line(C.tool_signature(F.col("tool_name"), F.col("tool_input")), 110)).withColumn("fact", render_fact()).withColumn("key", key)
-    text = F.concat_ws(" ", F.concat(F.lit("`"), T.display_name(F.col("tool_name")), F.lit("`")), "signature", F.concat(F.lit("→ "), F.col("fact")))
-    merged = rows.withColumn("line", text).groupBy("session_key", "block_index", "key").agg(F.min("seq").alias("pos"), F.max_by("line", "seq").alias("line"), F.max_by("call_line", "seq").alias("log_line"), F.first("is_error").alias("is_error"), F.first("family").alias("family"), F.count("*").alias("occurrences"))
+    rows = called.join(rendered_calls(entries, cwd).withColumnRenamed("call_seq", "seq").drop("sidechain"), ["session_key", "seq"]).withColumn("key", key)
+    merged = rows.groupBy("session_key", "block_index", "key").agg(F.min("seq").alias("pos"), F.max_by("line", "seq").alias("line"), F.max_by("call_line", "seq").alias("log_line"), F.first("is_error").alias("is_error"), F.first("family").alias("family"), F.count("*").alias("occurrences"))
     return merged.select("session_key", "block_index", "pos", F.when(F.col("occurrences") > 1, F.concat("line", F.format_string(" ×%d", "occurrences"))).otherwise(F.col("line")).alias("text"), "log_line", F.coalesce("is_error", F.lit(False)).alias("is_error"), "family", "occurrences")
 
 
@@ -116,8 +140,7 @@ def file_ops(entries: DataFrame, parity: bool = False) -> DataFrame:
     """(session_key, seq, path, op, line, added, removed): a row for each read or edit; with ``parity`` the result counts again."""
     calls = call_results(entries.where("not sidechain"))
     rows = calls.withColumn("family", C.classify_tool(F.col("tool_name"))).where("family in ('read', 'edit')")
-    changed = entries.where("kind = 'tool_result' and not sidechain").select("session_key", F.col("seq").alias("result_seq"), "diff_added", "diff_removed")
-    rows = rows.join(changed, ["session_key", "result_seq"], "left").withColumn("own", C.edit_diff(F.col("tool_name"), F.col("tool_input")))
+    rows = rows.withColumn("own", C.edit_diff(F.col("tool_name"), F.col("tool_input")))
     edit = F.col("family") == "edit"
     made = rows.select(
         "session_key", F.col("call_seq").alias("seq"), C.extract_path(C.tool_signature(F.col("tool_name"), F.col("tool_input"))).alias("path"), F.when(edit, "modify").otherwise("read").alias("op"),

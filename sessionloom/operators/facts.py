@@ -12,9 +12,9 @@ from .turns import with_turns
 
 def call_results(entries: DataFrame) -> DataFrame:
     """Each call with its result, the last of its id: (session_key, tool_call_id, tool_name, tool_input, call_seq, call_line, result_seq, result_line, content, is_error)."""
-    results = entries.where("kind = 'tool_result' and tool_call_id <> ''").groupBy("session_key", "tool_call_id").agg(F.max_by(F.struct("seq", "log_line", "content", "is_error"), "seq").alias("r"))
+    results = entries.where("kind = 'tool_result' and tool_call_id <> ''").groupBy("session_key", "tool_call_id").agg(F.max_by(F.struct("seq", "log_line", "content", "is_error", "interrupted", "diff_added", "diff_removed"), "seq").alias("r"))
     calls = entries.where("kind = 'tool_call'").select("session_key", "tool_call_id", "tool_name", "tool_input", F.col("seq").alias("call_seq"), F.col("log_line").alias("call_line"), "sidechain")
-    return calls.join(results, ["session_key", "tool_call_id"], "left").select("*", F.col("r.seq").alias("result_seq"), F.col("r.log_line").alias("result_line"), F.col("r.content").alias("content"), F.col("r.is_error").alias("is_error")).drop("r")
+    return calls.join(results, ["session_key", "tool_call_id"], "left").select("*", F.col("r.seq").alias("result_seq"), F.col("r.log_line").alias("result_line"), F.col("r.content").alias("content"), F.col("r.is_error").alias("is_error"), F.col("r.interrupted").alias("interrupted"), F.col("r.diff_added").alias("diff_added"), F.col("r.diff_removed").alias("diff_removed")).drop("r")
 
 
 def result_owners(entries: DataFrame) -> DataFrame:

@@ -23,10 +23,10 @@ def traces(entries: DataFrame, files_shown: int = 20) -> DataFrame:
     """(session_key, verdict, log_tokens, trace_tokens, ratio, markdown) of each session.
 
     Header, verdict, task, working set, timeline of blocks with tool lines, notes and how to go back to the log. Each part is an ordered
-    aggregate of its session; a session's trace is one row, as large as its compressed log.
+    aggregate of its session; a session's trace is one row, as large as its compressed log. ``entries`` is read by each part, so it should be a table.
     """
     block = B.blocks(entries)
-    tool = B.tool_lines(entries).withColumn("line", F.concat(F.lit("- "), "text", F.lit(" "), T.ref_tag(F.col("log_line"))))
+    tool = B.tool_lines(entries).withColumn("line", F.concat(F.lit("- "), "text"))
     inner = tool.groupBy("session_key", "block_index").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("tools"))
     head = F.concat(F.format_string("### b%d · ", "block_index"), "label", F.lit(" · "), "summary", F.lit(" "), T.ref_range(F.col("line_from"), F.col("line_to")))
     timeline = block.join(inner, ["session_key", "block_index"], "left").withColumn("line", F.concat_ws("\n", head, F.col("assistant_text"), F.col("tools")))

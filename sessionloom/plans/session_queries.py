@@ -233,11 +233,21 @@ def blocks(spark, d):
     return B.blocks(_events(spark, d))
 
 
-@query(f"""{_BLOCK_WALK}, results AS (SELECT session_key, tool_call_id, arg_max(is_error, seq) AS is_error, arg_max(content, seq) AS content FROM entries WHERE kind = 'tool_result' AND tool_call_id <> '' GROUP BY ALL),
-l AS (SELECT p.session_key, block_index, seq, log_line, family, coalesce(r.is_error, false) AS is_error, '`' || tool_name || '` ' || CASE WHEN tool_name = 'Bash' THEN tool_input::JSON->>'$.command' ELSE tool_input::JSON->>'$.file_path' END || ' → ' ||
-   CASE WHEN r.content IS NULL THEN '(no result)' WHEN r.is_error THEN 'ERR ' || split_part(r.content, chr(10), 1) WHEN contains(r.content, chr(10)) THEN '2 ln' ELSE r.content END AS line
-  FROM placed p LEFT JOIN results r USING (session_key, tool_call_id) WHERE kind = 'tool_call')
-SELECT session_key, block_index, min(seq) AS pos, line || CASE WHEN count(*) > 1 THEN ' ×' || count(*) ELSE '' END AS text, arg_max(log_line, seq) AS log_line, is_error, family, count(*) AS occurrences FROM l GROUP BY session_key, block_index, line, is_error, family""")
+# A result's line for the SQL side: Read shows size and hash, Edit the changed lines, Bash its text.
+_FACT = """CASE WHEN r.content IS NULL THEN 'no result' WHEN r.cut THEN 'interrupted' WHEN r.is_error THEN 'ERR ' || split_part(r.content, chr(10), 1) WHEN c.tool_name = 'Edit' THEN '+' || coalesce(r.a, 0) || '/−' || coalesce(r.d, 0)
+  WHEN c.tool_name = 'Read' THEN '2 ln …⟨' || length(r.content) || 'B, 2 ln, #' || substr(sha256(r.content), 1, 8) || ', @L' || CASE WHEN {0} THEN '' ELSE result_line::VARCHAR END || '⟩' ELSE r.content END"""
+_RESULTS = """results AS (SELECT session_key, tool_call_id, arg_max(is_error, seq) AS is_error, arg_max(interrupted, seq) AS cut, arg_max(content, seq) AS content, arg_max(log_line, seq) AS result_line, arg_max({'v': diff_added}, seq).v AS a, arg_max({'v': diff_removed}, seq).v AS d FROM entries WHERE kind = 'tool_result' AND tool_call_id <> '' GROUP BY ALL)"""
+_CALLED = """'`' || c.tool_name || '` ' || CASE WHEN c.tool_name = 'Bash' THEN c.tool_input::JSON->>'$.command' ELSE c.tool_input::JSON->>'$.file_path' END"""
+_LINE = f"{_CALLED} || ' @L' || c.log_line || ' → ' || {_FACT.format('false')} || CASE WHEN result_line - c.log_line > 2 THEN ' @L' || result_line ELSE '' END"
+
+
+@query(f"{_E}, {_RESULTS} SELECT c.session_key, c.tool_call_id, {_LINE} AS line FROM entries c LEFT JOIN results r USING (session_key, tool_call_id) WHERE c.kind = 'tool_call'")
+def rendered_calls(spark, d):
+    return B.rendered_calls(_events(spark, d)).select("session_key", "tool_call_id", "line")
+
+
+@query(f"""{_BLOCK_WALK}, {_RESULTS}, l AS (SELECT c.session_key, block_index, c.seq, c.log_line, family, coalesce(r.is_error, false) AS is_error, {_LINE} AS line, {_CALLED} || {_FACT.format('true')} AS key FROM placed c LEFT JOIN results r USING (session_key, tool_call_id) WHERE c.kind = 'tool_call')
+SELECT session_key, block_index, min(seq) AS pos, arg_max(line, seq) || CASE WHEN count(*) > 1 THEN ' ×' || count(*) ELSE '' END AS text, arg_max(log_line, seq) AS log_line, is_error, family, count(*) AS occurrences FROM l GROUP BY session_key, block_index, key, is_error, family""")
 def tool_lines(spark, d):
     return B.tool_lines(_events(spark, d))
 

@@ -10,6 +10,7 @@ from ..operators import render as M
 from ..operators import review as R
 from ..operators import turns as U
 from ..operators import work as K
+from ..storage import written
 from .session_queries import _RECURSIVE, TURN_TOKENS, _events, _talks
 from .text_queries import _SLUG
 
@@ -254,10 +255,10 @@ def unique_names(spark, d):
 
 @query()
 def trace_markdown(spark, d):
-    return M.traces(_events(spark, d))
+    return M.traces(written(_events(spark, d)))
 
 
 @query()
 def turn_prompts(spark, d):
-    entries = _events(spark, d)
+    entries = written(_events(spark, d))
     return M.turn_prompts(entries, U.with_turns(entries, TURN_TOKENS))
