@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import pieces_of
 
 GRAM = 4
-#: Text bytes of the input for each group, of a batch, and words that a group holds before a turn.
-GROUP_BYTES, BATCH_BYTES, LIMIT = 4 << 20, 8 << 20, 3_000_000
+#: Text bytes of the input for each group and of a batch, words that a group gathers before a turn, and words that a turn ranks at once.
+GROUP_BYTES, BATCH_BYTES, LIMIT, RANKED = 12 << 20, 5 << 20, 8_000_000, 600_000
 NO_ID = -(1 << 63)
 
 
@@ -75,7 +75,7 @@ def _ranges(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _packed(arrays: list[np.ndarray], text: bytes) -> bytes:
     body = b"".join([np.int64(len(arrays[0])).tobytes(), *(a.tobytes() for a in arrays), text])
-    return np.int64(len(body)).tobytes() + pa.Codec("zstd", 3).compress(body, asbytes=True)
+    return np.int64(len(body)).tobytes() + pa.Codec("zstd", 6).compress(body, asbytes=True)
 
 
 def _unpacked(blob: bytes, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
@@ -100,7 +100,7 @@ def _deal(window: int, groups: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for number, batch in enumerate(pieces_of(batches, "text", BATCH_BYTES)):
-            if len(hashes) > 500_000:
+            if len(hashes) > 200_000:
                 hashes.clear()
             rows = sorted({(i, t): k for k, (i, t) in enumerate(zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(), strict=True))}.items())
             texts = batch.column("text").cast(pa.binary())
@@ -135,7 +135,7 @@ def _deal(window: int, groups: int):
             gram = _gram_hashes(h, GRAM)
             kept = start[~marked[start]]
             view = np.lib.stride_tricks.sliding_window_view(gram, span)
-            anchor = np.concatenate([kept[i : i + 262_144] + view[kept[i : i + 262_144]].argmin(axis=1) for i in range(0, len(kept), 262_144)] or [kept])
+            anchor = np.concatenate([kept[i : i + 65_536] + view[kept[i : i + 65_536]].argmin(axis=1) for i in range(0, len(kept), 65_536)] or [kept])
             cut = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(kept) != 1)])
             count = np.diff(np.r_[cut, len(kept)])
             begun = kept[cut]
@@ -164,47 +164,56 @@ class _Subtree:
     """The suffixes of one group."""
 
     def __init__(self, window: int):
-        self.window, self.words, self.held = window, 0, []
+        self.window, self.words, self.next, self.held = window, 0, LIMIT, []
 
     def add(self, blob: bytes) -> None:
         (ids, tags, start, count, key), text = _unpacked(blob, _SEGMENT)
         self.held.append((ids, tags, start, (1 << count.astype(np.int64)) - 1, key, np.array(text.split(b"\n"), object)))
         self.words += len(text) // 6
 
-    def turn(self) -> tuple[np.ndarray, ...]:
-        """(id, tag, start, number) of the suffixes that repeat; what stays is the earliest of each node."""
-        ids, tags, start, alive, key, text = (np.concatenate([x[i] for x in self.held]) for i in range(6))
-        _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
-        met = np.flatnonzero(times[inverse] > 1)
+    def turn(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """(id, tag, start, number) of the suffixes that repeat; what stays is the earliest of each node. Segments of one
+        minimizer are ranked together, RANKED words or one minimizer at a time."""
+        columns = [np.concatenate([x[i] for x in self.held]) for i in range(6)]
+        order = np.argsort(columns[4], kind="stable")
+        ids, tags, start, alive, key, text = (c[order] for c in columns)
+        self.held, columns = [], []
+        group = np.cumsum(np.r_[0, np.diff(key.astype(np.int64)) != 0])
+        met = np.flatnonzero(np.bincount(group)[group] > 1)
+        size = np.fromiter(map(len, text[met]), np.int64, len(met)) // 6
+        chunk = np.cumsum(size) // RANKED
+        fresh = np.r_[True, np.diff(group[met]) != 0]
+        chunk = chunk[np.maximum.accumulate(np.where(fresh, np.arange(len(met)), 0))] if len(met) else chunk
+        for own in np.split(met, np.flatnonzero(np.diff(chunk)) + 1):
+            if len(own):
+                found, gone = self._ranked(ids[own], tags[own], start[own], alive[own], text[own])
+                alive[own] &= ~gone
+                yield found
+        left = np.flatnonzero(alive)
+        self.held = [(ids[left], tags[left], start[left], alive[left], key[left], text[left])]
+        self.words = sum(map(len, text[left])) // 6
+        self.next = max(LIMIT, 2 * self.words)
+
+    def _ranked(self, ids: np.ndarray, tags: np.ndarray, start: np.ndarray, alive: np.ndarray, text: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
         known: dict[bytes, int] = {}
-        split = [x.split() for x in text[met]]
+        split = [x.split() for x in text]
         size = np.fromiter(map(len, split), np.int64, len(split))
         word = np.array([known.setdefault(w, len(known)) for s in split for w in s], np.int64)
         del split, known
         begin = np.cumsum(size) - size
-        bits = np.arange(64)
-        row, offset = np.nonzero(alive[met][:, None] >> bits[None, : self.window] & 1)
-        suffix = begin[row] + offset
-        node = self._nodes(word, suffix)
-        owner = met[row]
-        order = np.lexsort((start[owner] + offset, tags[owner], ids[owner], node))
-        row, offset, owner, node = row[order], offset[order], owner[order], node[order]
-        fresh = np.r_[True, np.diff(node) != 0] if len(node) else np.zeros(0, bool)
-        first = np.maximum.accumulate(np.where(fresh, np.arange(len(node)), 0)) if len(node) else np.zeros(0, np.int64)
-        here = start[owner] + offset
-        same = (ids[owner] == ids[owner[first]]) & (tags[owner] == tags[owner[first]]) & (here == here[first]) if len(node) else fresh
-        repeat, twice = ~same, same & ~fresh
+        row, offset = np.nonzero(alive[:, None] >> np.arange(64)[None, : self.window] & 1)
+        node = self._nodes(word, begin[row] + offset)
+        here = start[row] + offset
+        order = np.lexsort((here, tags[row], ids[row], node))
+        row, offset, node, here = row[order], offset[order], node[order], here[order]
+        fresh = np.r_[True, np.diff(node) != 0]
+        first = np.maximum.accumulate(np.where(fresh, np.arange(len(node)), 0))
+        same = (ids[row] == ids[row[first]]) & (tags[row] == tags[row[first]]) & (here == here[first])
         gone = np.zeros(len(ids), np.int64)
-        np.bitwise_or.at(gone, owner[repeat | twice], np.int64(1) << offset[repeat | twice])
-        alive = alive & ~gone
-        left = np.flatnonzero(alive)
-        self.held = [(ids[left], tags[left], start[left], alive[left], key[left], text[left])]
-        self.words = sum(map(len, text[left])) // 6
-        own, offset = owner[repeat], offset[repeat]
-        order = np.lexsort((offset, own))
-        own, offset = own[order], offset[order]
-        at, many = _ranges(own * 128 + offset)
-        return ids[at // 128], tags[at // 128], start[at // 128] + (at % 128).astype(np.int32), many.astype(np.int32)
+        np.bitwise_or.at(gone, row[~(same & fresh)], np.int64(1) << offset[~(same & fresh)])
+        own, offset = row[~same], offset[~same]
+        at, many = _ranges(np.sort(own * 128 + offset))
+        return (ids[at // 128], tags[at // 128], start[at // 128] + (at % 128).astype(np.int32), many.astype(np.int32)), gone
 
     def _nodes(self, word: np.ndarray, suffix: np.ndarray) -> np.ndarray:
         """The node at window depth of each suffix, from ranks at doubled depths."""
@@ -231,9 +240,9 @@ def _grow(window: int):
         part, tree = None, _Subtree(window)
         for batch in batches:
             for here, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
-                if here != part or tree.words > LIMIT:
+                if here != part or tree.words > tree.next:
                     if tree.held:
-                        yield rows(tree.turn())
+                        yield from map(rows, tree.turn())
                     if here != part:
                         part, tree = here, _Subtree(window)
                 if kind:
@@ -241,7 +250,7 @@ def _grow(window: int):
                 else:
                     tree.add(blob.as_py())
         if tree.held:
-            yield rows(tree.turn())
+            yield from map(rows, tree.turn())
 
     return grow
 

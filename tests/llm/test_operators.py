@@ -36,6 +36,7 @@ def test_repeats(request, monkeypatch, name, small_batches):
     if small_batches:
         monkeypatch.setattr(repeats, "BATCH_BYTES", 40_000)
         monkeypatch.setattr(repeats, "LIMIT", 3_000)
+        monkeypatch.setattr(repeats, "RANKED", 500)
         monkeypatch.setattr(repeats, "GROUP_BYTES", 60_000)
     docs, rows = table(request, name)
     seen, wanted = set(), []
