@@ -1,40 +1,19 @@
-"""What the corpus operators share: shared-folder tables, ASCII case, components."""
+"""What the corpus operators share: ASCII case, bounded batches, components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``; bytes.split() uses exactly this set.
-SPACES = r"[\x20\x09-\x0D]+"
+from ..storage import shared_dir, written
 
+__all__ = ["SPACES", "ascii_lower", "checkpointed", "components", "pieces_of", "shared_dir", "written"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or on local masters a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        context = spark.sparkContext
-        kept = context._jsc.sc().getCheckpointDir()
-        if kept.isDefined():
-            return kept.get()
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="sessionloom-")
-        context.setCheckpointDir(found)
-    return found
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends here, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sessionloom/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``; bytes.split() uses exactly this set.
+SPACES = r"[\x20\x09-\x0D]+"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -165,7 +165,6 @@ def identified(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all its columns) in which the model finds a language; ``und`` rows go."""
     model = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
-    columns, kept = docs.columns, "_language_row"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,5 +172,4 @@ def accepted(docs: DataFrame) -> DataFrame:
             found = shared.value.mixtures(batch.column("text").cast(pa.string()).to_pylist())
             yield batch.filter(pa.array([x[0] != "und" for x in found], pa.bool_()))
 
-    del kept
-    return docs.mapInArrow(flag, docs.schema).select(*columns)
+    return docs.mapInArrow(flag, docs.schema)
