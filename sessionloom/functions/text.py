@@ -83,30 +83,34 @@ def truncate_centered(text: Column, head: int, tail: int = 0, anchor: Column | N
     Cuts move to close line ends, truncated text passes unchanged, and what would not shrink stays whole.
     """
     total = head + tail
-    size = F.length(text)
     suffix = F.concat(F.lit(" chars"), *([F.format_string(" @L%d", anchor)] if anchor is not None else []), *([F.concat(F.lit(", sha:#"), sha)] if sha is not None else []), F.lit("⟩"))
-    mark = lambda kept: F.concat(F.format_string("…⟨truncated: %d→%d", size, kept), suffix)
-    share = F.when(F.right(text, F.lit(2048)).rlike(TROUBLE), F.lit(0.3)).otherwise(F.lit(0.7))
-    room = F.lit(total) - F.length(mark(F.lit(total)))
+    mark = lambda size, kept: F.concat(F.format_string("…⟨truncated: %d→%d", size, kept), suffix)
     least = min(head, 1 if tail else total)
 
-    def parts(s: Column) -> Column:
-        begin = cap_long_lines(F.left(text, s["head"]))
-        line = F.length(begin) - F.instr(F.reverse(begin), "\n")
-        snap = (F.instr(begin, "\n") > 0) & (line > s["head"] * 0.5)
-        begin = F.when(snap, F.left(text, line + F.lit(1))).otherwise(begin)
-        end = F.lit("")
-        if tail:
-            end = cap_long_lines(F.substr(text, size - s["tail"] + F.lit(1), s["tail"]))
-            near = (F.instr(end, "\n") > 0) & (F.instr(end, "\n") - F.lit(1) < s["tail"] * 0.5)
-            end = F.when(near, F.substr(end, F.instr(end, "\n") + F.lit(1))).otherwise(end)
-        return F.struct(begin.alias("begin"), end.alias("end"))
-
-    split = _let(F.struct(F.floor(room * share).cast("int").alias("head"), (room - F.floor(room * share)).cast("int").alias("tail")), parts)
-    out = _let(split, lambda p: F.concat(p["begin"], mark(F.length(p["begin"]) + F.length(p["end"])), p["end"]))
-    tight = F.concat(F.left(text, F.greatest(F.lit(8), room)), mark(F.lit(total)))
-    shrunk = _let(out, lambda o: F.when(F.length(o) >= size, text).otherwise(o))
-    return F.when(F.startswith(text, F.lit("…⟨truncated:")) | (size <= total), text).when(room < least, tight).otherwise(shrunk)
+    def measured(t: Column) -> Column:
+        share = F.when(F.right(t, F.lit(2048)).rlike(TROUBLE), F.lit(0.3)).otherwise(F.lit(0.7))
+        return F.struct(t.alias("text"), F.length(t).alias("size"), share.alias("share"), (F.lit(total) - F.length(mark(F.length(t), F.lit(total)))).alias("room"))
+
+    def split(m: Column) -> Column:
+        first = F.floor(m["room"] * m["share"]).cast("int")
+        return F.struct(m.alias("m"), first.alias("head"), (m["room"] - first).alias("tail"), cap_long_lines(F.left(m["text"], first)).alias("begin"), (cap_long_lines(F.substr(m["text"], m["size"] - (m["room"] - first) + F.lit(1), m["room"] - first)) if tail else F.lit("")).alias("end"))
+
+    def snapped(s: Column) -> Column:
+        line = F.length(s["begin"]) - F.instr(F.reverse(s["begin"]), "\n")
+        begin = F.when((F.instr(s["begin"], "\n") > 0) & (line > s["head"] * 0.5), F.left(s["m"]["text"], line + F.lit(1))).otherwise(s["begin"])
+        at = F.instr(s["end"], "\n")
+        end = F.when((at > 0) & (at - F.lit(1) < s["tail"] * 0.5), F.substr(s["end"], at + F.lit(1))).otherwise(s["end"])
+        return F.struct(s["m"].alias("m"), begin.alias("begin"), end.alias("end"))
+
+    def joined(p: Column) -> Column:
+        whole = F.concat(p["begin"], mark(p["m"]["size"], F.length(p["begin"]) + F.length(p["end"])), p["end"])
+        return F.when(F.length(whole) >= p["m"]["size"], p["m"]["text"]).otherwise(whole)
+
+    def cut(m: Column) -> Column:
+        tight = F.concat(F.left(m["text"], F.greatest(F.lit(8), m["room"])), mark(m["size"], F.lit(total)))
+        return F.when(m["room"] < least, tight).otherwise(_let(_let(_let(m, split), snapped), joined))
+
+    return F.when(F.startswith(text, F.lit("…⟨truncated:")) | (F.length(text) <= total), text).otherwise(_let(_let(text, measured), cut))
 
 
 def ref_tag(line: Column) -> Column:

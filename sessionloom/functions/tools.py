@@ -98,30 +98,45 @@ def _most(values: Column) -> Column:
     return F.coalesce(F.array_max(values), F.lit(0))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+SUMMARY = r"(?i)Tests?:\s*(?:(\d+)\s*failed)?\s*\|?\s*(?:(\d+)\s*passed)?"
+COUNT = r"(\d+)\s+(passed|failed)"
+RESULT = r"test result:\s*\w+\.\s*(\d+) passed;\s*(\d+) failed"
+
+
 def detect_checks(output: Column) -> Column:
     """struct<run, failed, failed_names> of a test runner's summary in an output, or null. Only numbers and
-    listed failures count."""
-    t = F.right(output, F.lit(8000))
+    listed failures count. Outputs without any of the words cost one search; take the struct as a column before its fields are used."""
     number = lambda text, pattern, group: F.coalesce(F.regexp_extract(text, pattern, group).try_cast("int"), F.lit(0))
-    summary = r"(?i)Tests?:\s*(?:(\d+)\s*failed)?\s*\|?\s*(?:(\d+)\s*passed)?"
-    first = F.transform(F.regexp_extract_all(t, F.lit(summary), F.lit(0)), lambda m: F.struct(number(m, summary, 1).alias("f"), number(m, summary, 2).alias("p")))
-    run1, failed1 = _most(F.transform(first, lambda x: x["f"] + x["p"])), _most(F.transform(first, lambda x: x["f"]))
-    single = r"(\d+)\s+(passed|failed)"
-    second = F.transform(F.regexp_extract_all(t, F.lit(single), F.lit(0)), lambda m: F.struct(number(m, single, 1).alias("n"), F.regexp_extract(m, single, 2).alias("k")))
-    run2 = F.aggregate(second, F.lit(0), lambda a, x: a + x["n"])
-    failed2 = _most(F.transform(F.filter(second, lambda x: x["k"] == "failed"), lambda x: x["n"]))
-    result = r"test result:\s*\w+\.\s*(\d+) passed;\s*(\d+) failed"
-    third = F.transform(F.regexp_extract_all(t, F.lit(result), F.lit(0)), lambda m: F.struct(number(m, result, 1).alias("p"), number(m, result, 2).alias("f")))
-    run3, failed3 = _most(F.transform(third, lambda x: x["f"] + x["p"])), _most(F.transform(third, lambda x: x["f"]))
-    listed = F.regexp_extract_all(t, F.lit(r"--- FAIL:\s*(\S+)"), F.lit(1))
-    named = F.array_distinct(F.filter(F.regexp_extract_all(t, F.lit(r"(?m)^\s*(?:FAIL|FAILED)\s+(.+?)\s*$"), F.lit(1)), lambda x: F.length(F.trim(x)) > 0))
-    extra = F.slice(F.array_except(named, listed), F.lit(1), F.greatest(F.lit(0), F.lit(5) - F.size(listed)))
-    run = F.greatest(F.when(run1 == 0, run2).otherwise(run1), run3)
-    failed = F.greatest(failed1, F.when(run1 == 0, failed2).otherwise(F.lit(0)), failed3)
-    failed = F.when(F.size(listed) > 0, F.greatest(failed, F.lit(1)) + F.size(listed) - F.lit(1)).otherwise(failed)
-    names = F.concat(listed, extra)
-    out = F.struct(run.cast("bigint").alias("run"), failed.cast("bigint").alias("failed"), names.alias("failed_names"))
-    return F.when((run > 0) | (failed > 0) | (F.size(names) > 0), out)
+    every = lambda t, pattern: F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+
+    def found(t: Column) -> Column:
+        return F.struct(
+            F.transform(every(t, SUMMARY), lambda m: F.struct(number(m, SUMMARY, 1).alias("f"), number(m, SUMMARY, 2).alias("p"))).alias("first"),
+            F.transform(every(t, COUNT), lambda m: F.struct(number(m, COUNT, 1).alias("n"), F.regexp_extract(m, COUNT, 2).alias("k"))).alias("second"),
+            F.transform(every(t, RESULT), lambda m: F.struct(number(m, RESULT, 1).alias("p"), number(m, RESULT, 2).alias("f"))).alias("third"),
+            F.regexp_extract_all(t, F.lit(r"--- FAIL:\s*(\S+)"), F.lit(1)).alias("listed"),
+            F.array_distinct(F.filter(F.regexp_extract_all(t, F.lit(r"(?m)^\s*(?:FAIL|FAILED)\s+(.+?)\s*$"), F.lit(1)), lambda x: F.length(F.trim(x)) > 0)).alias("named"),
+        )
+
+    def counted(x: Column) -> Column:
+        first, run = x["first"], _most(F.transform(x["first"], lambda m: m["f"] + m["p"]))
+        single = F.aggregate(x["second"], F.lit(0), lambda a, m: a + m["n"])
+        worst = _most(F.transform(F.filter(x["second"], lambda m: m["k"] == "failed"), lambda m: m["n"]))
+        failed = F.greatest(_most(F.transform(first, lambda m: m["f"])), F.when(run == 0, worst).otherwise(F.lit(0)), _most(F.transform(x["third"], lambda m: m["f"])))
+        more = F.size(x["listed"])
+        extra = F.slice(F.array_except(x["named"], x["listed"]), F.lit(1), F.greatest(F.lit(0), F.lit(5) - more))
+        return F.struct(
+            F.greatest(F.when(run == 0, single).otherwise(run), _most(F.transform(x["third"], lambda m: m["f"] + m["p"]))).cast("bigint").alias("run"),
+            F.when(more > 0, F.greatest(failed, F.lit(1)) + more - F.lit(1)).otherwise(failed).cast("bigint").alias("failed"), F.concat(x["listed"], extra).alias("failed_names"),
+        )
+
+    made = _let(_let(_let(F.right(output, F.lit(8000)), found), counted), lambda c: F.when((c["run"] > 0) | (c["failed"] > 0) | (F.size(c["failed_names"]) > 0), c))
+    return F.when(output.rlike("(?i)test|passed|failed|FAIL"), made)
 
 
 def extract_path(signature: Column) -> Column:

@@ -34,13 +34,17 @@ def unmatched_results(entries: DataFrame) -> DataFrame:
     return entries.where("kind = 'tool_result'").join(calls, ["session_key", "tool_call_id"], "left_anti").select("session_key", "tool_call_id", "log_line")
 
 
+def checked(entries: DataFrame) -> DataFrame:
+    """Adds _checks, the test summary of each result, as _facts needs it."""
+    return entries.withColumn("_checks", F.when(F.col("kind") == "tool_result", C.detect_checks(F.coalesce("content", F.lit("")))))
+
+
 def _facts() -> list[Column]:
     result = F.col("kind") == "tool_result"
     last = lambda c: F.max_by(c, F.when(result & c.isNotNull(), F.col("seq")))
-    checks = F.when(result, C.detect_checks(F.coalesce("content", F.lit(""))))
     return [
         F.count_if(F.col("kind") == "tool_call").alias("tool_calls"), F.count_if(result & F.col("is_error")).alias("errors"), F.count_if(result & F.col("interrupted")).alias("interrupted_results"),
-        last(F.col("exit_code")).alias("last_exit_code"), last(checks["run"]).alias("checks_run"), last(checks["failed"]).alias("checks_failed"),
+        last(F.col("exit_code")).alias("last_exit_code"), last(F.col("_checks.run")).alias("checks_run"), last(F.col("_checks.failed")).alias("checks_failed"),
         F.coalesce(F.sum(F.when(result, F.col("diff_added"))), F.lit(0)).cast("bigint").alias("diff_added"), F.coalesce(F.sum(F.when(result, F.col("diff_removed"))), F.lit(0)).cast("bigint").alias("diff_removed"),
     ]
 
@@ -49,7 +53,7 @@ def seal_facts(entries: DataFrame, budget: int = 8_000) -> DataFrame:
     """Machine facts of each turn, without side chains."""
     rows = with_turns(entries, budget)
     whole = rows.groupBy("session_key", "turn_index").agg((F.max_by("pending", "seq") > 0).alias("cut"))
-    own = rows.where(~F.col("sidechain")).groupBy("session_key", "turn_index").agg(*_facts())
+    own = checked(rows.where(~F.col("sidechain"))).groupBy("session_key", "turn_index").agg(*_facts())
     out = whole.join(own, ["session_key", "turn_index"], "left")
     zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("tool_calls", "errors", "diff_added", "diff_removed")}
     return out.withColumns(zero).withColumn("interrupted", F.col("cut") | (F.coalesce("interrupted_results", F.lit(0)) > 0)).drop("cut", "interrupted_results")
@@ -71,7 +75,7 @@ def facts_footer(facts: DataFrame) -> DataFrame:
 
 
 def account_sessions(entries: DataFrame) -> DataFrame:
-    own = entries.where(~F.col("sidechain"))
+    own = checked(entries.where(~F.col("sidechain")))
     return own.groupBy("session_key").agg(*_facts(), F.count_distinct(F.when(F.col("kind") == "tool_result", F.col("diff_path"))).alias("files_modified"), F.count_if(F.col("kind") == "compaction").alias("compactions"))
 
 

@@ -154,7 +154,7 @@ SELECT session_key, string_agg('b' || seq || ': calls=0; errors=' || errors || C
  || CASE WHEN diff_added > 0 OR diff_removed > 0 THEN '; diff +' || diff_added || '/−' || diff_removed ELSE '' END, chr(10) ORDER BY seq) AS footer FROM own GROUP BY session_key""")
 def facts_footer(spark, d):
     e = _events(spark, d).where("kind = 'tool_result' and not sidechain")
-    facts = e.groupBy("session_key", F.col("seq").alias("turn_index"), "seq").agg(*A._facts()).withColumn("interrupted", F.lit(False))
+    facts = A.checked(e).groupBy("session_key", F.col("seq").alias("turn_index"), "seq").agg(*A._facts()).withColumn("interrupted", F.lit(False))
     return A.facts_footer(facts)
 
 

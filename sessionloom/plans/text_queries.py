@@ -201,8 +201,8 @@ def detect_checks(spark, d):
         F.when(k % 5 == 0, F.format_string("Tests:  %d failed | %d passed (9)", k % 7, k)).when(k % 5 == 1, F.format_string("FAILED tests/t.py::x\n== %d passed, %d failed in 0.3s", k, k % 4))
         .when(k % 5 == 2, F.format_string("x\ntest result: ok. %d passed; %d failed; 0 ignored", k, k % 3)).when(k % 5 == 3, F.lit("--- FAIL: TestA\nok\n--- FAIL: TestB")).otherwise(F.lit("nothing here"))
     )
-    c = C.detect_checks(out)
-    return spark.read.parquet(f"{d}/events.parquet").where(k > 0).select("event_id", F.coalesce(c["run"], F.lit(-1)).alias("run"), F.coalesce(c["failed"], F.lit(-1)).alias("failed"), F.array_join(c["failed_names"], ",").alias("names"))
+    rows = spark.read.parquet(f"{d}/events.parquet").where(k > 0).select("event_id", C.detect_checks(out).alias("c"))
+    return rows.select("event_id", F.coalesce("c.run", F.lit(-1)).alias("run"), F.coalesce("c.failed", F.lit(-1)).alias("failed"), F.array_join("c.failed_names", ",").alias("names"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 4 IN (0, 1) THEN props WHEN event_id % 4 = 2 THEN NULL ELSE '{\"a\":1}' END AS found FROM events")
