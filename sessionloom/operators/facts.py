@@ -39,11 +39,13 @@ def checked(entries: DataFrame) -> DataFrame:
     return entries.withColumn("_checks", F.when(F.col("kind") == "tool_result", C.detect_checks(F.coalesce("content", F.lit("")))))
 
 
-def _facts() -> list[Column]:
-    result = F.col("kind") == "tool_result"
+def _facts(own: Column | None = None) -> list[Column]:
+    """Aggregates over entries, or over those of ``own``."""
+    among = F.lit(True) if own is None else own
+    result = (F.col("kind") == "tool_result") & among
     last = lambda c: F.max_by(c, F.when(result & c.isNotNull(), F.col("seq")))
     return [
-        F.count_if(F.col("kind") == "tool_call").alias("tool_calls"), F.count_if(result & F.col("is_error")).alias("errors"), F.count_if(result & F.col("interrupted")).alias("interrupted_results"),
+        F.count_if((F.col("kind") == "tool_call") & among).alias("tool_calls"), F.count_if(result & F.col("is_error")).alias("errors"), F.count_if(result & F.col("interrupted")).alias("interrupted_results"),
         last(F.col("exit_code")).alias("last_exit_code"), last(F.col("_checks.run")).alias("checks_run"), last(F.col("_checks.failed")).alias("checks_failed"),
         F.coalesce(F.sum(F.when(result, F.col("diff_added"))), F.lit(0)).cast("bigint").alias("diff_added"), F.coalesce(F.sum(F.when(result, F.col("diff_removed"))), F.lit(0)).cast("bigint").alias("diff_removed"),
     ]
@@ -51,12 +53,9 @@ def _facts() -> list[Column]:
 
 def seal_facts(entries: DataFrame, budget: int = 8_000) -> DataFrame:
     """Machine facts of each turn, without side chains."""
-    rows = with_turns(entries, budget)
-    whole = rows.groupBy("session_key", "turn_index").agg((F.max_by("pending", "seq") > 0).alias("cut"))
-    own = checked(rows.where(~F.col("sidechain"))).groupBy("session_key", "turn_index").agg(*_facts())
-    out = whole.join(own, ["session_key", "turn_index"], "left")
-    zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("tool_calls", "errors", "diff_added", "diff_removed")}
-    return out.withColumns(zero).withColumn("interrupted", F.col("cut") | (F.coalesce("interrupted_results", F.lit(0)) > 0)).drop("cut", "interrupted_results")
+    rows = checked(with_turns(entries, budget))
+    out = rows.groupBy("session_key", "turn_index").agg((F.max_by("pending", "seq") > 0).alias("cut"), *_facts(~F.col("sidechain")))
+    return out.withColumn("interrupted", F.col("cut") | (F.col("interrupted_results") > 0)).drop("cut", "interrupted_results")
 
 
 def render_facts() -> Column:

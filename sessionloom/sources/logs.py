@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import tools as C
-from .tables import _TYPES, COLUMNS
-
-_OWN = tuple(c for c in COLUMNS if c not in ("session_key", "seq", "log_line"))
-_FLAGS = {"is_error", "interrupted", "sidechain", "turn_start"}
+from .tables import _OWN, _TYPES, COLUMNS
+from .tables import entry as _entry
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -42,12 +40,6 @@ def _list(record: Column) -> Column:
     return F.when(F.startswith(F.ltrim(record), F.lit("[")), F.coalesce(F.from_json(record, "array<string>"), F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
 
 
-def _entry(kind: Column | str, **given: Column) -> Column:
-    fields = {"kind": F.lit(kind) if isinstance(kind, str) else kind} | given
-    zero = lambda c: F.lit(False) if c in _FLAGS else F.lit(None)
-    return F.struct(*(F.coalesce(fields[c], F.lit(False)).alias(c) if c in _FLAGS and c in fields else fields.get(c, zero(c)).cast(_TYPES[c]).alias(c) for c in _OWN))
-
-
 def _none() -> Column:
     return F.array().cast(f"array<struct<{','.join(f'{c}:{_TYPES[c]}' for c in _OWN)}>>")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The entry table: (session_key, seq) is unique.
@@ -12,6 +12,15 @@ ENTRY = (
 )
 COLUMNS = tuple(c.split()[0] for c in ENTRY.split(", "))
 _TYPES = dict(c.split() for c in ENTRY.split(", "))
+_OWN = tuple(c for c in COLUMNS if c not in ("session_key", "seq", "log_line"))
+_FLAGS = {"is_error", "interrupted", "sidechain", "turn_start"}
+
+
+def entry(kind: Column | str, **given: Column) -> Column:
+    """One entry as a struct of all its fields; what isn't given is null, or false for flags."""
+    fields = {"kind": F.lit(kind) if isinstance(kind, str) else kind} | given
+    zero = lambda c: F.lit(False) if c in _FLAGS else F.lit(None)
+    return F.struct(*(F.coalesce(fields[c], F.lit(False)).alias(c) if c in _FLAGS and c in fields else fields.get(c, zero(c)).cast(_TYPES[c]).alias(c) for c in _OWN))
 
 
 def as_entries(df: DataFrame) -> DataFrame:
@@ -42,17 +51,18 @@ def event_entries(events: DataFrame) -> DataFrame:
     said = F.when(tool == "Bash", F.format_string("%d passed, %d failed", F.col("k"), F.col("k") % 3)).otherwise(F.format_string("line %d\nend", F.col("k")))
     called = F.col("event_type").isin("view", "purchase", "click")
     base = e.withColumns({"tool": tool, "given": given, "said": said, "path": path})
-    prompt = base.where("event_type = 'signup'").select("session_key", (F.col("i") * 2).alias("seq"), F.lit("user_text").alias("kind"), F.format_string("please do %d", F.col("k")).alias("text"), "ts")
-    calls = base.where(called).select("session_key", (F.col("i") * 2).alias("seq"), F.lit("tool_call").alias("kind"), F.col("tool").alias("tool_name"), F.col("given").alias("tool_input"), F.col("event_id").cast("string").alias("tool_call_id"), "ts", (F.col("k") % 13 == 0).alias("sidechain"), (F.col("i") % 3 == 0).alias("turn_start"))
-    results = base.where(called).select(
-        "session_key", (F.col("i") * 2 + 1).alias("seq"), F.lit("tool_result").alias("kind"), F.col("event_id").cast("string").alias("tool_call_id"), F.col("said").alias("content"), "ts", (F.col("k") % 13 == 0).alias("sidechain"),
-        (F.col("event_id") % 11 == 0).alias("is_error"), (F.col("event_id") % 397 == 0).alias("interrupted"), F.when(F.col("tool") == "Bash", F.col("k") % 3).cast("int").alias("exit_code"),
-        F.when(F.col("tool") == "Edit", F.col("k") % 10).alias("diff_added"), F.when(F.col("tool") == "Edit", F.col("k") % 4).alias("diff_removed"), F.when(F.col("tool") == "Edit", F.col("path")).alias("diff_path"),
+    edit, side = F.col("tool") == "Edit", F.col("k") % 13 == 0
+    ts, own, call_id = F.col("ts"), F.col("event_id"), F.col("event_id").cast("string")
+    prompt = entry("user_text", text=F.format_string("please do %d", F.col("k")), ts=ts)
+    call = entry("tool_call", tool_name=F.col("tool"), tool_input=F.col("given"), tool_call_id=call_id, ts=ts, sidechain=side, turn_start=F.col("i") % 3 == 0)
+    result = entry(
+        "tool_result", tool_call_id=call_id, content=F.col("said"), ts=ts, sidechain=side, is_error=own % 11 == 0, interrupted=own % 397 == 0, exit_code=F.when(F.col("tool") == "Bash", F.col("k") % 3),
+        diff_added=F.when(edit, F.col("k") % 10), diff_removed=F.when(edit, F.col("k") % 4), diff_path=F.when(edit, F.col("path")),
     )
-    failed = base.where("event_type = 'error'").select("session_key", (F.col("i") * 2).alias("seq"), F.lit("tool_result").alias("kind"), F.coalesce(F.col("call_id").cast("string"), F.lit("")).alias("tool_call_id"), F.format_string("Error %d", F.col("k")).alias("content"), F.lit(True).alias("is_error"), "ts")
-    whole = prompt.unionByName(calls, True).unionByName(results, True).unionByName(failed, True)
-    flags = {c: F.coalesce(c, F.lit(False)) for c in ("is_error", "interrupted", "sidechain", "turn_start")}
-    return as_entries(whole.withColumns(flags).withColumn("log_line", F.col("seq")))
+    failed = entry("tool_result", tool_call_id=F.coalesce(F.col("call_id").cast("string"), F.lit("")), content=F.format_string("Error %d", F.col("k")), is_error=F.lit(True), ts=ts)
+    made = F.when(called, F.array(call, result)).when(F.col("event_type") == "signup", F.array(prompt)).when(F.col("event_type") == "error", F.array(failed))
+    rows = base.select("session_key", "i", F.posexplode(made).alias("p", "e")).select("session_key", (F.col("i") * 2 + F.col("p")).cast("bigint").alias("seq"), "e.*")
+    return as_entries(rows.withColumn("log_line", F.col("seq")))
 
 
 #: The same entries for the SQL engine that checks results.
