@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import blocks, chains, facts, render, turns, work
+from .operators import blocks, chains, facts, render, review, turns, work
 from .sources import discovery
 from .storage import written
 
@@ -25,6 +25,17 @@ def deterministic(prompts: DataFrame, turn_rows: DataFrame) -> DataFrame:
     return render.floor_actions(turn_rows)
 
 
+class Analyser(Protocol):
+    """Turns session forms (session_key, level, form) and verdicts into analyses (session_key, status, why, ...)."""
+
+    def __call__(self, forms: DataFrame, verdicts: DataFrame) -> DataFrame: ...
+
+
+def from_facts(forms: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The analyser without a model: the verdict that the facts give."""
+    return forms.join(verdicts, "session_key").select("session_key", "status", "why")
+
+
 @dataclass(frozen=True)
 class Options:
     turn_tokens: int = turns.TURN_BUDGET
@@ -34,6 +45,7 @@ class Options:
     only: str | None = None
     root: str | None = None
     repo_bound: bool = False
+    form_tokens: int = 25_000
 
 
 def analyse(entries: DataFrame, options: Options | None = None, compressor: Compressor = deterministic) -> dict[str, DataFrame]:
@@ -48,6 +60,24 @@ def analyse(entries: DataFrame, options: Options | None = None, compressor: Comp
     }
 
 
+def refine(entries: DataFrame, options: Options | None = None, compressor: Compressor = deterministic, analyser: Analyser = from_facts) -> dict[str, DataFrame]:
+    """Compressed turns, their forms and the analysis of each session.
+
+    actions: what the compressor made of each turn; turn_forms: header, tool lines and action at three levels; forms: the fullest one of
+    a session that fits the budget; analyses: what the analyser made of it.
+    """
+    o = options or Options()
+    main = entries.where("not sidechain")
+    turned, turn_rows = turns.with_turns(main, o.turn_tokens), turns.turns(main, o.turn_tokens)
+    actions = compressor(render.turn_prompts(main, turned), turn_rows)
+    calls = blocks.rendered_calls(main).select("session_key", F.col("call_seq").alias("pos"), F.col("line").alias("text"))
+    lines = turned.where("kind = 'tool_call'").select("session_key", "turn_index", F.col("seq").alias("pos"), "tool_name", "log_line").join(calls, ["session_key", "pos"])
+    turn_forms = review.grouped_forms(turn_rows, lines, actions.select("session_key", "turn_index", "action"))
+    whole = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn_index", c))), lambda x: x[c]), "\n").alias(c)
+    forms = review.degraded_form(turn_forms.groupBy("session_key").agg(whole("form0"), whole("form1"), whole("form2")), o.form_tokens)
+    return {"actions": actions, "turn_forms": turn_forms, "forms": forms, "analyses": analyser(forms, facts.verdicts(entries))}
+
+
 def distill(spark: SparkSession, roots: list[discovery.Root], options: Options | None = None) -> dict[str, DataFrame]:
     """Entries, sessions, chains and all tables of the logs below the roots."""
     o = options or Options()

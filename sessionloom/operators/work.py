@@ -96,6 +96,12 @@ def merge_bank(items: DataFrame) -> DataFrame:
     )
 
 
+def bank_index(bank: DataFrame) -> DataFrame:
+    """(norm_title, subject0, line): a line of the index for each entry of a bank."""
+    line = F.concat(F.lit("- **"), "title", F.lit("** ["), "polarity", F.lit("] ("), "status", F.format_string(", evidence ×%d) — ", "evidence"), "description", F.lit(" · subjects: "), "subject0")
+    return bank.select("norm_title", "subject0", line.alias("line"))
+
+
 def rates(counters: DataFrame) -> DataFrame:
     """Rates of pass counters (key, turns, blocks, fallbacks, retries, disputes, quote_valid, orig_tokens, trace_tokens), three decimals; 0 where nothing was."""
     part = lambda a, b: F.when(F.col(b) > 0, T.rounded(F.col(a) / F.col(b), 3)).otherwise(F.lit(0.0))

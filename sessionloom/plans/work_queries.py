@@ -224,10 +224,21 @@ def parse_job_ids(spark, d):
 @query(r"""WITH i AS (SELECT doc_id, trim(regexp_replace(lower(left(text, 6)), '\s+', ' ', 'g')) AS norm_title, left(text, 6) AS title, left(text, 40) AS description, source, CASE WHEN doc_id % 2 = 0 THEN 'strategy' ELSE 'guardrail' END AS polarity FROM documents)
 SELECT norm_title, source AS subject0, arg_min(title, doc_id) AS title, arg_min(description, doc_id) AS description, arg_min(description, doc_id) AS content, arg_min(polarity, doc_id) AS polarity, count(*) AS evidence, min(doc_id) AS first_seen, max(doc_id) AS last_seen, CASE WHEN count(*) >= 3 THEN 'confirmed' ELSE 'candidate' END AS status FROM i GROUP BY ALL""")
 def bank_merge(spark, d):
+    return K.merge_bank(_items(spark, d))
+
+
+_BANK = ORACLES["bank_merge"]
+
+
+@query(f"SELECT norm_title, subject0, '- **' || title || '** [' || polarity || '] (' || status || ', evidence ×' || evidence || ') — ' || description || ' · subjects: ' || subject0 AS line FROM ({_BANK}) AS bank")
+def bank_index(spark, d):
+    return K.bank_index(K.merge_bank(_items(spark, d)))
+
+
+def _items(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
     head = F.left("text", F.lit(40))
-    items = docs.select(F.left("text", F.lit(6)).alias("title"), head.alias("description"), head.alias("content"), F.when(F.col("doc_id") % 2 == 0, "strategy").otherwise("guardrail").alias("polarity"), F.array("source").alias("subject"), F.col("doc_id").alias("seen"), F.col("doc_id").alias("seq"))
-    return K.merge_bank(items)
+    return docs.select(F.left("text", F.lit(6)).alias("title"), head.alias("description"), head.alias("content"), F.when(F.col("doc_id") % 2 == 0, "strategy").otherwise("guardrail").alias("polarity"), F.array("source").alias("subject"), F.col("doc_id").alias("seen"), F.col("doc_id").alias("seq"))
 
 
 @query("""WITH c AS (SELECT conv_id, count(*) AS n, count(*) FILTER (role = 'user') AS u, count(*) FILTER (role = 'system') AS s, sum(length(text))::BIGINT AS ch FROM conversations GROUP BY conv_id)

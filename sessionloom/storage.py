@@ -29,3 +29,13 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/sessionloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def append_lines(df: DataFrame, path: str) -> None:
+    """Rows as JSON lines behind those that are there: ledger events, sidecar records, metrics."""
+    df.write.mode("append").json(path)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """df in place of the table at ``path``: registry, job index, skeletons, bank. df must not read from it."""
+    df.write.mode("overwrite").parquet(path)

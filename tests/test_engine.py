@@ -105,6 +105,24 @@ def test_folds_match_plain_loops(spark):
     assert {(r.session_key, r.block_index): r.calls for r in blocks.blocks(entries).collect()} == wanted
 
 
+def test_refine(spark):
+    rows = random_sessions(6)
+    entries = as_entries(spark.createDataFrame([tuple(r.values()) for r in rows], "session_key string, seq long, log_line long, kind string, text string, tool_name string, tool_input string, tool_call_id string, content string, turn_start boolean"))
+    out = engine.refine(entries, engine.Options(turn_tokens=60, form_tokens=200))
+    assert out["analyses"].count() == 6 and out["turn_forms"].count() == turns.turns(entries, 60).count()
+    for r in out["forms"].collect():
+        assert r.form.startswith("#### b1 · @L1") and r.level in (0, 1, 2) and (r.level == 2 or len(r.form) <= 800)
+
+
+def test_sinks(spark, tmp_path):
+    from sessionloom import storage
+
+    for n in (2, 3):
+        storage.append_lines(spark.range(n), str(tmp_path / "l"))
+        storage.replace_table(spark.range(n), str(tmp_path / "t"))
+    assert spark.read.json(str(tmp_path / "l")).count() == 5 and spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
 def test_text_functions(spark):
     one = spark.range(1)
     ask = lambda c: one.select(c.alias("x")).first()[0]
