@@ -8,7 +8,7 @@ only a chain of its members, never all pairs, and the chains together connect ex
 The shuffle deals by the leading bits of the variants (the cell): a fingerprint goes once to each cell that holds
 some of its variants, with the flips that remain, and the cell's task makes its variants there. So a
 fingerprint costs 1 + b + b(b-1)/2 rows for b cell bits and not 2081. b follows the number of distinct
-fingerprints; a crowded cell is worked off in slices of bounded size, split by further bits.
+fingerprints; crowded cells are split by further bits, and each cell is worked off in slices of bounded size.
 
 Defined cases: null and empty texts have fingerprint zero and link like any other; rows that repeat a doc_id and
 its text are the same node; of rows with one doc_id and other texts each keeps its fingerprint and both join
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import components, written
 
+#: Fingerprints of a cell beyond which it is split by SPLIT_BITS further bits, while a cell has under MOST_BITS.
+HOT, SPLIT_BITS, MOST_BITS = 50_000, 6, 44
 #: Variants that one slice of a cell holds at most, about (8 bytes each, and as much again for the order).
 SLICE = 2_000_000
 SHINGLES_AT_ONCE = 200_000
@@ -132,19 +134,19 @@ def links(reps: DataFrame, radius: int = 4, cell_bits: int | None = None) -> Dat
         variants = reps.count() * sum(len(x) for x in _flips(64, half)[half:])
         cell_bits = max(3, min(20, int(np.ceil(np.log2(max(1, variants / (2 * SLICE)))))))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rep = batch.column(0).to_numpy(zero_copy_only=False)
-            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(rep), 4096):
-                some = fps[at : at + 4096]
-                for row, _, _, cell in _split(some, np.full(len(some), half), 64, cell_bits):
-                    yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(rep[at:][row]), pa.array(some[row].view(np.int64))], names=["cell", "rep", "fp"])
+    hot: dict[int, np.ndarray] = {}
+    dealt, bits = _dealt(reps, half, cell_bits, hot), cell_bits
+    while bits < MOST_BITS:  # crowded cells, as copies of one text with small changes make them, go to finer ones
+        crowded = dealt.where(F.col("bits") == bits).groupBy("cell").count().where(F.col("count") > HOT).select("cell").toArrow()
+        if not crowded.num_rows:
+            break
+        hot = hot | {bits: np.sort(crowded.column("cell").to_numpy())}
+        dealt, bits = _dealt(reps, half, cell_bits, hot), bits + SPLIT_BITS
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rep, fps = (table.column(n).to_numpy() for n in ("rep", "fp"))
         fps = fps.view(np.uint64)
-        free = 64 - cell_bits
+        free = 64 - key[1].as_py()
         prefix = np.uint64(key[0].as_py())
         moved = fps & np.uint64((1 << free) - 1)
         left = half - np.bitwise_count(fps >> np.uint64(free) ^ prefix).astype(np.int64)
@@ -156,7 +158,34 @@ def links(reps: DataFrame, radius: int = 4, cell_bits: int | None = None) -> Dat
         own = np.flatnonzero(root != np.arange(len(rep)))
         return pa.table({"a": pa.array(rep[own], pa.int64()), "b": pa.array(rep[root[own]], pa.int64())})
 
-    return reps.select("rep", "fp").mapInArrow(deal, "cell int, rep long, fp long").groupBy("cell").applyInArrow(meet, "a long, b long")
+    return dealt.groupBy("cell", "bits").applyInArrow(meet, "a long, b long")
+
+
+def _dealt(reps: DataFrame, half: int, cell_bits: int, hot: dict[int, np.ndarray]) -> DataFrame:
+    """(cell, bits, rep, fp): each fingerprint in all cells that hold variants of it. hot: by their bits, the cells that
+    are split; they number at most the rows over HOT."""
+
+    def cells(value: np.ndarray, left: np.ndarray, row: np.ndarray, above: np.ndarray, free: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for own, moved, rest, cell in _split(value, left, free, bits):
+            cell = above[own] << bits | cell
+            depth = 64 - free + bits
+            split = np.isin(cell, hot[depth]) if depth in hot else np.zeros(len(cell), bool)
+            yield row[own[~split]], cell[~split], depth
+            if split.any():
+                yield from cells(moved[split], rest[split], row[own[split]], cell[split], free - bits, SPLIT_BITS)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep = batch.column(0).to_numpy(zero_copy_only=False)
+            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            for at in range(0, len(rep), 4096):
+                some = fps[at : at + 4096]
+                for row, cell, depth in cells(some, np.full(len(some), half), np.arange(len(some)), np.zeros(len(some), np.int64), 64, cell_bits):
+                    if len(row):
+                        columns = [pa.array(cell), pa.array(np.full(len(row), depth, np.int32)), pa.array(rep[at:][row]), pa.array(some[row].view(np.int64))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["cell", "bits", "rep", "fp"])
+
+    return reps.select("rep", "fp").mapInArrow(deal, "cell long, bits int, rep long, fp long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -220,6 +220,8 @@ def test_urls(spark, monkeypatch, range_rows):
 @pytest.mark.parametrize("piece", [2_000_000, 3_000])
 def test_simhash(request, monkeypatch, name, piece):
     monkeypatch.setattr(simhash, "SLICE", piece)
+    if piece == 3_000:
+        monkeypatch.setattr(simhash, "HOT", 5)
     docs, rows = table(request, name)
     prints = []
     for _, text in rows:
