@@ -27,7 +27,7 @@ ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 # Weak parts.
-WEAK_ID = r"(?i:access_?key_?id|client_?id|account|user_?name|user|login)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9_.@-]{3,})"
+WEAK_ID = r"(?i:access_?key_?id|client_?id|account|user_?name|user|login)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9_.@-]+)"
 WEAK_SECRET = r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,64}[0-9])(?=[0-9a-z+/]{0,64}[A-Z])(?=[0-9A-Z+/]{0,64}[a-z])[A-Za-z0-9+/]{20,}={0,2}"
 ENDPOINT = r"[a-z][a-z0-9+]{1,15}://[^\x00-\x20\"'<>]+"
 #: Kinds in the order in which spans of one start are listed, with the role of each.
