@@ -18,6 +18,7 @@ that id's component; a null doc_id gets its fingerprint and a null component; an
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import components, written
 
-#: Fingerprints of a cell beyond which it is split by SPLIT_BITS further bits, while a cell has under MOST_BITS.
-HOT, SPLIT_BITS, MOST_BITS = 50_000, 6, 44
+#: A cell is crowded, and split by SPLIT_BITS further bits while it has under MOST_BITS, if it holds over HOT fingerprints
+#: and over HOT_TIMES as many as the cells do on average: an ordinary load grows with the corpus and is no reason to split.
+HOT, HOT_TIMES, SPLIT_BITS, MOST_BITS = 50_000, 4, 6, 44
 #: Variants that one slice of a cell holds at most, about (8 bytes each, and as much again for the order).
 SLICE = 2_000_000
 SHINGLES_AT_ONCE = 200_000
@@ -130,14 +132,17 @@ def links(reps: DataFrame, radius: int = 4, cell_bits: int | None = None) -> Dat
     """Links (a, b) between representatives ``reps(rep long, fp long)`` of distinct fingerprints that connect
     exactly the fingerprints at ``radius`` (even) or fewer differing bits: a spanning forest of each cell."""
     half = radius // 2
+    number = reps.count()
     if cell_bits is None:
-        variants = reps.count() * sum(len(x) for x in _flips(64, half)[half:])
+        variants = number * sum(len(x) for x in _flips(64, half)[half:])
         cell_bits = max(3, min(20, int(np.ceil(np.log2(max(1, variants / (2 * SLICE)))))))
 
+    usual = number * sum(math.comb(cell_bits, k) for k in range(half + 1)) / (1 << cell_bits)
+    limit = max(HOT, int(HOT_TIMES * usual))
     hot: dict[int, np.ndarray] = {}
     dealt, bits = _dealt(reps, half, cell_bits, hot), cell_bits
     while bits < MOST_BITS:  # crowded cells, as copies of one text with small changes make them, go to finer ones
-        crowded = dealt.where(F.col("bits") == bits).groupBy("cell").count().where(F.col("count") > HOT).select("cell").toArrow()
+        crowded = dealt.where(F.col("bits") == bits).groupBy("cell").count().where(F.col("count") > limit).select("cell").toArrow()
         if not crowded.num_rows:
             break
         hot = hot | {bits: np.sort(crowded.column("cell").to_numpy())}
@@ -163,7 +168,7 @@ def links(reps: DataFrame, radius: int = 4, cell_bits: int | None = None) -> Dat
 
 def _dealt(reps: DataFrame, half: int, cell_bits: int, hot: dict[int, np.ndarray]) -> DataFrame:
     """(cell, bits, rep, fp): each fingerprint in all cells that hold variants of it. hot: by their bits, the cells that
-    are split; they number at most the rows over HOT."""
+    are split; each holds over HOT rows, which bounds their number."""
 
     def cells(value: np.ndarray, left: np.ndarray, row: np.ndarray, above: np.ndarray, free: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         for own, moved, rest, cell in _split(value, left, free, bits):

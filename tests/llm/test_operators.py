@@ -222,6 +222,7 @@ def test_simhash(request, monkeypatch, name, piece):
     monkeypatch.setattr(simhash, "SLICE", piece)
     if piece == 3_000:
         monkeypatch.setattr(simhash, "HOT", 5)
+        monkeypatch.setattr(simhash, "HOT_TIMES", 0)
     docs, rows = table(request, name)
     prints = []
     for _, text in rows:
