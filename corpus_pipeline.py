@@ -22,8 +22,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
-    return simhash.keep_first(docs)
+    """Of near copies (five-word Jaccard similarity of 0.8 or more, found by SimHash at up to 6 bits) the one with the smallest doc_id stays."""
+    return simhash.keep_first(docs, words=5, radius=6, least=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

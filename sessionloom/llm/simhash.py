@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, pieces_of, written
 
 #: A cell is crowded, and split by SPLIT_BITS further bits while it has under MOST_BITS, if it holds over HOT fingerprints
 #: and over HOT_TIMES as many as the cells do on average: an ordinary load grows with the corpus and is no reason to split.
@@ -120,6 +120,13 @@ def _meet(value: np.ndarray, left: np.ndarray, owner: np.ndarray, fps: np.ndarra
         variants.append((value[own][:, None] ^ m).ravel())
         owners.append(np.repeat(owner[own], len(m)))
     variant, who = np.concatenate(variants), np.concatenate(owners)
+    inside = np.sort(variant)
+    again = np.unique(inside[1:][inside[1:] == inside[:-1]])
+    if not len(again):
+        return
+    at = np.minimum(np.searchsorted(again, variant), len(again) - 1) if len(again) > 64 else None
+    own = np.flatnonzero(np.isin(variant, again, kind="sort") if at is None else again[at] == variant)
+    variant, who = variant[own], who[own]
     order = np.argsort(variant)
     same = np.flatnonzero(variant[order[1:]] == variant[order[:-1]])
     a, b = who[order[same]], who[order[same + 1]]
@@ -207,8 +214,65 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, id_col: st
     return prints.join(ids, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``docs`` (all its columns) whose doc_id is the smallest of its component; rows without a doc_id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), words, radius)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+def _gram_sets(docs: DataFrame, words: int) -> DataFrame:
+    """Columns of ``docs(tag, grp, doc_id, text)`` but the text, and grams: hashes of the text's distinct word shingles."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in (p for b in batches for p in pieces_of([b], "text")):
+            sets = []
+            for text in batch.column("text").cast(pa.binary()):
+                found = (text.as_py() or b"").lower().split()
+                width = min(words, len(found))
+                sets.append(np.array(sorted({xxhash.xxh64_intdigest(b" ".join(found[i : i + width]), 42) for i in range(len(found) - width + 1)} if found else ()), np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("tag"), batch.column("grp"), batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["tag", "grp", "doc_id", "grams"])
+
+    return docs.select("tag", "grp", "doc_id", "text").mapInArrow(work, "tag long, grp long, doc_id long, grams array<long>")
+
+
+def near_copies(docs: DataFrame, words: int = 5, radius: int = 6, least: float = 0.8) -> DataFrame:
+    """(tag) of the distinct texts of ``docs(doc_id, text, tag)`` that go: of the texts that links of ``radius`` or fewer bits
+    over shingles of ``words`` connect, or op6's links (4 bits, four words), in the order of their doc_id, each goes
+    whose exact Jaccard similarity of word shingles with one that stays is ``least`` or more.
+
+    Each round takes the first text left of each component and compares it with all the others left, so no
+    component is one task's list and no pairs are made; a component takes as many rounds as texts of it stay.
+    """
+    edges = []
+    for width, far in {(words, radius), (4, 4)}:
+        prints = written(fingerprints(docs, width, "tag").distinct())
+        reps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+        # Cells need to fit memory only, as they are worked off in slices: fewer bits than links() takes save most of the shuffle.
+        bits = None if far <= 4 else max(6, math.ceil(math.log2(max(1, reps.count()) / 3000)))
+        edges += [links(reps, far, bits), prints.join(reps, "fp").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))]
+    groups = components(functools.reduce(DataFrame.union, edges)).select(F.col("node").alias("tag"), F.col("component").alias("grp"))
+    texts = docs.join(groups, "tag").groupBy("tag", "grp").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    left, gone = written(_gram_sets(texts, words)), []
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
+    while not left.isEmpty():
+        first = left.groupBy("grp").agg(F.min_by(F.struct("tag", "grams"), order).alias("first"))
+        both = F.size(F.array_intersect("grams", "first.grams"))
+        either = F.size("grams") + F.size("first.grams") - both
+        like = F.coalesce(both / F.nullif(either, F.lit(0)), F.lit(1.0)) >= least
+        judged = written(left.join(first, "grp").where(F.col("tag") != F.col("first.tag")).select("tag", "grp", "doc_id", F.when(~like, F.col("grams")).alias("grams")))
+        gone.append(judged.where("grams is null").select("tag"))
+        left = judged.where("grams is not null")
+    return functools.reduce(DataFrame.union, gone, groups.select("tag").where("false"))
+
+
+def keep_first(docs: DataFrame, words: int = 5, radius: int = 6, least: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` (all its columns) without near_copies; of rows with one text, whatever their ids, one
+    stays: that with the smallest doc_id (null ids last), then by a hash of the row."""
+    text = F.col("text").cast("string")
+    tag = F.xxhash64(F.coalesce(text, F.lit("")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), tag.alias("tag"))
+    again = written(rows.groupBy("tag").count().where("count > 1").select("tag"))
+    gone = written(near_copies(rows, words, radius, least))
+    marked = docs.withColumn("_tag", tag)
+    out = marked.join(gone.union(again).withColumnRenamed("tag", "_tag"), "_tag", "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return out
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
+    kept = marked.join(again.join(gone, "tag", "left_anti").withColumnRenamed("tag", "_tag"), "_tag")
+    return out.union(kept.groupBy("_tag").agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*"))
