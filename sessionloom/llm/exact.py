@@ -189,7 +189,16 @@ def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str
 
 
 def keep_last(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all its columns) that exact_groups keeps."""
-    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("row_tag").alias("_gone_tag")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_gone_tag"))
-    return docs.join(gone, same, "left_anti")
+    """One row (all its columns) of each group of equal texts in ``docs``: that with the largest doc_id (null ids last), then
+    the smallest hash of the row."""
+    grouped = written(exact_groups(docs).where("group_size > 1").groupBy("doc_id", "row_tag", "text_sha256", "kept").count())
+    tied = grouped.where("kept").groupBy("text_sha256").agg(F.sum("count").alias("n")).where("n > 1").select("text_sha256")
+    tied = written(grouped.where("kept").join(tied, "text_sha256", "left_semi").select(F.col("doc_id").alias("_id"), F.col("row_tag").alias("_tag"), F.col("text_sha256").alias("_digest")))
+    gone = grouped.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("row_tag").alias("_tag"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_tag"))
+    out = docs.join(gone.union(tied.select("_id", "_tag")), same, "left_anti")
+    if tied.isEmpty():
+        return out
+    # Rows of one group that are left have one doc_id or none; minima combine before the shuffle.
+    first = docs.join(tied, same).groupBy("_digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
+    return out.union(first.select("_row.*"))
