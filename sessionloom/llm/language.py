@@ -1,9 +1,11 @@
 """Language ID as a mixture of languages, fitted per document by expectation-maximisation.
 
 The model of a language is the distribution of its character trigrams (letters lowered, runs of anything else one
-gap), hashed to FEATURES places and smoothed. A document's trigrams are taken as drawn from a mixture of all
+gap), hashed to FEATURES places and smoothed. A document's trigrams are taken as drawn from a mixture of
 languages; EM estimates the proportions, and a penalised likelihood (half the log of the number of trigrams for each
-language more) decides which languages the document holds. The prediction is the largest of these.
+language more) decides which languages the document holds: from the best single language on, the learned language
+that gains most is added, and then any dropped that the likelihood does not miss, one at a time, until the penalised
+likelihood stops improving. No language is left out beforehand. The prediction is the largest of these.
 
 Training reads a bounded sample: PER_LANGUAGE labelled rows of each language in expectation, whole texts, drawn by a
 hash of the id; all rows are predicted.
@@ -29,10 +31,9 @@ from .common import pieces_of
 FEATURES = 1 << 16
 PER_LANGUAGE = 1_500
 MOST_LANGUAGES = 200
-#: Languages that a document's mixture starts from: those with the best likelihood alone.
-CANDIDATES = 8
 ROUNDS = 12
-LEAST_SHARE = 0.02
+#: Trigrams times languages of one group of documents that are tried together.
+TRIED_AT_ONCE = 4_000_000
 
 
 @functools.lru_cache(1)
@@ -71,39 +72,108 @@ class LanguageModel:
         known = np.flatnonzero(size)
         if not len(known) or not self.names:
             return out
-        feature = np.concatenate([grams[i][0] for i in known])
-        times = np.concatenate([grams[i][1] for i in known]).astype(np.float32)
-        starts = np.concatenate([[0], np.cumsum(size[known])[:-1]])
-        doc = np.repeat(np.arange(len(known)), size[known])
-        total = np.add.reduceat(times, starts)
-        chance = self.chance[feature]
-        alone = np.add.reduceat(np.log(chance) * times[:, None], starts, axis=0)
-        share = np.full(alone.shape, 1 / len(self.names), np.float32)
-        if len(self.names) > CANDIDATES:
-            cut = np.partition(alone, -CANDIDATES, axis=1)[:, -CANDIDATES][:, None]
-            share = (alone >= cut) / (alone >= cut).sum(axis=1, keepdims=True, dtype=np.float32)
-
-        def fitted(share: np.ndarray, rounds: int) -> np.ndarray:
-            for _ in range(rounds):
-                part = chance * share[doc]
-                part *= (times / part.sum(axis=1))[:, None]
-                share = np.add.reduceat(part, starts, axis=0) / total[:, None]
-            return share
-
-        share = fitted(share.astype(np.float32), ROUNDS)
-        share = np.where(share < LEAST_SHARE, 0, share)
-        share = fitted(share / share.sum(axis=1, keepdims=True), 3)
-        mixture = np.add.reduceat(np.log((chance * share[doc]).sum(axis=1)) * times, starts)
-        best = alone.max(axis=1)
-        penalty = 0.5 * np.log(total) * ((share > 0).sum(axis=1) - 1)
-        single = mixture - penalty <= best
-        share = np.where(single[:, None], np.arange(len(self.names)) == alone.argmax(axis=1)[:, None], share)
+        share = np.zeros((len(known), len(self.names)))
+        ends = np.cumsum(size[known])
+        most = max(1, TRIED_AT_ONCE // len(self.names))
+        start = 0
+        while start < len(known):
+            below = ends[start] - size[known[start]]
+            stop = max(start + 1, int(np.searchsorted(ends, below + most, side="right")))
+            share[start:stop] = self._shares([grams[i] for i in known[start:stop]])
+            start = stop
         for row, i in enumerate(known):
             order = np.argsort(-share[row], kind="stable")
             found = [(self.names[j], float(share[row, j])) for j in order if share[row, j] > 0]
             out[i] = (found[0][0], min(1.0, found[0][1]), found)
         return out
 
+    def _shares(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Shares (document, language) of the language sets that the penalised likelihood selects."""
+        every = _Documents(self.chance[np.concatenate([u for u, _ in grams])], np.concatenate([n for _, n in grams]), np.array([len(u) for u, _ in grams]))
+        alone = np.add.reduceat(np.log(every.chance, dtype=np.float64) * every.times[:, None], every.starts, axis=0)
+        share = np.zeros(alone.shape)
+        share[np.arange(len(grams)), alone.argmax(axis=1)] = 1
+        score = alone.max(axis=1)
+        fee = 0.5 * np.log(every.total)
+        open_ = np.arange(len(grams)) if alone.shape[1] > 1 else np.zeros(0, np.int64)
+        while len(open_):
+            docs = every.of(open_)
+            part, gain = docs.added(share[open_])
+            gain[share[open_] > 0] = -np.inf
+            new = gain.argmax(axis=1)
+            row = np.arange(len(open_))
+            taken = np.clip(part[row, new], 1e-6, 1 - 1e-6)
+            tried = share[open_] * (1 - taken)[:, None]
+            tried[row, new] = taken
+            tried = docs.fitted(tried)
+            reached = docs.likelihood(tried) - fee[open_] * ((tried > 0).sum(axis=1) - 1)
+            better = np.isfinite(gain[row, new]) & (reached > score[open_])
+            open_ = open_[better]
+            share[open_], score[open_] = tried[better], reached[better]
+            self._dropped(every, open_, share, score, fee)
+        return share
+
+    def _dropped(self, every: _Documents, those: np.ndarray, share: np.ndarray, score: np.ndarray, fee: np.ndarray) -> None:
+        """Drops from the sets of ``those`` documents, in place, one language at a time while that improves the score."""
+        those = those[(share[those] > 0).sum(axis=1) > 2]
+        while len(those):
+            best, found = score[those].copy(), share[those]
+            for j in np.flatnonzero((share[those] > 0).any(axis=0)):
+                row = np.flatnonzero(share[those, j] > 0)
+                docs, tried = every.of(those[row]), share[those[row]]
+                tried[:, j] = 0
+                tried = docs.fitted(tried / tried.sum(axis=1, keepdims=True))
+                reached = docs.likelihood(tried) - fee[those[row]] * ((tried > 0).sum(axis=1) - 1)
+                win = reached > best[row]
+                best[row[win]], found[row[win]] = reached[win], tried[win]
+            better = best > score[those]
+            share[those[better]], score[those[better]] = found[better], best[better]
+            those = those[better]
+            those = those[(share[those] > 0).sum(axis=1) > 2]
+
+
+class _Documents:
+    """Trigrams of several documents, one after the other: chance (trigram, language) and how often each occurs."""
+
+    def __init__(self, chance: np.ndarray, times: np.ndarray, size: np.ndarray):
+        self.chance, self.times, self.size = chance, times.astype(np.float32), size
+        self.starts = np.cumsum(size) - size
+        self.doc = np.repeat(np.arange(len(size)), size)
+        self.total = np.add.reduceat(self.times, self.starts, dtype=np.float64)
+
+    def of(self, docs: np.ndarray) -> _Documents:
+        if len(docs) == len(self.size):
+            return self
+        inside = np.zeros(len(self.size), bool)
+        inside[docs] = True
+        own = inside[self.doc]
+        return _Documents(self.chance[own], self.times[own], self.size[docs])
+
+    def mixed(self, share: np.ndarray) -> np.ndarray:
+        return np.einsum("fl,fl->f", self.chance, share.astype(np.float32)[self.doc])
+
+    def likelihood(self, share: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(np.log(self.mixed(share), dtype=np.float64) * self.times, self.starts)
+
+    def fitted(self, share: np.ndarray) -> np.ndarray:
+        """Shares after ROUNDS of EM."""
+        for _ in range(ROUNDS):
+            weight = self.times / self.mixed(share)
+            share = share * np.add.reduceat(self.chance * weight[:, None], self.starts, axis=0) / self.total[:, None]
+        return share / share.sum(axis=1, keepdims=True)
+
+    def added(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each document and language: the share, about, at which it gains most beside the mixture as it is, and the gain."""
+        ratio = self.chance / self.mixed(share)[:, None]
+        useful = np.add.reduceat(ratio * self.times[:, None], self.starts, axis=0) > self.total[:, None]
+        part = np.where(useful, 0.1, 0.0)
+        for _ in range(ROUNDS):
+            now = part.astype(np.float32)[self.doc]
+            grown = ratio / (1 + now * (ratio - 1)) * self.times[:, None]
+            part = np.clip(part * np.add.reduceat(grown, self.starts, axis=0) / self.total[:, None], 0, 1)
+        gain = np.add.reduceat(np.log1p(part[self.doc] * (ratio - 1.0)) * self.times[:, None], self.starts, axis=0)
+        return part, np.where(useful, gain, -np.inf)
+
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """The model of all languages in ``labelled`` from a sample of about ``per_language`` rows of each."""
