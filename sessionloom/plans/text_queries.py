@@ -119,6 +119,13 @@ def slice_hash(spark, d):
     return _conversations(spark, d).select("conv_id", "turn", T.slice_hash(F.left("text", F.lit(300))).alias("h"))
 
 
+@query(rf"""WITH s AS (SELECT conv_id, turn, text AS t FROM conversations), c AS (SELECT conv_id, turn, {_CODES.format("t")} AS cs FROM s)
+SELECT conv_id, turn, lower(to_hex(list_reduce(list_prepend(2166136261::BIGINT, cs), lambda h, c: (xor(h, c) * 16777619) & 4294967295))) ||
+  lower(to_hex((list_reduce(list_prepend({{'b': 16777619::BIGINT, 'i': 0::BIGINT}}, list_transform(range(1, len(cs) + 1), lambda i: {{'b': cs[i], 'i': i}})), lambda s, x: {{'b': (((s.b + x.b * x.i) % 4294967296)::HUGEINT * 2246822507 % 4294967296)::BIGINT, 'i': 0::BIGINT}})).b)) AS h FROM c""")
+def slice_hash_whole(spark, d):
+    return _conversations(spark, d).select("conv_id", "turn", T.slice_hash(F.col("text")).alias("h"))
+
+
 _SLUG = r"rtrim(left(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-'), {1}), '-')"
 
 
