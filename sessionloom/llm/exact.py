@@ -1,29 +1,30 @@
 """Exact dedup against immutable snapshots through static binary-fuse filters.
 
-A snapshot's digests are dealt to buckets; each bucket has one binary-fuse filter (8-bit fingerprints, three
-places a key), built once and kept as a table. Incoming digests meet the filter of their bucket: those it
-refuses are new for certain. Those it lets pass join the snapshot's exact rows by digest, where length and
-text decide. Duplicates inside the incoming batch are grouped apart, by digest and text. Only rows of
-digests that occur more than once move their text, and equal texts of one task are one row in the shuffle,
-so that a group of any size stays small.
+A snapshot's keys (64-bit hashes of the normalised texts) are dealt to buckets; each bucket has one binary-fuse filter
+(8-bit fingerprints, three places a key), built once and kept as a table beside the snapshot's digests. Incoming keys meet
+the filter of their bucket: those it refuses are new for certain. Those it lets pass join the snapshot's exact rows.
+Duplicates inside the incoming batch are grouped apart. Only texts whose key occurs again are compared byte by byte: a second
+filter, of just these keys, is broadcast while it stays small (MOST_SENT keys, about 1.2 bytes each) and drops all other
+rows in the scan, so that texts without a copy never move. Beyond that size the rows are found by a join on the id, which
+moves every text once; the results are the same. Equal texts of one task are one row in the shuffle, so that a group of
+any size stays small.
 
 Defined cases: a null text counts as empty; texts are equal when identical after lowering A-Z only; the row with
 the largest doc_id of a group stays, null ids last; rows that repeat a doc_id and text count in group_size and
-give a row each; an empty table gives no rows.
+give a row each; an empty table gives no rows; very long texts are one value each; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces_of, written
+from .common import ascii_lower, written
 
 #: Keys that a bucket holds on average; its filter then takes about 40 kB.
 BUCKET_KEYS = 32_768
@@ -44,7 +45,7 @@ def _places(mixed: np.ndarray, segment: int, count: int) -> np.ndarray:
     return np.stack([(first + np.uint64(i)) * np.uint64(segment) + (mixed >> np.uint64(18 * i) & inside) for i in range(3)]).astype(np.int64)
 
 
-def _prints(mixed: np.ndarray) -> np.ndarray:
+def _short(mixed: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> np.uint64(32)).astype(np.uint8)
 
 
@@ -67,7 +68,7 @@ class FuseFilter:
             order = cls._peeled(places, (count + 2) * segment)
             if order is not None:
                 table = np.zeros((count + 2) * segment, np.uint8)
-                prints = _prints(mixed)
+                prints = _short(mixed)
                 for own, slot in reversed(order):  # each slot is alone in its round, so a round is one step
                     rest = np.bitwise_xor.reduce(table[places[:, own]], axis=0)
                     table[slot] = prints[own] ^ rest ^ table[slot]
@@ -100,22 +101,23 @@ class FuseFilter:
     def passes(self, keys: np.ndarray) -> np.ndarray:
         mixed = _mixed(keys.astype(np.uint64), self.seed)
         found = np.bitwise_xor.reduce(self.table[_places(mixed, self.segment, self.count)], axis=0)
-        return found == _prints(mixed)
+        return found == _short(mixed)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest string, key long, row_tag long) of every row; digest: SHA-256 of the text with A-Z lowered,
-    key: its first eight bytes, row_tag: hash of the text as it is."""
+    key: 64-bit hash of the same, row_tag: hash of the text as it is."""
+    text = F.col(text_col).cast("string")
+    digest = F.sha2(_normalised(text).cast("binary"), 256)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), digest.alias("digest"), _key(text).alias("key"), F.xxhash64(text).alias("row_tag"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            raw = [hashlib.sha256((x.as_py() or b"").lower()).digest() for x in texts]
-            keys = np.frombuffer(b"".join(x[:8] for x in raw), ">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.hex() for x in raw]), pa.array(keys), batch.column(2)], names=["doc_id", "digest", "key", "row_tag"])
 
-    text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row_tag")).mapInArrow(work, "doc_id long, digest string, key long, row_tag long")
+def _normalised(text: Column) -> Column:
+    return ascii_lower(F.coalesce(text, F.lit("")))
+
+
+def _key(text: Column) -> Column:
+    return F.xxhash64(_normalised(text))
 
 
 def snapshot_filters(snapshot: DataFrame, buckets: int) -> DataFrame:
@@ -143,24 +145,74 @@ def screened(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame
     return own.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(screen, "key long")
 
 
-def _lowered(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, text lowered) of the rows whose digest is in ``docs``' column digest."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for b in batches for p in pieces_of([b], "text")):
-            texts = pc.ascii_lower(pc.fill_null(batch.column("text"), ""))
-            raw = [hashlib.sha256(x.as_py()).hexdigest() for x in texts.cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("inside"), pa.array(raw), texts], names=["doc_id", "inside", "digest", "text"])
-
-    return docs.mapInArrow(work, "doc_id long, inside boolean, digest string, text string")
-
-
-def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256) of every row of ``docs``.
-
-    Rows with an id below ``snapshot_below`` are the immutable snapshot and the others the incoming batch (default:
-    the middle of the id range, so that either is about half).
-    """
+def save_snapshot(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Writes the digests and filters of ``docs`` under ``path``, for load_snapshot() in later runs."""
+    digests(docs, id_col, text_col).write.parquet(f"{path}/digests")
+    kept = docs.sparkSession.read.parquet(f"{path}/digests")
+    buckets = kept.count() // BUCKET_KEYS + 1
+    snapshot_filters(kept, buckets).withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/filters")
+
+
+def load_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, int]:
+    """(digests, filters, buckets) of a snapshot that save_snapshot() wrote; nothing is built again."""
+    filters = spark.read.parquet(f"{path}/filters")
+    some = filters.first()
+    return spark.read.parquet(f"{path}/digests"), filters.drop("buckets"), some.buckets if some else 1
+
+
+def new_rows(docs: DataFrame, snapshot: tuple[DataFrame, DataFrame, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all their columns) whose normalised text is not in a loaded snapshot. The snapshot keeps no
+    texts, so equality is that of SHA-256 digests here. Texts that the filter refuses stay where they are."""
+    old, filters, buckets = snapshot
+    keys = digests(docs, id_col, text_col).select("key", "digest").distinct()
+    passed = screened(keys, filters, buckets)
+    held = keys.join(passed, "key", "left_semi").join(old.select("digest"), "digest", "left_semi")
+    held = written(held.select("key", F.col("digest").alias("_digest")))
+    marked = docs.withColumn("_digest", F.sha2(_normalised(F.col(text_col).cast("string")).cast("binary"), 256))
+    sure, maybe = _parted(marked, _key(F.col(text_col).cast("string")), held.select("key"))
+    return sure.unionByName(maybe.join(held.select("_digest"), "_digest", "left_anti").select(*sure.columns)).drop("_digest")
+
+
+#: Keys that a broadcast filter holds at most (about 1.2 bytes each).
+MOST_SENT = 40_000_000
+
+
+def _passing(keys: DataFrame) -> Callable[[Column], Column] | None:
+    """A test of whether a key may be in ``keys``: no key is missed, one in 256 others passes. None beyond MOST_SENT keys."""
+    number = keys.count()
+    if number > MOST_SENT:
+        return None
+    buckets = number // BUCKET_KEYS + 1
+    rows = snapshot_filters(keys, buckets).toArrow().to_pylist()
+    shared = keys.sparkSession.sparkContext.broadcast({r["bucket"]: r for r in rows})
+
+    def passes(column: pd.Series) -> pd.Series:
+        own = column.to_numpy(np.int64)
+        bucket = np.mod(own, buckets)
+        out = np.zeros(len(own), bool)
+        for at in np.unique(bucket):
+            row = shared.value.get(int(at))
+            if row:
+                made = FuseFilter(row["seed"], row["segment"], row["count"], np.frombuffer(row["bits"], np.uint8))
+                inside = bucket == at
+                out[inside] = made.passes(own[inside].view(np.uint64))
+        return pd.Series(out)
+
+    return F.pandas_udf(passes, "boolean")
+
+
+def _parted(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose key is not in ``keys`` for certain, and the others. The first part is empty where the keys
+    outgrow a broadcast."""
+    passes = _passing(keys)
+    if passes is None:
+        return rows.where("false"), rows
+    marked = rows.withColumn("_may", passes(key))
+    return marked.where("not _may").drop("_may"), marked.where("_may").drop("_may")
+
+
+def _prints(docs: DataFrame, snapshot_below: int | None, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Column]:
+    """(digests of all rows, keys that occur more than once, is a row inside the snapshot?)."""
     prints = written(digests(docs, id_col, text_col))
     if snapshot_below is None:
         low, high = prints.agg(F.min("doc_id"), F.max("doc_id")).first()
@@ -174,15 +226,33 @@ def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str
     met = passed.join(old.select("key").distinct(), "key", "left_semi")
     again = new.groupBy("key").count().where("count > 1").select("key")
     old_again = old.groupBy("key").count().where("count > 1").select("key")
-    double = written(met.union(again).union(old_again).distinct())
-
-    # Only texts whose digest occurs again are compared, and equal ones of a task are one row from there on.
-    rows = prints.join(double, "key", "left_semi").select("doc_id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), inside.alias("inside"))
-    compared = _lowered(texts.join(rows, texts.doc_id.eqNullSafe(rows.doc_id), "left_semi"))
-    parts = compared.groupBy("digest", "text", "inside").agg(F.count("*").alias("n"), F.max("doc_id").alias("top"))
-    groups = parts.groupBy("digest", "text").agg(F.sum("n").alias("group_size"), F.max("top").alias("keep_id"))
-    groups = groups.where("group_size > 1").select(F.col("digest").alias("text_sha256"), "keep_id", "group_size")
+    return prints, written(met.union(again).union(old_again).distinct()), inside
+
+
+def _grouped(docs: DataFrame, prints: DataFrame, double: DataFrame, inside: Column, id_col: str, text_col: str) -> DataFrame:
+    """(text_sha256, text_key, keep_id, group_size) of the groups of two or more equal texts."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _normalised(text).alias("text"))
+    passes = _passing(double)
+    if passes is None:
+        wanted = prints.join(double, "key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
+        rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    else:
+        rows = rows.where(passes(F.xxhash64("text")))
+    # Equal texts of a task are one row from here on.
+    parts = rows.groupBy("text", inside.alias("inside")).agg(F.count("*").alias("n"), F.max("doc_id").alias("top"))
+    groups = parts.groupBy("text").agg(F.sum("n").alias("group_size"), F.max("top").alias("keep_id")).where("group_size > 1")
+    return groups.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.xxhash64("text").alias("text_key"), "keep_id", "group_size")
+
+
+def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256, row_tag) of every row of ``docs``.
+
+    Rows with an id below ``snapshot_below`` are the immutable snapshot and the others the incoming batch (default:
+    the middle of the id range, so that either is about half).
+    """
+    prints, double, inside = _prints(docs, snapshot_below, id_col, text_col)
+    groups = _grouped(docs, prints, double, inside, id_col, text_col).drop("text_key")
     out = prints.withColumnRenamed("digest", "text_sha256").join(groups, "text_sha256", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256", "row_tag")
@@ -190,15 +260,14 @@ def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str
 
 def keep_last(docs: DataFrame) -> DataFrame:
     """One row (all its columns) of each group of equal texts in ``docs``: that with the largest doc_id (null ids last), then
-    the smallest hash of the row."""
-    grouped = written(exact_groups(docs).where("group_size > 1").groupBy("doc_id", "row_tag", "text_sha256", "kept").count())
-    tied = grouped.where("kept").groupBy("text_sha256").agg(F.sum("count").alias("n")).where("n > 1").select("text_sha256")
-    tied = written(grouped.where("kept").join(tied, "text_sha256", "left_semi").select(F.col("doc_id").alias("_id"), F.col("row_tag").alias("_tag"), F.col("text_sha256").alias("_digest")))
-    gone = grouped.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("row_tag").alias("_tag"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_tag"))
-    out = docs.join(gone.union(tied.select("_id", "_tag")), same, "left_anti")
-    if tied.isEmpty():
-        return out
-    # Rows of one group that are left have one doc_id or none; minima combine before the shuffle.
-    first = docs.join(tied, same).groupBy("_digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
-    return out.union(first.select("_row.*"))
+    the smallest hash of the row. Rows whose text has no copy stay in their task."""
+    prints, double, inside = _prints(docs, None, "doc_id", "text")
+    groups = written(_grouped(docs, prints, double, inside, "doc_id", "text").select(F.col("text_sha256").alias("_digest"), F.col("text_key").alias("key"), F.col("keep_id").alias("_keep")))
+    text = F.col("text").cast("string")
+    sure, maybe = _parted(docs, _key(text), groups.select("key"))
+    maybe = maybe.withColumn("_digest", F.sha2(_normalised(text).cast("binary"), 256))
+    lone = maybe.join(groups.select("_digest"), "_digest", "left_anti")
+    best = maybe.join(groups.drop("key"), "_digest").where(F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")))
+    # Minima combine before the shuffle, so rows that repeat id and text are one row a task.
+    first = best.groupBy("_digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
+    return sure.union(lone.select(*docs.columns)).union(first.select("_row.*"))
