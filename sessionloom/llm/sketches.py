@@ -6,19 +6,21 @@ the number of distinct shingles.
 
 Defined cases: a null text counts as empty and has an empty sketch; a text of one to four words has one shingle, all its words;
 two empty sketches resemble each other fully, an empty and another one not at all; white space between words doesn't count.
+Ids are any 64-bit numbers, spread as they like; rows without an id come last of all; rows that share one are ordered by
+the hash of their text; very long texts are one value each; columns of other names are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES
 
 K = 128
 WIDTH = 5
-#: Rows that a bucket of neighbours holds on average, and the most buckets (their bounds are broadcast).
-BUCKET_ROWS, MOST_BUCKETS = 1_000, 500_000
+#: Rows that a bucket of neighbours holds on average, and the most buckets (their bounds are part of the plan, some 40 bytes each).
+BUCKET_ROWS, MOST_BUCKETS = 2_000, 16_384
 
 
 def sketch(text: Column, k: int = K, width: int = WIDTH) -> Column:
@@ -71,30 +73,57 @@ def group_sketches(rows: DataFrame, key: str, sketch_col: str = "sketch", k: int
     return ranked.groupBy(key).agg(F.sort_array(F.collect_list("h")).alias("sketch"))
 
 
+def _place(id_col: str, text_col: str) -> Column:
+    """What rows are ordered by: rows with an id above those without, then the id, then the hash of the text."""
+    ident = F.col(id_col).cast("long")
+    return F.struct(ident.isNotNull().alias("known"), F.coalesce(ident, F.lit(0).cast("long")).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("tag"))
+
+
+def _constant(places: list[Row]) -> Column:
+    """Places as an array that the optimiser folds to one constant."""
+    fields = F.split(F.lit(";".join(f"{int(p.known)},{p.id},{p.tag}" for p in places)), ";")
+
+    def parsed(x: Column) -> Column:
+        part = F.split(x, ",")
+        return F.struct((part[0] == F.lit("1")).alias("known"), part[1].cast("long").alias("id"), part[2].cast("long").alias("tag"))
+
+    return F.transform(fields, parsed)
+
+
+def _bounds(docs: DataFrame, id_col: str, text_col: str) -> tuple[list[Row], list[Row]]:
+    """The smallest and the largest place of each bucket. Spark's range partitioning of the places alone (24 bytes a row)
+    makes buckets of like size however the ids are spread; at most MOST_BUCKETS pairs come back."""
+    places = docs.select(_place(id_col, text_col).alias("p"))
+    buckets = max(1, min(MOST_BUCKETS, places.count() // BUCKET_ROWS))
+    cut = places.repartitionByRange(buckets, "p").groupBy(F.spark_partition_id().alias("b")).agg(F.min("p").alias("low"), F.max("p").alias("high"))
+    found = cut.orderBy("low").collect()
+    return [r.low for r in found], [r.high for r in found]
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, sketch, next_id, next_text, next_sketch): each row with the next one by descending id, the last with the first.
 
-    Ids are dealt to buckets of about BUCKET_ROWS; the largest row of each bucket also visits the next higher bucket
-    (that of the highest the lowest), so that the text moves once. Rows without an id come last; rows that share one
-    are ordered by the hash of their text.
+    Rows are dealt to buckets of neighbouring ids, about BUCKET_ROWS each; the largest row of each bucket also visits the next
+    higher bucket (that of the highest the lowest), so that the text moves once. A row finds its bucket by binary search
+    in the bounds; rows that repeat an id and a text share a bucket.
     """
-    low, high, n = docs.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
-    low, high = int(low or 0) - 1, int(high or 0)
-    rows = max(BUCKET_ROWS, n // MOST_BUCKETS + 1)
-    step = max(1, (high - low + 1) * rows // max(n, 1))
-    place = F.coalesce(F.col(id_col).cast("long"), F.lit(low))
-    bucket = F.floor((place - F.lit(low)) / F.lit(step)).cast("long")
-    tops = docs.groupBy(bucket.alias("_bucket")).agg(F.max(place).alias("_top"))
-    ordered = Window.orderBy("_bucket")
-    visits = tops.select("_top", F.coalesce(F.lead("_bucket").over(ordered), F.min("_bucket").over(ordered)).alias("_visits"))
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), place.alias("_top"), bucket.alias("_own"))
-    seen = source.join(F.broadcast(visits), "_top", "left")
+    lows, highs = _bounds(docs, id_col, text_col)
+    number = max(1, len(lows))
+    steps = [1 << k for k in reversed(range((number - 1).bit_length()))]
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _place(id_col, text_col).alias("_place"))
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.coalesce(F.get(_constant(lows), at + step) <= F.col("_place"), F.lit(False)), at + step).otherwise(at)
+
+    own = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further) if steps else F.lit(0)
+    placed = source.withColumn("_own", own)
+    guest = F.col("_place") == F.get(_constant(highs), F.col("_own")) if highs else F.lit(False)
     home = F.array(F.struct(F.col("_own").alias("b"), F.lit(False).alias("guest")))
-    away = F.array(F.struct(F.col("_visits").alias("b"), F.lit(True).alias("guest")))
-    dealt = seen.select("doc_id", "text", "_top", F.explode(F.when(F.col("_visits").isNull(), home).otherwise(F.concat(home, away))).alias("_at"))
-    dealt = dealt.select("doc_id", "text", "_top", F.col("_at.b").alias("_bucket"), F.col("_at.guest").alias("_guest"), F.xxhash64("text").alias("_tag")).repartition("_bucket")
+    away = F.array(F.struct(F.pmod(F.col("_own") + F.lit(1), F.lit(number)).alias("b"), F.lit(True).alias("guest")))
+    dealt = placed.select("doc_id", "text", "_place", F.explode(F.when(guest, F.concat(home, away)).otherwise(home)).alias("_at"))
+    dealt = dealt.select("doc_id", "text", "_place", F.col("_at.b").alias("_bucket"), F.col("_at.guest").alias("_guest")).repartition("_bucket")
     sketched = dealt.withColumn("sketch", sketch(F.col("text")))
-    line = Window.partitionBy("_bucket").orderBy("_guest", F.desc("_top"), "_tag")
+    line = Window.partitionBy("_bucket").orderBy("_guest", F.desc("_place"))
     out = sketched.select("doc_id", "text", "sketch", "_guest", *(F.lead(c).over(line).alias(f"next_{n_}") for c, n_ in (("doc_id", "id"), (F.coalesce("text", F.lit("")), "text"), ("sketch", "sketch"))))
     return out.where(~F.col("_guest")).drop("_guest")
 
