@@ -4,14 +4,16 @@ The canonical key of a host is its labels in reverse, each closed by a control c
 the interval of keys that start with the rule's key. URLs and rules are dealt to the same key ranges (a rule to
 every range that its interval meets), each range is sorted, and one sweep goes through it with a stack of the rules whose
 interval is open: a rule is pushed at its start and popped when a key no longer starts with it. Intervals of prefixes
-nest, so the stack holds exactly the rules of the host's own ancestors. Of these the longest rule whose path is a prefix of
-the URL's path decides.
+nest, so the stack holds exactly the rules of the host's own ancestors. The paths of one open host's rules are prefixes and
+nest as well: they are kept sorted, each with the next shorter rule that contains it, so that a URL's path finds the
+innermost one by binary search and a walk outwards. Of the open hosts' finds the longest rule decides.
 
 Rows travel without the page; a key that fills several ranges, like a very common host, is spread over all of them.
 
 Defined cases: null or no ``://``: host and path are empty and no rule fits; without a fitting rule the verdict is
 the default; repeated rules count once, of equally long rules the first in text order decides; an empty label
-is a label; an empty table gives no rows.
+is a label; control characters in hosts are ordinary characters (the key escapes those it uses itself); a null page_id stays null; very long
+URLs are keys like any other; other columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower
 
-#: Closes each label of a key; sorts before all that hosts hold in practice.
-END = "\x01"
+#: Closes each label of a key, and the sign that stands before those of a host's own characters that a key uses.
+END, ESCAPE = "\x01", "\x02"
 #: Pages that one key range holds on average.
 RANGE_ROWS = 50_000
 MOST_RANGES = 4_096
@@ -46,7 +48,9 @@ def path_of(url: Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), END), F.lit(END))
+    """The labels in reverse, each closed by END. END and ESCAPE in the host are written as ESCAPE and a letter."""
+    plain = F.replace(F.replace(host, F.lit(ESCAPE), F.lit(ESCAPE + "e")), F.lit(END), F.lit(ESCAPE + "s"))
+    return F.concat(F.array_join(F.reverse(F.split(plain, r"\.")), END), F.lit(END))
 
 
 def rules_frame(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -97,9 +101,34 @@ def _cuts(rows: DataFrame) -> list[str]:
     return [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
 
 
+class _OpenHost:
+    """The rules of one host whose interval is open. They come sorted by path."""
+
+    def __init__(self, key: str):
+        self.key = key
+        self.paths: list[str] = []
+        self.rules: list[tuple[int, str, str]] = []  # length of the rule, its text, verdict
+        self.outer: list[int] = []  # the longest other rule that contains it, or -1
+
+    def add(self, host: str, path: str, verdict: str) -> None:
+        self.outer.append(self._inside(len(self.paths) - 1, path))
+        self.paths.append(path)
+        self.rules.append((len(host) + len(path), host + path, verdict))
+
+    def find(self, path: str) -> tuple[int, str, str] | None:
+        """The longest rule whose path is a prefix of ``path``."""
+        at = self._inside(bisect_right(self.paths, path) - 1, path)
+        return self.rules[at] if at >= 0 else None
+
+    def _inside(self, at: int, path: str) -> int:
+        while at >= 0 and not path.startswith(self.paths[at]):
+            at = self.outer[at]
+        return at
+
+
 def _sweep(default: str):
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stack: list[tuple[str, list[tuple[int, str, str, str]]]] = []
+        stack: list[_OpenHost] = []
         part = None
         for batch in batches:
             columns = {n: batch.column(n).to_pylist() for n in ("key", "kind", "part", "page_id", "host", "path", "verdict")}
@@ -107,16 +136,16 @@ def _sweep(default: str):
             for key, kind, here, page, host, path, verdict in zip(*columns.values(), strict=True):
                 if here != part:
                     part, stack = here, []
-                while stack and not key.startswith(stack[-1][0]):
+                while stack and not key.startswith(stack[-1].key):
                     stack.pop()
                 if kind == 0:
-                    if not stack or stack[-1][0] != key:
-                        stack.append((key, []))
-                    stack[-1][1].append((len(host) + len(path), host + path, path, verdict))
+                    if not stack or stack[-1].key != key:
+                        stack.append(_OpenHost(key))
+                    stack[-1].add(host, path, verdict)
                     continue
-                fit = [r for _, rules in stack for r in rules if path.startswith(r[2])] if host else []
+                fit = [r for r in (o.find(path) for o in stack) if r] if host else []
                 best = min(fit, key=lambda r: (-r[0], r[1])) if fit else None
-                out.append((page, host, path, best and best[1], best[3] if best else default))
+                out.append((page, host, path, best and best[1], best[2] if best else default))
             if out:
                 page, *rest = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(page, pa.int64()), *(pa.array(x, pa.string()) for x in rest)], names=["page_id", "host", "path", "rule", "verdict"])
