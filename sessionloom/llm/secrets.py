@@ -6,14 +6,17 @@ each other lie in one scope. Parts become rows; an interval join on (document, S
 very long documents spread over tasks and the number of pairs is bounded by what fits a stretch.
 
 The places of all matches of a pattern come from the lengths of the pieces between them (split) and of the matches
-themselves (regexp_extract_all), both leftmost and without overlap, in code points.
+themselves (regexp_extract_all), both leftmost and without overlap, in code points. They are summed up in blocks, so that a text
+with very many matches costs time in proportion to them.
 
 Defined cases: a null text counts as empty; a repeated row gets its own row with the same findings; overlapping findings of different kinds
-all count; an empty table gives no rows.
+all count; parts farther apart than SCOPE code points are not linked; other columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ from .common import written
 
 #: Code points between parts of one credential, at most.
 SCOPE = 256
+#: Matches whose places are summed up together.
+BLOCK = 256
 
 # The base patterns.
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -28,7 +33,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 # Weak parts.
 WEAK_ID = r"(?i:access_?key_?id|client_?id|account|user_?name|user|login)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9_.@-]+)"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]{0,64}[0-9])(?=[0-9a-z+/]{0,64}[A-Z])(?=[0-9A-Z+/]{0,64}[a-z])[A-Za-z0-9+/]{20,}={0,2}"
+WEAK_SECRET = r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*+[0-9])(?=[0-9a-z+/]*+[A-Z])(?=[0-9A-Z+/]*+[a-z])[A-Za-z0-9+/]{20,}={0,2}"
 ENDPOINT = r"[a-z][a-z0-9+]{1,15}://[^\x00-\x20\"'<>]+"
 #: Kinds in the order in which spans of one start are listed, with the role of each.
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
@@ -39,23 +44,39 @@ _SPANS = "array<struct<start:bigint,end:bigint>>"
 
 def spans(text: Column, pattern: str, gate: Column, value_group: int = 0, least: int = 0) -> Column:
     """Places (start, end) of all matches whose group has ``least`` characters or more; none where ``gate`` is false."""
-    none = F.array().cast(_SPANS)
-    groups = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    parts = F.struct(F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"), groups.alias("value"))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.transform(F.split(text, pattern, -1), F.length)
+    value = F.transform(hits, lambda h: F.length(F.regexp_extract(h, pattern, value_group))) if value_group else F.transform(hits, F.length)
+    sizes = F.transform(F.arrays_zip(F.slice(between, 1, F.size(hits)).alias("gap"), F.transform(hits, F.length).alias("hit"), value.alias("value")), lambda x: x)
+    found = F.filter(_let(sizes, _running), lambda s: s["value"] >= F.lit(least))
+    return F.when(gate, F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))).otherwise(F.array().cast(_SPANS))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(sizes: Column) -> Column:
+    """(start, end, value) of each of ``sizes(gap, hit, value)``. Appending to an array copies it, so running sums are made
+    inside blocks of BLOCK matches and over the blocks, never over all matches at once."""
+    none = F.array().cast("array<struct<start:bigint,end:bigint,value:int>>")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(sizes) - F.lit(1), F.lit(0)) / F.lit(BLOCK)).cast("int")), lambda b: F.slice(sizes, b * F.lit(BLOCK) + F.lit(1), BLOCK))
+    zero = F.lit(0).cast("bigint")
 
-    def place(p: Column) -> Column:
-        numbers = F.filter(F.sequence(F.lit(1), F.greatest(F.size(p["hit"]), F.lit(1))), lambda i: i <= F.size(p["hit"]))
+    def total(block: Column) -> Column:
+        return F.aggregate(block, zero, lambda sum_, s: sum_ + s["gap"] + s["hit"])
 
-        def step(done: Column, i: Column) -> Column:
-            start = done["at"] + F.length(F.get(p["between"], i - F.lit(1)))
-            end = start + F.length(F.get(p["hit"], i - F.lit(1)))
-            own = F.array(F.struct(start.alias("start"), end.alias("end")))
-            kept = F.length(F.get(p["value"], i - F.lit(1))) >= F.lit(least)
-            return F.struct(end.alias("at"), F.when(kept, F.concat(done["out"], own)).otherwise(done["out"]).alias("out"))
+    def step(done: Column, s: Column) -> Column:
+        start = done["at"] + s["gap"]
+        end = start + s["hit"]
+        return F.struct(end.alias("at"), F.concat(done["out"], F.array(F.struct(start.alias("start"), end.alias("end"), s["value"].alias("value")))).alias("out"))
 
-        return F.aggregate(numbers, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step, lambda done: done["out"])
+    def whole(held: Column) -> Column:
+        begins = F.aggregate(held, F.array(zero), lambda sums, block: F.concat(sums, F.array(F.element_at(sums, -1) + total(block))))
+        return _let(begins, lambda at: F.flatten(F.transform(held, lambda block, i: F.aggregate(block, F.struct(F.get(at, i).alias("at"), none.alias("out")), step, lambda done: done["out"]))))
 
-    return F.when(gate, F.element_at(F.transform(F.array(parts), place), 1)).otherwise(none)
+    return _let(blocks, whole)
 
 
 def parts(text: Column) -> dict[str, Column]:
