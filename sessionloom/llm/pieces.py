@@ -1,15 +1,22 @@
 """SentencePiece encoding and decoding that keeps offsets.
 
 A text is first normalised as its model says: the compiled character map (a double-array trie and replacement
-texts) is searched for the longest prefix at every place; each normalised byte remembers the source byte range
-it came from. Spaces become U+2581 and one may go in front. The pieces of the model tile the normalised text, so the
-alignment projects each piece to a range of the original UTF-8 bytes. No piece of a model with whitespace
-as a prefix holds U+2581 behind another character, so pieces never cross from one run of letters into the next run of
-spaces: a text is encoded chunk by chunk, and chunks that occur again come from a bounded cache of the task. Models for
-which this does not hold are encoded text by text.
+texts) is searched for the longest prefix at every place; each normalised code point remembers the source byte range
+it came from. Spaces become U+2581 and one may go in front. The normalised text is then merged from code points by the
+scores of the model's pieces (the best pair first, of equal ones the leftmost), and code points that no piece covers become
+byte pieces or the unknown piece. The pieces tile the normalised text, so the alignment projects each of them to a range of
+the original UTF-8 bytes.
+
+Where no piece holds U+2581 behind another character, pieces never cross from one run of letters into the next run of
+spaces: a text is merged chunk by chunk, and chunks that occur again come from a bounded cache of the task. Models for which
+this does not hold are merged text by text. The spans of a batch are put together from those of its chunks as arrays.
+
+Byte-pair models are supported; other kinds, and pieces that are user-defined or unused, raise ValueError. The library of
+the format is used to read the model file only.
 
 Defined cases: null and empty texts have no ids, no spans and decode to the empty text; very long texts are handled chunk by
-chunk; repeated rows each get their row; an empty table gives no rows.
+chunk; repeated rows each get their row; bytes that are no UTF-8 decode to U+FFFD; other columns, whatever their names, are
+not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,23 +24,34 @@ from __future__ import annotations
 import functools
 import gc
 import hashlib
+import heapq
 import re
 import struct
+from array import array
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate, chain, islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPACE = "▁"
+from .common import pieces_of
+
+SPACE = "\u2581"
 #: Chunks that a task's cache holds at most, and the longest chunk that it holds.
 CACHED, CACHED_CHARS = 400_000, 64
 #: A space after something that is no space opens a new chunk.
-CUT = re.compile(f"(?<=[^ {SPACE}]) ")
+CUT = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
+#: Kinds of pieces in a model file.
+NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
+#: Lengths up to which chunks are merged together, how many at once, and the rank of what is no pair.
+TOGETHER, ROWS_TOGETHER, NEVER = (6, 9, 12, 16, 24), 50_000, np.int32((1 << 31) - 1)
+#: What the unknown piece decodes to.
+UNKNOWN_TEXT = " \u2047 "
 
 
 class CharacterMap:
@@ -79,33 +97,59 @@ class PieceCoder:
     """Encoder and decoder of one model file, with spans."""
 
     def __init__(self, model_file: str):
-        import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as proto
 
-        self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.model = proto.ModelProto()
+        model = proto.ModelProto()
         with open(model_file, "rb") as f:
-            self.model.ParseFromString(f.read())
-        spec, trainer = self.model.normalizer_spec, self.model.trainer_spec
+            model.ParseFromString(f.read())
+        spec, trainer = model.normalizer_spec, model.trainer_spec
+        if trainer.model_type != 2 or trainer.treat_whitespace_as_suffix or not spec.escape_whitespaces or {p.type for p in model.pieces} - {NORMAL, UNKNOWN, CONTROL, BYTE}:
+            raise ValueError("only byte-pair models without user-defined or unused pieces are supported")
         self.map, self.dummy, self.collapse = CharacterMap(spec.precompiled_charsmap), spec.add_dummy_prefix, spec.remove_extra_whitespaces
-        self.surface = [p.piece for p in self.model.pieces]
-        self.byte_ids = {i for i, p in enumerate(self.model.pieces) if p.type == 6}
-        self.unknown_id = self.library.unk_id()
-        inner = any(re.search(f"[^{SPACE}]{SPACE}", x) for x in self.surface)
-        self.by_chunk = trainer.model_type == 2 and not (inner or self.collapse or self.map.units or not self.dummy or not spec.escape_whitespaces or trainer.treat_whitespace_as_suffix or any(p.type == 4 for p in self.model.pieces))
+        self.surface = [p.piece for p in model.pieces]
+        self.byte_ids = {i: int(p.piece[3:5], 16) for i, p in enumerate(model.pieces) if p.type == BYTE}
+        self.control_ids = {i for i, p in enumerate(model.pieces) if p.type == CONTROL}
+        self.unknown_id = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
+        self.unknown_text = trainer.unk_surface if trainer.HasField("unk_surface") else UNKNOWN_TEXT
+        self.bytes_of = {b: i for i, b in self.byte_ids.items()} if trainer.byte_fallback else {}
+        self.id_of = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
+        self.ordinary = set(self.id_of.values())
+        self.cost = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
+        self._pairs()
+        self.by_chunk = SPACE in self.id_of and not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in self.surface)
+        #: Chunk to what chunk() makes of it.
+        self.cache: dict[str, tuple[bytes, bytes, bool]] = {}
         self.names = [str(i) for i in range(len(self.surface))]
-        self.sizes = [len(x.replace(SPACE, " ").encode()) for x in self.surface]
-        self.even = not self.map.units and not self.collapse and self.dummy
-        self.odd = self.byte_ids | {self.unknown_id}
-        self.cache: dict[str, tuple[str, str | None]] = {}
 
-    def normalised(self, text: str) -> tuple[str, list[int], list[int]]:
+    def _pairs(self) -> None:
+        """Tables for merging many chunks at once: the symbol of each code point, and for each pair of symbols that is a piece its key, rank and symbol."""
+        symbol = self.id_of | {c: -1 for c in {c for p in self.id_of for c in p} - self.id_of.keys()}
+        self.symbol = np.full(0x110000, -1, np.int32)
+        for byte, number in self.bytes_of.items():
+            if byte < 128:  # such a code point is its byte piece, which no pair holds
+                self.symbol[byte] = number
+        for c, number in symbol.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = number
+        found = [(self.id_of[p[:i]], self.id_of[p[i:]], p) for p in self.id_of for i in range(1, len(p)) if p[:i] in self.id_of and p[i:] in self.id_of]
+        keys = np.array([a << 32 | b for a, b, _ in found], np.int64)
+        order = np.argsort(keys)
+        costs = {c: i for i, c in enumerate(sorted(set(self.cost.values())))}
+        self.keys = np.r_[keys[order], np.int64((1 << 63) - 1)]
+        self.ranks = np.r_[np.array([costs[self.cost[p]] for _, _, p in found], np.int32)[order], NEVER]
+        self.joined = np.r_[np.array([self.id_of[p] for _, _, p in found], np.int32)[order], np.int32(-1)]
+        self.length = np.array([1 if i in self.byte_ids else len(p) for i, p in enumerate(self.surface)], np.int32)
+
+    def normalised(self, text: str) -> tuple[str, np.ndarray, np.ndarray]:
         """(normalised text, start and end in source bytes of each of its code points)."""
+        data = text.encode()
         if not self.map.units and not self.collapse:  # nothing matches: each code point stands for itself
-            ends = list(range(1, len(text) + 1)) if text.isascii() else list(accumulate(len(c.encode()) for c in text))
-            front = [0] * (self.dummy and bool(text))
-            return (" " * len(front) + text).replace(" ", SPACE), front + [0] * bool(text) + ends[:-1], front + ends
-        data, at, out = text.encode(), 0, []
+            first = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80).astype(np.int32)
+            last = np.r_[first[1:], np.int32(len(data))][: len(first)].astype(np.int32)
+            if not (self.dummy and text):
+                return text.replace(" ", SPACE), first, last
+            return SPACE + text.replace(" ", SPACE), np.r_[np.int32(0), first], np.r_[np.int32(0), last]
+        at, out = 0, []
         while at < len(data):
             found = self.map.longest(data, at)
             if found is None:
@@ -118,109 +162,195 @@ class PieceCoder:
             at += size
         if self.collapse:
             kept = [x for i, x in enumerate(out) if x[0] != " " or i and out[i - 1][0] != " "]
-            out = kept[:-1] if kept and kept[-1][0] == " " else kept
+            while kept and kept[-1][0] in (" ", SPACE):
+                kept.pop()
+            out = kept
         if self.dummy and out:
             out.insert(0, (" ", out[0][1], out[0][1]))
-        return "".join(c for c, _, _ in out).replace(" ", SPACE), [s for _, s, _ in out], [e for _, _, e in out]
-
-    def encode(self, text: str) -> Encoded:
-        """Ids and source spans of one text, as the library encodes it whole."""
-        return self.encode_all([text])[0]
-
-    def encode_all(self, texts: list[str]) -> list[Encoded]:
-        ids = self.library.encode(texts, num_threads=1)
-        decoded = self.library.decode(ids, num_threads=1)
-        return [Encoded(tuple(i), *self._spans(i, t), d) for i, t, d in zip(ids, texts, decoded, strict=True)]
-
-    def _spans(self, ids: list[int], text: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """(ends, starts) in source bytes of the pieces that tile the normalised text."""
-        if self.even and SPACE not in text and self.odd.isdisjoint(ids):  # an identical alignment: bytes of the pieces add up
-            ends = [e - 1 for e in accumulate([self.sizes[i] for i in ids])]
-            return tuple(ends), (0, *ends[:-1]) if ends else ()
-        shape, start, end = self.normalised(text)
-        if self.odd.isdisjoint(ids):
-            stop = list(accumulate([len(self.surface[i]) for i in ids]))
-            return tuple([end[k - 1] for k in stop]), tuple([start[0], *[start[k] for k in stop[:-1]]] if stop else ())
-        starts, ends, at, held = [], [], 0, b""
-        for i in ids:
-            starts.append(start[at])
-            if i in self.byte_ids:  # the bytes of one code point share its span
-                held += bytes([int(self.surface[i][3:5], 16)])
-                ends.append(end[at])
-                if held == shape[at].encode():
-                    at, held = at + 1, b""
+        return "".join(c for c, _, _ in out).replace(" ", SPACE), np.array([s for _, s, _ in out], np.int32), np.array([e for _, _, e in out], np.int32)
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a normalised text: its code points, merged pair by pair while a pair is a piece of the model."""
+        cost, parts, n = self.cost, list(text), len(text)
+        heap = [(cost[p], i, p) for i, p in enumerate(map(str.__add__, parts, parts[1:])) if p in cost]
+        if len(heap) > 1:
+            heapq.heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            _, i, pair = heapq.heappop(heap)
+            j = after[i]
+            if j == n or parts[i] + parts[j] != pair or not parts[i]:
+                continue  # one of the two has been merged with another meanwhile
+            k = after[j]
+            parts[i], parts[j], after[i] = pair, "", k
+            if k < n:
+                before[k] = i
+                p = pair + parts[k]
+                if p in cost:
+                    heapq.heappush(heap, (cost[p], i, p))
+            h = before[i]
+            if h >= 0:
+                p = parts[h] + pair
+                if p in cost:
+                    heapq.heappush(heap, (cost[p], h, p))
+        return [p for p in parts if p]
+
+    def chunk(self, text: str) -> tuple[bytes, bytes, bool]:
+        """A normalised text, encoded: its ids as int32s, how many code points each goes on (int32s), and whether
+        they decode to the text itself. Of the bytes of one code point the first goes on by one, the others by none; neighbouring
+        unknown code points are one piece."""
+        ids, steps, unknown = array("i"), array("i"), False
+        for piece in self.merged(text):
+            number = self.id_of.get(piece)
+            if number is None and unknown and not self.bytes_of:
+                steps[-1] += 1
                 continue
-            at += len(self.surface[i]) if i != self.unknown_id else self._unknown(shape, at)
-            ends.append(end[at - 1])
-        return tuple(ends), tuple(starts)
-
-    def _unknown(self, shape: str, at: int) -> int:
-        known, size = self._letters, 1
-        while at + size < len(shape) and shape[at + size] not in known:
-            size += 1
-        return size
-
-    @functools.cached_property
-    def _letters(self) -> set[str]:
-        return {x for x in self.surface if len(x) == 1}
+            own = [number] if number is not None else [self.bytes_of[b] for b in piece.encode()] if self.bytes_of else [self.unknown_id]
+            ids.extend(own)
+            steps.extend([len(piece)] + [0] * (len(own) - 1))
+            unknown = number is None
+        return ids.tobytes(), steps.tobytes(), self._joined(ids) == text.replace(SPACE, " ")
+
+    def chunks(self, texts: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
+        """chunk() of each of ``texts``; those of ordinary length and letters are merged together, one pair of each a round."""
+        out, below = {}, 0
+        texts = sorted(texts, key=len)
+        sizes = list(map(len, texts))
+        for most in TOGETHER:
+            stop = bisect_right(sizes, most)
+            for begin in range(below, stop, ROWS_TOGETHER):
+                some = texts[begin : min(stop, begin + ROWS_TOGETHER)]
+                symbols = self._symbols(some, most)
+                usual = (symbols >= -1).all(axis=1)
+                rows = self._merged_rows(symbols[usual])
+                ids = rows[rows >= 0]
+                edges = (np.r_[0, np.cumsum((rows >= 0).sum(axis=1))] * 4).tolist()
+                numbers, steps, at = ids.tobytes(), self.length[ids].tobytes(), 0
+                for x, fine in zip(some, usual.tolist(), strict=True):
+                    if fine:
+                        a, b = edges[at], edges[at + 1]
+                        out[x] = numbers[a:b], steps[a:b], True
+                        at += 1
+                    else:
+                        out[x] = self.chunk(x)
+            below = stop
+        return out | {x: self.chunk(x) for x in texts[below:]}
+
+    def _symbols(self, texts: list[str], width: int) -> np.ndarray:
+        """A row of symbols for each text; -1 behind its end, -2 for what has no symbol."""
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        out = np.full((len(texts), width), -1, np.int32)
+        found = self.symbol[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
+        out[np.arange(width) < size[:, None]] = np.where(found < 0, -2, found)
+        return out
 
-    def _chunks(self, text: str) -> list[str]:
+    def _found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place of each pair in the tables, or the last place."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), at, len(self.keys) - 1)
+
+    def _merged_rows(self, rows: np.ndarray) -> np.ndarray:
+        """Rows of symbols, merged: in each round the leftmost of the best pairs of each row."""
+        done, open_ = rows.copy(), np.arange(len(rows))
+        place = np.arange(rows.shape[1])
+        rank = np.full(rows.shape, NEVER, np.int32)
+        rank[:, :-1] = self.ranks[self._found(rows[:, :-1], rows[:, 1:])]
+        while len(open_):
+            at = rank.argmin(axis=1)
+            live = rank[np.arange(len(rank)), at] < NEVER
+            if not live.all():
+                done[open_[~live]] = rows[~live]
+                open_, rows, rank, at = open_[live], rows[live], rank[live], at[live]
+            own = np.arange(len(rows))
+            new = self.joined[self._found(rows[own, at], rows[own, at + 1])]
+            source = np.minimum(place + (place > at[:, None]), rows.shape[1] - 1)
+            full = rows[:, -1] >= 0
+            rows, rank = np.take_along_axis(rows, source, 1), np.take_along_axis(rank, source, 1)
+            rows[full, -1], rank[:, -1] = -1, NEVER
+            rows[own, at] = new
+            after = np.minimum(at + 1, rows.shape[1] - 1)
+            rank[own, at] = np.where(after > at, self.ranks[self._found(new, rows[own, after])], NEVER)
+            some = np.flatnonzero(at > 0)
+            rank[some, at[some] - 1] = self.ranks[self._found(rows[some, at[some] - 1], new[some])]
+        return done
+
+    def _joined(self, ids: Iterable[int], front: bool = False) -> str:
+        """The text of ids. front: without the spaces that encoding puts in front of a text, one in front of the first piece or, for models
+        that drop extra spaces, of each piece before which there is no text yet."""
+        out, held, front = [], bytearray(), front and (self.dummy or self.collapse)
+        for i in ids:
+            if i in self.byte_ids:
+                held.append(self.byte_ids[i])
+                continue
+            piece = "" if i in self.control_ids else self.unknown_text if i == self.unknown_id else self.surface[i]
+            front = front and not held and not any(out)
+            if front and i in self.ordinary and piece.startswith(SPACE):
+                piece, front = piece[1:], self.collapse
+            out += (_text(held), piece.replace(SPACE, " "))
+            held.clear()
+        return "".join(out) + _text(held)
+
+    def decode(self, ids: Iterable[int]) -> str:
+        """The text of ids."""
+        return self._joined(ids, front=True)
+
+    def _split(self, shape: str) -> list[str]:
+        if not shape:
+            return []
         if not self.by_chunk:
-            return [text]
-        plain = "  " not in text and SPACE not in text and text[0] != " "
-        return text.split(" ") if plain else CUT.split(text)
-
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[str, str | None]]:
-        """(ids joined by commas, decoded text if it isn't the chunk itself) of each chunk, encoded in one call. The
-        projected spans of a chunk must tile its bytes."""
-        texts, names = [x for x in chunks if x], self.names
-        found: dict[str, tuple[str, str | None]] = {}
-        for t, e in zip(texts, self.encode_all(texts) if texts else [], strict=True):
-            if e.starts[0] != 0 or e.ends[-1] != len(t.encode()):
-                raise ValueError("the pieces do not cover the text")
-            found[t] = ",".join([names[i] for i in e.ids]), None if e.decoded == t else e.decoded
-        if len(texts) < len(chunks):  # behind the last space of a text: the piece of a space
-            found[""] = names[self.library.piece_to_id(SPACE)], None
-        return found
-
-    def coded(self, texts: list[str | None]) -> list[tuple[str, str]]:
-        """(ids joined by commas, decoded text) of each text."""
-        gc.disable()  # the many small tuples below hold no cycles
-        split = [self._chunks(t) if t else [] for t in texts]
+            return [shape]
+        if shape[0] == SPACE and SPACE * 2 not in shape:
+            return [SPACE + x for x in shape.split(SPACE)[1:]]
+        return CUT.split(shape)
+
+    def coded(self, texts: list[str | None]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids joined by commas, decoded text) of each text; of all texts in a row: ids, starts, ends in bytes of their own text; how many ids each has."""
+        gc.disable()  # the many small objects below hold no cycles
+        shapes = [self.normalised(t or "") for t in texts]
+        split = [self._split(s) for s, _, _ in shapes]
         times = Counter(chain.from_iterable(split))
-        fresh = self._learn([x for x in times if x not in self.cache])
-        known = {x: self.cache[x] for x in times if x not in fresh} | fresh
-        for x, v in fresh.items():
-            if times[x] > 1 and len(x) <= CACHED_CHARS:
-                self.cache[x] = v
+        known = {x: self.cache[x] for x in times if x in self.cache}
+        known |= self.chunks([x for x in times if x not in known])
+        self.cache.update((x, c) for x, c in known.items() if times[x] > 1 and len(x) <= CACHED_CHARS)
         if len(self.cache) > CACHED:
             for x in list(islice(self.cache, CACHED // 2)):
                 del self.cache[x]
-        ids_of, other = {x: v[0] for x, v in known.items()}, {x: v[1] for x, v in known.items() if v[1] is not None}
-        out = []
-        for t, s in zip(texts, split, strict=True):
-            ids = ",".join(map(ids_of.__getitem__, s))
-            text = (t or "") if other.keys().isdisjoint(s) else " ".join([other.get(x, x) for x in s])
-            out.append((ids, text))
+        odd = {x for x, c in known.items() if not c[2]}
+        as_is = self.dummy and not self.map.units and not self.collapse
+        flat = list(map(known.__getitem__, chain.from_iterable(split)))
+        numbers, steps = (np.frombuffer(b"".join([c[i] for c in flat]), np.int32) for i in (0, 1))
+        many = np.fromiter((len(c[0]) for c in flat), np.int64, len(flat)) // 4
+        last = np.cumsum(steps, dtype=np.int64)
+        starts = np.concatenate([s for _, s, _ in shapes] or [np.zeros(0, np.int32)])[last - np.maximum(steps, 1)]
+        ends = np.concatenate([e for _, _, e in shapes] or [np.zeros(0, np.int32)])[last - 1]
+        edges = np.r_[0, np.cumsum(many)][np.r_[0, np.cumsum([len(x) for x in split])].astype(np.int64)]
+        ids = [",".join(map(self.names.__getitem__, numbers[a:b].tolist())) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        # What nothing changed comes back as it is.
+        same = [as_is and SPACE not in (t or "") and (not odd or odd.isdisjoint(own)) for t, own in zip(texts, split, strict=True)]
+        decoded = [(t or "") if fine else self.decode(numbers[a:b].tolist()) for t, fine, a, b in zip(texts, same, edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         gc.enable()
-        return out
+        return ids, decoded, numbers, starts, ends, np.diff(edges)
 
     def full(self, text: str | None) -> Encoded:
-        """Ids, spans and decoded text, put together from chunks where the model allows it."""
-        if not text:
-            return Encoded((), (), (), "")
-        if not self.by_chunk:
-            return self.encode(text)
-        ids, starts, ends, decoded, at = [], [], [], [], 0
-        for i, x in enumerate(self._chunks(text)):
-            done = self.encode(x) if x else Encoded((self.library.piece_to_id(SPACE),), (0,), (0,), "")
-            begin = at - (i > 0)  # the space in front belongs to the chunk's first piece
-            ids += done.ids
-            starts += [begin if not j else at + s for j, s in enumerate(done.starts)]
-            ends += [at + e for e in done.ends]
-            decoded.append(done.decoded)
-            at += len(x.encode()) + 1
-        return Encoded(tuple(ids), tuple(ends), tuple(starts), " ".join(decoded))
+        """Ids, spans and decoded text of one text."""
+        _, decoded, ids, starts, ends, _ = self.coded([text])
+        return Encoded(tuple(ids.tolist()), tuple(ends.tolist()), tuple(starts.tolist()), decoded[0])
+
+
+def _text(held: bytearray) -> str:
+    """Bytes as text; each byte that is no part of a UTF-8 character becomes U+FFFD."""
+    out, at = [], 0
+    while at < len(held):
+        lead = held[at]
+        size = 1 if lead < 0x80 else 2 if 0xC2 <= lead < 0xE0 else 3 if 0xE0 <= lead < 0xF0 else 4 if 0xF0 <= lead < 0xF5 else 0
+        try:
+            out.append(bytes(held[at : at + size]).decode() or "\ufffd")
+            at += size or 1
+        except UnicodeDecodeError:
+            out.append("\ufffd")
+            at += 1
+    return "".join(out)
 
 
 @functools.lru_cache(2)
@@ -228,14 +358,19 @@ def coder(model_file: str) -> PieceCoder:
     return PieceCoder(model_file)
 
 
+def _lists(values: np.ndarray, many: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.r_[0, np.cumsum(many)].astype(np.int32), np.ascontiguousarray(values))
+
+
 def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, starts, ends, decoded): ids of every row's text and the source byte span of each; the file
     has to be at ``model_file`` on every executor."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _bounded(batches):
-            done = [coder(model_file).full(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([getattr(x, n) for x in done], pa.list_(pa.int32())) for n in ("ids", "starts", "ends")), pa.array([x.decoded for x in done], pa.string())], names=["doc_id", "ids", "starts", "ends", "decoded"])
+        for batch in pieces_of(batches, "text"):
+            _, text, ids, starts, ends, many = coder(model_file).coded(batch.column("text").to_pylist())
+            columns = [batch.column("doc_id"), *(_lists(x, many) for x in (ids, starts, ends)), pa.array(text, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "starts", "ends", "decoded"])
 
     return _two(docs, id_col, text_col).mapInArrow(work, "doc_id long, ids array<int>, starts array<int>, ends array<int>, decoded string")
 
@@ -245,40 +380,34 @@ def decoded(rows: DataFrame, model_file: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [coder(model_file).library.decode(x or []) for x in batch.column(1).to_pylist()]
+            texts = [coder(model_file).decode(x or []) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "decoded"])
 
     return rows.select("doc_id", "ids").mapInArrow(work, "doc_id long, decoded string")
 
 
 def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row, and ids if asked for."""
-    kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "ids": pa.list_(pa.int32())}
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256) of every row, and ids if asked for. spans_sha256 is over the
+    starts and then the ends of the spans, as little-endian int32s."""
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string" + ", ids array<int>" * with_ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _bounded(batches):
-            done = coder(model_file).coded(batch.column("text").to_pylist())
-            columns = [batch.column("doc_id"), *(pa.array(x, kinds[n]) for n, x in zip(list(kinds)[1:4], zip(*map(_digest, done), strict=True), strict=False))]
+        for batch in pieces_of(batches, "text"):
+            ids, text, numbers, starts, ends, many = coder(model_file).coded(batch.column("text").to_pylist())
+            stop = np.cumsum(many)
+            spans = [_sha(starts[a:b].tobytes() + ends[a:b].tobytes()) for a, b in zip((stop - many).tolist(), stop.tolist(), strict=True)]
+            columns = [batch.column("doc_id"), pa.array(many, pa.int64()), *(pa.array(x, pa.string()) for x in ([_sha(i.encode()) for i in ids], [_sha(t.encode()) for t in text], spans))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
             if with_ids:
-                parts = [np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32) for ids, _ in done]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(offsets, np.concatenate(parts)))
-            yield pa.RecordBatch.from_arrays(columns, names=list(kinds)[: len(columns)])
+                columns, names = [*columns, _lists(numbers, many)], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return _two(docs, id_col, text_col).mapInArrow(work, schema)
 
 
-def _digest(done: tuple[str, str]) -> tuple[int, str, str]:
-    ids, text = done
-    return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+def _sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
 
 
 def _two(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-
-
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from .common import pieces_of
-
-    return pieces_of(batches, "text", 8 << 20)

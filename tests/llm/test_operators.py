@@ -267,17 +267,19 @@ def test_sentencepiece(request, name):
     library = sentencepiece.SentencePieceProcessor(model_file=queries.model_file())
     ids = [library.encode(t or "") for _, t in rows]
     wanted = [(r[0], len(i), sha(",".join(map(str, i))), sha(library.decode(i))) for r, i in zip(rows, ids, strict=True)]
-    assert Counter(map(tuple, pieces.digests(docs, queries.model_file()).collect())) == Counter(wanted)
+    assert Counter(tuple(r)[:4] for r in pieces.digests(docs, queries.model_file()).collect()) == Counter(wanted)
 
 
 def test_sentencepiece_spans():
-    coder = pieces.PieceCoder(queries.model_file())
+    import sentencepiece
+
+    coder, library = pieces.PieceCoder(queries.model_file()), sentencepiece.SentencePieceProcessor(model_file=queries.model_file())
     rng = np.random.default_rng(3)
     parts = ["a", "b", " ", "  ", "\n", "é", "ß", "▁", "日", "😀", "\t", "the", "ing", " ", "\x00", "<s>", "<0x41>", "ﬁ", "\r"]
     for _ in range(1500):
         text = "".join(rng.choice(parts, rng.integers(0, 14)))
         done, raw = coder.full(text), text.encode()
-        assert list(done.ids) == coder.library.encode(text) and done.decoded == coder.library.decode(list(done.ids))
+        assert list(done.ids) == library.encode(text) and done.decoded == library.decode(list(done.ids)) == coder.decode(list(done.ids))
         at = 0
         for i, s, e in zip(done.ids, done.starts, done.ends, strict=True):
             if i not in coder.byte_ids:
