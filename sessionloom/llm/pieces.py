@@ -8,8 +8,8 @@ byte pieces or the unknown piece. The pieces tile the normalised text, so the al
 the original UTF-8 bytes.
 
 Where no piece holds U+2581 behind another character, pieces never cross from one run of letters into the next run of
-spaces: a text is merged chunk by chunk, and chunks that occur again come from a bounded cache of the task. Models for which
-this does not hold are merged text by text. The spans of a batch are put together from those of its chunks as arrays.
+spaces: texts are cut into chunks there, each distinct chunk of a batch is merged once, and the batch's ids and spans are put
+together from those of its chunks as arrays. Models for which this does not hold are merged text by text.
 
 Byte-pair models are supported; other kinds, and pieces that are user-defined or unused, raise ValueError. The library of
 the format is used to read the model file only.
@@ -22,17 +22,12 @@ not read; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
-import gc
 import hashlib
 import heapq
 import re
 import struct
-from array import array
-from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +37,8 @@ from pyspark.sql import functions as F
 from .common import pieces_of
 
 SPACE = "\u2581"
-#: Chunks that a task's cache holds at most, and the longest chunk that it holds.
-CACHED, CACHED_CHARS = 400_000, 64
-#: A space after something that is no space opens a new chunk.
-CUT = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
+#: Text bytes that are encoded together.
+BATCH_BYTES = 4 << 20
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Lengths up to which chunks are merged together, how many at once, and the rank of what is no pair.
@@ -117,8 +110,6 @@ class PieceCoder:
         self.cost = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
         self._pairs()
         self.by_chunk = SPACE in self.id_of and not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in self.surface)
-        #: Chunk to what chunk() makes of it.
-        self.cache: dict[str, tuple[bytes, bytes, bool]] = {}
         self.names = [str(i) for i in range(len(self.surface))]
 
     def _pairs(self) -> None:
@@ -195,11 +186,12 @@ class PieceCoder:
                     heapq.heappush(heap, (cost[p], h, p))
         return [p for p in parts if p]
 
-    def chunk(self, text: str) -> tuple[bytes, bytes, bool]:
-        """A normalised text, encoded: its ids as int32s, how many code points each goes on (int32s), and whether
-        they decode to the text itself. Of the bytes of one code point the first goes on by one, the others by none; neighbouring
-        unknown code points are one piece."""
-        ids, steps, unknown = array("i"), array("i"), False
+    def chunk(self, text: str) -> tuple[list[int], list[int], bool]:
+        """A normalised text, encoded: its ids, how many code points each goes on, and whether they decode to the text itself. Of
+        the bytes of one code point the first goes on by one, the others by none; neighbouring unknown code points are one piece."""
+        ids: list[int] = []
+        steps: list[int] = []
+        unknown = False
         for piece in self.merged(text):
             number = self.id_of.get(piece)
             if number is None and unknown and not self.bytes_of:
@@ -209,40 +201,44 @@ class PieceCoder:
             ids.extend(own)
             steps.extend([len(piece)] + [0] * (len(own) - 1))
             unknown = number is None
-        return ids.tobytes(), steps.tobytes(), self._joined(ids) == text.replace(SPACE, " ")
-
-    def chunks(self, texts: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
-        """chunk() of each of ``texts``; those of ordinary length and letters are merged together, one pair of each a round."""
-        out, below = {}, 0
-        texts = sorted(texts, key=len)
-        sizes = list(map(len, texts))
+        return ids, steps, self._joined(ids) == text.replace(SPACE, " ")
+
+    def chunks(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """chunk() of each of ``texts``: all ids, all steps, how many each text has, whether it decodes to itself. Chunks of ordinary
+        length and letters are merged together, one pair of each a round."""
+        data, edges = _bytes(texts)
+        points, lead = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), np.flatnonzero(data & 0xC0 != 0x80)
+        starts = np.searchsorted(lead, edges[:-1])
+        size = np.diff(np.r_[starts, len(points)])
+        symbols = self.symbol[points]
+        strange = np.r_[0, np.cumsum(symbols < 0)]
+        alone = (size > TOGETHER[-1]) | (strange[starts + size] > strange[starts])
+        many, plain = np.zeros(len(texts), np.int64), np.ones(len(texts), bool)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # texts, ids, steps
+        below = 0
         for most in TOGETHER:
-            stop = bisect_right(sizes, most)
-            for begin in range(below, stop, ROWS_TOGETHER):
-                some = texts[begin : min(stop, begin + ROWS_TOGETHER)]
-                symbols = self._symbols(some, most)
-                usual = (symbols >= -1).all(axis=1)
-                rows = self._merged_rows(symbols[usual])
+            group = np.flatnonzero((size > below) & (size <= most) & ~alone)
+            below = most
+            for own in (group[i : i + ROWS_TOGETHER] for i in range(0, len(group), ROWS_TOGETHER)):
+                place = np.arange(most)
+                inside = place < size[own][:, None]
+                rows = np.full(inside.shape, -1, np.int32)
+                rows[inside] = symbols[(starts[own][:, None] + place)[inside]]
+                rows = self._merged_rows(rows)
+                many[own] = (rows >= 0).sum(axis=1)
                 ids = rows[rows >= 0]
-                edges = (np.r_[0, np.cumsum((rows >= 0).sum(axis=1))] * 4).tolist()
-                numbers, steps, at = ids.tobytes(), self.length[ids].tobytes(), 0
-                for x, fine in zip(some, usual.tolist(), strict=True):
-                    if fine:
-                        a, b = edges[at], edges[at + 1]
-                        out[x] = numbers[a:b], steps[a:b], True
-                        at += 1
-                    else:
-                        out[x] = self.chunk(x)
-            below = stop
-        return out | {x: self.chunk(x) for x in texts[below:]}
-
-    def _symbols(self, texts: list[str], width: int) -> np.ndarray:
-        """A row of symbols for each text; -1 behind its end, -2 for what has no symbol."""
-        size = np.fromiter(map(len, texts), np.int64, len(texts))
-        out = np.full((len(texts), width), -1, np.int32)
-        found = self.symbol[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)]
-        out[np.arange(width) < size[:, None]] = np.where(found < 0, -2, found)
-        return out
+                found.append((own, ids, self.length[ids]))
+        rest = np.flatnonzero(alone)
+        held = [self.chunk(x) for x in texts.take(pa.array(rest)).to_pylist()]
+        if held:
+            many[rest], plain[rest] = [len(h[0]) for h in held], [h[2] for h in held]
+            found.append((rest, *(np.array([x for h in held for x in h[i]], np.int32) for i in (0, 1))))
+        begin = np.cumsum(many) - many
+        ids, steps = np.zeros(many.sum(), np.int32), np.zeros(many.sum(), np.int32)
+        for own, some, on in found:
+            to = _gathered(begin[own], many[own])
+            ids[to], steps[to] = some, on
+        return ids, steps, many, plain
 
     def _found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place of each pair in the tables, or the last place."""
@@ -295,42 +291,44 @@ class PieceCoder:
         """The text of ids."""
         return self._joined(ids, front=True)
 
-    def _split(self, shape: str) -> list[str]:
-        if not shape:
-            return []
+    def _cut(self, shapes: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+        """(chunks of all normalised texts in a row, how many each text has); a space behind something that is no space opens one."""
+        whole = pa.array(shapes, pa.string())
         if not self.by_chunk:
-            return [shape]
-        if shape[0] == SPACE and SPACE * 2 not in shape:
-            return [SPACE + x for x in shape.split(SPACE)[1:]]
-        return CUT.split(shape)
+            return whole.filter(pa.array([bool(x) for x in shapes], pa.bool_())), np.array([bool(x) for x in shapes], np.int64)
+        data, edges = _bytes(whole)
+        mark = SPACE.encode()
+        space = np.zeros(len(data) + 3, bool)  # three places on: is there a space here?
+        if len(data) > 2:
+            space[3:-2] = (data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2])
+        opens = space[3:] & ~space[:-3]
+        opens[edges[:-1][np.diff(edges) > 0]] = True
+        cuts = np.flatnonzero(opens)
+        many = np.searchsorted(cuts, edges[1:]) - np.searchsorted(cuts, edges[:-1])
+        return pa.StringArray.from_buffers(len(cuts), pa.py_buffer(np.r_[cuts, len(data)].astype(np.int32)), pa.py_buffer(data)), many
 
     def coded(self, texts: list[str | None]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids joined by commas, decoded text) of each text; of all texts in a row: ids, starts, ends in bytes of their own text; how many ids each has."""
-        gc.disable()  # the many small objects below hold no cycles
         shapes = [self.normalised(t or "") for t in texts]
-        split = [self._split(s) for s, _, _ in shapes]
-        times = Counter(chain.from_iterable(split))
-        known = {x: self.cache[x] for x in times if x in self.cache}
-        known |= self.chunks([x for x in times if x not in known])
-        self.cache.update((x, c) for x, c in known.items() if times[x] > 1 and len(x) <= CACHED_CHARS)
-        if len(self.cache) > CACHED:
-            for x in list(islice(self.cache, CACHED // 2)):
-                del self.cache[x]
-        odd = {x for x, c in known.items() if not c[2]}
-        as_is = self.dummy and not self.map.units and not self.collapse
-        flat = list(map(known.__getitem__, chain.from_iterable(split)))
-        numbers, steps = (np.frombuffer(b"".join([c[i] for c in flat]), np.int32) for i in (0, 1))
-        many = np.fromiter((len(c[0]) for c in flat), np.int64, len(flat)) // 4
+        chunks, held = self._cut([s for s, _, _ in shapes])
+        known = chunks.dictionary_encode()
+        ids, steps, many, plain = self.chunks(known.dictionary)
+        which = known.indices.to_numpy()
+        source = _gathered((np.cumsum(many) - many)[which], many[which])
+        numbers, steps = ids[source], steps[source]
         last = np.cumsum(steps, dtype=np.int64)
         starts = np.concatenate([s for _, s, _ in shapes] or [np.zeros(0, np.int32)])[last - np.maximum(steps, 1)]
         ends = np.concatenate([e for _, _, e in shapes] or [np.zeros(0, np.int32)])[last - 1]
-        edges = np.r_[0, np.cumsum(many)][np.r_[0, np.cumsum([len(x) for x in split])].astype(np.int64)]
-        ids = [",".join(map(self.names.__getitem__, numbers[a:b].tolist())) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        # What nothing changed comes back as it is.
-        same = [as_is and SPACE not in (t or "") and (not odd or odd.isdisjoint(own)) for t, own in zip(texts, split, strict=True)]
-        decoded = [(t or "") if fine else self.decode(numbers[a:b].tolist()) for t, fine, a, b in zip(texts, same, edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        gc.enable()
-        return ids, decoded, numbers, starts, ends, np.diff(edges)
+        stop = np.r_[0, np.cumsum(held)]
+        edges = np.r_[0, np.cumsum(many[which])][stop]
+        spoilt = np.r_[0, np.cumsum(~plain[which])][stop]
+        as_is = self.dummy and not self.map.units and not self.collapse  # what nothing changed comes back as it is
+        joined, decoded = [], []
+        for text, a, b, odd in zip(texts, edges[:-1].tolist(), edges[1:].tolist(), np.diff(spoilt).tolist(), strict=True):
+            own = numbers[a:b].tolist()
+            joined.append(",".join(map(self.names.__getitem__, own)))
+            decoded.append((text or "") if as_is and not odd and SPACE not in (text or "") else self.decode(own))
+        return joined, decoded, numbers, starts, ends, np.diff(edges)
 
     def full(self, text: str | None) -> Encoded:
         """Ids, spans and decoded text of one text."""
@@ -338,6 +336,21 @@ class PieceCoder:
         return Encoded(tuple(ids.tolist()), tuple(ends.tolist()), tuple(starts.tolist()), decoded[0])
 
 
+def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 of all texts in a row, where each begins and the last ends)."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return held[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _gathered(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of each range, ``many`` of each."""
+    return np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+
 def _text(held: bytearray) -> str:
     """Bytes as text; each byte that is no part of a UTF-8 character becomes U+FFFD."""
     out, at = [], 0
@@ -367,7 +380,7 @@ def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
     has to be at ``model_file`` on every executor."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, "text"):
+        for batch in pieces_of(batches, "text", BATCH_BYTES):
             _, text, ids, starts, ends, many = coder(model_file).coded(batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), *(_lists(x, many) for x in (ids, starts, ends)), pa.array(text, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "starts", "ends", "decoded"])
@@ -392,7 +405,7 @@ def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string" + ", ids array<int>" * with_ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, "text"):
+        for batch in pieces_of(batches, "text", BATCH_BYTES):
             ids, text, numbers, starts, ends, many = coder(model_file).coded(batch.column("text").to_pylist())
             stop = np.cumsum(many)
             spans = [_sha(starts[a:b].tobytes() + ends[a:b].tobytes()) for a, b in zip((stop - many).tolist(), stop.tolist(), strict=True)]
