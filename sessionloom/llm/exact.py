@@ -169,7 +169,7 @@ def new_rows(docs: DataFrame, snapshot: tuple[DataFrame, DataFrame, int], id_col
     held = keys.join(passed, "key", "left_semi").join(old.select("digest"), "digest", "left_semi")
     held = written(held.select("key", F.col("digest").alias("_digest")))
     marked = docs.withColumn("_digest", F.sha2(_normalised(F.col(text_col).cast("string")).cast("binary"), 256))
-    sure, maybe = _parted(marked, _key(F.col(text_col).cast("string")), held.select("key"))
+    sure, maybe = parted(marked, _key(F.col(text_col).cast("string")), held.select("key"))
     return sure.unionByName(maybe.join(held.select("_digest"), "_digest", "left_anti").select(*sure.columns)).drop("_digest")
 
 
@@ -177,7 +177,7 @@ def new_rows(docs: DataFrame, snapshot: tuple[DataFrame, DataFrame, int], id_col
 MOST_SENT = 40_000_000
 
 
-def _passing(keys: DataFrame) -> Callable[[Column], Column] | None:
+def passing(keys: DataFrame) -> Callable[[Column], Column] | None:
     """A test of whether a key may be in ``keys``: no key is missed, one in 256 others passes. None beyond MOST_SENT keys."""
     number = keys.count()
     if number > MOST_SENT:
@@ -201,10 +201,10 @@ def _passing(keys: DataFrame) -> Callable[[Column], Column] | None:
     return F.pandas_udf(passes, "boolean")
 
 
-def _parted(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parted(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rows`` in two: those whose key is not in ``keys`` for certain, and the others. The first part is empty where the keys
     outgrow a broadcast."""
-    passes = _passing(keys)
+    passes = passing(keys)
     if passes is None:
         return rows.where("false"), rows
     marked = rows.withColumn("_may", passes(key))
@@ -233,7 +233,7 @@ def _grouped(docs: DataFrame, prints: DataFrame, double: DataFrame, inside: Colu
     """(text_sha256, text_key, keep_id, group_size) of the groups of two or more equal texts."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _normalised(text).alias("text"))
-    passes = _passing(double)
+    passes = passing(double)
     if passes is None:
         wanted = prints.join(double, "key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
         rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
@@ -264,7 +264,7 @@ def keep_last(docs: DataFrame) -> DataFrame:
     prints, double, inside = _prints(docs, None, "doc_id", "text")
     groups = written(_grouped(docs, prints, double, inside, "doc_id", "text").select(F.col("text_sha256").alias("_digest"), F.col("text_key").alias("key"), F.col("keep_id").alias("_keep")))
     text = F.col("text").cast("string")
-    sure, maybe = _parted(docs, _key(text), groups.select("key"))
+    sure, maybe = parted(docs, _key(text), groups.select("key"))
     maybe = maybe.withColumn("_digest", F.sha2(_normalised(text).cast("binary"), 256))
     lone = maybe.join(groups.select("_digest"), "_digest", "left_anti")
     best = maybe.join(groups.drop("key"), "_digest").where(F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")))

@@ -8,7 +8,13 @@ only a chain of its members, never all pairs, and the chains together connect ex
 The shuffle deals by the leading bits of the variants (the cell): a fingerprint goes once to each cell that holds
 some of its variants, with the flips that remain, and the cell's task makes its variants there. So a
 fingerprint costs 1 + b + b(b-1)/2 rows for b cell bits and not 2081. b follows the number of distinct
-fingerprints; crowded cells are split by further bits, and each cell is worked off in slices of bounded size.
+fingerprints; crowded cells are split by further bits, and each cell is worked off in slices of bounded size. In its task a cell's
+variants are made bit group by bit group, and only where they can still meet: a group of variants that one fingerprint alone can reach
+ends there, one that few can reach is settled by comparing these, and one whose fingerprints are connected already is dropped.
+
+The stage keep_first() is not bound to op6's shingles: its candidates have fingerprints of their distinct words at six
+bits or fewer apart, which finds nine of ten pairs with a five-word similarity of 0.8 or more (README), and it removes only what an
+exact comparison of the five-word shingles confirms.
 
 Defined cases: null and empty texts have fingerprint zero and link like any other; rows that repeat a doc_id and
 its text are the same node; of rows with one doc_id and other texts each keeps its fingerprint and both join
@@ -19,28 +25,37 @@ from __future__ import annotations
 
 import functools
 import math
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, pieces_of, written
+from .exact import parted, passing
 
 #: A cell is crowded, and split by SPLIT_BITS further bits while it has under MOST_BITS, if it holds over HOT fingerprints
 #: and over HOT_TIMES as many as the cells do on average: an ordinary load grows with the corpus and is no reason to split.
 HOT, HOT_TIMES, SPLIT_BITS, MOST_BITS = 50_000, 4, 6, 44
-#: Variants that one slice of a cell holds at most, about (8 bytes each, and as much again for the order).
-SLICE = 2_000_000
+#: Fingerprints over the number of cells, at most: a cell's rows are so many times the flips that reach it.
+CELL_ROWS = 30_000
+#: Variants that one slice of a cell holds at most, about (32 bytes each, and as much again for the order), and fingerprints that are compared pair by pair.
+SLICE, LEAF = 1_000_000, 24
+#: Shingles of a group of candidates that one task compares, the texts that a round takes from larger groups, and how their rest is salted.
+GROUP_GRAMS, HEADS, SALTS = 1_000_000, 64, 16
 SHINGLES_AT_ONCE = 200_000
 
 
-def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
-    """64-bit SimHash of the word shingles of an ASCII-lowered text, each occurrence counted."""
+def fingerprint(text: bytes | None, words: int = 4, seed: int = 42, distinct: bool = False) -> int:
+    """64-bit SimHash of the word shingles of an ASCII-lowered text, each occurrence counted; distinct: of its distinct words."""
     import xxhash
 
     found = (text or b"").lower().split()
+    if distinct:
+        found, words = sorted(set(found)), 1
     if not found:
         return 0
     digest = xxhash.xxh64_intdigest
@@ -56,30 +71,18 @@ def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
     return int(((2 * ones > total).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """(doc_id, fp long) of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            prints = np.fromiter((fingerprint(x.as_py(), words) for x in texts), np.uint64, len(texts))
+            prints = np.fromiter((fingerprint(x.as_py(), words, distinct=distinct) for x in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, "doc_id long, fp long")
 
 
-@functools.lru_cache
-def _flips(free: int, most: int) -> list[np.ndarray]:
-    """For each number of flips left, 0 to ``most``: the masks over the ``free`` low bits with at most so many ones."""
-    one = np.uint64(1) << np.arange(free, dtype=np.uint64)
-    layers, whole = [np.zeros(1, np.uint64)], [np.zeros(1, np.uint64)]
-    for _ in range(most):
-        higher = [m | one[i] for m in layers[-1] for i in range(int(m).bit_length(), free)]
-        layers.append(np.array(higher, np.uint64))
-        whole.append(np.concatenate(layers))
-    return whole
-
-
 def _split(value: np.ndarray, left: np.ndarray, free: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """Deals values to the cells of their next ``bits`` bits: (row, value in that cell, flips left, cell)."""
     shift = np.uint64(free - bits)
@@ -90,59 +93,78 @@ def _split(value: np.ndarray, left: np.ndarray, free: int, bits: int) -> Iterato
             yield row, moved, left[row] - flip.bit_count(), (moved >> shift & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest row that each of n rows is connected with by the links a-b."""
-    root = np.arange(n)
-    while len(a):
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Connects the rows a with the rows b, in place; root: for each row the smallest one that it is connected with."""
+    while True:
         low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
         apart = low < high
+        if not apart.any():
+            return
         a, b = a[apart], b[apart]
         np.minimum.at(root, high[apart], low[apart])
-        while (nxt := root[root]).tobytes() != root.tobytes():
-            root = nxt
+        while not np.array_equal(shorter := root[root], root):
+            root[:] = shorter
+
+
+def _near(root: np.ndarray, fps: np.ndarray, owner: np.ndarray, cell: np.ndarray, radius: int, reach: int) -> None:
+    """Connects rows up to ``reach`` places apart that are in one cell and at ``radius`` or fewer differing bits."""
+    for k in range(1, min(reach, len(owner) - 1) + 1):
+        at = np.flatnonzero(cell[k:] == cell[:-k])
+        if not len(at):
+            return
+        a, b = owner[at], owner[at + k]
+        near = (root[a] != root[b]) & (np.bitwise_count(fps[a] ^ fps[b]) <= radius)
+        _joined(root, a[near], b[near])
+
+
+def _open(root: np.ndarray, owner: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, sorted by cell, of the cells in which rows are not all connected; how many their cell has)."""
+    order = np.argsort(cell)
+    begin = np.flatnonzero(np.r_[True, np.diff(cell[order]) != 0][: len(order)])
+    own = root[owner[order]]
+    mixed = np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin) if len(own) else begin > 0
+    size = np.diff(np.r_[begin, len(order)])
+    kept = np.repeat(mixed, size)
+    return order[kept], np.repeat(size, size)[kept]
+
+
+def _connected(value: np.ndarray, left: np.ndarray, fps: np.ndarray, free: int, radius: int) -> np.ndarray:
+    """For each fingerprint of one cell the smallest row that common variants in this cell connect it with."""
+    root = np.arange(len(fps))
+    for turn in range(0, 64, 8):  # what lies side by side in some order is connected without any variants
+        turned = fps << np.uint64(turn) | fps >> np.uint64((64 - turn) % 64)
+        order = np.argsort(turned)
+        _near(root, fps, order, np.zeros(len(order), np.int8), radius, 2)
+    stack = [(value, left, np.arange(len(fps)), np.zeros(len(fps), np.int64), free)]
+    while stack:
+        value, left, owner, cell, free = stack.pop()
+        kept, size = _open(root, owner, cell)
+        value, left, owner, cell = value[kept], left[kept], owner[kept], cell[kept]
+        few = size <= LEAF if free else np.ones(len(size), bool)
+        # Where all bits are dealt, a cell is one variant: its fingerprints are all near each other, and a chain connects them.
+        _near(root, fps, owner[few], cell[few], radius, LEAF if free else 1)
+        value, left, owner, cell = (x[~few] for x in (value, left, owner, cell))
+        if not len(value):
+            continue
+        bits = min(4, free)
+        grown = np.cumsum(np.array([1, 5, 11, 15, 16])[np.minimum(left, 4)])
+        fresh = np.r_[True, np.diff(cell) != 0]
+        number = np.cumsum(fresh) - 1
+        part = (grown // SLICE)[np.flatnonzero(fresh)][number]
+        for at in np.split(np.arange(len(value)), np.flatnonzero(np.diff(part)) + 1):
+            dealt = [(at[row], moved, rest, number[at[row]] << bits | nibble) for row, moved, rest, nibble in _split(value[at], left[at], free, bits)]
+            row, moved, rest, nibble = (np.concatenate(x) for x in zip(*dealt, strict=True))
+            stack.append((moved, rest, owner[row], nibble, free - bits))
     return root
 
 
-def _meet(value: np.ndarray, left: np.ndarray, owner: np.ndarray, fps: np.ndarray, free: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links (owner, owner) between those that share a variant, from slices of about SLICE variants."""
-    masks = _flips(free, int(left.max(initial=0)))
-    if free > 8 and len(value) > 1 and sum(int((left == k).sum()) * len(m) for k, m in enumerate(masks)) > SLICE:
-        parts = list(_split(value, left, free, 4))
-        row, moved, rest, cell = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        order = np.argsort(cell, kind="stable")
-        cuts = np.flatnonzero(np.diff(cell[order])) + 1
-        for own in np.split(order, cuts):
-            yield from _meet(moved[own], rest[own], owner[row[own]], fps, free - 4, radius)
-        return
-    variants, owners = [], []
-    for k, m in enumerate(masks):
-        own = np.flatnonzero(left == k)
-        variants.append((value[own][:, None] ^ m).ravel())
-        owners.append(np.repeat(owner[own], len(m)))
-    variant, who = np.concatenate(variants), np.concatenate(owners)
-    inside = np.sort(variant)
-    again = np.unique(inside[1:][inside[1:] == inside[:-1]])
-    if not len(again):
-        return
-    at = np.minimum(np.searchsorted(again, variant), len(again) - 1) if len(again) > 64 else None
-    own = np.flatnonzero(np.isin(variant, again, kind="sort") if at is None else again[at] == variant)
-    variant, who = variant[own], who[own]
-    order = np.argsort(variant)
-    same = np.flatnonzero(variant[order[1:]] == variant[order[:-1]])
-    a, b = who[order[same]], who[order[same + 1]]
-    near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
-    if near.any():
-        yield tuple(np.unique(np.stack([np.minimum(a, b)[near], np.maximum(a, b)[near]]), axis=1))
-
-
 def links(reps: DataFrame, radius: int = 4, cell_bits: int | None = None) -> DataFrame:
     """Links (a, b) between representatives ``reps(rep long, fp long)`` of distinct fingerprints that connect
     exactly the fingerprints at ``radius`` (even) or fewer differing bits: a spanning forest of each cell."""
     half = radius // 2
     number = reps.count()
     if cell_bits is None:
-        variants = number * sum(len(x) for x in _flips(64, half)[half:])
-        cell_bits = max(3, min(20, int(np.ceil(np.log2(max(1, variants / (2 * SLICE)))))))
+        cell_bits = max(5, min(20, math.ceil(math.log2(max(1, number) / CELL_ROWS))))
 
     usual = number * sum(math.comb(cell_bits, k) for k in range(half + 1)) / (1 << cell_bits)
     limit = max(HOT, int(HOT_TIMES * usual))
@@ -164,9 +186,7 @@ def links(reps: DataFrame, radius: int = 4, cell_bits: int | None = None) -> Dat
         left = half - np.bitwise_count(fps >> np.uint64(free) ^ prefix).astype(np.int64)
         order = np.argsort(rep)
         rep, fps, moved, left = rep[order], fps[order], moved[order], left[order]
-        found = list(_meet(moved, left, np.arange(len(rep)), fps, free, radius))
-        a, b = (np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
-        root = _roots(len(rep), a, b)
+        root = _connected(moved, left, fps, free, radius)
         own = np.flatnonzero(root != np.arange(len(rep)))
         return pa.table({"a": pa.array(rep[own], pa.int64()), "b": pa.array(rep[root[own]], pa.int64())})
 
@@ -231,48 +251,82 @@ def _gram_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("tag", "grp", "doc_id", "text").mapInArrow(work, "tag long, grp long, doc_id long, grams array<long>")
 
 
+def _thinned(least: float):
+    """Of a group's rows (tag, doc_id, grams), in the order of their doc_id: the tags of those that are like one that stays."""
+
+    def thin(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        order = sorted(range(table.num_rows), key=lambda i, d=table.column("doc_id").to_pylist(), t=table.column("tag").to_pylist(): (d[i] is None, d[i] or 0, t[i]))
+        grams, tags, gone = table.column("grams").combine_chunks(), table.column("tag").to_pylist(), []
+        where: dict[int, list[int]] = {}
+        size: list[int] = []
+        for i in order:
+            own = grams[i].values.to_numpy().tolist()
+            shared = Counter(chain.from_iterable(where.get(g, ()) for g in own))
+            if any(n / (len(own) + size[j] - n) >= least for j, n in shared.items()) or not own and 0 in size:
+                gone.append(tags[i])
+                continue
+            for g in own:
+                where.setdefault(g, []).append(len(size))
+            size.append(len(own))
+        return pa.table({"tag": pa.array(gone, pa.int64())})
+
+    return thin
+
+
 def near_copies(docs: DataFrame, words: int = 5, radius: int = 6, least: float = 0.8) -> DataFrame:
-    """(tag) of the distinct texts of ``docs(doc_id, text, tag)`` that go: of the texts that links of ``radius`` or fewer bits
-    over shingles of ``words`` connect, or op6's links (4 bits, four words), in the order of their doc_id, each goes
-    whose exact Jaccard similarity of word shingles with one that stays is ``least`` or more.
+    """(tag) of the distinct texts of ``docs(doc_id, text, tag)`` that go: of the texts that fingerprints of their distinct words
+    at ``radius`` or fewer bits connect, in the order of their doc_id, each goes whose exact Jaccard similarity of
+    word shingles with one that stays is ``least`` or more.
 
-    Each round takes the first text left of each component and compares it with all the others left, so no
-    component is one task's list and no pairs are made; a component takes as many rounds as texts of it stay.
+    A group of up to GROUP_GRAMS shingles is one task's. A larger one is worked off in rounds: its first HEADS texts are thinned,
+    and all others, spread by a salt, are compared with those that stay; what is like them goes. So copies of one text are
+    gone in a round however many they are, no task holds an unbounded group, and no pairs are listed.
     """
-    edges = []
-    for width, far in {(words, radius), (4, 4)}:
-        prints = written(fingerprints(docs, width, "tag").distinct())
-        reps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-        # Cells need to fit memory only, as they are worked off in slices: fewer bits than links() takes save most of the shuffle.
-        bits = None if far <= 4 else max(6, math.ceil(math.log2(max(1, reps.count()) / 3000)))
-        edges += [links(reps, far, bits), prints.join(reps, "fp").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))]
-    groups = components(functools.reduce(DataFrame.union, edges)).select(F.col("node").alias("tag"), F.col("component").alias("grp"))
-    texts = docs.join(groups, "tag").groupBy("tag", "grp").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    prints = written(fingerprints(docs, 1, "tag", distinct=True).distinct())
+    reps = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    edges = links(reps, radius).union(prints.join(reps, "fp").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    groups = written(components(edges).select(F.col("node").alias("tag"), F.col("component").alias("grp")))
+    passes = passing(groups.select(F.col("tag").alias("key")))
+    rows = docs if passes is None else docs.where(passes(F.col("tag")))
+    texts = rows.join(groups, "tag").groupBy("tag", "grp").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
     left, gone = written(_gram_sets(texts, words)), []
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
-    while not left.isEmpty():
-        first = left.groupBy("grp").agg(F.min_by(F.struct("tag", "grams"), order).alias("first"))
-        both = F.size(F.array_intersect("grams", "first.grams"))
-        either = F.size("grams") + F.size("first.grams") - both
-        like = F.coalesce(both / F.nullif(either, F.lit(0)), F.lit(1.0)) >= least
-        judged = written(left.join(first, "grp").where(F.col("tag") != F.col("first.tag")).select("tag", "grp", "doc_id", F.when(~like, F.col("grams")).alias("grams")))
-        gone.append(judged.where("grams is null").select("tag"))
-        left = judged.where("grams is not null")
-    return functools.reduce(DataFrame.union, gone, groups.select("tag").where("false"))
+    order = (F.col("doc_id").isNull(), "doc_id", "tag")
+    while True:
+        crowded = left.groupBy("grp").agg(F.sum(F.size("grams")).alias("n")).where(F.col("n") > GROUP_GRAMS).select("grp")
+        gone.append(left.join(crowded, "grp", "left_anti").groupBy("grp").applyInArrow(_thinned(least), "tag long"))
+        large = written(left.join(crowded, "grp", "left_semi"))
+        if large.isEmpty():
+            break
+        first = large.select("grp", "tag", "doc_id").withColumn("r", F.row_number().over(Window.partitionBy("grp").orderBy(*order))).where(F.col("r") <= HEADS)
+        heads = written(large.join(first.select("tag"), "tag", "left_semi"))
+        dropped = written(heads.groupBy("grp").applyInArrow(_thinned(least), "tag long"))
+        stay = heads.join(dropped, "tag", "left_anti").select("grp", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("grams").alias("theirs"))
+        rest = large.join(heads.select("tag"), "tag", "left_anti").withColumn("salt", F.pmod(F.xxhash64("tag"), F.lit(SALTS)).cast("int"))
+        # Only sets of like size can be alike; empty sets are alike.
+        both = F.size(F.array_intersect("grams", "theirs"))
+        sizes = F.coalesce(F.least(F.size("grams"), F.size("theirs")) / F.nullif(F.greatest(F.size("grams"), F.size("theirs")), F.lit(0)), F.lit(1.0)) >= least
+        either = F.size("grams") + F.size("theirs") - both
+        like = sizes & (F.coalesce(both / F.nullif(either, F.lit(0)), F.lit(1.0)) >= least)
+        same = rest.join(stay, (rest.grp == stay.grp) & (rest.salt == stay.salt) & like, "left_semi").select("tag")
+        gone += [dropped, same := written(same)]
+        left = written(rest.drop("salt").join(same, "tag", "left_anti"))
+    return functools.reduce(DataFrame.union, gone)
 
 
 def keep_first(docs: DataFrame, words: int = 5, radius: int = 6, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` (all its columns) without near_copies; of rows with one text, whatever their ids, one
-    stays: that with the smallest doc_id (null ids last), then by a hash of the row."""
+    stays: that with the smallest doc_id (null ids last), then by a hash of the row. Rows that neither concerns stay in their task."""
     text = F.col("text").cast("string")
     tag = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), tag.alias("tag"))
     again = written(rows.groupBy("tag").count().where("count > 1").select("tag"))
     gone = written(near_copies(rows, words, radius, least))
-    marked = docs.withColumn("_tag", tag)
-    out = marked.join(gone.union(again).withColumnRenamed("tag", "_tag"), "_tag", "left_anti").select(*docs.columns)
+    touched = gone.union(again)
+    sure, maybe = parted(docs, tag, touched.select(F.col("tag").alias("key")))
+    maybe = maybe.withColumn("_tag", tag)
+    out = sure.union(maybe.join(touched.withColumnRenamed("tag", "_tag"), "_tag", "left_anti").select(*docs.columns))
     if again.isEmpty():
         return out
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
-    kept = marked.join(again.join(gone, "tag", "left_anti").withColumnRenamed("tag", "_tag"), "_tag")
+    kept = maybe.join(again.join(gone, "tag", "left_anti").withColumnRenamed("tag", "_tag"), "_tag")
     return out.union(kept.groupBy("_tag").agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*"))

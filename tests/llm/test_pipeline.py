@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
-from sessionloom.llm import common, mixing, queries, simhash
+from sessionloom.llm import common, mixing, queries
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -33,14 +33,10 @@ def test_stages(request, spark, name):
     assert single.columns == columns
 
     apart = common.written(stages["SimHash near-dedup"](spark, single, ""))
-    prints = {r.doc_id: simhash.fingerprint((r.text or "").encode()) for r in single.collect() if r.doc_id is not None}
-    label = {i: i for i in prints}
-    for _ in prints:
-        new = {i: min(label[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= 4) for i in prints}
-        if new == label:
-            break
-        label = new
-    assert {r.doc_id for r in apart.collect() if r.doc_id is not None} == {i for i, c in label.items() if i == c}
+    from test_near_stage import expected
+
+    known = [(r.doc_id, r.text or "") for r in single.collect() if r.doc_id is not None]
+    assert {r.doc_id for r in apart.collect() if r.doc_id is not None} == expected(known)
     assert apart.columns == columns
 
     mix = common.written(stages["mixing sources to target weights"](spark, apart, ""))
