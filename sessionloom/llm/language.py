@@ -10,9 +10,12 @@ likelihood stops improving. No language is left out beforehand. The prediction i
 Training reads a bounded sample: PER_LANGUAGE labelled rows of each language in expectation, whole texts, drawn by a
 hash of the id; all rows are predicted.
 
+Every language with a label is learned. The table of a model holds TABLE chances at most: beyond TABLE / FEATURES (256) languages
+trigrams are hashed to fewer places.
+
 Defined cases: null text or text without a letter: ``und`` with score 0; no labelled row: every row is ``und``; null
-languages are not learned; languages beyond MOST_LANGUAGES by count are not learned; repeated rows each get their
-row; an empty table gives no rows.
+languages are not learned; of languages with equal shares the first in name order is predicted; repeated rows each get their
+row; very long texts are counted whole; other columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,9 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import pieces_of
 
-FEATURES = 1 << 16
+FEATURES, TABLE = 1 << 16, 1 << 24
 PER_LANGUAGE = 1_500
-MOST_LANGUAGES = 200
 ROUNDS = 12
 #: Trigrams times languages of one group of documents that are tried together.
 TRIED_AT_ONCE = 4_000_000
@@ -59,14 +61,15 @@ def trigrams(text: str | None) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """names[i] has the trigram distribution chance[:, i]; the size is bounded by FEATURES and MOST_LANGUAGES."""
+    """names[i] has the trigram distribution chance[:, i]; rows: hashed trigrams, or their leading bits."""
 
     names: list[str]
     chance: np.ndarray
 
     def mixtures(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, float]]]]:
         """(language, its share, all languages of the selected set with shares) of each text."""
-        grams = [np.unique(trigrams(t), return_counts=True) for t in texts]
+        shift = 16 - (len(self.chance).bit_length() - 1)
+        grams = [np.unique(trigrams(t) >> shift, return_counts=True) for t in texts]
         size = np.array([len(u) for u, _ in grams])
         out: list = [("und", 0.0, [])] * len(texts)
         known = np.flatnonzero(size)
@@ -179,8 +182,9 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "
     """The model of all languages in ``labelled`` from a sample of about ``per_language`` rows of each."""
     spark = labelled.sparkSession
     sizes = labelled.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count()
-    sizes = [tuple(r) for r in sizes.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+    sizes = [tuple(r) for r in sizes.collect()]  # a row for each language that the model is of
     names = sorted(r[0] for r in sizes)
+    shift = max(0, min(8, (len(names) - 1).bit_length() - (TABLE // FEATURES).bit_length() + 1))
     if not names:
         return LanguageModel([], np.ones((FEATURES, 0), np.float32))
     place = {n: i for i, n in enumerate(names)}
@@ -190,19 +194,16 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "
     many = len(names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held = sums.setdefault(i, np.zeros(FEATURES, np.int64))
-                held += np.bincount(trigrams(text), minlength=FEATURES)
-        for i, held in sums.items():
-            at = np.flatnonzero(held)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int32)), pa.array(held[at])], names=["place", "feature", "n"])
+        for batch in pieces_of(batches, "text", 1 << 20):
+            places = batch.column("place").to_pylist()
+            found = [np.int64(i) << 16 | (trigrams(t) >> shift) for i, t in zip(places, batch.column("text").to_pylist(), strict=True)]
+            key, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((key >> 16).astype(np.int32)), pa.array((key & 0xFFFF).astype(np.int32)), pa.array(n)], names=["place", "feature", "n"])
 
     counts = sample.mapInArrow(count, "place int, feature int, n long").groupBy("place", "feature").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((FEATURES, many), np.float64)
+    table = np.zeros((FEATURES >> shift, many), np.float32)
     table[counts.column("feature").to_numpy(), counts.column("place").to_numpy()] = counts.column("n").to_numpy()
-    chance = (table + 0.05) / (table.sum(axis=0) + 0.05 * FEATURES)
+    chance = (table + 0.05) / (table.sum(axis=0, dtype=np.float64) + 0.05 * len(table))
     return LanguageModel(names, chance.astype(np.float32))
 
 

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 #: The largest mean of one draw; the table of its distribution then has under 120 entries.
 SPLIT = 16.0
 ENTRIES = 120
+#: Draws of a row that are made together: no array of a row is longer than its draws by BLOCK, or BLOCK times SPLIT copies or so.
+BLOCK = 1_024
 #: Sources up to this number are broadcast (under 100 MB); more are joined by a shuffle.
 BROADCAST_SOURCES = 50_000
 
@@ -67,11 +69,20 @@ def mixed(docs: DataFrame, targets: dict[str, float] | None = None, total: int |
     if docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rated = F.broadcast(rated)
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    units = F.transform(F.sequence(F.lit(1), F.col("_mix_draws")), lambda j: hash_unit(F.lit(f"poisson-{seed}"), ident, j))
-    count = F.aggregate(units, F.lit(0), lambda sum_, u: sum_ + F.size(F.filter("_mix_cdf", lambda c: c <= u)))
+
+    def one_block(block: Column) -> Column:
+        draws = F.sequence(block * F.lit(BLOCK) + F.lit(1), F.least(F.col("_mix_draws"), (block + F.lit(1)) * F.lit(BLOCK)))
+        units = F.transform(draws, lambda j: hash_unit(F.lit(f"poisson-{seed}"), ident, j))
+        return F.aggregate(units, F.lit(0), lambda sum_, u: sum_ + F.size(F.filter("_mix_cdf", lambda c: c <= u)))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.col("_mix_draws") - F.lit(1)) / F.lit(BLOCK)).cast("int")), one_block)
     joined = docs.join(rated, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
-    counted = joined.withColumn("_mix_count", count).where("_mix_count > 0").drop("_mix_source", "_mix_draws", "_mix_cdf", "copy", "shuffle_key")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix_count")))).drop("_mix_count")
+    counted = joined.withColumn("_mix_blocks", blocks).drop("_mix_source", "_mix_draws", "_mix_cdf", "copy", "shuffle_key")
+    # Each block of draws becomes a row with the copies that the blocks before it made, then each of its copies a row.
+    spread = counted.select("*", F.posexplode("_mix_blocks").alias("_mix_block", "_mix_count")).where("_mix_count > 0")
+    before = F.aggregate(F.slice("_mix_blocks", F.lit(1), F.col("_mix_block")), F.lit(0), lambda sum_, n: sum_ + n)
+    spread = spread.withColumn("_mix_before", before).drop("_mix_blocks", "_mix_block")
+    copies = spread.withColumn("copy", F.explode(F.sequence(F.col("_mix_before") + F.lit(1), F.col("_mix_before") + F.col("_mix_count")))).drop("_mix_before", "_mix_count")
     keyed = copies.withColumn("shuffle_key", F.substring(F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), ident, F.col("copy").cast("string"))), 1, 16))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keyed.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key", "copy")

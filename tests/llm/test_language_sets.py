@@ -30,3 +30,29 @@ def test_small_share_and_far_language():
     assert set(got[1]) == {"l0", "l9"} and 0 < got[1]["l9"] < 0.02
     assert set(got[2]) == {"l3"}
     assert set(got[3]) == {"l1", "l4", "l9"}
+
+
+def test_shares_like_a_plain_em():
+    model, text = made()
+    mixed = text(0, 600, 200) + " " + text(9, 200, 201)
+    found = {n: s for n, s in model.mixtures([mixed])[0][2]}
+    grams = language.trigrams(mixed)
+    chance = model.chance[grams][:, [model.names.index(n) for n in sorted(found)]].astype(np.float64)
+    share = np.full(len(found), 1 / len(found))
+    for _ in range(200):
+        weight = share * chance
+        share = (weight / weight.sum(axis=1, keepdims=True)).mean(axis=0)
+    assert np.allclose([found[n] for n in sorted(found)], share, atol=0.01)
+
+
+def test_very_many_languages(spark):
+    """Beyond 256 languages trigrams share places; all languages are still learned."""
+    rng = np.random.default_rng(8)
+    letters = [[chr(0x4E00 + 40 * i + k) for k in range(20)] for i in range(300)]
+    rows = [(i * 3 + k, "".join(rng.choice(letters[i], 120)), f"l{i:03}") for i in range(300) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert len(model.names) == 300 and model.chance.size <= language.TABLE
+    got = language.predict(docs, model).collect()
+    lang = {r[0]: r[2] for r in rows}
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in got]) > 0.99
