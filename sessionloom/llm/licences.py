@@ -1,55 +1,34 @@
 """License scans through a positional rare-token index.
 
-Every template (a licence's key phrase or notice) is a word sequence. Words get an IDF from the document
-frequencies of the whole corpus. A file is looked up by its licence words of highest IDF: the index posts each template
-under its rarest words with their positions in it, and each place of such a word in the file votes for a start of the
-template. A start that all posted words of a template agree on is verified word by word, so every place of a phrase is found
-and nothing else.
+Every template is a word sequence: whole licence texts of up to a few hundred words, and short notices. Words get an IDF from the
+document frequencies of the whole corpus, and the index posts every template under all its words with their positions. A file is
+looked up by its LOOKED_UP licence words of highest IDF, and by those that are the rarest of a key phrase. Key phrases are
+mandatory: a template fits where its first key phrase stands word for word, each other one stands word for word at its own place
+after that start, give or take DRIFT of the template's length, and at least VOTES of the looked-up words stand at their
+relative positions as well. A notice is its own only key phrase, so every place of one is found and nothing else.
 
 Defined cases: a null text counts as empty and has no words; overlapping places all count; ties of IDF go to the
-smaller word; repeated rows each get their row; an empty table gives no rows.
+smaller word; repeated rows each get their row; very long texts are one file each; other columns, whatever their names, are not
+read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pieces_of
+from .licence_texts import BASE, NOTICES, TEMPLATES
 
-# Phrases and labels of the base, and further notices with their labels.
-BASE = {
-    "under the mit license": "mit",
-    "apache license version 2": "apache-2",
-    "cc by nc": "cc-by-nc",
-}
-NOTICES = {
-    "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit",
-    "the software is provided as is without warranty of any kind": "mit",
-    "licensed under the apache license version 2 0": "apache-2",
-    "you may not use this file except in compliance with the license": "apache-2",
-    "gnu general public license": "gpl",
-    "gnu general public license version 2": "gpl-2",
-    "gnu general public license version 3": "gpl-3",
-    "gnu lesser general public license": "lgpl",
-    "gnu affero general public license": "agpl",
-    "mozilla public license version 2 0": "mpl-2",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
-    "creative commons attribution noncommercial": "cc-by-nc",
-    "licensed under cc by nc 4 0": "cc-by-nc-4",
-    "cc by sa": "cc-by-sa",
-    "cc by nd": "cc-by-nd",
-    "eclipse public license": "epl",
-    "this is free and unencumbered software released into the public domain": "unlicense",
-}
-
-#: Words that a template is posted under at most.
-POSTED = 2
+#: Licence words of a file that are looked up, how many of them have to agree on a whole text's start, and how far words may stand
+#: from their places: DRIFT of the template's length, or LEAST_DRIFT words.
+LOOKED_UP, VOTES, DRIFT, LEAST_DRIFT = 24, 3, 0.1, 8
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -58,25 +37,64 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORDS).split()
 
 
+@dataclass
+class Template:
+    words: tuple[bytes, ...]
+    label: str
+    keys: list[tuple[int, tuple[bytes, ...]]]  # place in the template, words
+    base: bool = False
+
+    @property
+    def drift(self) -> int:
+        return 0 if len(self.keys[0][1]) == len(self.words) else max(LEAST_DRIFT, int(DRIFT * len(self.words)))
+
+    @property
+    def votes(self) -> int:
+        return VOTES if self.drift else 1
+
+
+def notice(phrase: str, label: str, base: bool = False) -> Template:
+    own = tuple(words(phrase.encode()))
+    return Template(own, label, [(0, own)], base)
+
+
+def whole_text(label: str, text: str, keys: list[str]) -> Template:
+    """A licence text; each key phrase has its place where it occurs first."""
+    own = tuple(words(text.encode()))
+    phrases = [tuple(words(k.encode())) for k in keys]
+    return Template(own, label, [(next(i for i in range(len(own)) if own[i : i + len(p)] == p), p) for p in phrases])
+
+
+def templates(base: dict[str, str] | None = None, notices: dict[str, str] | None = None, texts: list[tuple[str, str, list[str]]] | None = None) -> list[Template]:
+    found = [notice(p, label, True) for p, label in (BASE if base is None else base).items()]
+    found += [notice(p, label) for p, label in (NOTICES if notices is None else notices).items()]
+    return found + [whole_text(*t) for t in (TEMPLATES if texts is None else texts)]
+
+
 @dataclass
 class RareTokenIndex:
-    """postings: rare word -> (template, position in it); rest: what a place has to satisfy."""
+    """postings: word -> template -> its positions there; anchors: the rarest word of a key phrase -> (phrase, its place in it)."""
 
-    templates: list[tuple[tuple[bytes, ...], str, bool]]
+    templates: list[Template]
     idf: dict[bytes, float]
+    postings: dict[bytes, dict[int, list[int]]] = field(default_factory=dict)
+    anchors: dict[bytes, list[tuple[tuple[bytes, ...], int]]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.posted: list[list[int]] = []
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
-        for t, (phrase, _, _) in enumerate(self.templates):
-            ranked = sorted(range(len(phrase)), key=lambda i: (-self.idf.get(phrase[i], 0.0), phrase[i], i))
-            self.posted.append(ranked[:POSTED])
-            for i in ranked[:POSTED]:
-                self.postings.setdefault(phrase[i], []).append((t, i))
-        self.anchors = {self.templates[t][0][p[0]] for t, p in enumerate(self.posted)}
+        for t, template in enumerate(self.templates):
+            for i, w in enumerate(template.words):
+                self.postings.setdefault(w, {}).setdefault(t, []).append(i)
+        for phrase in dict.fromkeys(p for t in self.templates for _, p in t.keys):
+            rarest = min(phrase, key=self.order)
+            self.anchors.setdefault(rarest, []).append((phrase, phrase.index(rarest)))
+        self.weight = [sum(self.idf[w] for w in set(t.words)) for t in self.templates]
+        self.top = max(self.weight, default=0.0) or 1.0
+
+    def order(self, word: bytes) -> tuple[float, bytes]:
+        return -self.idf.get(word, 0.0), word
 
     def places(self, text: bytes, found: list[bytes]) -> dict[int, list[int]]:
-        """Template -> its starts (word numbers) in a file, from the file's rarest licence words."""
+        """Template -> the word numbers at which it starts (where its text would, if its first key phrase stands at its place)."""
         folded = text.translate(_WORDS)
         if not any(a in folded for a in self.anchors):
             return {}
@@ -84,20 +102,45 @@ class RareTokenIndex:
         for i, w in enumerate(found):
             if w in self.postings:
                 where.setdefault(w, []).append(i)
-        out: dict[int, list[int]] = {}
-        for word in sorted(where, key=lambda w: (-self.idf.get(w, 0.0), w)):
-            for t, at in self.postings[word]:
-                if at != self.posted[t][0]:
-                    continue
-                phrase = self.templates[t][0]
-                starts = {i - at for i in where[word]}
-                for other in self.posted[t][1:]:
-                    starts &= {i - other for i in where.get(phrase[other], ())}
-                exact = sorted(s for s in starts if s >= 0 and tuple(found[s : s + len(phrase)]) == phrase)
-                if exact:
-                    out[t] = exact
+        stand = {p: [i - k for i in where[a] if i >= k and tuple(found[i - k : i - k + len(p)]) == p] for a in self.anchors.keys() & where.keys() for p, k in self.anchors[a]}
+        if not any(stand.values()):
+            return {}
+        rare = sorted(where, key=self.order)[:LOOKED_UP]
+        looked_up = dict.fromkeys([*rare, *(w for w in where if w in self.anchors)])
+        out = {}
+        for t, template in enumerate(self.templates):
+            if all(stand.get(p) for _, p in template.keys):
+                posted = [(where[w], self.postings[w][t]) for w in looked_up if t in self.postings[w]]
+                starts = [p - template.keys[0][0] for p in stand[template.keys[0][1]]]
+                fit = [s for s in starts if self._fits(template, s, stand, posted)]
+                if fit:
+                    out[t] = fit
         return out
 
+    @staticmethod
+    def _fits(template: Template, start: int, stand: dict[tuple[bytes, ...], list[int]], posted: list[tuple[list[int], list[int]]]) -> bool:
+        near = template.drift
+        if not all(_any_near(stand[p], start + at, near) for at, p in template.keys):
+            return False
+        votes = 0
+        for here, there in posted:
+            votes += any(_any_near(here, start + at, near) for at in there)
+            if votes == template.votes:
+                return True
+        return False
+
+    def likeness(self, found: list[bytes], t: int, start: int) -> float:
+        """The IDF weight of the template's distinct words that stand in its stretch of the file, relative to the largest template."""
+        own, near = self.templates[t], self.templates[t].drift
+        inside = set(found[max(0, start - near) : start + len(own.words) + near])
+        return min(1.0, sum(self.idf[w] for w in sorted(inside.intersection(own.words))) / self.top)
+
+
+def _any_near(numbers: list[int], wanted: int, near: int) -> bool:
+    """Is one of the ascending ``numbers`` at most ``near`` from ``wanted``?"""
+    at = bisect_left(numbers, wanted - near)
+    return at < len(numbers) and numbers[at] <= wanted + near
+
 
 def document_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text") -> tuple[int, dict[bytes, int]]:
     """(rows, in how many of them each word of the vocabulary occurs), over all rows; bounded by the vocabulary."""
@@ -118,20 +161,15 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str
     return found.pop(b"", 0), found
 
 
-def scanned(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scanned(docs: DataFrame, known: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
-    score is the IDF weight of the distinct licence words in the file's verified places, relative to the largest
-    weight of any template: 0 without a place, 1 for the most telling one.
+    score is the likeness of the best fitting template: 0 without one, 1 for a whole copy of the most telling text.
     """
-    base = BASE if base is None else base
-    notices = NOTICES if notices is None else notices
-    phrases = [(tuple(p.encode().split()), label, True) for p, label in base.items()]
-    phrases += [(tuple(p.encode().split()), label, False) for p, label in notices.items()]
-    rows, df = document_frequencies(docs, {w for p, _, _ in phrases for w in p}, text_col)
-    index = RareTokenIndex(phrases, {w: math.log((rows + 1) / (df.get(w, 0) + 1)) for p, _, _ in phrases for w in p})
-    weight = [sum(index.idf[w] for w in dict.fromkeys(p)) for p, _, _ in phrases]
-    top = max(weight, default=0.0) or 1.0
+    known = templates() if known is None else known
+    vocabulary = {w for t in known for w in t.words}
+    rows, df = document_frequencies(docs, vocabulary, text_col)
+    index = RareTokenIndex(known, {w: math.log((rows + 1) / (df.get(w, 0) + 1)) for w in vocabulary})
     longs, strings = ("doc_id", "n_words", "n_base", "first_word", "last_word"), ("base_labels", "labels")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,10 +179,9 @@ def scanned(docs: DataFrame, base: dict[str, str] | None = None, notices: dict[s
                 raw = text.as_py() or b""
                 found = words(raw)
                 places = index.places(raw, found)
-                own = [(t, s) for t, s in places.items() if phrases[t][2]]
-                starts = [x for _, s in own for x in s]
-                labels = [",".join(sorted({phrases[t][1] for t in ts})) for ts in ([t for t, _ in own], places)]
-                score = min(1.0, max((weight[t] for t in places), default=0.0) / top)
+                starts = [x for t, s in places.items() if known[t].base for x in s]
+                labels = [",".join(sorted({known[t].label for t in places if not base or known[t].base})) for base in (True, False)]
+                score = max((index.likeness(found, t, s) for t, own in places.items() for s in own), default=0.0)
                 out.append((len(found), len(starts), min(starts, default=None), max(starts, default=None), *labels, score))
             columns = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:4]), *(pa.array(c, pa.string()) for c in columns[4:6]), pa.array(columns[6], pa.float64())], names=[*longs, *strings, "score"])
