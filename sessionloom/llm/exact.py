@@ -1,6 +1,6 @@
 """Exact dedup against immutable snapshots through static binary-fuse filters.
 
-A snapshot's keys (64-bit hashes of the normalised texts) are dealt to buckets; each bucket has one binary-fuse filter
+A snapshot's keys (the first 64 bits of the normalised texts' SHA-256 digests) are dealt to buckets; each bucket has one binary-fuse filter
 (8-bit fingerprints, three places a key), built once and kept as a table beside the snapshot's digests. Incoming keys meet
 the filter of their bucket: those it refuses are new for certain. Those it lets pass join the snapshot's exact rows.
 Duplicates inside the incoming batch are grouped apart. Only texts whose key occurs again are compared byte by byte: a second
@@ -16,10 +16,10 @@ give a row each; an empty table gives no rows; very long texts are one value eac
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,20 +104,27 @@ class FuseFilter:
         return found == _short(mixed)
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, digest string, key long, row_tag long) of every row; digest: SHA-256 of the text with A-Z lowered,
-    key: 64-bit hash of the same, row_tag: hash of the text as it is."""
-    text = F.col(text_col).cast("string")
-    digest = F.sha2(_normalised(text).cast("binary"), 256)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), digest.alias("digest"), _key(text).alias("key"), F.xxhash64(text).alias("row_tag"))
+def _digest(text: pa.Scalar) -> bytes:
+    """SHA-256 of a text with A-Z lowered; bytes.lower() lowers nothing else."""
+    return hashlib.sha256((text.as_py() or b"").lower()).digest()
 
 
-def _normalised(text: Column) -> Column:
-    return ascii_lower(F.coalesce(text, F.lit("")))
+def _keys(texts: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(_digest(x)[:8] for x in texts.cast(pa.binary())), ">i8").astype(np.int64)
 
 
-def _key(text: Column) -> Column:
-    return F.xxhash64(_normalised(text))
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, digest string, key long, row_tag long) of every row; digest: SHA-256 of the text with A-Z lowered,
+    key: its first eight bytes, row_tag: hash of the text as it is."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [_digest(x) for x in batch.column(1).cast(pa.binary())]
+            keys = np.frombuffer(b"".join(x[:8] for x in raw), ">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.hex() for x in raw], pa.string()), pa.array(keys), batch.column(2)], names=["doc_id", "digest", "key", "row_tag"])
+
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row_tag")).mapInArrow(work, "doc_id long, digest string, key long, row_tag long")
 
 
 def snapshot_filters(snapshot: DataFrame, buckets: int) -> DataFrame:
@@ -168,17 +175,18 @@ def new_rows(docs: DataFrame, snapshot: tuple[DataFrame, DataFrame, int], id_col
     passed = screened(keys, filters, buckets)
     held = keys.join(passed, "key", "left_semi").join(old.select("digest"), "digest", "left_semi")
     held = written(held.select("key", F.col("digest").alias("_digest")))
-    marked = docs.withColumn("_digest", F.sha2(_normalised(F.col(text_col).cast("string")).cast("binary"), 256))
-    sure, maybe = parted(marked, _key(F.col(text_col).cast("string")), held.select("key"))
-    return sure.unionByName(maybe.join(held.select("_digest"), "_digest", "left_anti").select(*sure.columns)).drop("_digest")
+    sure, maybe = parted(docs, held.select("key"), text_col=text_col)
+    digest = F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"), 256)
+    return sure.unionByName(maybe.withColumn("_digest", digest).join(held.select("_digest"), "_digest", "left_anti").select(*sure.columns))
 
 
 #: Keys that a broadcast filter holds at most (about 1.2 bytes each).
 MOST_SENT = 40_000_000
 
 
-def passing(keys: DataFrame) -> Callable[[Column], Column] | None:
-    """A test of whether a key may be in ``keys``: no key is missed, one in 256 others passes. None beyond MOST_SENT keys."""
+def passing(keys: DataFrame) -> Callable[[np.ndarray], np.ndarray] | None:
+    """A test, for use in tasks, of whether int64 keys may be in ``keys``: no key is missed, one in 256 others passes. None
+    beyond MOST_SENT keys."""
     number = keys.count()
     if number > MOST_SENT:
         return None
@@ -186,8 +194,7 @@ def passing(keys: DataFrame) -> Callable[[Column], Column] | None:
     rows = snapshot_filters(keys, buckets).toArrow().to_pylist()
     shared = keys.sparkSession.sparkContext.broadcast({r["bucket"]: r for r in rows})
 
-    def passes(column: pd.Series) -> pd.Series:
-        own = column.to_numpy(np.int64)
+    def passes(own: np.ndarray) -> np.ndarray:
         bucket = np.mod(own, buckets)
         out = np.zeros(len(own), bool)
         for at in np.unique(bucket):
@@ -196,19 +203,29 @@ def passing(keys: DataFrame) -> Callable[[Column], Column] | None:
                 made = FuseFilter(row["seed"], row["segment"], row["count"], np.frombuffer(row["bits"], np.uint8))
                 inside = bucket == at
                 out[inside] = made.passes(own[inside].view(np.uint64))
-        return pd.Series(out)
+        return out
+
+    return passes
+
 
-    return F.pandas_udf(passes, "boolean")
+def sifted(rows: DataFrame, passes: Callable[[np.ndarray], np.ndarray], wanted: bool, key_col: str | None = None, text_col: str = "text") -> DataFrame:
+    """The rows whose key passes, or does not. The key is ``key_col`` or, without one, that of the normalised text."""
 
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(key_col).to_numpy(zero_copy_only=False) if key_col else _keys(batch.column(text_col).cast(pa.string()))
+            yield batch.filter(pa.array(passes(keys) == wanted))
 
-def parted(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``rows`` in two: those whose key is not in ``keys`` for certain, and the others. The first part is empty where the keys
-    outgrow a broadcast."""
+    return rows.mapInArrow(sift, rows.schema)
+
+
+def parted(rows: DataFrame, keys: DataFrame, key_col: str | None = None, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose key is not in ``keys`` for certain, and the others (written, as they are few and read more than
+    once). The first part is empty where the keys outgrow a broadcast."""
     passes = passing(keys)
     if passes is None:
         return rows.where("false"), rows
-    marked = rows.withColumn("_may", passes(key))
-    return marked.where("not _may").drop("_may"), marked.where("_may").drop("_may")
+    return sifted(rows, passes, False, key_col, text_col), written(sifted(rows, passes, True, key_col, text_col))
 
 
 def _prints(docs: DataFrame, snapshot_below: int | None, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Column]:
@@ -230,19 +247,19 @@ def _prints(docs: DataFrame, snapshot_below: int | None, id_col: str, text_col:
 
 
 def _grouped(docs: DataFrame, prints: DataFrame, double: DataFrame, inside: Column, id_col: str, text_col: str) -> DataFrame:
-    """(text_sha256, text_key, keep_id, group_size) of the groups of two or more equal texts."""
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _normalised(text).alias("text"))
+    """(text_sha256, keep_id, group_size) of the groups of two or more equal texts."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     passes = passing(double)
     if passes is None:
         wanted = prints.join(double, "key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
         rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     else:
-        rows = rows.where(passes(F.xxhash64("text")))
+        rows = sifted(rows, passes, True)
+    rows = rows.withColumn("text", ascii_lower(F.coalesce("text", F.lit(""))))
     # Equal texts of a task are one row from here on.
     parts = rows.groupBy("text", inside.alias("inside")).agg(F.count("*").alias("n"), F.max("doc_id").alias("top"))
     groups = parts.groupBy("text").agg(F.sum("n").alias("group_size"), F.max("top").alias("keep_id")).where("group_size > 1")
-    return groups.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.xxhash64("text").alias("text_key"), "keep_id", "group_size")
+    return groups.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
 
 
 def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,7 +269,7 @@ def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str
     the middle of the id range, so that either is about half).
     """
     prints, double, inside = _prints(docs, snapshot_below, id_col, text_col)
-    groups = _grouped(docs, prints, double, inside, id_col, text_col).drop("text_key")
+    groups = _grouped(docs, prints, double, inside, id_col, text_col)
     out = prints.withColumnRenamed("digest", "text_sha256").join(groups, "text_sha256", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256", "row_tag")
@@ -262,12 +279,13 @@ def keep_last(docs: DataFrame) -> DataFrame:
     """One row (all its columns) of each group of equal texts in ``docs``: that with the largest doc_id (null ids last), then
     the smallest hash of the row. Rows whose text has no copy stay in their task."""
     prints, double, inside = _prints(docs, None, "doc_id", "text")
-    groups = written(_grouped(docs, prints, double, inside, "doc_id", "text").select(F.col("text_sha256").alias("_digest"), F.col("text_key").alias("key"), F.col("keep_id").alias("_keep")))
-    text = F.col("text").cast("string")
-    sure, maybe = parted(docs, _key(text), groups.select("key"))
-    maybe = maybe.withColumn("_digest", F.sha2(_normalised(text).cast("binary"), 256))
+    groups = written(_grouped(docs, prints, double, inside, "doc_id", "text").select(F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep")))
+    keys = F.conv(F.substring("_digest", 1, 16), 16, -10).cast("long")
+    sure, maybe = parted(docs, groups.select(keys.alias("key")))
+    digest = F.sha2(ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary"), 256)
+    maybe = maybe.withColumn("_digest", digest)
     lone = maybe.join(groups.select("_digest"), "_digest", "left_anti")
-    best = maybe.join(groups.drop("key"), "_digest").where(F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")))
+    best = maybe.join(groups, "_digest").where(F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")))
     # Minima combine before the shuffle, so rows that repeat id and text are one row a task.
     first = best.groupBy("_digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
     return sure.union(lone.select(*docs.columns)).union(first.select("_row.*"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, pieces_of, written
-from .exact import parted, passing
+from .exact import parted, passing, sifted
 
 #: A cell is crowded, and split by SPLIT_BITS further bits while it has under MOST_BITS, if it holds over HOT fingerprints
 #: and over HOT_TIMES as many as the cells do on average: an ordinary load grows with the corpus and is no reason to split.
@@ -287,7 +287,7 @@ def near_copies(docs: DataFrame, words: int = 5, radius: int = 6, least: float =
     edges = links(reps, radius).union(prints.join(reps, "fp").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     groups = written(components(edges).select(F.col("node").alias("tag"), F.col("component").alias("grp")))
     passes = passing(groups.select(F.col("tag").alias("key")))
-    rows = docs if passes is None else docs.where(passes(F.col("tag")))
+    rows = docs if passes is None else sifted(docs, passes, True, "tag")
     texts = rows.join(groups, "tag").groupBy("tag", "grp").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
     left, gone = written(_gram_sets(texts, words)), []
     order = (F.col("doc_id").isNull(), "doc_id", "tag")
@@ -322,9 +322,8 @@ def keep_first(docs: DataFrame, words: int = 5, radius: int = 6, least: float =
     again = written(rows.groupBy("tag").count().where("count > 1").select("tag"))
     gone = written(near_copies(rows, words, radius, least))
     touched = gone.union(again)
-    sure, maybe = parted(docs, tag, touched.select(F.col("tag").alias("key")))
-    maybe = maybe.withColumn("_tag", tag)
-    out = sure.union(maybe.join(touched.withColumnRenamed("tag", "_tag"), "_tag", "left_anti").select(*docs.columns))
+    sure, maybe = parted(docs.withColumn("_tag", tag), touched.select(F.col("tag").alias("key")), "_tag")
+    out = sure.drop("_tag").union(maybe.join(touched.withColumnRenamed("tag", "_tag"), "_tag", "left_anti").select(*docs.columns))
     if again.isEmpty():
         return out
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
