@@ -43,7 +43,7 @@ HOT, HOT_TIMES, SPLIT_BITS, MOST_BITS = 50_000, 4, 6, 44
 #: Fingerprints over the number of cells, at most: a cell's rows are so many times the flips that reach it.
 CELL_ROWS = 30_000
 #: Variants that one slice of a cell holds at most, about (32 bytes each, and as much again for the order), and fingerprints that are compared pair by pair.
-SLICE, LEAF = 1_000_000, 24
+SLICE, LEAF = 500_000, 24
 #: Shingles of a group of candidates that one task compares, the texts that a round takes from larger groups, and how their rest is salted.
 GROUP_GRAMS, HEADS, SALTS = 1_000_000, 64, 16
 SHINGLES_AT_ONCE = 200_000
@@ -128,6 +128,16 @@ def _open(root: np.ndarray, owner: np.ndarray, cell: np.ndarray) -> tuple[np.nda
     return order[kept], np.repeat(size, size)[kept]
 
 
+def _settled(root: np.ndarray, fps: np.ndarray, radius: int, value: np.ndarray, left: np.ndarray, owner: np.ndarray, cell: np.ndarray, free: int) -> list[tuple]:
+    """Settles the cells that can be settled; the others' rows, sorted by cell, as a list of one block or none."""
+    kept, size = _open(root, owner, cell)
+    few = size <= LEAF if free else np.ones(len(size), bool)
+    # Where all bits are dealt, a cell is one variant: its fingerprints are all near each other, and a chain connects them.
+    _near(root, fps, owner[kept[few]], cell[kept[few]], radius, LEAF if free else 1)
+    rest = kept[~few]
+    return [(value[rest], left[rest], owner[rest], cell[rest], free)] if len(rest) else []
+
+
 def _connected(value: np.ndarray, left: np.ndarray, fps: np.ndarray, free: int, radius: int) -> np.ndarray:
     """For each fingerprint of one cell the smallest row that common variants in this cell connect it with."""
     root = np.arange(len(fps))
@@ -135,26 +145,19 @@ def _connected(value: np.ndarray, left: np.ndarray, fps: np.ndarray, free: int,
         turned = fps << np.uint64(turn) | fps >> np.uint64((64 - turn) % 64)
         order = np.argsort(turned)
         _near(root, fps, order, np.zeros(len(order), np.int8), radius, 2)
-    stack = [(value, left, np.arange(len(fps)), np.zeros(len(fps), np.int64), free)]
+    stack = _settled(root, fps, radius, value, left.astype(np.int8), np.arange(len(fps), dtype=np.int32), np.zeros(len(fps), np.int64), free)
     while stack:
         value, left, owner, cell, free = stack.pop()
-        kept, size = _open(root, owner, cell)
-        value, left, owner, cell = value[kept], left[kept], owner[kept], cell[kept]
-        few = size <= LEAF if free else np.ones(len(size), bool)
-        # Where all bits are dealt, a cell is one variant: its fingerprints are all near each other, and a chain connects them.
-        _near(root, fps, owner[few], cell[few], radius, LEAF if free else 1)
-        value, left, owner, cell = (x[~few] for x in (value, left, owner, cell))
-        if not len(value):
-            continue
         bits = min(4, free)
-        grown = np.cumsum(np.array([1, 5, 11, 15, 16])[np.minimum(left, 4)])
         fresh = np.r_[True, np.diff(cell) != 0]
         number = np.cumsum(fresh) - 1
-        part = (grown // SLICE)[np.flatnonzero(fresh)][number]
-        for at in np.split(np.arange(len(value)), np.flatnonzero(np.diff(part)) + 1):
-            dealt = [(at[row], moved, rest, number[at[row]] << bits | nibble) for row, moved, rest, nibble in _split(value[at], left[at], free, bits)]
-            row, moved, rest, nibble = (np.concatenate(x) for x in zip(*dealt, strict=True))
-            stack.append((moved, rest, owner[row], nibble, free - bits))
+        part = (np.cumsum(np.array([1, 5, 11, 15, 16])[np.minimum(left, 4)]) // SLICE)[np.flatnonzero(fresh)][number]
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        if len(cuts):  # too much at once: cells are dealt on slice by slice, so that the stack holds few variants
+            stack += [tuple(x[i:j].copy() for x in (value, left, owner, cell)) + (free,) for i, j in zip([0, *cuts], [*cuts, len(cell)], strict=True)]
+            continue
+        row, moved, rest, nibble = (np.concatenate(x) for x in zip(*_split(value, left, free, bits), strict=True))
+        stack += _settled(root, fps, radius, moved, rest.astype(np.int8), owner[row], number[row] << bits | nibble, free - bits)
     return root
 
 
