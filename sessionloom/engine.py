@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -46,6 +49,8 @@ class Options:
     root: str | None = None
     repo_bound: bool = False
     form_tokens: int = 25_000
+    chain: bool = True
+    most: int | None = None
 
 
 def analyse(entries: DataFrame, options: Options | None = None, compressor: Compressor = deterministic) -> dict[str, DataFrame]:
@@ -87,20 +92,49 @@ def distill(spark: SparkSession, roots: list[discovery.Root], options: Options |
 
         sessions = under(sessions, o.root)
         entries = entries.join(sessions.select("session_key"), "session_key", "left_semi")
+    if o.most is not None:
+        sessions = written(sessions.orderBy("started_at", "session_key").limit(o.most))
+        entries = entries.join(sessions.select("session_key"), "session_key", "left_semi")
     entries, sessions = written(entries), written(sessions)  # the logs are parsed once; every table below reads these
     out = {"entries": entries, "sessions": sessions} | analyse(entries, o)
     paths = out["ledger"].groupBy("session_key").agg(F.collect_set("path").alias("paths"))
     mains = sessions.where("role = 'main'").join(paths, "session_key", "left").withColumns({"paths": F.coalesce("paths", F.array().cast("array<string>")), "started_at": F.try_to_timestamp("started_at"), "ended_at": F.try_to_timestamp("ended_at"), "first_parent": F.col("leaf_uuid")})
-    out["chains"] = chains.chains(mains, o.tight_ms, o.loose_ms)
+    # One run has one root, and all its sessions are one line; without a root each working directory is a project.
+    mains = mains.withColumn("project", F.lit(o.root) if o.root else F.coalesce("cwd", F.lit("")))
+    chained = written(chains.chains(mains, o.tight_ms, o.loose_ms) if o.chain else chains.chains(mains.withColumn("first_parent", F.lit(None).cast("string")), -1, -1))
+    out["chains"] = chained.join(sessions.select("session_key", "source"), "session_key")
     shown = out["traces"]
     if o.repo_bound:
         shown = shown.withColumn("markdown", T.repo_bound(F.col("markdown"), o.root))
-    named = shown.join(sessions.select("session_key", "session_id", "started_at", "title"), "session_key")
+    names = sessions.select("session_key", "session_id", "started_at", "title")
+    named = shown.join(names, "session_key")
     named = named.withColumn("base", T.trace_file_name(F.col("started_at"), F.array("session_id"), F.col("title")))
     out["traces"] = work.unique_names(named, "base", "session_key").drop("base")
+
+    subs = sessions.where("role = 'subagent'").select("session_key", F.col("parent_thread_id").alias("parent_id")).join(sessions.select(F.col("session_id").alias("parent_id"), F.col("session_key").alias("parent_key")), "parent_id").drop("parent_id")
+    whole = render.chain_traces(shown, chained, subs, sessions.select("session_key", "log_lines", "requests", "input", "output", "cache_read", "cache_write"))
+    first = chained.where("session_index = 1").join(names, "session_key").select("project", "chain", F.col("started_at").alias("first_start"), F.col("title").alias("first_title"))
+    ids = chained.join(names, "session_key").groupBy("project", "chain").agg(F.transform(F.sort_array(F.collect_list(F.struct("session_index", "session_id"))), lambda x: x["session_id"]).alias("session_ids"))
+    whole = whole.join(first, ["project", "chain"]).join(ids, ["project", "chain"]).withColumn("base", T.trace_file_name(F.col("first_start"), F.col("session_ids"), F.col("first_title")))
+    out["chain_traces"] = work.unique_names(whole, "base", "chain").drop("base", "first_start", "first_title", "session_ids")
     return out
 
 
+def write_markdown(traces: DataFrame, out: str) -> None:
+    """Each trace (file_name, markdown) as a file below ``out``, a folder that driver and executors share. A file is complete or
+    not there, and a task that runs again writes it again."""
+
+    def write_part(rows: Iterator[Row]) -> None:
+        os.makedirs(out, exist_ok=True)
+        for row in rows:
+            held = f"{out}/.{row.file_name}.{uuid.uuid4().hex}"
+            with open(held, "w", encoding="utf-8") as f:
+                f.write(row.markdown)
+            os.replace(held, f"{out}/{row.file_name}")
+
+    traces.select("file_name", "markdown").foreachPartition(write_part)
+
+
 def write(tables: dict[str, DataFrame], out: str) -> None:
     """Each table as Parquet below ``out``."""
     for name, df in tables.items():

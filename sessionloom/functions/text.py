@@ -134,21 +134,24 @@ def tombstone(size: Column, lines: Column, digest: Column, line: Column) -> Colu
     return F.concat(F.lit("…⟨"), format_bytes(size), F.format_string(", %d ln, #", lines), digest, F.format_string(", @L%d⟩", line))
 
 
-def _points(text: Column) -> Column:
-    """Code points of a text, empty for the empty one."""
-    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("bigint"))
+def _units(text: Column) -> Column:
+    """UTF-16 units of a text: one for each code point, two for those beyond the basic plane."""
+    points = F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c).cast("bigint"))
+    over = lambda c: c - F.lit(65536)
+    pair = lambda c: F.array(F.lit(0xD800).cast("bigint") + F.floor(over(c) / F.lit(1024)), F.lit(0xDC00).cast("bigint") + F.pmod(over(c), F.lit(1024)))
+    return F.flatten(F.transform(points, lambda c: F.when(c < F.lit(65536), F.array(c)).otherwise(pair(c))))
 
 
 def quote_id(text: Column) -> Column:
-    """q and six hexadecimal digits of the 32-bit FNV-1a over the squashed text."""
-    fold = F.aggregate(_points(squashed(text)), F.lit(2166136261).cast("bigint"), lambda h, c: (h.bitwiseXOR(c) * F.lit(16777619)).bitwiseAND(F.lit(4294967295)))
+    """q and six hexadecimal digits of the 32-bit FNV-1a over the UTF-16 units of the squashed text."""
+    fold = F.aggregate(_units(squashed(text)), F.lit(2166136261).cast("bigint"), lambda h, c: (h.bitwiseXOR(c) * F.lit(16777619)).bitwiseAND(F.lit(4294967295)))
     return F.concat(F.lit("q"), F.substring(F.lpad(F.lower(F.hex(fold)), 8, "0"), 1, 6))
 
 
 def slice_hash(text: Column) -> Column:
-    """Two 32-bit lanes over the text, in hexadecimal without padding."""
+    """Two 32-bit lanes over the UTF-16 units of the text, in hexadecimal without padding."""
     mask = F.lit(4294967295)
-    numbered = F.transform(_points(text), lambda c, i: F.struct(c.alias("c"), (i + F.lit(1)).cast("bigint").alias("i")))
+    numbered = F.transform(_units(text), lambda c, i: F.struct(c.alias("c"), (i + F.lit(1)).cast("bigint").alias("i")))
     start = F.struct(F.lit(0x811C9DC5).cast("bigint").alias("a"), F.lit(0x1000193).cast("bigint").alias("b"))
 
     def step(s: Column, x: Column) -> Column:

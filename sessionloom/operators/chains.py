@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 TIGHT_MS, LOOSE_MS = 300_000, 2_700_000
 
 
-def linked_sessions(sessions: DataFrame, tight_ms: int = TIGHT_MS, loose_ms: int = LOOSE_MS, within: str | None = None) -> DataFrame:
+def linked_sessions(sessions: DataFrame, tight_ms: int = TIGHT_MS, loose_ms: int = LOOSE_MS, within: str = "project") -> DataFrame:
     """Adds reason: how a session continues the one before it, or null.
 
     sessions: session_key, source, started_at and ended_at (timestamps), paths array<string>, first_parent, last_uuid (the last
     two may be null). A pointer to the last entry of the session before decides first, then, in one source, the gap: tight, or
-    loose with a common file. Overlapping sessions never chain by time. ``within`` keeps chains inside a column's groups; the order
-    is by start, as a session's predecessor is always the session just before.
+    loose with a common file. Overlapping sessions never chain by time. ``within`` is the column of the project: all its
+    sessions, of whatever source, are one line by start, and a session's predecessor is always the one just before.
     """
-    group = [within] if within else ["source"]
-    line = Window.partitionBy(*group).orderBy("started_at", "session_key")
+    line = Window.partitionBy(within).orderBy("started_at", "session_key")
     before = lambda c: F.lag(c).over(line)
     gap = (F.unix_micros(F.col("started_at")) - F.unix_micros(before("ended_at"))) / F.lit(1000)
     reason = (
@@ -27,13 +26,12 @@ def linked_sessions(sessions: DataFrame, tight_ms: int = TIGHT_MS, loose_ms: int
     return sessions.withColumn("reason", reason)
 
 
-def chains(sessions: DataFrame, tight_ms: int = TIGHT_MS, loose_ms: int = LOOSE_MS, within: str | None = None) -> DataFrame:
-    """(group, chain, session_key, session_index, reason): chains numbered in their group, sessions in their chain."""
-    group = within or "source"
-    line = Window.partitionBy(group).orderBy("started_at", "session_key")
+def chains(sessions: DataFrame, tight_ms: int = TIGHT_MS, loose_ms: int = LOOSE_MS, within: str = "project") -> DataFrame:
+    """(within, chain, session_key, session_index, reason): chains numbered in their project, sessions in their chain."""
+    line = Window.partitionBy(within).orderBy("started_at", "session_key")
     marked = linked_sessions(sessions, tight_ms, loose_ms, within).withColumn("chain", F.sum(F.when(F.col("reason").isNull(), 1).otherwise(0)).over(line))
-    place = Window.partitionBy(group, "chain").orderBy("started_at", "session_key")
-    return marked.select(F.col(group), "chain", "session_key", F.row_number().over(place).cast("bigint").alias("session_index"), "reason")
+    place = Window.partitionBy(within, "chain").orderBy("started_at", "session_key")
+    return marked.select(F.col(within), "chain", "session_key", F.row_number().over(place).cast("bigint").alias("session_index"), "reason")
 
 
 def chain_reasons(chained: DataFrame, group: str) -> DataFrame:
@@ -47,3 +45,17 @@ def chain_reasons(chained: DataFrame, group: str) -> DataFrame:
 def subagents(subs: DataFrame, chained: DataFrame, group: str) -> DataFrame:
     """Sub-agent sessions (session_key, parent_key) with the chain of their parent."""
     return subs.join(chained.select(group, "chain", F.col("session_key").alias("parent_key"), F.col("session_index").alias("parent_index")), "parent_key")
+
+
+def chain_stats(chained: DataFrame, stats: DataFrame, group: str) -> DataFrame:
+    """(group, chain, sessions, ...): the sums of all number columns of ``stats(session_key, ...)`` over each chain."""
+    numbers = [c for c, kind in stats.dtypes if kind in ("int", "bigint", "double")]
+    rows = chained.select(group, "chain", "session_key").join(stats.select("session_key", *numbers), "session_key")
+    return rows.groupBy(group, "chain").agg(F.count("*").alias("sessions"), *(F.sum(c).alias(c) for c in numbers))
+
+
+def session_lines(chained: DataFrame, group: str) -> DataFrame:
+    """(group, chain, session_key, session_index, before_key, line): each session of a chain as a line of the chain's list."""
+    line = Window.partitionBy(group, "chain").orderBy("session_index")
+    text = F.concat(F.format_string("- s%d · ", "session_index"), "session_key", F.when(F.col("reason").isNull(), "").otherwise(F.concat(F.lit(" · "), "reason")))
+    return chained.select(group, "chain", "session_key", "session_index", F.lag("session_key").over(line).alias("before_key"), text.alias("line"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import blocks as B
+from . import chains as H
 from . import facts as A
 
 
@@ -43,6 +44,30 @@ def traces(entries: DataFrame, files_shown: int = 20) -> DataFrame:
     return made.select("session_key", F.col("status").alias("verdict"), F.ceil(F.col("chars") / F.lit(4.0)).cast("bigint").alias("log_tokens"), "trace_tokens", T.compression_ratio(F.col("chars"), F.col("trace_tokens")).alias("ratio"), "markdown")
 
 
+def chain_traces(traced: DataFrame, chained: DataFrame, subs: DataFrame, stats: DataFrame, group: str = "project") -> DataFrame:
+    """(group, chain, session_keys, markdown, and the sums of ``stats``): one document a chain.
+
+    Header with the sums over the chain, list of sessions, sub-agents (``subs(session_key, parent_key)``) under the session that started them,
+    then the traces of the sessions in order. A chain's document is one row, as large as its compressed logs.
+    """
+    listed = H.session_lines(chained, group)
+    agents = H.subagents(subs, chained, group).withColumn("line", F.concat(F.lit("- "), "session_key", F.format_string(" · of s%d", "parent_index")))
+    agents = agents.groupBy(group, "chain").agg(_in_order("parent_index", "line").alias("agents"))
+    body = listed.join(traced.select("session_key", "markdown"), "session_key")
+    body = body.withColumn("part", F.concat(F.format_string("\n# Session s%d\n\n", "session_index"), "markdown"))
+    made = body.groupBy(group, "chain").agg(_in_order("session_index", "line").alias("lines"), _in_order("session_index", "part").alias("parts"), F.transform(F.sort_array(F.collect_list(F.struct("session_index", "session_key"))), lambda x: x["session_key"]).alias("session_keys"))
+    sums = H.chain_stats(chained, stats, group)
+    made = made.join(sums, [group, "chain"], "left").join(agents, [group, "chain"], "left")
+    figures = F.concat_ws("\n", *(F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c), F.lit(0)).cast("string")) for c in sums.columns if c not in (group, "chain")))
+    front = F.concat(F.format_string("---\nchain: %d\n", "chain"), figures, F.lit("\n---\n"))
+    text = F.concat(front, _section("Sessions", F.col("lines")), _section("Sub-agents", F.coalesce("agents", F.lit(""))), "parts")
+    return made.select(group, "chain", "session_keys", text.alias("markdown"), *(c for c in sums.columns if c not in (group, "chain")))
+
+
+def _in_order(order: str, line: str) -> Column:
+    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, line))), lambda x: x[line]), "\n")
+
+
 def turn_prompts(entries: DataFrame, turned: DataFrame) -> DataFrame:
     """(session_key, turn_index, prompt): the text from which a turn is compressed; results of large turns are cut harder."""
     size = turned.groupBy("session_key", "turn_index").agg(F.sum("tokens").alias("all_tokens"))

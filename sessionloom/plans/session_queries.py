@@ -110,10 +110,10 @@ def result_owners(spark, d):
     return A.result_owners(_events(spark, d)).select("session_key", "seq", "tool_call_id", "tool_name")
 
 
-@query(f"{_E} SELECT session_key, tool_call_id, log_line FROM entries e WHERE kind = 'tool_call' AND seq % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM entries r WHERE r.kind = 'tool_result' AND r.seq % 5 <> 0 AND r.session_key = e.session_key AND r.tool_call_id = e.tool_call_id)")
+@query(f"{_E} SELECT session_key, tool_call_id, log_line FROM entries e WHERE kind = 'tool_call' AND NOT EXISTS (SELECT 1 FROM entries r WHERE r.kind = 'tool_result' AND r.session_key = e.session_key AND CASE WHEN r.seq % 5 = 0 THEN 'lost-' || r.tool_call_id ELSE r.tool_call_id END = e.tool_call_id)")
 def unanswered_calls(spark, d):
-    e = _events(spark, d)
-    return A.unanswered_calls(e.where("kind = 'tool_call' and seq % 7 <> 0 or kind = 'tool_result' and seq % 5 <> 0"))
+    lost = (F.col("kind") == "tool_result") & (F.col("seq") % 5 == 0)
+    return A.unanswered_calls(_events(spark, d).withColumn("tool_call_id", F.when(lost, F.concat(F.lit("lost-"), "tool_call_id")).otherwise(F.col("tool_call_id"))))
 
 
 @query(f"{_E} SELECT session_key, tool_call_id, log_line FROM entries WHERE kind = 'tool_result' AND tool_call_id = ''")
@@ -317,7 +317,21 @@ def chain_reasons(spark, d):
     return H.chain_reasons(_chained(spark, d), "user_id")
 
 
-@query(f"{_LINKED} SELECT p.event_id::VARCHAR AS session_key, x.user_id, x.chain, x.session_key AS parent_key, x.session_index AS parent_index FROM events p JOIN x ON x.session_key = (p.event_id // 3)::VARCHAR WHERE p.event_id % 5 = 0")
+@query(f"{_LINKED} SELECT p.event_id::VARCHAR AS session_key, x.user_id, x.chain, x.session_key AS parent_key, x.session_index AS parent_index FROM events p JOIN x ON x.session_key = (p.event_id // 3)::VARCHAR")
 def subagent_parents(spark, d):
-    subs = spark.read.parquet(f"{d}/events.parquet").where("event_id % 5 = 0").select(F.col("event_id").cast("string").alias("session_key"), F.floor(F.col("event_id") / 3).cast("string").alias("parent_key"))
+    subs = spark.read.parquet(f"{d}/events.parquet").select(F.col("event_id").cast("string").alias("session_key"), F.floor(F.col("event_id") / 3).cast("string").alias("parent_key"))
     return H.subagents(subs, _chained(spark, d), "user_id")
+
+
+@query(f"""{_LINKED}, n AS (SELECT event_id::VARCHAR AS session_key, (props::JSON->>'$.k')::BIGINT AS requests, (event_type = 'error')::BIGINT AS errors FROM events)
+SELECT user_id, chain, count(*) AS sessions, sum(requests)::BIGINT AS requests, sum(errors)::BIGINT AS errors FROM x JOIN n USING (session_key) GROUP BY user_id, chain""")
+def chain_stats(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    stats = e.select(F.col("event_id").cast("string").alias("session_key"), F.get_json_object("props", "$.k").cast("bigint").alias("requests"), (F.col("event_type") == "error").cast("bigint").alias("errors"))
+    return H.chain_stats(_chained(spark, d), stats, "user_id")
+
+
+@query(f"""{_LINKED} SELECT user_id, chain, session_key, session_index, lag(session_key) OVER (PARTITION BY user_id, chain ORDER BY session_index) AS before_key,
+ '- s' || session_index || ' · ' || session_key || CASE WHEN reason IS NULL THEN '' ELSE ' · ' || reason END AS line FROM x""")
+def chain_sessions(spark, d):
+    return H.session_lines(_chained(spark, d), "user_id")

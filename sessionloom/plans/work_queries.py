@@ -221,7 +221,7 @@ def parse_job_ids(spark, d):
     return _ev(spark, d).select("event_id", F.coalesce(p["layer"], F.lit("none")).alias("layer"), F.coalesce(p["session_key"], F.lit("")).alias("session_key"), F.coalesce(p["window_index"], F.lit(-1)).alias("window_index"))
 
 
-@query(r"""WITH i AS (SELECT doc_id, trim(regexp_replace(lower(left(text, 6)), '\s+', ' ', 'g')) AS norm_title, left(text, 6) AS title, left(text, 40) AS description, source, CASE WHEN doc_id % 2 = 0 THEN 'strategy' ELSE 'guardrail' END AS polarity FROM documents)
+@query(r"""WITH i AS (SELECT doc_id, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm_title, text AS title, text AS description, source, CASE WHEN doc_id % 2 = 0 THEN 'strategy' ELSE 'guardrail' END AS polarity FROM documents)
 SELECT norm_title, source AS subject0, arg_min(title, doc_id) AS title, arg_min(description, doc_id) AS description, arg_min(description, doc_id) AS content, arg_min(polarity, doc_id) AS polarity, count(*) AS evidence, min(doc_id) AS first_seen, max(doc_id) AS last_seen, CASE WHEN count(*) >= 3 THEN 'confirmed' ELSE 'candidate' END AS status FROM i GROUP BY ALL""")
 def bank_merge(spark, d):
     return K.merge_bank(_items(spark, d))
@@ -237,8 +237,7 @@ def bank_index(spark, d):
 
 def _items(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    head = F.left("text", F.lit(40))
-    return docs.select(F.left("text", F.lit(6)).alias("title"), head.alias("description"), head.alias("content"), F.when(F.col("doc_id") % 2 == 0, "strategy").otherwise("guardrail").alias("polarity"), F.array("source").alias("subject"), F.col("doc_id").alias("seen"), F.col("doc_id").alias("seq"))
+    return docs.select(F.col("text").alias("title"), F.col("text").alias("description"), F.col("text").alias("content"), F.when(F.col("doc_id") % 2 == 0, "strategy").otherwise("guardrail").alias("polarity"), F.array("source").alias("subject"), F.col("doc_id").alias("seen"), F.col("doc_id").alias("seq"))
 
 
 @query("""WITH c AS (SELECT conv_id, count(*) AS n, count(*) FILTER (role = 'user') AS u, count(*) FILTER (role = 'system') AS s, sum(length(text))::BIGINT AS ch FROM conversations GROUP BY conv_id)
@@ -257,10 +256,10 @@ def first_per_path(spark, d):
     return K.first_per_path(rows, "event_id").withColumn("log_file", F.substring_index("log_file", "/", -1))
 
 
-@query(rf"""WITH n AS (SELECT doc_id, {_SLUG.format('left(text, 3)', 40)} || '.md' AS base FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY doc_id) AS n FROM n)
+@query(rf"""WITH n AS (SELECT doc_id, {_SLUG.format('text', 40)} || '.md' AS base FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY doc_id) AS n FROM n)
 SELECT doc_id, CASE WHEN n = 1 THEN base ELSE left(base, length(base) - 3) || '-' || n || '.md' END AS file_name FROM r""")
 def unique_names(spark, d):
-    names = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.concat(F.rtrim(F.left(F.btrim(F.regexp_replace(F.lower(F.left("text", F.lit(3))), "[^a-z0-9]+", "-"), F.lit("-")), F.lit(40)), F.lit("-")), F.lit(".md")).alias("base"))
+    names = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.concat(F.rtrim(F.left(F.btrim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", "-"), F.lit("-")), F.lit(40)), F.lit("-")), F.lit(".md")).alias("base"))
     return K.unique_names(names, "base", "doc_id").select("doc_id", "file_name")
 
 

@@ -321,7 +321,7 @@ def sessions(lines: DataFrame, source: str) -> DataFrame:
     made = _stamped(lines, source).groupBy("log_file").agg(
         (first if source == "codex" else last)(a.session_id(raw)).alias("_id"), (last if source == "pi" else first)(a.cwd(raw)).alias("cwd"), (first if source in ("kimi", "minimax") else last)(a.model(raw)).alias("model"),
         F.coalesce(last(_get(raw, "aiTitle")), first(a.title(raw))).alias("title"), F.min(known).alias("started_at"), ended.alias("ended_at"), F.count(_get(raw, paths[0])).alias("requests"), *(number(p).alias(n) for p, n in zip(paths, ("input", "output", "cache_read", "cache_write"), strict=True)),
-        first(F.when(_get(raw, "type") == "session_meta", _get(raw, "payload.source.subagent.thread_spawn.parent_thread_id"))).alias("parent_thread_id"), last(_get(raw, "uuid")).alias("last_uuid"), last(_get(raw, "leafUuid")).alias("leaf_uuid"),
+        first(F.when(_get(raw, "type") == "session_meta", _get(raw, "payload.source.subagent.thread_spawn.parent_thread_id"))).alias("parent_thread_id"), last(_get(raw, "uuid")).alias("last_uuid"), F.coalesce(last(_get(raw, "leafUuid")), first(_get(raw, "logicalParentUuid"))).alias("leaf_uuid"),
     )
     sizes = lines.groupBy("log_file").agg(F.max("log_line").alias("log_lines"), F.max("log_bytes").alias("log_bytes"))
     rows = sizes.join(made, "log_file", "left")

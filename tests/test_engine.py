@@ -34,9 +34,61 @@ def test_distill(spark, tmp_path):
     assert {r.status for r in made["verdicts"].collect()} == {"partial", "failure", "unknown"}
     shown = made["traces"].where("session_id = 's1'").first()
     assert "@L" not in shown.markdown and shown.file_name == "2024-05-01-s1-t.md"
+    engine.write_markdown(made["chain_traces"], str(tmp_path / "md"))
+    files = {x.name: x.read_text() for x in (tmp_path / "md").iterdir()}
+    assert len(files) == 1 and all(x.endswith(".md") for x in files)
+    chain = next(t for t in files.values() if "sessions: 2\n" in t)
+    assert chain.index("## Sessions") < chain.index("# Session s1") < chain.index("# Session s2") and "· time-gap" in chain
+    alone = engine.distill(spark, roots, engine.Options(chain=False))
+    assert alone["chain_traces"].count() == 2
+    assert engine.distill(spark, roots, engine.Options(most=1))["sessions"].count() == 1
     assert engine.distill(spark, roots, engine.Options(root="/nowhere"))["traces"].count() == 0
 
 
+def test_chain_traces_hold_sub_agents(spark):
+    from sessionloom.operators import render
+
+    traced = spark.createDataFrame([("a", "body a"), ("b", "body b"), ("c", "body c")], "session_key string, markdown string")
+    chained = spark.createDataFrame([("p", 1, "a", 1, None), ("p", 1, "b", 2, "time-gap"), ("p", 2, "c", 1, None)], "project string, chain long, session_key string, session_index long, reason string")
+    subs = spark.createDataFrame([("x", "b"), ("y", "gone")], "session_key string, parent_key string")
+    stats = spark.createDataFrame([("a", 3, 1), ("b", 4, 0), ("c", 5, 2)], "session_key string, requests long, errors long")
+    got = {r.chain: r for r in render.chain_traces(traced, chained, subs, stats).collect()}
+    assert got[1].session_keys == ["a", "b"] and (got[1].requests, got[1].errors, got[2].requests) == (7, 1, 5)
+    text = got[1].markdown
+    assert text.index("requests: 7") < text.index("- s2 · b · time-gap") < text.index("- x · of s2") < text.index("body a") < text.index("body b")
+    assert "Sub-agents" not in got[2].markdown
+
+
+def test_links_across_sources(spark):
+    from sessionloom.operators import chains
+    from pyspark.sql import functions as F
+
+    rows = [("a1", "a", 0, 1, None, "u1"), ("b1", "b", 2, 3, None, "u2"), ("a2", "a", 4, 5, None, "u3"), ("a3", "a", 6, 7, None, "u4"), ("b2", "b", 90_000, 90_001, "u4", "u5")]
+    made = spark.createDataFrame(rows, "session_key string, source string, s long, e long, first_parent string, last_uuid string")
+    made = made.select("*", F.timestamp_seconds("s").alias("started_at"), F.timestamp_seconds("e").alias("ended_at"), F.array(F.lit("f")).alias("paths"), F.lit("p").alias("project"))
+    got = {r.session_key: (r.chain, r.reason) for r in chains.chains(made).collect()}
+    assert got == {"a1": (1, None), "b1": (2, None), "a2": (3, None), "a3": (3, "time-gap"), "b2": (3, "leaf-uuid")}
+
+
+def test_utf16_units(spark):
+    from pyspark.sql import functions as F
+    from sessionloom.functions import text as T
+
+    def units(text):
+        raw = text.encode("utf-16-be")
+        return [int.from_bytes(raw[i : i + 2], "big") for i in range(0, len(raw), 2)]
+
+    def fold(text):
+        h = 2166136261
+        for u in units(" ".join(text.split())):
+            h = (h ^ u) * 16777619 & 0xFFFFFFFF
+        return "q" + f"{h:08x}"[:6]
+
+    texts = ["plain", "a😀b", "😀", "日本 \n 語", "", "x" * 50 + "🏳️‍🌈é"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.quote_id(F.col("t")).alias("q")).collect()
+    assert [(r.t, r.q) for r in rows] == [(t, fold(t)) for t in texts]
+
+
 def random_sessions(n):
     rng, rows = random.Random(5), []
     for s in range(n):
