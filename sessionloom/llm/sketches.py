@@ -12,6 +12,8 @@ the hash of their text; very long texts are one value each; columns of other nam
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -81,13 +83,8 @@ def _place(id_col: str, text_col: str) -> Column:
 
 def _constant(places: list[Row]) -> Column:
     """Places as an array that the optimiser folds to one constant."""
-    fields = F.split(F.lit(";".join(f"{int(p.known)},{p.id},{p.tag}" for p in places)), ";")
-
-    def parsed(x: Column) -> Column:
-        part = F.split(x, ",")
-        return F.struct((part[0] == F.lit("1")).alias("known"), part[1].cast("long").alias("id"), part[2].cast("long").alias("tag"))
-
-    return F.transform(fields, parsed)
+    listed = json.dumps([{"known": p.known, "id": p.id, "tag": p.tag} for p in places])
+    return F.from_json(F.lit(listed), "array<struct<known: boolean, id: bigint, tag: bigint>>")
 
 
 def _bounds(docs: DataFrame, id_col: str, text_col: str) -> tuple[list[Row], list[Row]]:
