@@ -1,8 +1,8 @@
-"""Checks of what a model says against what the log says: anchors, quotes, facts, coverage, contracts, forms."""
+"""Checks of what a model says against what the log says: anchors, quotes, facts, coverage, forms."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -103,30 +103,3 @@ def grouped_forms(turns: DataFrame, lines: DataFrame, actions: DataFrame) -> Dat
     tail = F.concat(F.lit("→ "), F.coalesce("action", F.lit("")))
     every = turns.join(text, ["session_key", "turn_index"], "left").join(actions, ["session_key", "turn_index"], "left")
     return every.select("session_key", "turn_index", *(F.concat_ws("\n", head, body, tail).alias(f"form{i}") for i, body in enumerate((F.col("full"), F.col("short"), F.lit(None).cast("string")))))
-
-
-def _errors(*tests: tuple[Column, str]) -> Column:
-    return F.array_join(F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(True)), F.lit(message)) for bad, message in tests))), "; ")
-
-
-def validate_pass1(value: Column, from_line: Column, to_line: Column) -> Column:
-    """Error messages of a compressed turn's JSON; empty if it is right."""
-    get = lambda p: F.get_json_object(value, f"$.{p}")
-    first, last = (get(f"anchor.{k}").try_cast("bigint") for k in ("fromLine", "toLine"))
-    return _errors(
-        (F.try_parse_json(value).isNull(), "not JSON"), ((first < from_line) | (first > to_line), "anchor.fromLine outside the turn"), ((last < first) | (last > to_line + 2), "anchor.toLine outside the turn"),
-        ((F.length(get("action")) == 0), "action missing"), (F.coalesce(F.length(get("action")), F.lit(0)) > 400, "action too long"),
-    )
-
-
-def validate_digest(value: Column) -> Column:
-    get = lambda p: F.get_json_object(value, f"$.{p}")
-    return _errors((F.try_parse_json(value).isNull(), "not JSON"), (F.length(get("goal")) == 0, "goal missing"), (F.coalesce(F.length(get("goal")), F.lit(0)) > 300, "goal too long"), (~F.startswith(get("hypotheses"), F.lit("[")), "hypotheses is no array"))
-
-
-def validate_pass2(value: Column, parity: bool = False) -> Column:
-    """Error messages of a session analysis; unless ``parity``, more than three items are an error too."""
-    get = lambda p: F.get_json_object(value, f"$.{p}")
-    items = F.json_array_length(get("items"))
-    tests = [(F.try_parse_json(value).isNull(), "not JSON"), (~F.startswith(get("arcs"), F.lit("[")), "arcs is no array"), (~get("verdict.status").isin("success", "partial", "failure", "unknown"), "verdict.status unknown"), (F.length(get("verdict.why")) == 0, "verdict.why missing"), (items.isNull(), "items is no array")]
-    return _errors(*tests, *([] if parity else [(F.coalesce(items, F.lit(0)) > 3, "more than three items")]))

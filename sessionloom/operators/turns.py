@@ -82,6 +82,14 @@ def quotes(entries: DataFrame, budget: int = TURN_BUDGET) -> DataFrame:
     return ranked.where("_r = 1").drop("_r", "seq")
 
 
+def slice_texts(entries: DataFrame, budget: int = TURN_BUDGET) -> DataFrame:
+    """(session_key, turn_index, slice, slice_hash): kind, line and text length of each entry of a turn, by which its record is known."""
+    said = F.when(F.col("kind").isin("user_text", "assistant_text", "assistant_thinking"), T.text_units(F.coalesce("text", F.lit("")))).otherwise(0)
+    marks = with_turns(entries, budget).select("session_key", "turn_index", F.struct("seq", F.concat_ws(":", "kind", F.col("log_line").cast("string"), said.cast("string")).alias("mark")).alias("m"))
+    joined = marks.groupBy("session_key", "turn_index").agg(F.array_join(F.transform(F.sort_array(F.collect_list("m")), lambda m: m["mark"]), "|").alias("slice"))
+    return joined.withColumn("slice_hash", T.slice_hash(F.col("slice")))
+
+
 def digest_carry(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """Adds carried: the last known value before the row."""
     before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -84,21 +84,33 @@ def parse_job_id(job: Column) -> Column:
     return F.when(job.rlike(p1), made("pass1", F.regexp_extract(job, p1, 1), F.regexp_extract(job, p1, 2).try_cast("bigint"))).when(job.rlike(p2), made("pass2", F.regexp_extract(job, p2, 1), F.lit(None).cast("bigint")))
 
 
+def _bank_key(items: DataFrame) -> DataFrame:
+    return items.withColumn("norm_title", T.normalize_title(F.col("title"))).withColumn("subject0", F.coalesce(F.get("subject", F.lit(0)), F.lit("general")))
+
+
 def merge_bank(items: DataFrame) -> DataFrame:
-    """Bank entries of items (title, description, content, polarity, subject, trace, seen, seq), one for each normalised title and first subject.
+    """Bank entries of items (title, description, content, polarity, subject, seen, seq), one for each normalised title and first subject.
 
-    The first item gives the texts, all give evidence; three or more confirm it. Items of an existing bank come in as rows too.
+    The first item gives the texts and all subjects; three or more confirm it. Entries of an existing bank come in as rows too, with
+    the evidence that they have in a column evidence; a row without it counts once.
     """
-    rows = items.withColumn("norm_title", T.normalize_title(F.col("title"))).withColumn("subject0", F.coalesce(F.get("subject", F.lit(0)), F.lit("general")))
-    return rows.groupBy("norm_title", "subject0").agg(
-        *(F.min_by(c, "seq").alias(c) for c in ("title", "description", "content", "polarity")), F.count("*").alias("evidence"), F.min("seen").alias("first_seen"), F.max("seen").alias("last_seen"),
-        F.when(F.count("*") >= 3, "confirmed").otherwise("candidate").alias("status"),
+    rows = _bank_key(items).withColumn("_n", F.coalesce("evidence", F.lit(1)) if "evidence" in items.columns else F.lit(1))
+    subjects = F.when(F.size("subject") > 0, F.col("subject")).otherwise(F.array(F.lit("general")))
+    return rows.withColumn("subjects", subjects).groupBy("norm_title", "subject0").agg(
+        *(F.min_by(c, "seq").alias(c) for c in ("title", "description", "content", "polarity", "subjects")), F.sum("_n").alias("evidence"), F.min("seen").alias("first_seen"), F.max("seen").alias("last_seen"),
+        F.when(F.sum("_n") >= 3, "confirmed").otherwise("candidate").alias("status"),
     )
 
 
+def bank_evidence(items: DataFrame) -> DataFrame:
+    """(norm_title, subject0, seq, trace, line): what each entry of the bank rests on, in the order of seq; a row for each item, so that an
+    entry with very much evidence is no single row."""
+    return _bank_key(items).select("norm_title", "subject0", "seq", "trace", "line")
+
+
 def bank_index(bank: DataFrame) -> DataFrame:
     """(norm_title, subject0, line): a line of the index for each entry of a bank."""
-    line = F.concat(F.lit("- **"), "title", F.lit("** ["), "polarity", F.lit("] ("), "status", F.format_string(", evidence ×%d) — ", "evidence"), "description", F.lit(" · subjects: "), "subject0")
+    line = F.concat(F.lit("- **"), "title", F.lit("** ["), "polarity", F.lit("] ("), "status", F.format_string(", evidence ×%d) — ", "evidence"), "description", F.lit(" · subjects: "), F.array_join("subjects", ", "))
     return bank.select("norm_title", "subject0", line.alias("line"))
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import contracts as C
 from ..operators import facts as A
 from ..operators import render as M
 from ..operators import review as R
+from ..operators import submissions as B
 from ..operators import turns as U
 from ..operators import work as K
 from ..storage import written
-from .session_queries import _RECURSIVE, TURN_TOKENS, _events, _talks
+from .session_queries import _RECURSIVE, _TALK_TURNS, TURN_TOKENS, _events, _talks
 from .text_queries import _SLUG
 
 QUERIES, ORACLES = {}, {}
@@ -144,14 +146,105 @@ def grouped_forms(spark, d):
     return R.grouped_forms(turns, lines, M.floor_actions(turns).drop("fallback"))
 
 
-@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'anchor.fromLine outside the turn' WHEN 2 THEN 'anchor.toLine outside the turn; action missing' WHEN 3 THEN 'action too long' ELSE 'not JSON; anchor.fromLine outside the turn; anchor.toLine outside the turn; action missing' END AS pass1,
- CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'verdict.status unknown; more than three items' ELSE 'arcs is no array; verdict.why missing' END AS pass2, CASE event_id % 2 WHEN 0 THEN '' ELSE 'goal missing; hypotheses is no array' END AS digest FROM events""")
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'anchor.fromLine outside the turn' WHEN 2 THEN 'anchor.toLine beyond the turn; action missing' WHEN 3 THEN 'action too long' WHEN 4 THEN 'no JSON object'
+   ELSE 'anchor.toLine is no integer; thoughts[0].q is no quote of the turn; thoughts[1].kind must be H or ? if inferred; thoughts[2].source unknown; thoughts[2].text missing' END AS pass1,
+ CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'verdict.status unknown; more than three items; items[3].title missing; items[3].polarity unknown' WHEN 2 THEN 'arcs is no array; verdict.why missing' ELSE 'arcs[1].status unknown; arcs[1].fromLine is no integer; items[0].subject is no array' END AS pass2,
+ CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'goal missing; openHypotheses is no array; currentBelief missing; checkpoint is no object' ELSE 'goal too long; openHypotheses[1].text missing; checkpoint.files is no text; checkpoint.next too long' END AS digest FROM events""")
 def contracts(spark, d):
     i = F.col("event_id")
-    p1 = F.when(i % 5 == 0, '{"anchor":{"fromLine":3,"toLine":9},"action":"x"}').when(i % 5 == 1, '{"anchor":{"fromLine":1,"toLine":5},"action":"x"}').when(i % 5 == 2, '{"anchor":{"fromLine":3,"toLine":99},"action":""}').when(i % 5 == 3, F.concat(F.lit('{"anchor":{"fromLine":3,"toLine":5},"action":"'), F.repeat(F.lit("y"), F.lit(401)), F.lit('"}'))).otherwise("no")
-    p2 = F.when(i % 3 == 0, '{"arcs":[],"verdict":{"status":"success","why":"w"},"items":[]}').when(i % 3 == 1, '{"arcs":[],"verdict":{"status":"odd","why":"w"},"items":[1,2,3,4]}').otherwise('{"arcs":{},"verdict":{"status":"partial"},"items":[]}')
-    dig = F.when(i % 2 == 0, '{"goal":"g","hypotheses":[]}').otherwise('{"hypotheses":"no"}')
-    return _ev(spark, d).select("event_id", R.validate_pass1(p1, F.lit(2), F.lit(7)).alias("pass1"), R.validate_pass2(p2).alias("pass2"), R.validate_digest(dig).alias("digest"))
+    long = lambda n: F.repeat(F.lit("y"), F.lit(n))
+    thoughts = '[{"kind":"H","source":"thinking","text":"t","q":"q9"},{"kind":"ALT","source":"inferred","text":"t"},{"kind":"H","source":"x","text":4}]'
+    p1 = (
+        F.when(i % 6 == 0, '{"anchor":{"fromLine":3,"toLine":9},"action":"x","thoughts":[{"kind":"?","source":"narration","text":"t","q":"q1"}]}').when(i % 6 == 1, '{"anchor":{"fromLine":1,"toLine":5},"action":"x"}')
+        .when(i % 6 == 2, '{"anchor":{"fromLine":3,"toLine":99},"action":7}').when(i % 6 == 3, F.concat(F.lit('{"anchor":{"fromLine":3,"toLine":5},"action":"'), long(401), F.lit('"}'))).when(i % 6 == 4, "no")
+        .otherwise(F.lit(f'{{"anchor":{{"fromLine":3,"toLine":"5"}},"action":"","thoughts":{thoughts}}}'))
+    )
+    item = '{"title":"t","description":"d","content":"c","polarity":"strategy","subject":["s"],"evidence":[{"line":1}]}'
+    p2 = (
+        F.when(i % 4 == 0, f'{{"arcs":[{{"kind":"H","status":"open","text":"t","fromLine":1}}],"verdict":{{"status":"success","why":"w"}},"items":[{item}]}}')
+        .when(i % 4 == 1, f'{{"arcs":[],"verdict":{{"status":"odd","why":"w"}},"items":[{item},{item},{item},{{"description":"d","content":"c","polarity":"p","subject":[],"evidence":[]}}]}}')
+        .when(i % 4 == 2, '{"arcs":{},"verdict":{"status":"partial"},"items":[]}')
+        .otherwise('{"arcs":[{"kind":"H","status":"open","text":"t","fromLine":1},{"kind":"ALT","status":"maybe","text":"t","fromLine":1.5}],"verdict":{"status":"failure","why":"w"},"items":[' + item.replace('["s"]', '"s"') + "]}")
+    )
+    dig = (
+        F.when(i % 3 == 0, '{"goal":"g","openHypotheses":[{"text":"h"}],"currentBelief":"b","checkpoint":{"intent":"i"}}').when(i % 3 == 1, '{"openHypotheses":"no","checkpoint":[]}')
+        .otherwise(F.concat(F.lit('{"goal":"'), long(301), F.lit('","openHypotheses":[{"text":"h"},{}],"currentBelief":"b","checkpoint":{"files":[],"next":"'), long(601), F.lit('"}}')))
+    )
+    said = lambda errors: F.array_join(errors, "; ")
+    block = C.block_errors(F.try_parse_json(p1), F.lit(2), F.lit(7), F.array(F.lit("q1")))
+    return _ev(spark, d).select("event_id", said(block).alias("pass1"), said(C.analysis_errors(F.try_parse_json(p2))).alias("pass2"), said(C.digest_errors(F.try_parse_json(dig))).alias("digest"))
+
+
+# Submissions for conversations, whose turns are a window each: right ones, and by conv_id % 6 a missing turn, an anchor off by a line,
+# no digest, no JSON and thinking without a thought. Even turns think.
+def _window_turns(spark, d):
+    turns = U.turns(_talks(spark, d)).withColumnRenamed("session_key", "job_id")
+    q = F.concat(F.lit("q"), F.col("turn_index").cast("string"))
+    none = F.array().cast("array<string>")
+    return turns.select("job_id", "turn_index", "from_line", "to_line", F.array(q).alias("quote_ids"), F.when(F.col("turn_index") % 2 == 0, F.array(q)).otherwise(none).alias("thinking_ids"))
+
+
+def _submitted(spark, d):
+    turns = written(_window_turns(spark, d))
+    n, i = F.col("job_id").cast("bigint") % 6, F.col("turn_index")
+    thought = F.struct(F.lit("H").alias("kind"), F.lit("thinking").alias("source"), F.lit("x").alias("text"), F.get("thinking_ids", F.lit(0)).alias("q"))
+    thoughts = F.when((F.size("thinking_ids") > 0) & (n != 5), F.array(thought)).otherwise(F.array().cast(T_THOUGHTS))
+    anchor = F.struct((F.col("from_line") - F.when((n == 2) & (i == 1), 1).otherwise(0)).alias("fromLine"), F.col("to_line").alias("toLine"))
+    block = F.struct(i.alias("turnIndex"), anchor.alias("anchor"), F.format_string("did %d", i).alias("action"), thoughts.alias("thoughts"))
+    gathered = turns.groupBy("job_id").agg(F.sort_array(F.collect_list(F.struct("turn_index", block.alias("b")))).alias("all"))
+    blocks = F.transform(F.when(n == 1, F.slice("all", F.lit(1), F.size("all") - 1)).otherwise(F.col("all")), lambda x: x["b"])
+    digest = F.struct(F.lit("g").alias("goal"), F.array().cast("array<string>").alias("openHypotheses"), F.lit("b").alias("currentBelief"))
+    body = F.when(n == 4, "no").otherwise(F.concat(F.lit("Here:\n```json\n"), F.to_json(F.struct(blocks.alias("blocks"), F.when(n != 3, digest).alias("digest"))), F.lit("\n```")))
+    subs = gathered.select("job_id", body.alias("body"))
+    return subs, turns, gathered.select("job_id", (F.col("job_id").cast("bigint") % 12 >= 6).alias("last_window"), (F.col("job_id").cast("bigint") % 25).alias("fails"))
+
+
+T_THOUGHTS = "array<struct<kind:string,source:string,text:string,q:string>>"
+_VERDICTS = f"""{_TALK_TURNS}, j AS (SELECT session_key, session_key::BIGINT AS c, max(turn_index) AS last FROM turns GROUP BY ALL), t AS (SELECT * FROM turns JOIN j USING (session_key)),
+m AS (SELECT session_key, 1 AS o, turn_index AS p, 'turn 1: must cover whole turns, lines ' || from_line || ' to ' || to_line AS said FROM t WHERE c % 6 = 2 AND turn_index = 1
+UNION ALL SELECT session_key, 1, turn_index, 'turn ' || turn_index || ': thinking without a thought' FROM t WHERE c % 6 = 5 AND turn_index % 2 = 0
+UNION ALL SELECT session_key, 2, turn_index, 'no block for turn ' || turn_index FROM t WHERE (c % 6 = 1 AND turn_index = last AND last > 1) OR (c % 6 = 2 AND turn_index = 1)
+UNION ALL SELECT session_key, 3, 0, 'digest missing' FROM j WHERE c % 12 = 3
+UNION ALL SELECT session_key, 0, 0, 'no JSON object' FROM j WHERE c % 6 = 4 UNION ALL SELECT session_key, 0, 0, 'no blocks' FROM j WHERE c % 6 = 1 AND last = 1),
+verdicts AS (SELECT session_key AS job_id, c, count(said) = 0 AS accepted, coalesce(string_agg(said, chr(10) ORDER BY o, p), '') AS errors FROM j LEFT JOIN m USING (session_key) GROUP BY ALL)"""
+
+
+@query(f"{_VERDICTS} SELECT job_id, accepted, errors FROM verdicts")
+def window_verdicts(spark, d):
+    subs, turns, jobs = _submitted(spark, d)
+    made = B.window_verdicts(subs, turns, B.window_blocks(subs, turns), jobs)
+    return made.withColumn("errors", F.array_join("errors", "\n"))
+
+
+@query(f"{_VERDICTS} SELECT job_id, turn_index, from_line, to_line, 'did ' || turn_index AS action, false AS fallback FROM verdicts JOIN turns ON session_key = job_id WHERE accepted")
+def sidecar_records(spark, d):
+    subs, turns, jobs = _submitted(spark, d)
+    blocks = B.window_blocks(subs, turns)
+    made = B.sidecar_records(blocks, B.window_verdicts(subs, turns, blocks, jobs))
+    return made.select("job_id", "turn_index", "from_line", "to_line", C.as_block(F.col("result"))["action"].alias("action"), "fallback")
+
+
+@query(f"""{_VERDICTS} SELECT job_id, CASE WHEN accepted THEN 'submit-ok' ELSE 'submit-fail' END AS ev, 'now' AS ts, CASE WHEN NOT accepted THEN errors END AS errors FROM verdicts
+UNION ALL SELECT job_id, 'release', 'now', NULL FROM verdicts WHERE NOT accepted AND c % 25 >= 19""")
+def ledger_events(spark, d):
+    subs, turns, jobs = _submitted(spark, d)
+    made = B.ledger_events(B.window_verdicts(subs, turns, B.window_blocks(subs, turns), jobs), jobs, F.lit("now"))
+    return made.withColumn("errors", F.array_join("errors", "\n"))
+
+
+@query("""SELECT event_id::VARCHAR AS job_id, event_id % 3 <> 2 AS accepted, CASE WHEN event_id % 3 <> 2 THEN 'success' END AS status, CASE WHEN event_id % 3 <> 2 THEN (event_id % 3 + event_id % 5 > 0)::INT END AS arcs, CASE WHEN event_id % 3 <> 2 THEN (event_id % 3 + event_id % 5 = 0)::INT END AS dropped FROM events""")
+def analysis_verdicts(spark, d):
+    i = F.col("event_id")
+    body = F.format_string('{"arcs":[{"kind":"H","status":"open","text":"t","fromLine":%d}],"verdict":{"status":"%s","why":"w"},"items":[]}', i % 3 + i % 5, F.when(i % 3 == 2, "odd").otherwise("success"))
+    e = _ev(spark, d)
+    made = B.analysis_verdicts(e.select(i.cast("string").alias("job_id"), body.alias("body")), e.select(i.cast("string").alias("job_id"), F.lit(9).alias("log_lines")))
+    return made.select("job_id", "accepted", F.col("analysis.verdict.status").alias("status"), F.when(F.col("accepted"), F.size("analysis.arcs")).alias("arcs"), F.when(F.col("accepted"), F.col("dropped")).alias("dropped"))
+
+
+@query(f"""{_TALK_TURNS.replace("conv_id::VARCHAR AS session_key, turn,", "conv_id::VARCHAR AS session_key, turn, CASE role WHEN 'user' THEN 'user_text' WHEN 'assistant' THEN 'assistant_text' ELSE 'system_note' END || ':' || (turn + 1) || ':' || CASE role WHEN 'system' THEN 0 ELSE length(text) END AS mark,")}
+SELECT session_key, turn_index, string_agg(mark, '|' ORDER BY turn) AS slice FROM turned GROUP BY ALL""")
+def slice_texts(spark, d):
+    return U.slice_texts(_talks(spark, d)).select("session_key", "turn_index", "slice")
 
 
 # A ledger from the events: a user's event type k % 4 of a job is a claim, a rejection, an acceptance or a release.
@@ -222,22 +315,27 @@ def parse_job_ids(spark, d):
 
 
 @query(r"""WITH i AS (SELECT doc_id, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm_title, text AS title, text AS description, source, CASE WHEN doc_id % 2 = 0 THEN 'strategy' ELSE 'guardrail' END AS polarity FROM documents)
-SELECT norm_title, source AS subject0, arg_min(title, doc_id) AS title, arg_min(description, doc_id) AS description, arg_min(description, doc_id) AS content, arg_min(polarity, doc_id) AS polarity, count(*) AS evidence, min(doc_id) AS first_seen, max(doc_id) AS last_seen, CASE WHEN count(*) >= 3 THEN 'confirmed' ELSE 'candidate' END AS status FROM i GROUP BY ALL""")
+SELECT norm_title, source AS subject0, arg_min(title, doc_id) AS title, arg_min(description, doc_id) AS description, arg_min(description, doc_id) AS content, arg_min(polarity, doc_id) AS polarity, source || ',x' AS subjects, count(*) AS evidence, min(doc_id) AS first_seen, max(doc_id) AS last_seen, CASE WHEN count(*) >= 3 THEN 'confirmed' ELSE 'candidate' END AS status FROM i GROUP BY ALL""")
 def bank_merge(spark, d):
-    return K.merge_bank(_items(spark, d))
+    return K.merge_bank(_items(spark, d)).withColumn("subjects", F.array_join("subjects", ","))
 
 
 _BANK = ORACLES["bank_merge"]
 
 
-@query(f"SELECT norm_title, subject0, '- **' || title || '** [' || polarity || '] (' || status || ', evidence ×' || evidence || ') — ' || description || ' · subjects: ' || subject0 AS line FROM ({_BANK}) AS bank")
+@query(f"SELECT norm_title, subject0, '- **' || title || '** [' || polarity || '] (' || status || ', evidence ×' || evidence || ') — ' || description || ' · subjects: ' || subject0 || ', x' AS line FROM ({_BANK}) AS bank")
 def bank_index(spark, d):
     return K.bank_index(K.merge_bank(_items(spark, d)))
 
 
+@query(r"SELECT trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm_title, source AS subject0, doc_id AS seq, 't' || doc_id AS trace, 0 AS line FROM documents")
+def bank_evidence(spark, d):
+    return K.bank_evidence(_items(spark, d))
+
+
 def _items(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    return docs.select(F.col("text").alias("title"), F.col("text").alias("description"), F.col("text").alias("content"), F.when(F.col("doc_id") % 2 == 0, "strategy").otherwise("guardrail").alias("polarity"), F.array("source").alias("subject"), F.col("doc_id").alias("seen"), F.col("doc_id").alias("seq"))
+    return docs.select(F.col("text").alias("title"), F.col("text").alias("description"), F.col("text").alias("content"), F.when(F.col("doc_id") % 2 == 0, "strategy").otherwise("guardrail").alias("polarity"), F.array("source", F.lit("x")).alias("subject"), F.col("doc_id").alias("seen"), F.col("doc_id").alias("seq"), F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("trace"), F.lit(0).alias("line"))
 
 
 @query("""WITH c AS (SELECT conv_id, count(*) AS n, count(*) FILTER (role = 'user') AS u, count(*) FILTER (role = 'system') AS s, sum(length(text))::BIGINT AS ch FROM conversations GROUP BY conv_id)
