@@ -15,8 +15,8 @@ FULL = 8
 FAMILIES = ("read", "search", "edit", "execute", "web", "agent", "mcp", "other")
 
 
-def with_blocks(entries: DataFrame) -> DataFrame:
-    """The entries that make up blocks (no side chains), with family and block_index (from 1).
+def with_blocks(entries: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(session_key, seq, kind, family, turn_start, block_index from 1, and ``keep``) of the entries that make up blocks (no side chains).
 
     A prompt opens a block. Narration behind calls closes one, unless it opens a new turn. A turn that starts with another
     family than the block's commonest, or behind FULL calls, opens a new one.
@@ -48,6 +48,7 @@ def with_blocks(entries: DataFrame) -> DataFrame:
         return (s["block"],)
 
     own = entries.where("not sidechain").where(F.col("kind").isin("user_text", "assistant_text", "tool_call")).withColumn("family", F.when(F.col("kind") == "tool_call", C.classify_tool(F.col("tool_name"))))
+    own = own.select("session_key", "seq", "kind", "family", "turn_start", *keep)
     return ordered_fold(own, "session_key", ["seq"], ["kind", "family", "turn_start"], lambda: {"block": 0, "open": False, "calls": {}}, step, "block_index bigint")
 
 
@@ -70,14 +71,15 @@ def _summary() -> Column:
 
 def blocks(entries: DataFrame) -> DataFrame:
     """(session_key, block_index, label, summary, assistant_text, calls, errors, line_from, line_to, started_at, ended_at)."""
-    rows = with_blocks(entries)
+    said = entries.withColumn("said", F.when(F.col("kind") == "assistant_text", F.col("text")))
+    rows = with_blocks(said, ("log_line", "ts", "said"))
     pairs = call_results(entries).select("session_key", F.col("call_seq").alias("seq"), "result_line", F.col("is_error").alias("failed"))
     rows = rows.join(pairs, ["session_key", "seq"], "left")
     call = F.col("kind") == "tool_call"
     line = F.when(call, F.coalesce("result_line", "log_line"))
     shaped = rows.groupBy("session_key", "block_index").agg(
         *(F.count_if(F.col("family") == f).alias(f"n_{f}") for f in FAMILIES), F.count_if(call).alias("calls"), F.count_if(call & F.coalesce("failed", F.lit(False))).alias("errors"),
-        F.max_by("text", F.when(F.col("kind") == "assistant_text", F.col("seq"))).alias("assistant_text"), F.coalesce(F.min(F.when(call, F.least("log_line", line))), F.lit(0)).alias("line_from"),
+        F.max_by("said", F.when(F.col("kind") == "assistant_text", F.col("seq"))).alias("assistant_text"), F.coalesce(F.min(F.when(call, F.least("log_line", line))), F.lit(0)).alias("line_from"),
         F.coalesce(F.max(F.when(call, F.greatest("log_line", line))), F.lit(0)).alias("line_to"), F.min_by("ts", "seq").alias("started_at"), F.max_by("ts", "seq").alias("ended_at"),
     )
     return shaped.select("session_key", "block_index", _label().alias("label"), _summary().alias("summary"), T.cap_block(F.col("assistant_text"), 500).alias("assistant_text"), "calls", "errors", "line_from", "line_to", "started_at", "ended_at")

@@ -53,7 +53,7 @@ def _facts(own: Column | None = None) -> list[Column]:
 
 def seal_facts(entries: DataFrame, budget: int = 8_000) -> DataFrame:
     """Machine facts of each turn, without side chains."""
-    rows = checked(with_turns(entries, budget))
+    rows = with_turns(checked(entries), budget, ("sidechain", "is_error", "interrupted", "exit_code", "_checks", "diff_added", "diff_removed"))
     out = rows.groupBy("session_key", "turn_index").agg((F.max_by("pending", "seq") > 0).alias("cut"), *_facts(~F.col("sidechain")))
     return out.withColumn("interrupted", F.col("cut") | (F.col("interrupted_results") > 0)).drop("cut", "interrupted_results")
 
