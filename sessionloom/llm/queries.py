@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, language, licences, mixing, pieces, repeats, secrets, simhash, sketches, urls
+from . import exact, language, licences, mixing, pieces, repeats, secrets, simhash, sketches, urls, vectors
 
 
 def model_file() -> str:
@@ -64,6 +64,10 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_documents(spark, sf_dir)).drop("row_tag")
 
 
+def op11_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_fingerprints": op2_fingerprints,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_mixing": op9_mixing,
     "op10_exact": op10_exact,
+    "op11_vectors": op11_vectors,
 }
 
 #: translate() has A-Z only, as the normalisation of op10 does.
@@ -103,4 +108,5 @@ ORACLES: dict[str, str] = {
     WITH lowered AS (SELECT doc_id, {_LOWER} AS t FROM documents)
     SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
            doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM lowered""",
+    "op11_vectors": vectors.oracle(),
 }
