@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, language, licences, mixing, pieces, repeats, secrets, simhash, sketches, urls, vectors
+from . import exact, language, licences, mixing, pieces, repair, repeats, secrets, simhash, sketches, urls, vectors
 
 
 def model_file() -> str:
@@ -68,6 +68,10 @@ def op11_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_fingerprints": op2_fingerprints,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_exact": op10_exact,
     "op11_vectors": op11_vectors,
+    "op12_repair": op12_repair,
 }
 
 #: translate() has A-Z only, as the normalisation of op10 does.
@@ -109,4 +114,5 @@ ORACLES: dict[str, str] = {
     SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
            doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM lowered""",
     "op11_vectors": vectors.oracle(),
+    "op12_repair": repair.oracle(),
 }
