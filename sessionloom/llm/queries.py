@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, language, licences, mixing, pieces, repair, repeats, secrets, simhash, sketches, urls, vectors
+from . import exact, language, licences, mixing, pieces, quality, repair, repeats, secrets, simhash, sketches, urls, vectors
 
 
 def model_file() -> str:
@@ -72,6 +72,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_fingerprints": op2_fingerprints,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact": op10_exact,
     "op11_vectors": op11_vectors,
     "op12_repair": op12_repair,
+    "op13_quality": op13_quality,
 }
 
 #: translate() has A-Z only, as the normalisation of op10 does.
