@@ -98,10 +98,10 @@ def distill(spark: SparkSession, roots: list[discovery.Root], options: Options |
     entries, sessions = written(entries), written(sessions)  # the logs are parsed once; every table below reads these
     out = {"entries": entries, "sessions": sessions} | analyse(entries, o)
     paths = out["ledger"].groupBy("session_key").agg(F.collect_set("path").alias("paths"))
-    mains = sessions.where("role = 'main'").join(paths, "session_key", "left").withColumns({"paths": F.coalesce("paths", F.array().cast("array<string>")), "started_at": F.try_to_timestamp("started_at"), "ended_at": F.try_to_timestamp("ended_at"), "first_parent": F.col("leaf_uuid")})
+    mains = sessions.where("role = 'main'").join(paths, "session_key", "left").withColumns({"paths": F.coalesce("paths", F.array().cast("array<string>")), "started_at": F.try_to_timestamp("started_at"), "ended_at": F.try_to_timestamp("ended_at")})
     # One run has one root, and all its sessions are one line; without a root each working directory is a project.
     mains = mains.withColumn("project", F.lit(o.root) if o.root else F.coalesce("cwd", F.lit("")))
-    chained = written(chains.chains(mains, o.tight_ms, o.loose_ms) if o.chain else chains.chains(mains.withColumn("first_parent", F.lit(None).cast("string")), -1, -1))
+    chained = written(chains.chains(mains, o.tight_ms, o.loose_ms) if o.chain else chains.chains(mains.withColumns({c: F.lit(None).cast("string") for c in ("leaf_uuid", "logical_parent_uuid")}), -1, -1))
     out["chains"] = chained.join(sessions.select("session_key", "source"), "session_key")
     shown = out["traces"]
     if o.repo_bound:

@@ -292,18 +292,18 @@ def substitute_refs(spark, d):
 
 #: Gaps of the chain queries; users' events lie hours apart.
 TIGHT, LOOSE = 3_600_000, 43_200_000
-_SESSIONS = "s AS (SELECT user_id, event_id, ts, [(props::JSON->>'$.k')::BIGINT % 4] AS paths FROM events)"
-_LINKED = f"""WITH {_SESSIONS}, l AS (SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1000.0 AS gap, lag(paths) OVER w AS before FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR)),
-r AS (SELECT *, CASE WHEN gap <= {TIGHT} THEN 'time-gap' WHEN gap <= {LOOSE} AND list_has_any(paths, before) THEN 'time-gap-overlap' END AS reason FROM l),
+_SESSIONS = "s AS (SELECT user_id, event_id, ts, (props::JSON->>'$.k')::BIGINT AS k, [(props::JSON->>'$.k')::BIGINT % 4] AS paths, CASE WHEN event_type = 'error' THEN 'b' ELSE 'a' END AS source FROM events)"
+_LINKED = f"""WITH {_SESSIONS}, l AS (SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1000.0 AS gap, lag(paths) OVER w AS before, lag(source) OVER w AS source_before, lag(k % 90 + 7) OVER w AS last_uuid FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR)),
+r AS (SELECT *, CASE WHEN k = last_uuid OR k + 1 = last_uuid THEN 'leaf-uuid' WHEN source <> source_before THEN NULL WHEN gap <= {TIGHT} THEN 'time-gap' WHEN gap <= {LOOSE} AND list_has_any(paths, before) THEN 'time-gap-overlap' END AS reason FROM l),
 c AS (SELECT *, sum(CASE WHEN reason IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR)::BIGINT AS chain FROM r),
 x AS (SELECT user_id, chain, event_id::VARCHAR AS session_key, row_number() OVER (PARTITION BY user_id, chain ORDER BY ts, event_id::VARCHAR) AS session_index, reason FROM c)"""
 
 
 def _chained(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet")
-    at = F.col("ts").cast("timestamp")
-    rows = e.select("user_id", F.col("event_id").cast("string").alias("session_key"), F.lit("a").alias("source"), at.alias("started_at"), at.alias("ended_at"), F.array(F.get_json_object("props", "$.k").cast("bigint") % 4).alias("paths"), F.lit(None).cast("string").alias("first_parent"), F.lit("u").alias("last_uuid"))
-    return H.chains(rows, TIGHT, LOOSE, "user_id")
+    at, k = F.col("ts").cast("timestamp"), F.get_json_object("props", "$.k").cast("bigint")
+    rows = e.select("user_id", F.col("event_id").cast("string").alias("session_key"), F.when(F.col("event_type") == "error", "b").otherwise("a").alias("source"), at.alias("started_at"), at.alias("ended_at"), F.array(F.get_json_object("props", "$.k").cast("bigint") % 4).alias("paths"), k.alias("leaf_uuid"), (k + 1).alias("logical_parent_uuid"), (k % 90 + 7).alias("last_uuid"))
+    return H.chains(rows, TIGHT, LOOSE, "user_id", ranges=16)
 
 
 @query(f"{_LINKED} SELECT * FROM x")

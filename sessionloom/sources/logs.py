@@ -15,15 +15,42 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import tools as C
+from ..storage import written
 from .tables import _OWN, _TYPES, COLUMNS
 from .tables import entry as _entry
 
 
-def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """(log_file, log_bytes, log_line, raw): the lines of log files, numbered from 1 with blank ones counted but left out."""
-    files = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("log_file"), F.col("_metadata.file_size").alias("log_bytes"))
-    lines = files.select("log_file", "log_bytes", F.posexplode(F.split("value", r"\r?\n", -1)).alias("p", "raw"))
-    return lines.where(F.trim("raw") != "").select("log_file", "log_bytes", (F.col("p") + 1).cast("bigint").alias("log_line"), "raw")
+def read_lines(spark: SparkSession, *paths: str, only: list[str] | None = None, range_bytes: int | None = None) -> DataFrame:
+    """(log_file, log_bytes, log_line, raw): the lines of log files, numbered from 1 with blank ones counted but left out.
+
+    A log is read in byte ranges, as Spark's text source cuts it; a line belongs to the range where it begins. A first pass counts
+    the lines of each range, a prefix sum over a log's ranges gives each range its first number, and the second pass numbers lines inside their range. Neither pass
+    shuffles lines, and no task holds more than one line. ``only`` leaves all other files unread. With ``range_bytes`` the ranges have that
+    size and the lines are written to a table at once.
+    """
+    pinned = {"spark.sql.files.minPartitionNum": spark.conf.get("spark.sql.files.minPartitionNum", None) or str(spark.sparkContext.defaultParallelism)}
+    if range_bytes:
+        pinned |= {"spark.sql.files.maxPartitionBytes": str(range_bytes), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k, None) for k in pinned}
+    # Both passes must see the same ranges, also when executors come or go between them.
+    for k, v in pinned.items():
+        spark.conf.set(k, v)
+    listed = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(list(paths))
+    if only is not None:
+        listed = listed.where(F.col("_metadata.file_path").isin(only))
+    rows = listed.select("value", F.col("_metadata.file_path").alias("log_file"), F.col("_metadata.file_size").alias("log_bytes"), F.col("_metadata.file_block_start").alias("range"), F.monotonically_increasing_id().alias("at"))
+    ranges = rows.groupBy("log_file", "range").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    up_to = Window.partitionBy("log_file").orderBy("range")
+    ranges = written(ranges.withColumn("before", F.sum("n").over(up_to) - F.col("n")))
+    inside = F.col("at") - F.col("first")
+    known = F.when((inside >= 0) & (inside < F.col("n")), F.col("before") + inside + 1).otherwise(F.raise_error(F.lit("the ranges of a log changed while it was read")))
+    lines = rows.join(ranges, ["log_file", "range"], "left").select("log_file", "log_bytes", known.cast("bigint").alias("log_line"), F.when(F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("raw"))
+    lines = lines.where(F.trim("raw") != "")
+    if range_bytes:
+        lines = written(lines)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    return lines
 
 
 def _get(record: Column, path: str) -> Column:
@@ -321,11 +348,11 @@ def sessions(lines: DataFrame, source: str) -> DataFrame:
     made = _stamped(lines, source).groupBy("log_file").agg(
         (first if source == "codex" else last)(a.session_id(raw)).alias("_id"), (last if source == "pi" else first)(a.cwd(raw)).alias("cwd"), (first if source in ("kimi", "minimax") else last)(a.model(raw)).alias("model"),
         F.coalesce(last(_get(raw, "aiTitle")), first(a.title(raw))).alias("title"), F.min(known).alias("started_at"), ended.alias("ended_at"), F.count(_get(raw, paths[0])).alias("requests"), *(number(p).alias(n) for p, n in zip(paths, ("input", "output", "cache_read", "cache_write"), strict=True)),
-        first(F.when(_get(raw, "type") == "session_meta", _get(raw, "payload.source.subagent.thread_spawn.parent_thread_id"))).alias("parent_thread_id"), last(_get(raw, "uuid")).alias("last_uuid"), F.coalesce(last(_get(raw, "leafUuid")), first(_get(raw, "logicalParentUuid"))).alias("leaf_uuid"),
+        first(F.when(_get(raw, "type") == "session_meta", _get(raw, "payload.source.subagent.thread_spawn.parent_thread_id"))).alias("parent_thread_id"), last(_get(raw, "uuid")).alias("last_uuid"), last(_get(raw, "leafUuid")).alias("leaf_uuid"), F.max_by(_get(raw, "logicalParentUuid"), F.when((_get(raw, "type") == "user") & (_get(raw, "isCompactSummary") == "true"), F.col("log_line"))).alias("logical_parent_uuid"),
     )
     sizes = lines.groupBy("log_file").agg(F.max("log_line").alias("log_lines"), F.max("log_bytes").alias("log_bytes"))
     rows = sizes.join(made, "log_file", "left")
-    return rows.select(T.session_key(F.col("log_file")).alias("session_key"), F.lit(source).alias("source"), F.coalesce("_id", stem).alias("session_id"), "log_file", "log_lines", "log_bytes", F.coalesce("cwd", F.lit("")).alias("cwd"), "model", "title", "started_at", "ended_at", F.when(F.col("parent_thread_id").isNotNull(), "subagent").otherwise("main").alias("role"), "parent_thread_id", "last_uuid", "leaf_uuid", "requests", "input", "output", "cache_read", "cache_write")
+    return rows.select(T.session_key(F.col("log_file")).alias("session_key"), F.lit(source).alias("source"), F.coalesce("_id", stem).alias("session_id"), "log_file", "log_lines", "log_bytes", F.coalesce("cwd", F.lit("")).alias("cwd"), "model", "title", "started_at", "ended_at", F.when(F.col("parent_thread_id").isNotNull(), "subagent").otherwise("main").alias("role"), "parent_thread_id", "last_uuid", "leaf_uuid", "logical_parent_uuid", "requests", "input", "output", "cache_read", "cache_write")
 
 
 def codex_usage(lines: DataFrame) -> DataFrame:

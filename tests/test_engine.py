@@ -63,11 +63,43 @@ def test_links_across_sources(spark):
     from sessionloom.operators import chains
     from pyspark.sql import functions as F
 
-    rows = [("a1", "a", 0, 1, None, "u1"), ("b1", "b", 2, 3, None, "u2"), ("a2", "a", 4, 5, None, "u3"), ("a3", "a", 6, 7, None, "u4"), ("b2", "b", 90_000, 90_001, "u4", "u5")]
-    made = spark.createDataFrame(rows, "session_key string, source string, s long, e long, first_parent string, last_uuid string")
+    rows = [("a1", "a", 0, 1, None, None, "u1"), ("b1", "b", 2, 3, None, None, "u2"), ("a2", "a", 4, 5, None, None, "u3"), ("a3", "a", 6, 7, None, None, "u4"), ("b2", "b", 90_000, 90_001, "u4", None, "u5"), ("a4", "a", 190_000, 190_001, "gone", "u5", "u6")]
+    made = spark.createDataFrame(rows, "session_key string, source string, s long, e long, leaf_uuid string, logical_parent_uuid string, last_uuid string")
     made = made.select("*", F.timestamp_seconds("s").alias("started_at"), F.timestamp_seconds("e").alias("ended_at"), F.array(F.lit("f")).alias("paths"), F.lit("p").alias("project"))
     got = {r.session_key: (r.chain, r.reason) for r in chains.chains(made).collect()}
-    assert got == {"a1": (1, None), "b1": (2, None), "a2": (3, None), "a3": (3, "time-gap"), "b2": (3, "leaf-uuid")}
+    assert got == {"a1": (1, None), "b1": (2, None), "a2": (3, None), "a3": (3, "time-gap"), "b2": (3, "leaf-uuid"), "a4": (3, "leaf-uuid")}
+
+
+def test_chains_over_many_ranges(spark):
+    """One project over several ranges and small ones beside it, against a plain loop; no range holds a whole project."""
+    from pyspark.sql import functions as F
+    from sessionloom.operators import chains
+
+    rng, rows = random.Random(11), []
+    for project, n in (("big", 3000), ("small", 7), (None, 40), ("one", 1)):
+        at = 0
+        for i in range(n):
+            at += rng.choice([0, 10, 200, 290, 1000, 2600, 4000])
+            rows.append((f"{project}{i:05d}", project, rng.choice("ab"), at, at + rng.choice([0, 5, 300]), [rng.choice("fghij")], rng.choice([None, "u1"]), rng.choice([None, "u2"]), rng.choice(["u1", "u2", "u3"] * 3 + [None])))
+    made = spark.createDataFrame(rows, "session_key string, project string, source string, s long, e long, paths array<string>, leaf_uuid string, logical_parent_uuid string, last_uuid string")
+    made = made.select("*", F.timestamp_seconds("s").alias("started_at"), F.timestamp_seconds("e").alias("ended_at")).repartition(5)
+    wanted = {}
+    for project in ("big", "small", None, "one"):
+        before, chain, index = None, 0, 0
+        for r in sorted((r for r in rows if r[1] == project), key=lambda r: (r[3], r[0])):
+            gap = None if before is None else r[3] - before[4]
+            reason = None
+            if before and before[8] and before[8] in (r[6], r[7]):
+                reason = "leaf-uuid"
+            elif before and before[2] == r[2] and gap >= 0:
+                reason = "time-gap" if gap <= 300 else "time-gap-overlap" if gap <= 2700 and set(r[5]) & set(before[5]) else None
+            chain, index = (chain, index + 1) if reason else (chain + 1, 1)
+            wanted[r[0]] = (project, chain, index, reason)
+            before = r
+    got = {r.session_key: (r.project, r.chain, r.session_index, r.reason) for r in chains.chains(made, ranges=6).collect()}
+    assert got == wanted
+    sizes = [r["count"] for r in chains._slices(made, "project", 6).groupBy("slice").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 2 * len(rows) / 6
 
 
 def test_utf16_units(spark):
