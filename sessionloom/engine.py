@@ -86,12 +86,7 @@ def refine(entries: DataFrame, options: Options | None = None, compressor: Compr
 def distill(spark: SparkSession, roots: list[discovery.Root], options: Options | None = None) -> dict[str, DataFrame]:
     """Entries, sessions, chains and all tables of the logs below the roots."""
     o = options or Options()
-    entries, sessions = discovery.read(spark, roots, o.only)
-    if o.root:
-        from .sources.logs import under
-
-        sessions = under(sessions, o.root)
-        entries = entries.join(sessions.select("session_key"), "session_key", "left_semi")
+    entries, sessions = discovery.read(spark, roots, o.only, o.root)
     if o.most is not None:
         sessions = written(sessions.orderBy("started_at", "session_key").limit(o.most))
         entries = entries.join(sessions.select("session_key"), "session_key", "left_semi")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.work import first_per_path
-from . import logs
+from ..storage import written
+from . import logs, sniff
 
 #: Path patterns of each kind of log below its root, in the order in which kinds claim a file (fixed values).
 PATTERNS = {
@@ -34,7 +35,8 @@ class Root:
 def files(spark: SparkSession, root: Root) -> DataFrame:
     """(source, log_file, log_bytes, log_mtime): non-empty logs of a root's kind; file contents are not read."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(root.path)
-    found = listed.select(F.lit(root.source).alias("source"), F.col("path").alias("log_file"), F.col("length").alias("log_bytes"), F.col("modificationTime").alias("log_mtime"))
+    meta = lambda c: F.col(f"_metadata.{c}")
+    found = listed.select(F.lit(root.source).alias("source"), meta("file_path").alias("log_file"), meta("file_size").alias("log_bytes"), meta("file_modification_time").alias("log_mtime"))
     return found.where((F.col("log_bytes") > 0) & F.col("log_file").rlike(PATTERNS[root.source]) & ~F.col("log_file").rlike(SKIPPED))
 
 
@@ -54,14 +56,84 @@ def stale(found: DataFrame, known: DataFrame) -> DataFrame:
     return found.join(known.select("session_key", "log_bytes", "log_mtime"), ["session_key", "log_bytes", "log_mtime"], "left_anti")
 
 
-def read(spark: SparkSession, roots: list[Root], only: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(entries, sessions) of all logs below the roots."""
+def refs(spark: SparkSession, roots: list[Root], listed: DataFrame, stamps: bool = True) -> DataFrame:
+    """(log_file, ref_id, ref_role, ref_cwd, ref_hint, ref_started, ref_ended): what stands beside the logs of kinds that keep it there. Without
+    ``stamps`` no log is opened.
+
+    kimi: role and id from the folders, the working directory from ``state.json`` or, as a hint, its last part from the
+    folder's name, first and last time from the log's edges. minimax: id and times from ``manifest.json``, else the id from the folder's name.
+    """
+    none = F.lit(None).cast("string")
+    own = listed.where(F.col("source").isin("kimi", "minimax")).select("source", "log_file")
+    up = lambda n: F.regexp_replace("log_file", f"(/[^/]+){{{n}}}$", "")
+    name = lambda c: F.substring_index(c, "/", -1)
+    nested = F.col("log_file").rlike(r"/wd_[^/]*/session_[^/]+/agents/[^/]+/wire\.jsonl$")
+    under = F.col("log_file").rlike(r"/[^/]+/subagents/[^/]+/wire\.jsonl$")
+    folder = F.when(nested, up(3)).otherwise(up(1))
+    kimi_id = F.when(nested, F.regexp_replace(name(up(3)), "^session_", "")).when(under, F.concat(name(up(3)), F.lit("/"), name(up(1)))).otherwise(name(up(1)))
+    hint = F.when(nested, F.nullif(F.regexp_replace(F.regexp_replace(name(up(4)), "^wd_", ""), "_[0-9a-f]{8,16}$", ""), F.lit("")))
+    kimi = F.col("source") == "kimi"
+    suffix = F.regexp_extract(name(up(1)), r"^.*-session_(.+)$", 1)
+    plain = F.try_to_binary(F.concat(suffix, F.repeat(F.lit("="), F.pmod(-F.length(suffix), F.lit(4)))), F.lit("base64")).cast("string")
+    minimax_id = F.when(suffix == "", name(up(1))).when(plain.rlike(r"^[\x20-\x7e]+$"), plain).otherwise(suffix)
+    role = F.when(kimi & ((nested & (name(up(1)) != "main")) | under), "subagent").otherwise("main")
+    rows = own.select("source", "log_file", folder.alias("folder"), F.when(kimi, kimi_id).otherwise(minimax_id).alias("own_id"), role.alias("ref_role"), hint.alias("ref_hint"))
+    beside = None
+    for root in (r for r in roots if r.source in ("kimi", "minimax")):
+        part = sniff.beside(spark, root.path, "state.json" if root.source == "kimi" else "manifest.json")
+        beside = part if beside is None else beside.unionByName(part)
+    if beside is None:
+        return rows.select("log_file", F.col("own_id").alias("ref_id"), "ref_role", none.alias("ref_cwd"), "ref_hint", none.alias("ref_started"), none.alias("ref_ended")).limit(0)
+    field = lambda p: F.nullif(F.get_json_object("body", f"$.{p}"), F.lit(""))
+    stamp = lambda p: T.iso_from_millis(field(p).try_cast("double"))
+    edges = sniff.edges(rows.where("source = 'kimi'").select("log_file"), 4096, 4096) if stamps else rows.limit(0).select("log_file", none.alias("head"), none.alias("tail"))
+    rows = rows.join(beside.dropDuplicates(["folder"]), "folder", "left").join(edges, "log_file", "left")
+    first = F.coalesce(F.nullif(F.regexp_extract("head", r'"created_at"\s*:\s*(\d{12,})', 1), F.lit("")).cast("double"), F.nullif(F.regexp_extract("head", r'"timestamp"\s*:\s*(\d+(?:\.\d+)?)', 1), F.lit("")).cast("double") * 1000)
+    last = F.element_at(F.concat(F.array(F.lit("")), F.regexp_extract_all("tail", F.lit(r'("timestamp"\s*:\s*\d+(?:\.\d+)?|"time"\s*:\s*\d{12,})'), F.lit(1))), -1)
+    last = F.nullif(F.regexp_extract(last, r"([\d.]+)$", 1), F.lit("")).cast("double") * F.when(F.startswith(last, F.lit('"timestamp"')), 1000).otherwise(1)
+    return rows.select(
+        "log_file", F.when(kimi, F.col("own_id")).otherwise(F.coalesce(field("sessionId"), "own_id")).alias("ref_id"), "ref_role", F.when(kimi, field("workDir")).alias("ref_cwd"), "ref_hint",
+        F.when(kimi, T.iso_from_millis(first)).otherwise(stamp("createdAtMs")).alias("ref_started"), F.when(kimi, T.iso_from_millis(last)).otherwise(stamp("updatedAtMs")).alias("ref_ended"),
+    )
+
+
+def census(spark: SparkSession, roots: list[Root], only: str | None = None, under: str | None = None) -> DataFrame:
+    """The inventory with cwd, read_bytes and why a log is left out (skipped), or null.
+
+    Without ``under`` nothing is opened and cwd is null. With it, logs are opened only as far as their kind needs to find its working directory; a log
+    without one is left out as ``no cwd``, or kept where its kind often has none (kimi, unless the folder's hint names another directory, and minimax).
+    """
+    listed = inventory(spark, roots, only)
+    if not under:
+        return listed.withColumns({"cwd": F.lit(None).cast("string"), "read_bytes": F.lit(0).cast("long"), "skipped": F.lit(None).cast("string")})
+    clean = under.rstrip("/")
+    found = listed.join(sniff.working_dirs(listed), "log_file").join(refs(spark, roots, listed, stamps=False).select("log_file", "ref_cwd", "ref_hint"), "log_file", "left")
+    cwd = F.when(F.col("source") == "kimi", F.col("ref_cwd")).otherwise(F.col("cwd"))
+    below = (cwd == clean) | F.startswith(cwd, F.lit(clean + "/"))
+    other_hint = (F.col("source") == "kimi") & (F.col("ref_hint") != clean.rsplit("/", 1)[-1])
+    why = F.when(cwd.isNotNull(), F.when(~below, "elsewhere")).when(other_hint, "elsewhere").when(~F.col("source").isin("kimi", "minimax"), "no cwd")
+    return found.select(*listed.columns, cwd.alias("cwd"), "read_bytes", why.alias("skipped"))
+
+
+def read(spark: SparkSession, roots: list[Root], only: str | None = None, under: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(entries, sessions) of all logs below the roots; a log below several roots is read once, by the first kind that claims it.
+
+    Only the logs that the census keeps are read. Their paths pass through the driver, where Spark's own file index holds them too.
+    """
+    listed = written(census(spark, roots, only, under))
+    kept: dict[str, list[str]] = {}
+    for r in listed.where("skipped is null").select("source", "log_file").collect():
+        kept.setdefault(r.source, []).append(r.log_file)
     entries = sessions = None
-    for root in roots:
-        lines = logs.read_lines(spark, root.path)
-        lines = lines.where(F.col("log_file").rlike(PATTERNS[root.source]) & ~F.col("log_file").rlike(SKIPPED))
-        if only:
-            lines = lines.where(F.contains("log_file", F.lit(only)))
-        e, s = logs.entries(lines, root.source), logs.sessions(lines, root.source)
+    for source in dict.fromkeys(r.source for r in roots):
+        lines = logs.read_lines(spark, *(r.path for r in roots if r.source == source), only=kept.get(source, []))
+        e, s = logs.entries(lines, source), logs.sessions(lines, source)
         entries, sessions = (e, s) if entries is None else (entries.unionByName(e), sessions.unionByName(s))
+    if any(r.source in ("kimi", "minimax") for r in roots):
+        known = refs(spark, roots, listed.where("skipped is null"))
+        own = sessions.columns
+        sessions = sessions.join(known, "log_file", "left").withColumns({
+            "session_id": F.coalesce("ref_id", "session_id"), "role": F.coalesce("ref_role", "role"), "cwd": F.coalesce(F.col("ref_cwd"), F.col("cwd")),
+            "started_at": F.coalesce("started_at", "ref_started"), "ended_at": F.coalesce("ended_at", "ref_ended"),
+        }).select(*own)
     return entries, sessions
