@@ -9,7 +9,7 @@ the original UTF-8 bytes.
 
 Where no piece holds U+2581 behind another character, pieces never cross from one run of letters into the next run of
 spaces: texts are cut into chunks there, each distinct chunk of a batch is merged once, and the batch's ids and spans are put
-together from those of its chunks as arrays. Models for which this does not hold are merged text by text.
+together from those of its chunks as arrays. Decoding starts from the ids alone. Models for which this does not hold are merged text by text.
 
 Byte-pair models are supported; other kinds, and pieces that are user-defined or unused, raise ValueError. The library of
 the format is used to read the model file only.
@@ -111,6 +111,10 @@ class PieceCoder:
         self._pairs()
         self.by_chunk = SPACE in self.id_of and not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in self.surface)
         self.names = [str(i) for i in range(len(self.surface))]
+        spelled = [p.replace(SPACE, " ").encode() for p in self.surface]
+        self.spelling = np.frombuffer(b"".join(spelled), np.uint8)
+        self.spelled = np.r_[0, np.cumsum([len(x) for x in spelled])].astype(np.int64)
+        self.is_ordinary = np.array([i in self.ordinary for i in range(len(self.surface))])
 
     def _pairs(self) -> None:
         """Tables for merging many chunks at once: the symbol of each code point, and for each pair of symbols that is a piece its key, rank and symbol."""
@@ -186,9 +190,9 @@ class PieceCoder:
                     heapq.heappush(heap, (cost[p], h, p))
         return [p for p in parts if p]
 
-    def chunk(self, text: str) -> tuple[list[int], list[int], bool]:
-        """A normalised text, encoded: its ids, how many code points each goes on, and whether they decode to the text itself. Of
-        the bytes of one code point the first goes on by one, the others by none; neighbouring unknown code points are one piece."""
+    def chunk(self, text: str) -> tuple[list[int], list[int]]:
+        """A normalised text, encoded: its ids, and how many code points each goes on. Of the bytes of one code point the first goes on
+        by one, the others by none; neighbouring unknown code points are one piece."""
         ids: list[int] = []
         steps: list[int] = []
         unknown = False
@@ -201,11 +205,11 @@ class PieceCoder:
             ids.extend(own)
             steps.extend([len(piece)] + [0] * (len(own) - 1))
             unknown = number is None
-        return ids, steps, self._joined(ids) == text.replace(SPACE, " ")
+        return ids, steps
 
-    def chunks(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """chunk() of each of ``texts``: all ids, all steps, how many each text has, whether it decodes to itself. Chunks of ordinary
-        length and letters are merged together, one pair of each a round."""
+    def chunks(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """chunk() of each of ``texts``: all ids, all steps, how many each text has. Chunks of ordinary length and letters are merged
+        together, one pair of each a round."""
         data, edges = _bytes(texts)
         points, lead = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), np.flatnonzero(data & 0xC0 != 0x80)
         starts = np.searchsorted(lead, edges[:-1])
@@ -213,7 +217,7 @@ class PieceCoder:
         symbols = self.symbol[points]
         strange = np.r_[0, np.cumsum(symbols < 0)]
         alone = (size > TOGETHER[-1]) | (strange[starts + size] > strange[starts])
-        many, plain = np.zeros(len(texts), np.int64), np.ones(len(texts), bool)
+        many = np.zeros(len(texts), np.int64)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # texts, ids, steps
         below = 0
         for most in TOGETHER:
@@ -231,14 +235,14 @@ class PieceCoder:
         rest = np.flatnonzero(alone)
         held = [self.chunk(x) for x in texts.take(pa.array(rest)).to_pylist()]
         if held:
-            many[rest], plain[rest] = [len(h[0]) for h in held], [h[2] for h in held]
+            many[rest] = [len(h[0]) for h in held]
             found.append((rest, *(np.array([x for h in held for x in h[i]], np.int32) for i in (0, 1))))
         begin = np.cumsum(many) - many
         ids, steps = np.zeros(many.sum(), np.int32), np.zeros(many.sum(), np.int32)
         for own, some, on in found:
             to = _gathered(begin[own], many[own])
             ids[to], steps[to] = some, on
-        return ids, steps, many, plain
+        return ids, steps, many
 
     def _found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The place of each pair in the tables, or the last place."""
@@ -291,6 +295,22 @@ class PieceCoder:
         """The text of ids."""
         return self._joined(ids, front=True)
 
+    def decode_all(self, ids: np.ndarray, many: np.ndarray) -> list[str]:
+        """The text of each row of ids, ``many`` of each: the pieces' own bytes put in a row, for rows of ordinary pieces alone."""
+        stop = np.r_[0, np.cumsum(many)]
+        size = self.spelled[ids + 1] - self.spelled[ids]
+        data = self.spelling[_gathered(self.spelled[ids], size)]
+        ends = np.r_[0, np.cumsum(size)][stop]
+        odd = np.r_[0, np.cumsum(~self.is_ordinary[ids])][stop]
+        texts = []
+        for a, b, start, end, strange in zip(stop[:-1].tolist(), stop[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist(), (np.diff(odd) > 0).tolist(), strict=True):
+            if strange or self.collapse:
+                texts.append(self.decode(ids[a:b].tolist()))
+            else:  # the space that encoding puts in front goes
+                skip = self.dummy and end > start and data[start] == 32
+                texts.append(data[start + skip : end].tobytes().decode())
+        return texts
+
     def _cut(self, shapes: list[str]) -> tuple[pa.StringArray, np.ndarray]:
         """(chunks of all normalised texts in a row, how many each text has); a space behind something that is no space opens one."""
         whole = pa.array(shapes, pa.string())
@@ -312,7 +332,7 @@ class PieceCoder:
         shapes = [self.normalised(t or "") for t in texts]
         chunks, held = self._cut([s for s, _, _ in shapes])
         known = chunks.dictionary_encode()
-        ids, steps, many, plain = self.chunks(known.dictionary)
+        ids, steps, many = self.chunks(known.dictionary)
         which = known.indices.to_numpy()
         source = _gathered((np.cumsum(many) - many)[which], many[which])
         numbers, steps = ids[source], steps[source]
@@ -321,13 +341,8 @@ class PieceCoder:
         ends = np.concatenate([e for _, _, e in shapes] or [np.zeros(0, np.int32)])[last - 1]
         stop = np.r_[0, np.cumsum(held)]
         edges = np.r_[0, np.cumsum(many[which])][stop]
-        spoilt = np.r_[0, np.cumsum(~plain[which])][stop]
-        as_is = self.dummy and not self.map.units and not self.collapse  # what nothing changed comes back as it is
-        joined, decoded = [], []
-        for text, a, b, odd in zip(texts, edges[:-1].tolist(), edges[1:].tolist(), np.diff(spoilt).tolist(), strict=True):
-            own = numbers[a:b].tolist()
-            joined.append(",".join(map(self.names.__getitem__, own)))
-            decoded.append((text or "") if as_is and not odd and SPACE not in (text or "") else self.decode(own))
+        decoded = self.decode_all(numbers, np.diff(edges))
+        joined = [",".join(map(self.names.__getitem__, numbers[a:b].tolist())) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         return joined, decoded, numbers, starts, ends, np.diff(edges)
 
     def full(self, text: str | None) -> Encoded:

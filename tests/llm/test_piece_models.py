@@ -81,3 +81,24 @@ def test_round_trip_by_ids(spark, tmp_path):
     done = pieces.encoded(spark.createDataFrame(rows, "doc_id long, text string"), path)
     back = {(r.doc_id, r.decoded) for r in pieces.decoded(done, path).collect()}
     assert back == {(1, "the fi and"), (2, ""), (3, "")} == {(r.doc_id, r.decoded) for r in done.select("doc_id", "decoded", F.size("ids")).collect()}
+
+
+def test_every_text_comes_from_its_ids(documents):
+    """Ids that are changed behind the encoder change all decoded texts, as the library decodes them."""
+    import sentencepiece
+
+    from sessionloom.llm import queries
+
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.model_file())
+
+    class Turned(pieces.PieceCoder):
+        def chunks(self, texts):
+            ids, steps, many = super().chunks(texts)
+            return (ids + 1) % len(self.surface), steps, many
+
+    texts = [r.text for r in documents.select("text").collect()] + [None, "", " ", "é😀 \x00", "plain words"]
+    for kind in (pieces.PieceCoder, Turned):
+        joined, back, *_ = kind(queries.model_file()).coded(texts)
+        ids = [[int(x) for x in row.split(",") if x] for row in joined]
+        assert back == [library.decode(row) for row in ids]
+        assert (back == [t or "" for t in texts]) == (kind is pieces.PieceCoder)
