@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -46,7 +46,11 @@ PLACES = {
     "claude": "p/%d.jsonl", "codex": "2024/05/01/%d.jsonl", "pi": "--w--/%d.jsonl", "qwen": "p/chats/%d.jsonl", "kimi_wire": "0a/%d/wire.jsonl", "kimi_events": "wd_w_0123456789ab/session_%d/agents/main/wire.jsonl",
     "minimax": "2024/x-session_%d/messages.jsonl", "cursor": "%d.jsonl",
 }
-_CONV = F.regexp_extract("log_file", r"/(?:session_|x-session_)?(\d+)(?:\.jsonl|/wire\.jsonl|/messages\.jsonl|/agents/main/wire\.jsonl)$", 1)
+
+
+def _conv() -> Column:
+    """The number of the conversation that a log's path names."""
+    return F.regexp_extract("log_file", r"/(?:session_|x-session_)?(\d+)(?:\.jsonl|/wire\.jsonl|/messages\.jsonl|/agents/main/wire\.jsonl)$", 1)
 
 
 def _on_disk(spark, d, kinds) -> list[discovery.Root]:
@@ -61,7 +65,7 @@ def _on_disk(spark, d, kinds) -> list[discovery.Root]:
 def _disk_logs(kinds):
     def query(spark, d):
         entries, sessions = discovery.read(spark, _on_disk(spark, d, kinds))
-        named = sessions.select("session_key", "source", T.session_key(F.concat(F.lit("/logs/"), _CONV, F.lit(".jsonl"))).alias("own"))
+        named = sessions.select("session_key", "source", T.session_key(F.concat(F.lit("/logs/"), _conv(), F.lit(".jsonl"))).alias("own"))
         rows = entries.join(named, "session_key").withColumn("session_key", F.col("own"))
         return rows.select("source", *KEPT)
 
@@ -76,7 +80,7 @@ def disk_sessions(spark, d):
     """What is known of logs whose kinds keep ids in folders' names; the first root claims a log that several hold."""
     roots = _on_disk(spark, d, ("kimi_wire", "kimi_events", "minimax"))
     _, sessions = discovery.read(spark, [*roots, discovery.Root("cursor", roots[0].path)])
-    return sessions.select("source", _CONV.alias("conv"), "session_id", "role", "cwd", "model", "log_lines", "started_at", "ended_at")
+    return sessions.select("source", _conv().alias("conv"), "session_id", "role", "cwd", "model", "log_lines", "started_at", "ended_at")
 
 
 _register("disk_sessions", disk_sessions, f"""WITH {_TALKS}, k(kind, source, users_model, ends) AS (VALUES ('w', 'kimi', '', true), ('e', 'kimi', 'user', true), ('m', 'minimax', 'assistant', true))
@@ -101,7 +105,7 @@ def disk_census(spark, d):
     folder = _folder(spark)
     export.write_files(reduce(DataFrame.unionByName, rows), folder)
     found = discovery.census(spark, [discovery.Root(k, f"{folder}/{k}") for k in head], under="/w/1")
-    return found.select("source", _CONV.alias("conv"), "cwd", "skipped", F.when(F.col("source") != "claude", F.col("read_bytes") <= 8192).alias("short"))
+    return found.select("source", _conv().alias("conv"), "cwd", "skipped", F.when(F.col("source") != "claude", F.col("read_bytes") <= 8192).alias("short"))
 
 
 _register("disk_census", disk_census, """WITH c AS (SELECT DISTINCT conv_id FROM conversations), k(source) AS (VALUES ('claude'), ('codex'), ('pi')),
