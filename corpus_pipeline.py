@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and returns a DataFrame that is
 written as Parquet and read again as the next one's input; all but the last return the columns of documents.
+
+Defined cases of every stage: null texts count as empty (language ID rejects both); null ids, sources and languages are values like others;
+texts of any length are read whole; rows may repeat, in part or in all columns; further columns may have any type, and any name that Spark's mapInArrow
+takes (no dots or backticks), and are handed on; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +33,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents so that sources fill their target weights, in a global seeded order."""
-    return mixing.mixed(docs).select(*docs.columns)
+    copy, key = common.fresh(docs, "copy", "shuffle_key")
+    return mixing.mixed(docs, copy_col=copy, key_col=key).drop(copy, key)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

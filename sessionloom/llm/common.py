@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..storage import shared_dir, written
 
-__all__ = ["SPACES", "ascii_lower", "checkpointed", "components", "pieces_of", "shared_dir", "written"]
+__all__ = ["SPACES", "ascii_lower", "checkpointed", "components", "every", "fresh", "pieces_of", "row_hash", "shared_dir", "written"]
 
 #: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``; bytes.split() uses exactly this set.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -22,6 +22,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``docs`` is called so, whatever its case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def every(docs: DataFrame) -> list[Column]:
+    """All columns of ``docs``, also those with dots or quotes in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; maps and variants, which Spark does not hash, count by their JSON."""
+    kinds = [f.dataType.simpleString() for f in docs.schema.fields]
+    return F.xxhash64(*(F.to_json(F.struct(c)) if "map<" in k or "variant" in k else c for c, k in zip(every(docs), kinds, strict=True)))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, every, fresh, row_hash, written
 
 #: Keys that a bucket holds on average; its filter then takes about 40 kB.
 BUCKET_KEYS = 32_768
@@ -174,10 +174,11 @@ def new_rows(docs: DataFrame, snapshot: tuple[DataFrame, DataFrame, int], id_col
     keys = digests(docs, id_col, text_col).select("key", "digest").distinct()
     passed = screened(keys, filters, buckets)
     held = keys.join(passed, "key", "left_semi").join(old.select("digest"), "digest", "left_semi")
-    held = written(held.select("key", F.col("digest").alias("_digest")))
+    print_ = fresh(docs, "print")[0]
+    held = written(held.select("key", F.col("digest").alias(print_)))
     sure, maybe = parted(docs, held.select("key"), text_col=text_col)
     digest = F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"), 256)
-    return sure.unionByName(maybe.withColumn("_digest", digest).join(held.select("_digest"), "_digest", "left_anti").select(*sure.columns))
+    return sure.unionByName(maybe.withColumn(print_, digest).join(held.select(print_), print_, "left_anti").select(*every(docs)))
 
 
 #: Keys that a broadcast filter holds at most (about 1.2 bytes each).
@@ -277,15 +278,20 @@ def exact_groups(docs: DataFrame, snapshot_below: int | None = None, id_col: str
 
 def keep_last(docs: DataFrame) -> DataFrame:
     """One row (all its columns) of each group of equal texts in ``docs``: that with the largest doc_id (null ids last), then
-    the smallest hash of the row. Rows whose text has no copy stay in their task."""
+    the smallest hash of the row. Rows whose text has no copy stay in their task.
+
+    Defined cases: null and empty texts are equal; texts of any length are compared whole; rows that are alike in all
+    columns are copies; further columns may have any name and type, maps too; an empty table gives no rows.
+    """
+    print_, keep, row = fresh(docs, "print", "keep", "row")
     prints, double, inside = _prints(docs, None, "doc_id", "text")
-    groups = written(_grouped(docs, prints, double, inside, "doc_id", "text").select(F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep")))
-    keys = F.conv(F.substring("_digest", 1, 16), 16, -10).cast("long")
+    groups = written(_grouped(docs, prints, double, inside, "doc_id", "text").select(F.col("text_sha256").alias(print_), F.col("keep_id").alias(keep)))
+    keys = F.conv(F.substring(print_, 1, 16), 16, -10).cast("long")
     sure, maybe = parted(docs, groups.select(keys.alias("key")))
     digest = F.sha2(ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary"), 256)
-    maybe = maybe.withColumn("_digest", digest)
-    lone = maybe.join(groups.select("_digest"), "_digest", "left_anti")
-    best = maybe.join(groups, "_digest").where(F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")))
+    maybe = maybe.withColumn(print_, digest)
+    lone = maybe.join(groups.select(print_), print_, "left_anti")
+    best = maybe.join(groups, print_).where(F.col("doc_id").cast("long").eqNullSafe(F.col(keep)))
     # Minima combine before the shuffle, so rows that repeat id and text are one row a task.
-    first = best.groupBy("_digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
-    return sure.union(lone.select(*docs.columns)).union(first.select("_row.*"))
+    first = best.groupBy(print_).agg(F.min_by(F.struct(*every(docs)), row_hash(docs)).alias(row))
+    return sure.union(lone.select(*every(docs))).union(first.select(f"{row}.*"))

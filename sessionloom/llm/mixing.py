@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: The largest mean of one draw; the table of its distribution then has under 120 entries.
 SPLIT = 16.0
 ENTRIES = 120
@@ -58,34 +60,36 @@ def with_distribution(rated: DataFrame) -> DataFrame:
     return rated.withColumn("draws", draws).withColumn("cdf", F.aggregate(F.sequence(F.lit(1), F.lit(ENTRIES)), first, step)["cdf"])
 
 
-def mixed(docs: DataFrame, targets: dict[str, float] | None = None, total: int | None = None, power: float = 0.5, seed: int = 42, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mixed(docs: DataFrame, targets: dict[str, float] | None = None, total: int | None = None, power: float = 0.5, seed: int = 42, id_col: str = "doc_id", source_col: str = "source", copy_col: str = "copy", key_col: str = "shuffle_key") -> DataFrame:
     """``docs`` with each row repeated by its Poisson count, in a seeded global order.
 
     targets: weight by source; without it the weight is (rows of the source) ** power. total: expected rows of
-    the mix (default: as many as come in from the sources with a weight). Adds copy (1, 2, ...) and shuffle_key.
+    the mix (default: as many as come in from the sources with a weight). Adds copy (1, 2, ...) and shuffle_key, under the
+    names given, in place of columns that are called so; all other columns, whatever their names, are kept.
     """
+    own, draws_, cdf, blocks, block, count, before = fresh(docs, "mix_source", "mix_draws", "mix_cdf", "mix_blocks", "mix_block", "mix_count", "mix_before")
     rated = with_distribution(rates(docs, targets, total, power, source_col))
-    rated = rated.select(F.col("source").alias("_mix_source"), F.col("draws").alias("_mix_draws"), F.col("cdf").alias("_mix_cdf"))
+    rated = rated.select(F.col("source").alias(own), F.col("draws").alias(draws_), F.col("cdf").alias(cdf))
     if docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rated = F.broadcast(rated)
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
 
-    def one_block(block: Column) -> Column:
-        draws = F.sequence(block * F.lit(BLOCK) + F.lit(1), F.least(F.col("_mix_draws"), (block + F.lit(1)) * F.lit(BLOCK)))
+    def one_block(number: Column) -> Column:
+        draws = F.sequence(number * F.lit(BLOCK) + F.lit(1), F.least(F.col(draws_), (number + F.lit(1)) * F.lit(BLOCK)))
         units = F.transform(draws, lambda j: hash_unit(F.lit(f"poisson-{seed}"), ident, j))
-        return F.aggregate(units, F.lit(0), lambda sum_, u: sum_ + F.size(F.filter("_mix_cdf", lambda c: c <= u)))
+        return F.aggregate(units, F.lit(0), lambda sum_, u: sum_ + F.size(F.filter(cdf, lambda c: c <= u)))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.col("_mix_draws") - F.lit(1)) / F.lit(BLOCK)).cast("int")), one_block)
-    joined = docs.join(rated, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
-    counted = joined.withColumn("_mix_blocks", blocks).drop("_mix_source", "_mix_draws", "_mix_cdf", "copy", "shuffle_key")
+    counts = F.transform(F.sequence(F.lit(0), F.floor((F.col(draws_) - F.lit(1)) / F.lit(BLOCK)).cast("int")), one_block)
+    joined = docs.join(rated, F.col(source_col).cast("string").eqNullSafe(F.col(own)))
+    counted = joined.withColumn(blocks, counts).drop(own, draws_, cdf, copy_col, key_col)
     # Each block of draws becomes a row with the copies that the blocks before it made, then each of its copies a row.
-    spread = counted.select("*", F.posexplode("_mix_blocks").alias("_mix_block", "_mix_count")).where("_mix_count > 0")
-    before = F.aggregate(F.slice("_mix_blocks", F.lit(1), F.col("_mix_block")), F.lit(0), lambda sum_, n: sum_ + n)
-    spread = spread.withColumn("_mix_before", before).drop("_mix_blocks", "_mix_block")
-    copies = spread.withColumn("copy", F.explode(F.sequence(F.col("_mix_before") + F.lit(1), F.col("_mix_before") + F.col("_mix_count")))).drop("_mix_before", "_mix_count")
-    keyed = copies.withColumn("shuffle_key", F.substring(F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), ident, F.col("copy").cast("string"))), 1, 16))
+    spread = counted.select("*", F.posexplode(blocks).alias(block, count)).where(F.col(count) > 0)
+    made = F.aggregate(F.slice(blocks, F.lit(1), F.col(block)), F.lit(0), lambda sum_, n: sum_ + n)
+    spread = spread.withColumn(before, made).drop(blocks, block)
+    copies = spread.withColumn(copy_col, F.explode(F.sequence(F.col(before) + F.lit(1), F.col(before) + F.col(count)))).drop(before, count)
+    keyed = copies.withColumn(key_col, F.substring(F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), ident, F.col(copy_col).cast("string"))), 1, 16))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key", "copy")
+    return keyed.repartition(parts, key_col).sortWithinPartitions(key_col, copy_col)
 
 
 def oracle(table: str = "documents", power: float = 0.5, seed: int = 42) -> str:

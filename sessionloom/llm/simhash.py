@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, pieces_of, written
+from .common import components, every, fresh, pieces_of, row_hash, written
 from .exact import parted, passing, sifted
 
 #: A cell is crowded, and split by SPLIT_BITS further bits while it has under MOST_BITS, if it holds over HOT fingerprints
@@ -318,17 +318,22 @@ def near_copies(docs: DataFrame, words: int = 5, radius: int = 6, least: float =
 
 def keep_first(docs: DataFrame, words: int = 5, radius: int = 6, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` (all its columns) without near_copies; of rows with one text, whatever their ids, one
-    stays: that with the smallest doc_id (null ids last), then by a hash of the row. Rows that neither concerns stay in their task."""
+    stays: that with the smallest doc_id (null ids last), then by a hash of the row. Rows that neither concerns stay in their task.
+
+    Defined cases: null and empty texts are one text, and like texts without words; texts of any length count whole; further columns may have
+    any name and type, maps too; an empty table gives no rows.
+    """
     text = F.col("text").cast("string")
     tag = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), tag.alias("tag"))
     again = written(rows.groupBy("tag").count().where("count > 1").select("tag"))
     gone = written(near_copies(rows, words, radius, least))
     touched = gone.union(again)
-    sure, maybe = parted(docs.withColumn("_tag", tag), touched.select(F.col("tag").alias("key")), "_tag")
-    out = sure.drop("_tag").union(maybe.join(touched.withColumnRenamed("tag", "_tag"), "_tag", "left_anti").select(*docs.columns))
+    own, row = fresh(docs, "tag", "row")
+    sure, maybe = parted(docs.withColumn(own, tag), touched.select(F.col("tag").alias("key")), own)
+    out = sure.drop(own).union(maybe.join(touched.withColumnRenamed("tag", own), own, "left_anti").select(*every(docs)))
     if again.isEmpty():
         return out
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
-    kept = maybe.join(again.join(gone, "tag", "left_anti").withColumnRenamed("tag", "_tag"), "_tag")
-    return out.union(kept.groupBy("_tag").agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row_hash(docs))
+    kept = maybe.join(again.join(gone, "tag", "left_anti").withColumnRenamed("tag", own), own)
+    return out.union(kept.groupBy(own).agg(F.min_by(F.struct(*every(docs)), order).alias(row)).select(f"{row}.*"))
