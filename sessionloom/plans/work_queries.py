@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import accept as V
 from ..operators import contracts as C
 from ..operators import facts as A
 from ..operators import render as M
@@ -12,7 +15,7 @@ from ..operators import review as R
 from ..operators import submissions as B
 from ..operators import turns as U
 from ..operators import work as K
-from ..storage import written
+from ..storage import shared_dir, written
 from .session_queries import _RECURSIVE, _TALK_TURNS, TURN_TOKENS, _events, _talks
 from .text_queries import _SLUG
 
@@ -232,6 +235,21 @@ def ledger_events(spark, d):
     return made.withColumn("errors", F.array_join("errors", "\n"))
 
 
+@query(f"""{_VERDICTS} SELECT job_id, accepted, CASE WHEN accepted THEN n ELSE 0 END AS blocks, CASE WHEN NOT accepted AND c % 25 >= 19 THEN 'release,submit-fail' WHEN accepted THEN 'submit-ok' ELSE 'submit-fail' END AS events
+FROM verdicts JOIN (SELECT session_key, count(*) AS n FROM turns GROUP BY ALL) t ON t.session_key = job_id""")
+def accepted_batches(spark, d):
+    """All submissions in two batches, the first of them done twice, as records, metrics and ledger tell of them."""
+    subs, turns, jobs = _submitted(spark, d)
+    turns = turns.withColumn("slice_hash", F.concat(F.lit("h"), "turn_index"))
+    out = f"{shared_dir(spark)}/sessionloom/{uuid.uuid4().hex}"
+    for part in (0, 1, 0):
+        V.accept(subs.where(F.col("job_id").cast("bigint") % 2 == part), turns, jobs, jobs, F.lit("now"), out, f"{part}")
+    seen = V.accepted(spark, out)
+    records = seen["records"].groupBy("job_id").agg(F.count("*").alias("blocks"))
+    events = seen["ledger"].groupBy("job_id").agg(F.array_join(F.sort_array(F.collect_list("ev")), ",").alias("events"))
+    return seen["metrics"].select("job_id", "accepted").join(records, "job_id", "left").join(events, "job_id").select("job_id", "accepted", F.coalesce("blocks", F.lit(0)).alias("blocks"), "events")
+
+
 @query("""SELECT event_id::VARCHAR AS job_id, event_id % 3 <> 2 AS accepted, CASE WHEN event_id % 3 <> 2 THEN 'success' END AS status, CASE WHEN event_id % 3 <> 2 THEN (event_id % 3 + event_id % 5 > 0)::INT END AS arcs, CASE WHEN event_id % 3 <> 2 THEN (event_id % 3 + event_id % 5 = 0)::INT END AS dropped FROM events""")
 def analysis_verdicts(spark, d):
     i = F.col("event_id")
