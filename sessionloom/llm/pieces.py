@@ -39,6 +39,8 @@ from .common import pieces_of
 SPACE = "\u2581"
 #: Text bytes that are encoded together.
 BATCH_BYTES = 4 << 20
+#: Ids that are spelled out at once.
+IDS_TOGETHER = 1 << 16
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Lengths up to which chunks are merged together, how many at once, and the rank of what is no pair.
@@ -298,9 +300,12 @@ class PieceCoder:
     def decode_all(self, ids: np.ndarray, many: np.ndarray) -> list[str]:
         """The text of each row of ids, ``many`` of each: the pieces' own bytes put in a row, for rows of ordinary pieces alone."""
         stop = np.r_[0, np.cumsum(many)]
-        size = self.spelled[ids + 1] - self.spelled[ids]
-        data = self.spelling[_gathered(self.spelled[ids], size)]
-        ends = np.r_[0, np.cumsum(size)][stop]
+        ends = np.r_[0, np.cumsum(self.spelled[ids + 1] - self.spelled[ids])]
+        data = np.empty(ends[-1], np.uint8)
+        for at in range(0, len(ids), IDS_TOGETHER):  # places are eight times as large as the bytes that they give
+            some = ids[at : at + IDS_TOGETHER]
+            data[ends[at] : ends[at + len(some)]] = self.spelling[_gathered(self.spelled[some], self.spelled[some + 1] - self.spelled[some])]
+        ends = ends[stop]
         odd = np.r_[0, np.cumsum(~self.is_ordinary[ids])][stop]
         texts = []
         for a, b, start, end, strange in zip(stop[:-1].tolist(), stop[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist(), (np.diff(odd) > 0).tolist(), strict=True):

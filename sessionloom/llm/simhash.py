@@ -25,9 +25,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -259,17 +257,33 @@ def _thinned(least: float):
 
     def thin(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         order = sorted(range(table.num_rows), key=lambda i, d=table.column("doc_id").to_pylist(), t=table.column("tag").to_pylist(): (d[i] is None, d[i] or 0, t[i]))
-        grams, tags, gone = table.column("grams").combine_chunks(), table.column("tag").to_pylist(), []
-        where: dict[int, list[int]] = {}
+        lists, tags, gone = table.column("grams").combine_chunks(), table.column("tag").to_pylist(), []
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        many = lists.value_lengths().to_numpy()
+        stop = np.r_[0, np.cumsum(many)]
+        names, grams = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        # Postings of the texts that stay as chains in three arrays: a gram's last posting, each posting's text and the one before it.
+        last, text_of, before = np.full(len(names), -1, np.int32), np.empty(len(grams), np.int32), np.empty(len(grams), np.int32)
         size: list[int] = []
+        used = 0
         for i in order:
-            own = grams[i].values.to_numpy().tolist()
-            shared = Counter(chain.from_iterable(where.get(g, ()) for g in own))
-            if any(n / (len(own) + size[j] - n) >= least for j, n in shared.items()) or not own and 0 in size:
+            own = grams[stop[i] : stop[i + 1]]
+            at, met = last[own], []
+            while len(at := at[at >= 0]):
+                met.append(text_of[at])
+                at = before[at]
+            if met:
+                found, n = np.unique(np.concatenate(met), return_counts=True)
+                alike = (n / (len(own) + np.array(size)[found] - n) >= least).any()
+            else:
+                alike = not len(own) and 0 in size
+            if alike:
                 gone.append(tags[i])
                 continue
-            for g in own:
-                where.setdefault(g, []).append(len(size))
+            new = np.arange(used, used + len(own), dtype=np.int32)
+            text_of[new], before[new] = len(size), last[own]
+            last[own] = new
+            used += len(own)
             size.append(len(own))
         return pa.table({"tag": pa.array(gone, pa.int64())})
 
