@@ -151,11 +151,24 @@ def file_ops(entries: DataFrame, parity: bool = False) -> DataFrame:
     return made.drop("answered") if not parity else made.unionAll(made.where("answered")).drop("answered")
 
 
+#: Places of each kind that a ledger entry keeps.
+REFS = 4
+
+
+def ledger_of(ops: DataFrame, by: list[str], order: list[str], line: Column) -> DataFrame:
+    """(by, reads, read_refs, modified, added, removed, modify_refs) of file operations: the first REFS lines of each kind, in order. Only these are
+    gathered: Spark cuts each task's rows of a group to its first ones before the shuffle."""
+    first = Window.partitionBy(*by, "op").orderBy(*order)
+    kept = ops.withColumn("n", F.row_number().over(first)).where(F.col("n") <= REFS).select(*by, "op", F.struct("n", line.alias("line")).alias("r"))
+    refs = lambda op: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("op") == op, F.col("r")))), lambda x: x["line"]), ",")
+    listed = kept.groupBy(*by).agg(refs("read").alias("read_refs"), refs("modify").alias("modify_refs"))
+    sums = ops.groupBy(*by).agg(F.count_if(F.col("op") == "read").alias("reads"), F.bool_or(F.col("op") == "modify").alias("modified"), *(F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("added", "removed")))
+    return sums.join(listed, by).select(*by, "reads", "read_refs", "modified", "added", "removed", "modify_refs")
+
+
 def file_ledger(entries: DataFrame, parity: bool = False) -> DataFrame:
     """(session_key, path, reads, read_refs, modified, added, removed, modify_refs): the first four lines of each kind."""
-    ops = file_ops(entries, parity)
-    refs = lambda op: F.array_join(F.transform(F.slice(F.sort_array(F.collect_list(F.when(F.col("op") == op, F.struct("seq", "line")))), 1, 4), lambda x: x["line"].cast("string")), ",")
-    return ops.groupBy("session_key", "path").agg(F.count_if(F.col("op") == "read").alias("reads"), refs("read").alias("read_refs"), F.bool_or(F.col("op") == "modify").alias("modified"), F.coalesce(F.sum("added"), F.lit(0)).cast("bigint").alias("added"), F.coalesce(F.sum("removed"), F.lit(0)).cast("bigint").alias("removed"), refs("modify").alias("modify_refs"))
+    return ledger_of(file_ops(entries, parity), ["session_key", "path"], ["seq"], F.col("line").cast("string"))
 
 
 def file_index(ledger: DataFrame) -> DataFrame:

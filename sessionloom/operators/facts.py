@@ -88,12 +88,18 @@ def session_checks(entries: DataFrame) -> DataFrame:
     return ran.groupBy("session_key").agg(F.max_by("c.run", "seq").alias("run"), F.max_by("c.failed", "seq").alias("failed"), F.bool_or(F.col("c.failed") > 0).alias("ever_failed"))
 
 
-def verdicts(entries: DataFrame) -> DataFrame:
-    """(session_key, status, why): what the facts say about the outcome."""
+def outcome_signs(entries: DataFrame) -> DataFrame:
+    """(session_key, cut, errors, calls, last_error, run, failed, ever_failed): what verdicts rest on; last_error is null without results, run and
+    failed without checks."""
     own = entries.where(~F.col("sidechain"))
     result = F.col("kind") == "tool_result"
-    base = own.groupBy("session_key").agg(F.bool_or(result & F.col("interrupted")).alias("cut"), F.count_if(result & F.col("is_error")).alias("errors"), F.count_if(F.col("kind") == "tool_call").alias("calls"), F.coalesce(F.max_by("is_error", F.when(result, F.col("seq"))), F.lit(False)).alias("last_error"))
-    rows = base.join(session_checks(entries), "session_key", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("run", "failed")} | {"ever_failed": F.coalesce("ever_failed", F.lit(False))})
+    base = own.groupBy("session_key").agg(F.bool_or(result & F.col("interrupted")).alias("cut"), F.count_if(result & F.col("is_error")).alias("errors"), F.count_if(F.col("kind") == "tool_call").alias("calls"), F.max_by("is_error", F.when(result, F.col("seq"))).alias("last_error"))
+    return base.join(session_checks(entries), "session_key", "left")
+
+
+def with_verdict(signs: DataFrame) -> DataFrame:
+    """Adds status and why to rows of outcome_signs, of sessions or of more."""
+    rows = signs.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("run", "failed")} | {c: F.coalesce(c, F.lit(False)) for c in ("ever_failed", "last_error")})
     ladder = [
         ("cut", "partial", F.lit("interrupted tool calls")), ("run > 0 and failed > 0", "failure", F.format_string("last checks run: %d failed out of %d", "failed", "run")), ("last_error", "failure", F.lit("the last tool call ended with an error")),
         ("ever_failed", "partial", F.lit("checks failed earlier and are green now")), ("errors > 0", "partial", F.format_string("tool errors: %d", "errors")), ("calls = 0", "unknown", F.lit("no tool calls")), ("run > 0", "success", F.format_string("checks ran (%d) and are green", "run")),
@@ -102,7 +108,12 @@ def verdicts(entries: DataFrame) -> DataFrame:
     for test, name, reason in ladder:
         status = F.when(F.expr(test), name) if status is None else status.when(F.expr(test), name)
         why = F.when(F.expr(test), reason) if why is None else why.when(F.expr(test), reason)
-    return rows.select("session_key", status.otherwise("unknown").alias("status"), why.otherwise("no tool errors; no checks").alias("why"))
+    return rows.withColumns({"status": status.otherwise("unknown"), "why": why.otherwise("no tool errors; no checks")})
+
+
+def verdicts(entries: DataFrame) -> DataFrame:
+    """(session_key, status, why): what the facts say about the outcome."""
+    return with_verdict(outcome_signs(entries)).select("session_key", "status", "why")
 
 
 def active_time(rows: DataFrame, key: str, ts: str, most_ms: int = 120_000) -> DataFrame:

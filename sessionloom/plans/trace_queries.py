@@ -1,0 +1,63 @@
+"""Queries over chains as wholes: three users' sessions, one after the other, are a chain."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import blocks as B
+from ..operators import traces as X
+from ..storage import written
+from .session_queries import _CHECKS, _E, _OPS, _events
+from .session_queries import ORACLES as SESSION_SQL
+
+QUERIES, ORACLES = {}, {}
+
+_CHAINED = "chained AS (SELECT DISTINCT 'p' AS project, user_id // 3 AS chain, user_id::VARCHAR AS session_key, user_id % 3 + 1 AS session_index FROM events)"
+
+
+def _chained(spark, d) -> DataFrame:
+    users = spark.read.parquet(f"{d}/events.parquet").select("user_id").distinct()
+    return users.select(F.lit("p").alias("project"), F.floor(F.col("user_id") / 3).alias("chain"), F.col("user_id").cast("string").alias("session_key"), (F.col("user_id") % 3 + 1).alias("session_index"))
+
+
+def _register(sql):
+    def add(f):
+        QUERIES[f.__name__], ORACLES[f.__name__] = f, sql
+        return f
+
+    return add
+
+
+@_register(f"""WITH {_CHAINED}, b AS ({SESSION_SQL['blocks']})
+SELECT project, chain, session_index, session_key, block_index, row_number() OVER (PARTITION BY chain ORDER BY session_index, block_index) AS number, label, line_from, line_to FROM b JOIN chained USING (session_key)""")
+def chain_blocks(spark, d):
+    """Blocks, numbered through over their chain."""
+    made = X.chain_blocks(written(B.blocks(_events(spark, d))), _chained(spark, d), "project")
+    return made.select("project", "chain", "session_index", "session_key", "block_index", "number", "label", "line_from", "line_to")
+
+
+_PLACES = lambda op: f"coalesce(array_to_string((list('s' || session_index || '@L' || line ORDER BY session_index, seq) FILTER (op = '{op}'))[1:4], ','), '')"
+
+
+@_register(f"""{_OPS}, {_CHAINED} SELECT project, chain, path, count(*) FILTER (op = 'read') AS reads, {_PLACES('read')} AS read_refs, bool_or(op = 'modify') AS modified, coalesce(sum(added), 0)::BIGINT AS added, coalesce(sum(removed), 0)::BIGINT AS removed,
+ {_PLACES('modify')} AS modify_refs FROM ops JOIN chained USING (session_key) GROUP BY project, chain, path""")
+def chain_ledger(spark, d):
+    """Files over a chain."""
+    return X.chain_ledger(_events(spark, d), _chained(spark, d), "project")
+
+
+@_register(f"{_E}, {_CHAINED} SELECT project, chain, tool_name, count(*) AS n FROM entries JOIN chained USING (session_key) WHERE kind = 'tool_call' AND NOT sidechain GROUP BY ALL")
+def chain_tools(spark, d):
+    return X.chain_tools(_events(spark, d), _chained(spark, d), "project")
+
+
+@_register(f"""{_E}, {_CHECKS}, {_CHAINED}, sums AS (SELECT session_key, bool_or(kind = 'tool_result' AND interrupted) AS cut, count(*) FILTER (kind = 'tool_result' AND is_error) AS errors, count(*) FILTER (kind = 'tool_call') AS calls, arg_max(is_error, seq) FILTER (kind = 'tool_result') AS last_error FROM entries WHERE NOT sidechain GROUP BY ALL),
+s AS (SELECT project, chain, count(*) AS sessions, coalesce(bool_or(cut), false) AS cut, coalesce(sum(errors), 0)::BIGINT AS errors, coalesce(sum(calls), 0)::BIGINT AS calls, coalesce(arg_max(last_error, session_index) FILTER (last_error IS NOT NULL), false) AS last_error,
+ coalesce(arg_max(run, session_index) FILTER (run IS NOT NULL), 0) AS run, coalesce(arg_max(failed, session_index) FILTER (run IS NOT NULL), 0) AS failed, coalesce(bool_or(ever_failed), false) AS ever_failed FROM chained LEFT JOIN sums USING (session_key) LEFT JOIN checks USING (session_key) GROUP BY project, chain)
+SELECT project, chain, sessions, errors, calls, run, failed, last_error, CASE WHEN cut THEN 'partial' WHEN run > 0 AND failed > 0 OR last_error THEN 'failure' WHEN ever_failed OR errors > 0 THEN 'partial' WHEN calls = 0 THEN 'unknown' WHEN run > 0 THEN 'success' ELSE 'unknown' END AS status,
+ CASE WHEN cut THEN 'interrupted tool calls' WHEN run > 0 AND failed > 0 THEN 'last checks run: ' || failed || ' failed out of ' || run WHEN last_error THEN 'the last tool call ended with an error' WHEN ever_failed THEN 'checks failed earlier and are green now'
+   WHEN errors > 0 THEN 'tool errors: ' || errors WHEN calls = 0 THEN 'no tool calls' WHEN run > 0 THEN 'checks ran (' || run || ') and are green' ELSE 'no tool errors; no checks' END AS why FROM s""")
+def chain_verdicts(spark, d):
+    """The outcome of each chain, from its last checks and last result."""
+    return X.chain_verdicts(_events(spark, d), _chained(spark, d), "project")
