@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import blocks, chains, facts, render, review, turns, work
+from .operators import blocks, chains, facts, render, review, traces, turns, work
 from .sources import discovery
 from .storage import written
 
@@ -92,12 +92,16 @@ def distill(spark: SparkSession, roots: list[discovery.Root], options: Options |
         entries = entries.join(sessions.select("session_key"), "session_key", "left_semi")
     entries, sessions = written(entries), written(sessions)  # the logs are parsed once; every table below reads these
     out = {"entries": entries, "sessions": sessions} | analyse(entries, o)
+    # Read more than once below and by whoever writes the tables.
+    out |= {name: written(out[name]) for name in ("blocks", "ledger", "traces")}
     paths = out["ledger"].groupBy("session_key").agg(F.collect_set("path").alias("paths"))
     mains = sessions.where("role = 'main'").join(paths, "session_key", "left").withColumns({"paths": F.coalesce("paths", F.array().cast("array<string>")), "started_at": F.try_to_timestamp("started_at"), "ended_at": F.try_to_timestamp("ended_at")})
     # One run has one root, and all its sessions are one line; without a root each working directory is a project.
     mains = mains.withColumn("project", F.lit(o.root) if o.root else F.coalesce("cwd", F.lit("")))
     chained = written(chains.chains(mains, o.tight_ms, o.loose_ms) if o.chain else chains.chains(mains.withColumns({c: F.lit(None).cast("string") for c in ("leaf_uuid", "logical_parent_uuid")}), -1, -1))
     out["chains"] = chained.join(sessions.select("session_key", "source"), "session_key")
+    whole_chains = {"chain_blocks": traces.chain_blocks(out["blocks"], chained, "project"), "chain_ledger": traces.chain_ledger(entries, chained, "project"), "chain_tools": traces.chain_tools(entries, chained, "project"), "chain_verdicts": traces.chain_verdicts(entries, chained, "project")}
+    out |= whole_chains
     shown = out["traces"]
     if o.repo_bound:
         shown = shown.withColumn("markdown", T.repo_bound(F.col("markdown"), o.root))
@@ -111,7 +115,7 @@ def distill(spark: SparkSession, roots: list[discovery.Root], options: Options |
     first = chained.where("session_index = 1").join(names, "session_key").select("project", "chain", F.col("started_at").alias("first_start"), F.col("title").alias("first_title"))
     ids = chained.join(names, "session_key").groupBy("project", "chain").agg(F.transform(F.sort_array(F.collect_list(F.struct("session_index", "session_id"))), lambda x: x["session_id"]).alias("session_ids"))
     whole = whole.join(first, ["project", "chain"]).join(ids, ["project", "chain"]).withColumn("base", T.trace_file_name(F.col("first_start"), F.col("session_ids"), F.col("first_title")))
-    out["chain_traces"] = work.unique_names(whole, "base", "chain").drop("base", "first_start", "first_title", "session_ids")
+    out["chain_traces"] = written(work.unique_names(whole, "base", "chain").drop("base", "first_start", "first_title", "session_ids"))
     return out
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources import discovery, export
+from ..operators import sessions as H
+from ..sources import chats, discovery, export
 from ..sources import logs as L
 from ..storage import shared_dir
 from .log_queries import _EXPECTED, _TALKS, KEPT, KINDS, _json, _lines, _o
@@ -111,3 +112,19 @@ def disk_census(spark, d):
 _register("disk_census", disk_census, """WITH c AS (SELECT DISTINCT conv_id FROM conversations), k(source) AS (VALUES ('claude'), ('codex'), ('pi')),
 w AS (SELECT source, conv_id, CASE WHEN conv_id % 5 <> 0 THEN '/w/' || conv_id % 3 || '/' || conv_id END AS cwd FROM c, k)
 SELECT source, conv_id::VARCHAR AS conv, cwd, CASE WHEN cwd IS NULL THEN 'no cwd' WHEN conv_id % 3 <> 1 THEN 'elsewhere' END AS skipped, CASE WHEN source <> 'claude' THEN true END AS short FROM w""")
+
+
+def exported_chats(spark, d):
+    """Chats exported twice: the second time all files stay; each log is then paired with its meta file."""
+    lines = _lines(spark, d, "cursor").withColumn("log_file", F.regexp_extract("log_file", r"(\d+)\.jsonl$", 1)).withColumn("raw", F.regexp_replace("raw", "[\r\n]", " "))
+    meta = lines.groupBy(F.col("log_file").alias("chat")).agg(F.count("*").alias("msgCount")).withColumn("title", F.concat(F.lit("chat "), "chat"))
+    folder = _folder(spark)
+    runs = [chats.export_chats(lines, meta, folder).select(F.lit(n).alias("run"), "path", "kept") for n in (1, 2)]
+    logs = L.read_lines(spark, folder).where(F.endswith("log_file", F.lit(".jsonl"))).select("log_file").distinct()
+    told = spark.read.text(folder, wholetext=True, pathGlobFilter="*.meta.json").select(F.col("_metadata.file_path").alias("meta_file"), F.get_json_object("value", "$.msgCount").cast("bigint").alias("lines"))
+    pairs = H.with_meta(logs, told).select(F.concat("stem", F.lit(".jsonl")).alias("path"), "lines")
+    return runs[0].unionByName(runs[1]).join(pairs, "path", "left").select("run", "path", "kept", "lines")
+
+
+_register("exported_chats", exported_chats, """WITH c AS (SELECT conv_id, 4 * count(*) + max((turn = 0)::INT) AS lines FROM conversations GROUP BY conv_id)
+SELECT run, conv_id || ending AS path, run = 2 AS kept, CASE WHEN ending = '.jsonl' THEN lines END AS lines FROM c, (VALUES (1), (2)) AS r(run), (VALUES ('.jsonl'), ('.meta.json')) AS e(ending)""")

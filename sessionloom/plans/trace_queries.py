@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import blocks as B
+from ..operators import contracts as C
+from ..operators import facts as A
+from ..operators import refined as N
 from ..operators import traces as X
+from ..sources.tables import conversation_entries
 from ..storage import written
 from .session_queries import _CHECKS, _E, _OPS, _events
 from .session_queries import ORACLES as SESSION_SQL
@@ -61,3 +65,32 @@ SELECT project, chain, sessions, errors, calls, run, failed, last_error, CASE WH
 def chain_verdicts(spark, d):
     """The outcome of each chain, from its last checks and last result."""
     return X.chain_verdicts(_events(spark, d), _chained(spark, d), "project")
+
+
+_HEADS = """h AS (SELECT conv_id::VARCHAR AS session_key, conv_id AS c, count(*) AS n, sum(length(text))::BIGINT AS size, max(turn) AS last FROM conversations GROUP BY conv_id)"""
+
+
+@_register(f"""WITH {_HEADS}, f AS (SELECT *, strftime(TIMESTAMP '2024-05-01 10:00:00' + to_seconds(last * 60), '%Y-%m-%dT%H:%M:%S.000Z') AS ended, CASE WHEN c % 3 = 0 THEN 'not analysed' WHEN c % 3 = 1 THEN 'success' ELSE 'partial' END AS status FROM h),
+m AS (SELECT session_key, status, size, concat('---', chr(10), 'session: s-', c, chr(10), 'source: claude', chr(10), 'log: /logs/', c, '.jsonl', chr(10), 'status: ', status, chr(10), '---', chr(10), '# ', CASE WHEN c % 2 = 0 THEN 'title ' || c ELSE 's-' || c END, chr(10), chr(10), '> `@L<n>` is line n of the log.', chr(10), chr(10),
+ '## Compressed session', chr(10), chr(10), 'form of ', c, chr(10), chr(10), CASE WHEN c % 3 > 0 THEN concat('## Reasoning', chr(10), chr(10), '- **H** [open] an idea @L', last + 1, chr(10), '- **PIVOT** [confirmed] another @L1→L', last + 1, chr(10), chr(10)) ELSE '' END,
+ '## Verdict', chr(10), chr(10), CASE WHEN c % 3 > 0 THEN '**' || status || '**: because (model)' ELSE 'No analysis; see the accounting below.' END, chr(10), chr(10), '## Accounting', chr(10), chr(10), '- session: `', left('s-' || c, 8), '` (claude)', chr(10),
+ '- window: 2024-05-01T10:00:00.000Z → ', ended, ' (wall ', CASE WHEN last = 0 THEN '0s' ELSE last || 'm' END, ')', chr(10), '- calls: 0 (ok 0, err 0; success rate 100.0 %)', CASE WHEN n > 0 THEN concat(chr(10), '- model: `m-1` · requests ', n, ' · in ', size, ' (cache read ', size // 4, ', write 0) · out 7',
+  CASE WHEN size // 4 > 0.1 * (size + size // 4) THEN concat(chr(10), '- cache: ', round((size // 4) * 100 / (size + size // 4)::DOUBLE, 0)::BIGINT, ' % of input tokens') ELSE '' END) END,
+ chr(10), chr(10), '## Passes', chr(10), chr(10), 'turns ', n, ' · compressed ', n - 1, ' · fallback 1 · retries 2 · disputes 0', chr(10), chr(10)) AS markdown FROM f)
+SELECT session_key, status, ceil(length(markdown) / 4.0)::BIGINT AS trace_tokens, markdown FROM m""")
+def refined_traces(spark, d):
+    """Traces of conversations, two of three analysed, with every section."""
+    entries = conversation_entries(spark.read.parquet(f"{d}/conversations.parquet"))
+    c, last = F.col("conv_id"), F.col("last")
+    heads = spark.read.parquet(f"{d}/conversations.parquet").groupBy("conv_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("size"), F.max("turn").alias("last")).withColumn("session_key", c.cast("string"))
+    at = lambda seconds: F.date_format(F.timestamp_seconds(F.lit(1_714_557_600) + seconds), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    sessions = heads.select(
+        "session_key", F.concat(F.lit("s-"), c).alias("session_id"), F.lit("claude").alias("source"), F.format_string("/logs/%d.jsonl", c).alias("log_file"), F.when(c % 2 == 0, F.format_string("title %d", c)).alias("title"), at(F.lit(0)).alias("started_at"), at(last * 60).alias("ended_at"),
+        F.lit("m-1").alias("model"), F.col("size").alias("log_bytes"), F.col("n").alias("requests"), F.col("size").alias("input"), F.lit(7).cast("bigint").alias("output"), F.floor(F.col("size") / 4).alias("cache_read"), F.lit(0).cast("bigint").alias("cache_write"),
+    )
+    text = '{"arcs":[{"kind":"H","text":"an idea","status":"open","fromLine":%d},{"kind":"PIVOT","text":"another","status":"confirmed","fromLine":1,"toLine":%d}],"verdict":{"status":"%s","why":"because"},"items":[]}'
+    body = F.format_string(text, last + 1, last + 1, F.when(c % 3 == 1, "success").otherwise("partial"))
+    analyses = heads.where(c % 3 > 0).select("session_key", C.as_analysis(body).alias("analysis"))
+    forms = heads.select("session_key", F.format_string("form of %d", c).alias("form"))
+    counts = heads.select("session_key", F.col("n").alias("turns"), (F.col("n") - 1).alias("blocks"), F.lit(1).alias("fallbacks"), F.lit(2).alias("retries"), F.lit(0).alias("disputes"))
+    return N.refined(sessions, forms, analyses, A.account_sessions(entries), counts).drop("ratio")

@@ -121,3 +121,28 @@ def test_files_are_written_once(spark, tmp_path):
     export.write_files(rows, str(tmp_path))
     assert (tmp_path / "d1" / "f 1.txt").stat().st_size == first["d1/f 1.txt"][0]
     assert not [p for p in tmp_path.rglob("*") if p.name.endswith(".part")]
+
+
+def test_chats_of_a_store_are_exported_once(spark, tmp_path):
+    import sqlite3
+
+    from sessionloom.sources import chats
+
+    path, out = str(tmp_path / "s.db"), tmp_path / "out"
+    db = sqlite3.connect(path)
+    db.executescript("CREATE TABLE composerHeaders(composerId, value, createdAt, isSubagent); CREATE TABLE cursorDiskKV(key, value);")
+    db.executemany("INSERT INTO composerHeaders VALUES (?, ?, 1, ?)", [("c1", None, 0), ("c2", json.dumps({"name": "head"}), 0), ("c3", None, 0), ("sub", None, 1), ("none", None, 0)])
+    say = lambda text: json.dumps({"type": 1, "text": text})
+    db.executemany("INSERT INTO cursorDiskKV VALUES (?, ?)", [
+        ("composerData:c1", json.dumps({"name": "one", "createdAt": 1714557600000, "workspaceIdentifier": {"uri": {"fsPath": "/w/own"}}})), ("composerData:c2", json.dumps({"createdAt": "2024-05"})), ("composerData:c3", "{}"),
+        ("bubbleId:c1:a", say("hi")), ("bubbleId:c2:a", say("x")), ("bubbleId:c2:b", say("Workspace Path:  /w/told \nmore")), ("bubbleId:c3:a", say("/h/projects/a and /h/projects/a/b /h/projects/a/b")), ("bubbleId:sub:a", say("no")),
+    ])
+    db.commit()
+    first = {r.path: r.kept for r in chats.export_ide(spark, path, str(out), "/h").collect()}
+    assert first == {f"c{i}{e}": False for i in (1, 2, 3) for e in (".jsonl", ".meta.json")}
+    meta = {p.name[:2]: json.loads(p.read_text()) for p in out.glob("*.meta.json")}
+    assert {c: (m.get("title"), m.get("createdAt"), m.get("workspacePath"), m["msgCount"]) for c, m in meta.items()} == {"c1": ("one", "2024-05-01T10:00:00.000Z", "/w/own", 1), "c2": ("head", "2024-05", "/w/told", 2), "c3": (None, None, "/h/projects/a/b", 1)}
+    times = {p.name: p.stat().st_mtime_ns for p in out.iterdir()}
+    (out / "c2.jsonl").unlink()
+    assert [r.path for r in chats.export_ide(spark, path, str(out), "/h").collect() if not r.kept] == ["c2.jsonl"]
+    assert all(p.stat().st_mtime_ns == times[p.name] for p in out.iterdir() if p.name != "c2.jsonl")
