@@ -1,11 +1,13 @@
 """License scans through a positional rare-token index.
 
 Every template is a word sequence: whole licence texts of up to a few hundred words, and short notices. Words get an IDF from the
-document frequencies of the whole corpus, and the index posts every template under all its words with their positions. A file is
-looked up by its LOOKED_UP licence words of highest IDF, and by those that are the rarest of a key phrase. Key phrases are
-mandatory: a template fits where its first key phrase stands word for word, each other one stands word for word at its own place
-after that start, give or take DRIFT of the template's length, and at least VOTES of the looked-up words stand at their
-relative positions as well. A notice is its own only key phrase, so every place of one is found and nothing else.
+document frequencies of the whole corpus. The index posts each whole text under the words that its key phrases don't hold, with their
+positions. A file is looked up by the LOOKED_UP licence words of highest IDF of each of its stretches of STRETCH words, so that several licences
+in a file don't displace each other. A posting and the word's place in the file give the place where the text would start; where
+the starts of enough of the text's rare words fall within DRIFT of its length, there is a candidate. Last, its key phrases
+are verified: each has to stand near its own place, its words in order with at most GAP others among them. A candidate without its key phrases
+is dropped, and key phrases without the rest of the text are no candidate. A notice is its own only key phrase, looked up by its rarest
+word and verified word for word, so every place of one is found and nothing else.
 
 Defined cases: a null text counts as empty and has no words; overlapping places all count; ties of IDF go to the
 smaller word; repeated rows each get their row; very long texts are one file each; other columns, whatever their names, are not
@@ -26,9 +28,12 @@ from pyspark.sql import functions as F
 from .common import pieces_of
 from .licence_texts import BASE, NOTICES, TEMPLATES
 
-#: Licence words of a file that are looked up, how many of them have to agree on a whole text's start, and how far words may stand
-#: from their places: DRIFT of the template's length, or LEAST_DRIFT words.
-LOOKED_UP, VOTES, DRIFT, LEAST_DRIFT = 24, 3, 0.1, 8
+#: Words of a stretch that are looked up, words of a stretch, and other words within a key phrase.
+LOOKED_UP, STRETCH, GAP = 24, 256, 2
+#: How far words may stand from their places: DRIFT of the template's length, or LEAST_DRIFT words.
+DRIFT, LEAST_DRIFT = 0.1, 8
+#: Words that have to agree on a start: SHARE of those that a stretch can look up, but VOTES at least.
+SHARE, VOTES = 0.3, 3
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -44,13 +49,24 @@ class Template:
     keys: list[tuple[int, tuple[bytes, ...]]]  # place in the template, words
     base: bool = False
 
+    @property
+    def whole(self) -> bool:
+        """Is it more than its key phrase?"""
+        return len(self.keys[0][1]) < len(self.words)
+
     @property
     def drift(self) -> int:
-        return 0 if len(self.keys[0][1]) == len(self.words) else max(LEAST_DRIFT, int(DRIFT * len(self.words)))
+        return max(LEAST_DRIFT, int(DRIFT * len(self.words))) if self.whole else 0
+
+    @property
+    def outside(self) -> list[tuple[int, bytes]]:
+        """(place, word) of the words that no key phrase holds."""
+        held = {w for _, p in self.keys for w in p}
+        return [(i, w) for i, w in enumerate(self.words) if w not in held]
 
     @property
     def votes(self) -> int:
-        return VOTES if self.drift else 1
+        return max(VOTES, math.ceil(SHARE * min(LOOKED_UP, len({w for _, w in self.outside}))))
 
 
 def notice(phrase: str, label: str, base: bool = False) -> Template:
@@ -73,20 +89,26 @@ def templates(base: dict[str, str] | None = None, notices: dict[str, str] | None
 
 @dataclass
 class RareTokenIndex:
-    """postings: word -> template -> its positions there; anchors: the rarest word of a key phrase -> (phrase, its place in it)."""
+    """postings: word -> (whole text, its place there), for words that its key phrases don't hold; anchors: a phrase's rarest word -> (phrase, its place in it)."""
 
     templates: list[Template]
     idf: dict[bytes, float]
-    postings: dict[bytes, dict[int, list[int]]] = field(default_factory=dict)
+    postings: dict[bytes, list[tuple[int, int]]] = field(default_factory=dict)
     anchors: dict[bytes, list[tuple[tuple[bytes, ...], int]]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        self.notices: dict[tuple[bytes, ...], list[int]] = {}
         for t, template in enumerate(self.templates):
-            for i, w in enumerate(template.words):
-                self.postings.setdefault(w, {}).setdefault(t, []).append(i)
-        for phrase in dict.fromkeys(p for t in self.templates for _, p in t.keys):
+            if template.whole:
+                for i, w in template.outside:
+                    self.postings.setdefault(w, []).append((t, i))
+            else:
+                self.notices.setdefault(template.words, []).append(t)
+        for phrase in self.notices:
             rarest = min(phrase, key=self.order)
             self.anchors.setdefault(rarest, []).append((phrase, phrase.index(rarest)))
+        # A file without any of these words holds neither a notice nor the first key phrase of a whole text.
+        self.needed = [*self.anchors, *{min(t.keys[0][1], key=self.order) for t in self.templates if t.whole}]
         self.weight = [sum(self.idf[w] for w in set(t.words)) for t in self.templates]
         self.top = max(self.weight, default=0.0) or 1.0
 
@@ -96,38 +118,49 @@ class RareTokenIndex:
     def places(self, text: bytes, found: list[bytes]) -> dict[int, list[int]]:
         """Template -> the word numbers at which it starts (where its text would, if its first key phrase stands at its place)."""
         folded = text.translate(_WORDS)
-        if not any(a in folded for a in self.anchors):
+        if not any(a in folded for a in self.needed):
             return {}
         where: dict[bytes, list[int]] = {}
         for i, w in enumerate(found):
-            if w in self.postings:
+            if w in self.idf:
                 where.setdefault(w, []).append(i)
-        stand = {p: [i - k for i in where[a] if i >= k and tuple(found[i - k : i - k + len(p)]) == p] for a in self.anchors.keys() & where.keys() for p, k in self.anchors[a]}
-        if not any(stand.values()):
-            return {}
-        rare = sorted(where, key=self.order)[:LOOKED_UP]
-        looked_up = dict.fromkeys([*rare, *(w for w in where if w in self.anchors)])
-        out = {}
-        for t, template in enumerate(self.templates):
-            if all(stand.get(p) for _, p in template.keys):
-                posted = [(where[w], self.postings[w][t]) for w in looked_up if t in self.postings[w]]
-                starts = [p - template.keys[0][0] for p in stand[template.keys[0][1]]]
-                fit = [s for s in starts if self._fits(template, s, stand, posted)]
-                if fit:
-                    out[t] = fit
-        return out
+        out: dict[int, list[int]] = {}
+        for a in self.anchors.keys() & where.keys():
+            for phrase, k in self.anchors[a]:
+                starts = [i - k for i in where[a] if i >= k and tuple(found[i - k : i - k + len(phrase)]) == phrase]
+                for t in self.notices[phrase] if starts else ():
+                    out[t] = starts
+        for t, starts in self._candidates(where).items():
+            fit = sorted({x for s in starts for x in [self._verified(self.templates[t], s, where, found)] if x is not None})
+            if fit:
+                out[t] = fit
+        return dict(sorted(out.items()))
+
+    def _candidates(self, where: dict[bytes, list[int]]) -> dict[int, list[int]]:
+        """Whole text -> starts on which enough of the file's rarest licence words agree."""
+        stretches: dict[int, dict[bytes, list[int]]] = {}
+        for w in where.keys() & self.postings.keys():
+            for i in where[w]:
+                stretches.setdefault(i // STRETCH, {}).setdefault(w, []).append(i)
+        told: dict[int, list[tuple[int, bytes]]] = {}
+        for held in stretches.values():
+            for w in sorted(held, key=self.order)[:LOOKED_UP]:
+                for t, at in self.postings[w]:
+                    told.setdefault(t, []).extend((i - at, w) for i in held[w])
+        return {t: found for t, votes in told.items() if (found := _agreed(sorted(votes), 2 * self.templates[t].drift, self.templates[t].votes))}
 
     @staticmethod
-    def _fits(template: Template, start: int, stand: dict[tuple[bytes, ...], list[int]], posted: list[tuple[list[int], list[int]]]) -> bool:
-        near = template.drift
-        if not all(_any_near(stand[p], start + at, near) for at, p in template.keys):
-            return False
-        votes = 0
-        for here, there in posted:
-            votes += any(_any_near(here, start + at, near) for at in there)
-            if votes == template.votes:
-                return True
-        return False
+    def _verified(template: Template, start: int, where: dict[bytes, list[int]], found: list[bytes]) -> int | None:
+        """The start that the first key phrase gives, if all key phrases stand near their places."""
+        first = None
+        for at, phrase in template.keys:
+            here = where.get(phrase[0], ())
+            near = 2 * template.drift
+            place = next((i for i in here[bisect_left(here, start + at - near) : bisect_left(here, start + at + near + 1)] if _in_order(phrase, found, i)), None)
+            if place is None:
+                return None
+            first = place - at if first is None else first
+        return first
 
     def likeness(self, found: list[bytes], t: int, start: int) -> float:
         """The IDF weight of the template's distinct words that stand in its stretch of the file, relative to the largest template."""
@@ -136,10 +169,38 @@ class RareTokenIndex:
         return min(1.0, sum(self.idf[w] for w in sorted(inside.intersection(own.words))) / self.top)
 
 
-def _any_near(numbers: list[int], wanted: int, near: int) -> bool:
-    """Is one of the ascending ``numbers`` at most ``near`` from ``wanted``?"""
-    at = bisect_left(numbers, wanted - near)
-    return at < len(numbers) and numbers[at] <= wanted + near
+def _agreed(votes: list[tuple[int, bytes]], width: int, least: int) -> list[int]:
+    """Middles of the stretches of ``width`` that hold the starts of ``least`` different words; of stretches that overlap the one with most."""
+    inside: dict[bytes, int] = {}
+    out: list[tuple[int, int]] = []
+    left = 0
+    for start, word in votes:
+        inside[word] = inside.get(word, 0) + 1
+        while start - votes[left][0] > width:
+            gone = votes[left][1]
+            left += 1
+            inside[gone] -= 1
+            if not inside[gone]:
+                del inside[gone]
+        if len(inside) >= least:
+            found = (len(inside), (votes[left][0] + start) // 2)
+            if not out or found[1] - out[-1][1] > width:
+                out.append(found)
+            elif found[0] > out[-1][0]:
+                out[-1] = found
+    return [middle for _, middle in out]
+
+
+def _in_order(phrase: tuple[bytes, ...], found: list[bytes], at: int) -> bool:
+    """Do the phrase's words stand in order from ``at`` on, with at most GAP others among them?"""
+    i, end = at, at + len(phrase) + GAP
+    for w in phrase:
+        while i < end and i < len(found) and found[i] != w:
+            i += 1
+        if i >= end or i >= len(found):
+            return False
+        i += 1
+    return True
 
 
 def document_frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text") -> tuple[int, dict[bytes, int]]:
