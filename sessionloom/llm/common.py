@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..storage import shared_dir, written
 
-__all__ = ["SPACES", "ascii_lower", "checkpointed", "components", "every", "fresh", "pieces_of", "row_hash", "shared_dir", "written"]
+__all__ = ["SPACES", "ascii_lower", "checkpointed", "components", "every", "fresh", "give_back", "pieces_of", "released", "row_hash", "shared_dir", "written"]
 
 #: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``; bytes.split() uses exactly this set.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -49,11 +49,29 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def give_back() -> None:
+    """Returns memory that this Python worker no longer uses: Spark keeps workers for later tasks, also of other stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; before the first and behind the last one memory is given back."""
+    give_back()
+    yield from batches
+    give_back()
+
+
 def pieces_of(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``most`` bytes of ``column``, or one row."""
     import pyarrow.compute as pc
 
-    for batch in batches:
+    for batch in released(batches):
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, every, fresh, row_hash, written
+from .common import ascii_lower, every, fresh, released, row_hash, written
 
 #: Keys that a bucket holds on average; its filter then takes about 40 kB.
 BUCKET_KEYS = 32_768
@@ -213,7 +213,7 @@ def sifted(rows: DataFrame, passes: Callable[[np.ndarray], np.ndarray], wanted:
     """The rows whose key passes, or does not. The key is ``key_col`` or, without one, that of the normalised text."""
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             keys = batch.column(key_col).to_numpy(zero_copy_only=False) if key_col else _keys(batch.column(text_col).cast(pa.string()))
             yield batch.filter(pa.array(passes(keys) == wanted))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, every, fresh, pieces_of, row_hash, written
+from .common import components, every, fresh, give_back, pieces_of, row_hash, written
 from .exact import parted, passing, sifted
 
 #: A cell is crowded, and split by SPLIT_BITS further bits while it has under MOST_BITS, if it holds over HOT fingerprints
@@ -241,7 +241,7 @@ def _gram_sets(docs: DataFrame, words: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in (p for b in batches for p in pieces_of([b], "text")):
+        for batch in pieces_of(batches, "text", 2 << 20):
             sets = []
             for text in batch.column("text").cast(pa.binary()):
                 found = (text.as_py() or b"").lower().split()
@@ -285,6 +285,8 @@ def _thinned(least: float):
             last[own] = new
             used += len(own)
             size.append(len(own))
+        del lists, names, grams, last, text_of, before
+        give_back()
         return pa.table({"tag": pa.array(gone, pa.int64())})
 
     return thin
