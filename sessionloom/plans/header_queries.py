@@ -62,7 +62,8 @@ def workspace_by_mode(spark, d):
 def meta_pairs(spark, d):
     p = spark.read.parquet(f"{d}/pages.parquet").select("page_id", F.col("page_id").cast("string").alias("i"))
     files = p.select(F.col("page_id").alias("a"), F.concat(F.lit("/x/p"), "i", F.lit(".jsonl")).alias("log_file"))
-    meta = p.where("page_id % 3 <> 0").select(F.col("page_id").alias("b"), F.concat(F.lit("/y/p"), "i", F.lit(".meta.json")).alias("meta_file"))
+    other = F.when(F.col("page_id") % 3 == 0, "/y/other").otherwise("/y/p")
+    meta = p.select(F.col("page_id").alias("b"), F.concat(other, "i", F.lit(".meta.json")).alias("meta_file"))
     return S.with_meta(files, meta).select("a", "b", "stem")
 
 
@@ -99,7 +100,8 @@ def compression(spark, d):
 @query("SELECT substr(sha256(page_id::VARCHAR), 1, 16) AS session_key, CASE WHEN page_id % 4 = 0 THEN 'no skeleton' WHEN page_id % 3 = 0 THEN 'no analysis' ELSE 'rendered' END AS state FROM pages")
 def finalised(spark, d):
     p = spark.read.parquet(f"{d}/pages.parquet").select("page_id", T.session_key(F.col("page_id").cast("string")).alias("session_key"))
-    return S.finalised(p, p.where("page_id % 4 <> 0"), p.where("page_id % 3 <> 0"))
+    of = lambda n: p.select(F.when(F.col("page_id") % n == 0, F.concat(F.lit("other-"), "session_key")).otherwise(F.col("session_key")).alias("session_key"))
+    return S.finalised(p, of(4), of(3))
 
 
 @query("SELECT 'p1-' || substr(sha256(page_id::VARCHAR), 1, 16) || '-w' || (page_id % 5) AS job_id, 'submit-ok' AS ev, 'now' AS ts FROM pages WHERE page_id % 2 = 0")
@@ -111,7 +113,8 @@ def auto_done(spark, d):
 @query("SELECT page_id::VARCHAR AS session_key, CASE WHEN page_id % 2 = 0 THEN '/s' WHEN page_id % 3 = 0 THEN '/e' ELSE '' END AS cwd, CASE WHEN page_id % 2 = 0 THEN '2024' ELSE '1970-01-01T00:00:00.000Z' END AS started_at FROM pages")
 def pseudo_sessions(spark, d):
     p = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").cast("string").alias("session_key"), F.when(F.col("page_id") % 3 == 0, "/e").alias("workspace"), F.lit(None).cast("string").alias("created_at"), "page_id")
-    return S.pseudo_session(p, p.where("page_id % 2 = 0").select("session_key", F.lit("/s").alias("cwd"), F.lit("2024").alias("started_at")))
+    own = F.when(F.col("page_id") % 2 == 0, F.col("session_key")).otherwise(F.concat(F.lit("other-"), "session_key")).alias("session_key")
+    return S.pseudo_session(p, p.select(own, F.lit("/s").alias("cwd"), F.lit("2024").alias("started_at")))
 
 
 @query("SELECT turn + 1 AS log_line, left(text, greatest(0, 500 - b)::INT) AS raw FROM (SELECT *, coalesce(sum(length(text)) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM conversations WHERE conv_id = 1 AND turn + 1 BETWEEN 2 AND 41) WHERE b < 500")

@@ -105,7 +105,9 @@ def call_result_pairs(spark, d):
     return A.call_results(_events(spark, d)).select("session_key", "tool_call_id", "tool_name", "call_seq", "result_seq", "content", "is_error")
 
 
-@query(f"{_E} SELECT r.session_key, r.seq, r.tool_call_id, c.tool_name FROM entries r LEFT JOIN entries c ON c.kind = 'tool_call' AND c.session_key = r.session_key AND c.tool_call_id = r.tool_call_id WHERE r.kind = 'tool_result'")
+@query(f"""{_E}, own AS MATERIALIZED (SELECT session_key, tool_call_id, kind, tool_name, seq FROM entries WHERE kind IN ('tool_call', 'tool_result')),
+named AS (SELECT session_key, tool_call_id, arg_max(tool_name, seq) AS tool_name FROM own WHERE kind = 'tool_call' GROUP BY ALL)
+SELECT session_key, seq, tool_call_id, n.tool_name FROM (SELECT session_key, tool_call_id, seq FROM own WHERE kind = 'tool_result') r LEFT JOIN named n USING (session_key, tool_call_id)""")
 def result_owners(spark, d):
     return A.result_owners(_events(spark, d)).select("session_key", "seq", "tool_call_id", "tool_name")
 

@@ -81,8 +81,8 @@ def gate_facts(spark, d):
     return R.gate_facts(claims, sealed)
 
 
-_RECORDS = f"""{_T}, records AS (SELECT session_key, from_line, to_line, turn_index::VARCHAR AS slice_hash, 3 AS schema_version, turn_index AS append_seq, 'old' AS result FROM turns WHERE turn_index % 2 = 0
-UNION ALL SELECT session_key, from_line, to_line, turn_index::VARCHAR, CASE WHEN turn_index % 5 = 0 THEN 2 ELSE 3 END, 100000 + turn_index, 'new' FROM turns WHERE turn_index % 3 = 0),
+_RECORDS = f"""{_T}, records AS (SELECT session_key, from_line, to_line, CASE WHEN turn_index % 2 = 0 THEN '' ELSE 'gone-' END || turn_index AS slice_hash, 3 AS schema_version, turn_index AS append_seq, 'old' AS result FROM turns
+UNION ALL SELECT session_key, from_line, to_line, CASE WHEN turn_index % 3 = 0 THEN '' ELSE 'gone-' END || turn_index, CASE WHEN turn_index % 5 = 0 THEN 2 ELSE 3 END, 100000 + turn_index, 'new' FROM turns),
 latest AS (SELECT * FROM records WHERE schema_version = 3 QUALIFY row_number() OVER (PARTITION BY session_key, from_line, to_line, slice_hash ORDER BY append_seq DESC) = 1)"""
 
 
@@ -91,12 +91,19 @@ def _sliced(spark, d):
 
 
 def _records(turns):
-    base = ["session_key", "from_line", "to_line", "slice_hash"]
-    old = turns.where("turn_index % 2 = 0").select(*base, F.lit(3).alias("schema_version"), F.col("turn_index").alias("append_seq"), F.lit("old").alias("result"))
-    new = turns.where("turn_index % 3 = 0").select(*base, F.when(F.col("turn_index") % 5 == 0, 2).otherwise(3).alias("schema_version"), (F.col("turn_index") + 100000).alias("append_seq"), F.lit("new").alias("result"))
+    base = ["session_key", "from_line", "to_line"]
+    of = lambda n: F.when(F.col("turn_index") % n == 0, F.col("slice_hash")).otherwise(F.concat(F.lit("gone-"), "slice_hash")).alias("slice_hash")
+    old = turns.select(*base, of(2), F.lit(3).alias("schema_version"), F.col("turn_index").alias("append_seq"), F.lit("old").alias("result"))
+    new = turns.select(*base, of(3), F.when(F.col("turn_index") % 5 == 0, 2).otherwise(3).alias("schema_version"), (F.col("turn_index") + 100000).alias("append_seq"), F.lit("new").alias("result"))
     return old.unionByName(new)
 
 
+def _far_blocks(turns):
+    """A range for each turn: one in four swallows what follows, the others lie far behind the log."""
+    off = F.when(F.col("turn_index") % 4 == 1, 0).otherwise(1_000_000)
+    return turns.select("session_key", (F.col("from_line") + off).alias("b_from"), (F.col("to_line") + 4 + off).alias("b_to"))
+
+
 @query(f"{_RECORDS} SELECT * FROM latest")
 def sidecar_latest(spark, d):
     return R.sidecar_latest(_records(_sliced(spark, d)))
@@ -114,30 +121,28 @@ def covered_windows(spark, d):
     return R.covered_windows(turns, R.sidecar_latest(_records(turns)))
 
 
-@query(f"""{_T}, b AS (SELECT session_key, from_line AS b_from, to_line + 4 AS b_to FROM turns WHERE turn_index % 4 = 1) SELECT t.session_key, t.turn_index, count(b.b_from) AS n_blocks FROM turns t LEFT JOIN b ON b.session_key = t.session_key AND t.from_line >= b.b_from AND t.to_line <= b.b_to GROUP BY ALL""")
+@query(f"""{_T}, b AS (SELECT session_key, from_line + o AS b_from, to_line + 4 + o AS b_to FROM (SELECT *, CASE WHEN turn_index % 4 = 1 THEN 0 ELSE 1000000 END AS o FROM turns)) SELECT t.session_key, t.turn_index, count(b.b_from) AS n_blocks FROM turns t LEFT JOIN b ON b.session_key = t.session_key AND t.from_line >= b.b_from AND t.to_line <= b.b_to GROUP BY ALL""")
 def submit_coverage(spark, d):
     turns = _sliced(spark, d)
-    return R.submit_coverage(turns, turns.where("turn_index % 4 = 1").select("session_key", F.col("from_line").alias("b_from"), (F.col("to_line") + 4).alias("b_to")))
+    return R.submit_coverage(turns, _far_blocks(turns))
 
 
-@query(f"""{_T}, b AS (SELECT session_key, from_line AS b_from, to_line + 4 AS b_to FROM turns WHERE turn_index % 4 = 1), m AS (SELECT t.session_key, t.turn_index, t.to_line, max(b_from) AS f, arg_max(b_to, b_from) AS e FROM turns t LEFT JOIN b ON b.session_key = t.session_key AND b.b_from <= t.from_line GROUP BY ALL)
+@query(f"""{_T}, b AS (SELECT session_key, from_line + o AS b_from, to_line + 4 + o AS b_to FROM (SELECT *, CASE WHEN turn_index % 4 = 1 THEN 0 ELSE 1000000 END AS o FROM turns)), m AS (SELECT t.session_key, t.turn_index, t.to_line, max(b_from) AS f, arg_max(b_to, b_from) AS e FROM turns t LEFT JOIN b ON b.session_key = t.session_key AND b.b_from <= t.from_line GROUP BY ALL)
 SELECT session_key, turn_index, CASE WHEN e >= to_line THEN f ELSE -1 END AS span_from, CASE WHEN e >= to_line THEN e ELSE -1 END AS span_to FROM m""")
 def merged_spans(spark, d):
     turns = _sliced(spark, d)
-    return R.merged_spans(turns, turns.where("turn_index % 4 = 1").select("session_key", F.col("from_line").alias("b_from"), (F.col("to_line") + 4).alias("b_to"))).withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("span_from", "span_to")})
+    return R.merged_spans(turns, _far_blocks(turns)).withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("span_from", "span_to")})
 
 
-@query("SELECT conv_id::VARCHAR AS session_key, turn, CASE WHEN ceil(length(text) / 4.0) <= 60 THEN 0 WHEN ceil(length(left(text, 200)) / 4.0) <= 40 THEN 1 ELSE 2 END::INT AS level, CASE WHEN ceil(length(text) / 4.0) <= 60 THEN text WHEN ceil(length(left(text, 200)) / 4.0) <= 40 THEN left(text, 200) ELSE 'b' || turn END AS form FROM conversations WHERE length(text) > 240 OR length(text) <= 240")
+@query("""WITH f AS (SELECT conv_id::VARCHAR AS session_key, turn, text AS a, regexp_replace(text, '[aeiou ]', '', 'g') AS b FROM conversations)
+SELECT session_key, turn, CASE WHEN ceil(length(a) / 4.0) <= 60 THEN 0 WHEN ceil(length(b) / 4.0) <= 60 THEN 1 ELSE 2 END::INT AS level, CASE WHEN ceil(length(a) / 4.0) <= 60 THEN a WHEN ceil(length(b) / 4.0) <= 60 THEN b ELSE 'b' || turn || ' ' || sha256(a) END AS form FROM f""")
 def degraded_form(spark, d):
     c = spark.read.parquet(f"{d}/conversations.parquet")
-    forms = c.select(F.concat_ws("|", "conv_id", "turn").alias("session_key"), F.col("text").alias("form0"), F.left("text", F.lit(200)).alias("form1"), F.concat(F.lit("b"), F.col("turn").cast("string")).alias("form2"))
+    forms = c.select(F.concat_ws("|", "conv_id", "turn").alias("session_key"), F.col("text").alias("form0"), F.regexp_replace("text", "[aeiou ]", "").alias("form1"), F.concat(F.lit("b"), F.col("turn").cast("string"), F.lit(" "), F.sha2("text", 256)).alias("form2"))
     made = R.degraded_form(forms, 60)
     return made.select(F.split("session_key", r"\|")[0].alias("session_key"), F.split("session_key", r"\|")[1].cast("bigint").alias("turn"), "level", "form")
 
 
-ORACLES["degraded_form"] = ORACLES["degraded_form"].replace("<= 40", "<= 60")
-
-
 @query(f"""{_T}, l AS (SELECT session_key, turn_index, string_agg(tool_name || ' ' || tool_input, chr(10) ORDER BY seq) AS f, string_agg(tool_name || ' @L' || log_line, chr(10) ORDER BY seq) AS s FROM turned WHERE kind = 'tool_call' GROUP BY ALL),
 h AS (SELECT t.session_key, t.turn_index, '#### b' || turn_index || ' · @L' || from_line || '–L' || to_line || CASE WHEN names IS NOT NULL THEN ' · ' || array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') ELSE '' END || CASE WHEN interrupted THEN chr(10) || '(turn cut off)' ELSE '' END AS head,
   chr(10) || '→ turn ' || turn_index || ' (' || kind || '), ' || CASE WHEN names IS NULL THEN 'no tools' ELSE 'tools: ' || array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') END || ', lines ' || from_line || '–' || to_line AS tail FROM turns t)
