@@ -105,3 +105,22 @@ def read_log(lines: DataFrame, allowed: DataFrame, log_file: str, first: int, co
     rows = lines.where((F.col("log_file") == log_file) & F.col("log_line").between(first, first + max(1, min(count, 40)) - 1)).join(allowed.select("log_file"), "log_file", "left_semi")
     before = F.sum(F.length("raw")).over(Window.partitionBy("log_file").orderBy("log_line")) - F.length("raw")
     return rows.withColumn("_b", before).where(F.col("_b") < most).select("log_line", F.substr("raw", F.lit(1), (F.lit(most) - F.col("_b")).cast("int")).alias("raw"))
+
+
+#: Lines, characters and calls that an analyser may take of logs.
+READ_LINES, READ_CHARS, READ_CALLS = 40, 16_384, 12
+
+
+def read_requests(lines: DataFrame, requests: DataFrame, most_lines: int = READ_LINES, most_chars: int = READ_CHARS, most_calls: int = READ_CALLS) -> DataFrame:
+    """(job, call, log_line, raw) for requests (job, call, log_file, first, count) of many jobs: up to ``most_lines`` lines from first and ``most_chars``
+    characters a call, and the first ``most_calls`` calls of a job.
+
+    An interval join: lines and requests meet on (log, block of ``most_lines`` lines), of which a request touches two at most.
+    """
+    turn = Window.partitionBy("job").orderBy("call")
+    asked = requests.withColumn("_n", F.row_number().over(turn)).where(F.col("_n") <= most_calls)
+    last = F.col("first") + F.greatest(F.lit(1), F.least(F.col("count"), F.lit(most_lines))) - 1
+    asked = asked.select("job", "call", "log_file", "first", last.alias("last")).withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / most_lines), F.floor(F.col("last") / most_lines))))
+    rows = lines.withColumn("block", F.floor(F.col("log_line") / most_lines)).join(asked, ["log_file", "block"]).where(F.col("log_line").between(F.col("first"), F.col("last")))
+    before = F.sum(F.length("raw")).over(Window.partitionBy("job", "call").orderBy("log_line")) - F.length("raw")
+    return rows.withColumn("_b", before).where(F.col("_b") < most_chars).select("job", "call", "log_line", F.substr("raw", F.lit(1), (F.lit(most_chars) - F.col("_b")).cast("int")).alias("raw"))

@@ -121,3 +121,17 @@ def pseudo_sessions(spark, d):
 def read_log(spark, d):
     lines = _lines(spark, d)
     return S.read_log(lines, lines.select("log_file").distinct(), "1", 2, 99, 500)
+
+
+@query("""WITH r AS (SELECT DISTINCT conv_id AS job, k AS call, (conv_id + k) % (SELECT max(conv_id) + 1 FROM conversations) AS conv, 1 + k % 5 AS first, k % 7 AS n FROM conversations, range(1, 15) AS t(k)),
+l AS (SELECT job, call, turn + 1 AS log_line, text, coalesce(sum(length(text)) OVER (PARTITION BY job, call ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM r JOIN conversations c ON c.conv_id = r.conv AND c.turn + 1 BETWEEN first AND first + greatest(1, least(n, 4)) - 1 WHERE call <= 12)
+SELECT job, call, log_line, left(text, (700 - b)::INT) AS raw FROM l WHERE b < 700""")
+def read_logs(spark, d):
+    """Fourteen look-ups of each conversation's job in other conversations, of which twelve, four lines and 700 characters are allowed."""
+    lines = _lines(spark, d)
+    jobs = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id").distinct()
+    many = jobs.agg(F.max("conv_id") + 1).first()[0] or 1
+    k = F.col("call")
+    asked = jobs.select(F.col("conv_id").alias("job"), F.explode(F.sequence(F.lit(1), F.lit(14))).alias("call"))
+    asked = asked.select("job", "call", ((F.col("job") + k) % many).cast("string").alias("log_file"), (1 + k % 5).alias("first"), (k % 7).alias("count"))
+    return S.read_requests(lines, asked, 4, 700, 12)
