@@ -38,7 +38,7 @@ from .common import pieces_of
 
 SPACE = "\u2581"
 #: Text bytes that are encoded together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Ids that are spelled out at once.
 IDS_TOGETHER = 1 << 16
 #: Kinds of pieces in a model file.

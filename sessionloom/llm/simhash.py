@@ -44,6 +44,8 @@ CELL_ROWS = 30_000
 SLICE, LEAF = 500_000, 24
 #: Shingles of a group of candidates that one task compares, the texts that a round takes from larger groups, and how their rest is salted.
 GROUP_GRAMS, HEADS, SALTS = 1_000_000, 64, 16
+#: Shingles of a group behind which its task gives memory back.
+LARGE = 200_000
 SHINGLES_AT_ONCE = 200_000
 
 
@@ -285,8 +287,9 @@ def _thinned(least: float):
             last[own] = new
             used += len(own)
             size.append(len(own))
-        del lists, names, grams, last, text_of, before
-        give_back()
+        if len(grams) > LARGE:
+            del lists, names, grams, last, text_of, before
+            give_back()
         return pa.table({"tag": pa.array(gone, pa.int64())})
 
     return thin
