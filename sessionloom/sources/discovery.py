@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,20 +33,26 @@ class Root:
     path: str
 
 
-def files(spark: SparkSession, root: Root) -> DataFrame:
-    """(source, log_file, log_bytes, log_mtime): non-empty logs of a root's kind; file contents are not read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(root.path)
-    meta = lambda c: F.col(f"_metadata.{c}")
-    found = listed.select(F.lit(root.source).alias("source"), meta("file_path").alias("log_file"), meta("file_size").alias("log_bytes"), meta("file_modification_time").alias("log_mtime"))
-    return found.where((F.col("log_bytes") > 0) & F.col("log_file").rlike(PATTERNS[root.source]) & ~F.col("log_file").rlike(SKIPPED))
+def files(spark: SparkSession, *roots: Root) -> DataFrame:
+    """(rank, source, log_file, log_bytes, log_mtime): non-empty logs of each root's kind; file contents are not read."""
+    if all(sniff.opens(r.path) for r in roots):
+        listed = sniff.tree(spark, [r.path for r in roots]).withColumnRenamed("root", "rank")
+    else:  # a store that only Spark reads: the listing is the driver's
+        meta = lambda c: F.col(f"_metadata.{c}")
+        load = lambda p: spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(p)
+        parts = [load(r.path).select(F.lit(i).alias("rank"), meta("file_path").alias("log_file"), meta("file_size").alias("log_bytes"), meta("file_modification_time").alias("log_mtime")) for i, r in enumerate(roots)]
+        listed = reduce(DataFrame.unionByName, parts)
+    source, fits = F.lit(None).cast("string"), F.lit(False)
+    for i, root in enumerate(roots):
+        own = F.col("rank") == i
+        source, fits = F.when(own, root.source).otherwise(source), F.when(own, F.col("log_file").rlike(PATTERNS[root.source])).otherwise(fits)
+    found = listed.where((F.col("log_bytes") > 0) & F.endswith("log_file", F.lit(".jsonl")) & fits & ~F.col("log_file").rlike(SKIPPED))
+    return found.select("rank", source.alias("source"), "log_file", "log_bytes", "log_mtime")
 
 
 def inventory(spark: SparkSession, roots: list[Root], only: str | None = None) -> DataFrame:
     """(session_key, source, log_file, log_bytes, log_mtime) of all roots; a file belongs to the first kind that claims it."""
-    union = None
-    for rank, root in enumerate(roots):
-        part = files(spark, root).withColumn("rank", F.lit(rank))
-        union = part if union is None else union.unionByName(part)
+    union = files(spark, *roots)
     if only:
         union = union.where(F.contains("log_file", F.lit(only)))
     return first_per_path(union, "rank").select(T.session_key(F.col("log_file")).alias("session_key"), "source", "log_file", "log_bytes", "log_mtime")
@@ -78,12 +85,9 @@ def refs(spark: SparkSession, roots: list[Root], listed: DataFrame, stamps: bool
     minimax_id = F.when(suffix == "", name(up(1))).when(plain.rlike(r"^[\x20-\x7e]+$"), plain).otherwise(suffix)
     role = F.when(kimi & ((nested & (name(up(1)) != "main")) | under), "subagent").otherwise("main")
     rows = own.select("source", "log_file", folder.alias("folder"), F.when(kimi, kimi_id).otherwise(minimax_id).alias("own_id"), role.alias("ref_role"), hint.alias("ref_hint"))
-    beside = None
-    for root in (r for r in roots if r.source in ("kimi", "minimax")):
-        part = sniff.beside(spark, root.path, "state.json" if root.source == "kimi" else "manifest.json")
-        beside = part if beside is None else beside.unionByName(part)
-    if beside is None:
+    if not any(r.source in ("kimi", "minimax") for r in roots):
         return rows.select("log_file", F.col("own_id").alias("ref_id"), "ref_role", none.alias("ref_cwd"), "ref_hint", none.alias("ref_started"), none.alias("ref_ended")).limit(0)
+    beside = sniff.beside(rows.select("folder", F.when(kimi, "state.json").otherwise("manifest.json").alias("name")))
     field = lambda p: F.nullif(F.get_json_object("body", f"$.{p}"), F.lit(""))
     stamp = lambda p: T.iso_from_millis(field(p).try_cast("double"))
     edges = sniff.edges(rows.where("source = 'kimi'").select("log_file"), 4096, 4096) if stamps else rows.limit(0).select("log_file", none.alias("head"), none.alias("tail"))
@@ -118,19 +122,21 @@ def census(spark: SparkSession, roots: list[Root], only: str | None = None, unde
 def read(spark: SparkSession, roots: list[Root], only: str | None = None, under: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(entries, sessions) of all logs below the roots; a log below several roots is read once, by the first kind that claims it.
 
-    Only the logs that the census keeps are read. Their paths pass through the driver, where Spark's own file index holds them too.
+    Only the logs that the census keeps are read. Their paths stay in tables, but for stores that only Spark's readers open: there they pass through the driver.
     """
     listed = written(census(spark, roots, only, under))
-    kept: dict[str, list[str]] = {}
-    for r in listed.where("skipped is null").select("source", "log_file").collect():
-        kept.setdefault(r.source, []).append(r.log_file)
+    kept = listed.where("skipped is null")
     entries = sessions = None
     for source in dict.fromkeys(r.source for r in roots):
-        lines = logs.read_lines(spark, *(r.path for r in roots if r.source == source), only=kept.get(source, []))
+        own, paths = kept.where(F.col("source") == source), [r.path for r in roots if r.source == source]
+        if all(map(sniff.opens, paths)):
+            lines = logs.listed_lines(own)
+        else:
+            lines = logs.read_lines(spark, *paths, only=[r.log_file for r in own.select("log_file").collect()])
         e, s = logs.entries(lines, source), logs.sessions(lines, source)
         entries, sessions = (e, s) if entries is None else (entries.unionByName(e), sessions.unionByName(s))
     if any(r.source in ("kimi", "minimax") for r in roots):
-        known = refs(spark, roots, listed.where("skipped is null"))
+        known = refs(spark, roots, kept)
         own = sessions.columns
         sessions = sessions.join(known, "log_file", "left").withColumns({
             "session_id": F.coalesce("ref_id", "session_id"), "role": F.coalesce("ref_role", "role"), "cwd": F.coalesce(F.col("ref_cwd"), F.col("cwd")),

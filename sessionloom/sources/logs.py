@@ -7,31 +7,38 @@ another kind of log is another function in ADAPTERS.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import tools as C
 from ..storage import written
+from . import sniff
 from .tables import _OWN, _TYPES, COLUMNS
 from .tables import entry as _entry
 
 
+#: Bytes of a range, of a task's ranges, and of a batch of lines; logs of a task.
+RANGE, TASK_BYTES, BATCH_BYTES, TASK_LOGS = 16 << 20, 32 << 20, 4 << 20, 4_000
+_CHANGED = "the ranges of a log changed while it was read"
+
+
 def read_lines(spark: SparkSession, *paths: str, only: list[str] | None = None, range_bytes: int | None = None) -> DataFrame:
     """(log_file, log_bytes, log_line, raw): the lines of log files, numbered from 1 with blank ones counted but left out.
 
-    A log is read in byte ranges, as Spark's text source cuts it; a line belongs to the range where it begins. A first pass counts
-    the lines of each range, a prefix sum over a log's ranges gives each range its first number, and the second pass numbers lines inside their range. Neither pass
-    shuffles lines, and no task holds more than one line. ``only`` leaves all other files unread. With ``range_bytes`` the ranges have that
-    size and the lines are written to a table at once.
+    A log is read in byte ranges; a line belongs to the range where it begins. A first pass counts the lines of each range, a prefix sum over a
+    log's ranges gives each range its first number, and the second pass numbers lines inside their range. Neither pass
+    shuffles lines, and no task holds more than one line. ``only``, a short list, leaves all other files unread and cuts ranges as
+    Spark's text source does; else see ``listed_lines``.
     """
+    if only is None and all(map(sniff.opens, paths)):
+        return listed_lines(sniff.tree(spark, list(paths)).where("log_bytes > 0"), range_bytes)
     pinned = {"spark.sql.files.minPartitionNum": spark.conf.get("spark.sql.files.minPartitionNum", None) or str(spark.sparkContext.defaultParallelism)}
-    if range_bytes:
-        pinned |= {"spark.sql.files.maxPartitionBytes": str(range_bytes), "spark.sql.files.openCostInBytes": "1"}
-    before = {k: spark.conf.get(k, None) for k in pinned}
     # Both passes must see the same ranges, also when executors come or go between them.
     for k, v in pinned.items():
         spark.conf.set(k, v)
@@ -43,14 +50,89 @@ def read_lines(spark: SparkSession, *paths: str, only: list[str] | None = None,
     up_to = Window.partitionBy("log_file").orderBy("range")
     ranges = written(ranges.withColumn("before", F.sum("n").over(up_to) - F.col("n")))
     inside = F.col("at") - F.col("first")
-    known = F.when((inside >= 0) & (inside < F.col("n")), F.col("before") + inside + 1).otherwise(F.raise_error(F.lit("the ranges of a log changed while it was read")))
-    lines = rows.join(ranges, ["log_file", "range"], "left").select("log_file", "log_bytes", known.cast("bigint").alias("log_line"), F.when(F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("raw"))
-    lines = lines.where(F.trim("raw") != "")
-    if range_bytes:
-        lines = written(lines)
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-    return lines
+    known = F.when((inside >= 0) & (inside < F.col("n")), F.col("before") + inside + 1).otherwise(F.raise_error(F.lit(_CHANGED)))
+    return _without_blank(rows.join(ranges, ["log_file", "range"], "left").select("log_file", "log_bytes", known.cast("bigint").alias("log_line"), "value"))
+
+
+def _without_blank(lines: DataFrame) -> DataFrame:
+    """Lines (value) without their carriage return, as raw, but for blank ones."""
+    raw = F.when(F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    return lines.select("log_file", "log_bytes", "log_line", raw.alias("raw")).where(F.trim("raw") != "")
+
+
+def listed_lines(listed: DataFrame, range_bytes: int | None = None) -> DataFrame:
+    """The lines of listed logs (log_file, log_bytes), as ``read_lines`` gives them, written to a table at once.
+
+    The ranges are rows of a table, each task reads many of them, and nothing of them passes through the driver. Logs of one range need no first pass.
+    """
+    size, spark = range_bytes or RANGE, listed.sparkSession
+    ranges = written(listed.select("log_file", "log_bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("log_bytes") - 1, F.lit(size).cast("long"))).alias("range")))
+    sums = ranges.agg(F.sum(F.least(F.lit(size), F.col("log_bytes") - F.col("range"))).alias("bytes"), F.count("*").alias("n"), F.count_if(F.col("log_bytes") > size).alias("cut")).first()
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-(sums["bytes"] or 0) // TASK_BYTES), -(-sums["n"] // TASK_LOGS))
+    before = ranges.where(F.col("log_bytes") <= size).select("*", F.lit(0).cast("long").alias("before"), F.lit(None).cast("long").alias("n"))
+    if sums["cut"]:
+        counted = ranges.where(F.col("log_bytes") > size).repartition(tasks, "log_file", "range").mapInArrow(_counting(size), "log_file string, log_bytes long, range long, n long")
+        up_to = Window.partitionBy("log_file").orderBy("range")
+        before = before.unionByName(written(counted.withColumn("before", F.sum("n").over(up_to) - F.col("n"))))
+    read = before.repartition(tasks, "log_file", "range").mapInArrow(_numbering(size), "log_file string, log_bytes long, log_line long, value binary")
+    return written(_without_blank(read.withColumn("value", F.col("value").cast("string"))))
+
+
+def _counting(size: int):
+    """Adds to ranges how many lines begin in each."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for path, whole, start in zip(*(batch.column(c).to_pylist() for c in ("log_file", "log_bytes", "range")), strict=True):
+                left = min(size, whole - start) - (start == 0)
+                n = int(start == 0)
+                with sniff.opened(path) as f:
+                    f.seek(max(0, start - 1))
+                    while left > 0 and (piece := f.read(min(left, 1 << 20))):
+                        n, left = n + piece.count(b"\n"), left - len(piece)
+                counts.append(n)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("log_file", "log_bytes", "range")), pa.array(counts, pa.int64())], names=["log_file", "log_bytes", "range", "n"])
+
+    return work
+
+
+def _numbering(size: int):
+    """The lines of ranges; before: how many lines stand before a range, n: how many begin in it, if counted."""
+
+    def begun(path: str, start: int, end: int) -> Iterator[bytes]:
+        with sniff.opened(path) as f:
+            stream = io.BufferedReader(f, min(1 << 20, end - start + 1))
+            stream.seek(max(0, start - 1))
+            at = start
+            if start:
+                skipped = stream.readline(end - start + 1)
+                at += len(skipped) - 1
+                if not skipped.endswith(b"\n"):
+                    return
+            while at < end and (line := stream.readline()):
+                yield line.removeprefix(b"\xef\xbb\xbf") if at == 0 else line
+                at += len(line)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        made = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["log_file", "log_bytes", "log_line", "value"])
+        for batch in batches:
+            for path, whole, start, before, n in zip(*(batch.column(c).to_pylist() for c in ("log_file", "log_bytes", "range", "before", "n")), strict=True):
+                number = before
+                for line in begun(path, start, min(whole, start + size)):
+                    number += 1
+                    rows.append((path, whole, number, line.removesuffix(b"\n")))
+                    held += len(line) + 100
+                    if held > BATCH_BYTES:
+                        yield made()
+                        rows, held = [], 0
+                if n is not None and number != before + n:
+                    raise ValueError(_CHANGED)
+        if rows:
+            yield made()
+
+    return work
 
 
 def _get(record: Column, path: str) -> Column:
