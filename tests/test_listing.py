@@ -34,3 +34,10 @@ def test_no_paths_pass_through_the_driver(spark, tmp_path, monkeypatch):
     assert max(map(len, got), default=0) <= 1 and not scans
     monkeypatch.undo()
     assert entries.count() == 40 and {r.session_id for r in sessions.collect()} == {str(i) for i in range(40)}
+
+
+def test_many_ranges_are_one_task(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("".join(f"line {i}\n" for i in range(9000)))
+    made = logs.read_lines(spark, str(tmp_path), range_bytes=200)
+    assert len(made.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism
+    assert [(r.log_line, r.raw) for r in made.orderBy("log_line").collect()] == [(i + 1, f"line {i}") for i in range(9000)]
