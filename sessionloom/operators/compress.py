@@ -34,6 +34,11 @@ DIGESTS = "session_key string, window_index long, digest string, floor boolean"
 Model = Callable[[DataFrame], DataFrame]
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """One side of a join that Spark must not broadcast: each wave would send its tables through the driver again."""
+    return df.hint("merge")
+
+
 def _message(role: str, text: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), text.alias("text"))
 
@@ -69,14 +74,14 @@ def _judged(rows: DataFrame, fresh: bool, last: bool) -> DataFrame:
 def _asked(open_: DataFrame, model: Model, attempt: int) -> DataFrame:
     """Open turns with the reply to their messages."""
     prompts = open_.select(*KEY, F.lit(attempt).alias("attempt"), "from_line", "to_line", "quote_ids", "messages")
-    return open_.join(model(prompts).select(*KEY, "reply"), KEY, "left")
+    return open_.join(_shuffled(model(prompts).select(*KEY, "reply")), KEY, "left")
 
 
 def wave_records(turns: DataFrame, carried: DataFrame, model: Model) -> DataFrame:
     """RECORDS of all of ``turns`` (TURNS); ``carried`` (session_key, digest) is what earlier windows hand on."""
     spark = turns.sparkSession
     before = F.when(F.col("digest").isNotNull(), F.array(_message("user", F.concat(F.lit("State of the work so far, for continuity only:\n"), "digest")))).otherwise(F.array().cast("array<struct<role:string,text:string>>"))
-    open_ = turns.join(carried, "session_key", "left").withColumns({"messages": F.concat(before, F.array(_message("user", F.col("prompt")))), "wrong": F.lit(None).cast("string")})
+    open_ = turns.join(_shuffled(carried), "session_key", "left").withColumns({"messages": F.concat(before, F.array(_message("user", F.col("prompt")))), "wrong": F.lit(None).cast("string")})
     done = []
     for attempt in range(ATTEMPTS + 1):
         fresh = attempt == ATTEMPTS
@@ -112,11 +117,11 @@ def wave_digests(windows: DataFrame, records: DataFrame, carried: DataFrame, mod
     """DIGESTS of ``windows`` (session_key, window_index) from the records of their turns."""
     said = F.format_string("b%d: %s", "turn_index", F.coalesce(F.get_json_object("result", "$.action"), F.lit("")))
     held = records.withColumn("said", said).groupBy("session_key", "window_index").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn_index", "said"))), lambda x: x["said"]), "\n").alias("all"))
-    rows = windows.join(held, ["session_key", "window_index"], "left").join(carried, "session_key", "left")
+    rows = windows.join(_shuffled(held), ["session_key", "window_index"], "left").join(_shuffled(carried), "session_key", "left")
     ask = F.concat(F.coalesce(F.concat(F.lit("State before this window:\n"), "digest", F.lit("\n")), F.lit("")), F.lit("Turns of this window:\n"), F.coalesce("all", F.lit("")), F.lit("\nAnswer with one JSON object that carries the state into the next window."))
     none = lambda t: F.lit(None).cast(t)
     prompts = rows.select("session_key", "window_index", F.lit(0).cast("long").alias("turn_index"), F.lit(0).alias("attempt"), none("long").alias("from_line"), none("long").alias("to_line"), none("array<string>").alias("quote_ids"), F.array(_message("user", ask)).alias("messages"))
-    found = windows.join(model(prompts).select("session_key", "window_index", "reply"), ["session_key", "window_index"], "left")
+    found = windows.join(_shuffled(model(prompts).select("session_key", "window_index", "reply")), ["session_key", "window_index"], "left")
     found = found.withColumn("object", T.extract_json_object(F.col("reply"))).withColumn("value", F.try_parse_json("object"))
     body, value = F.col("object"), F.col("value")
     right = F.coalesce(value.isNotNull() & (F.size(C.digest_errors(value)) == 0) & (T.text_units(F.col("reply")) <= LONGEST_DIGEST), F.lit(False))
@@ -136,8 +141,8 @@ def next_windows(turns: DataFrame, records: DataFrame, digests: DataFrame) -> Da
     slice_ = ["session_key", "from_line", "to_line", "slice_hash"]
     hit = records.select(*slice_).distinct().withColumn("hit", F.lit(True))
     told = digests.select("session_key", "window_index").distinct().withColumn("told", F.lit(True))
-    rows = turns.join(hit, slice_, "left").groupBy("session_key", "window_index").agg(F.count_if(F.col("hit").isNull()).alias("open_turns"), F.bool_or("last_window").alias("last_window"))
-    rows = rows.join(told, ["session_key", "window_index"], "left").where((F.col("open_turns") > 0) | (F.col("told").isNull() & ~F.col("last_window")))
+    rows = turns.join(_shuffled(hit), slice_, "left").groupBy("session_key", "window_index").agg(F.count_if(F.col("hit").isNull()).alias("open_turns"), F.bool_or("last_window").alias("last_window"))
+    rows = rows.join(_shuffled(told), ["session_key", "window_index"], "left").where((F.col("open_turns") > 0) | (F.col("told").isNull() & ~F.col("last_window")))
     return rows.groupBy("session_key").agg(*(F.min_by(c, "window_index").alias(c) for c in ("open_turns", "last_window")), F.min("window_index").alias("window_index"))
 
 
@@ -152,14 +157,14 @@ def compress(turns: DataFrame, model: Model, path: str, waves: int | None = None
             break
         n += 1
         before = F.col("d.window_index") == F.col("n.window_index") - 1
-        carried = written(now.alias("n").join(digests.alias("d"), (F.col("d.session_key") == F.col("n.session_key")) & before).select("n.session_key", "d.digest").dropDuplicates(["session_key"]))
-        own = turns.join(now.select("session_key", "window_index"), ["session_key", "window_index"], "left_semi")
-        left = own.join(records.select(*slice_), slice_, "left_anti")
+        carried = written(now.alias("n").join(_shuffled(digests.alias("d")), (F.col("d.session_key") == F.col("n.session_key")) & before).select("n.session_key", "d.digest").dropDuplicates(["session_key"]))
+        own = turns.join(_shuffled(now.select("session_key", "window_index")), ["session_key", "window_index"], "left_semi")
+        left = own.join(_shuffled(records.select(*slice_)), slice_, "left_anti")
         commit([(wave_records(left, carried, model), f"{path}/records")])
         records = records_of(spark, path)
         ask = now.where("not last_window").select("session_key", "window_index")
         if not ask.isEmpty():
-            commit([(wave_digests(ask, records.join(own.select(*slice_), slice_, "left_semi"), carried, model), f"{path}/digests")])
+            commit([(wave_digests(ask, records.join(_shuffled(own.select(*slice_)), slice_, "left_semi"), carried, model), f"{path}/digests")])
     return n
 
 

@@ -10,3 +10,11 @@ def test_contracts_are_judged_by_many_tasks_and_parsed_once(spark):
     assert made.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.lower().count("parsejson") <= 3
+
+
+def test_waves_of_compression_broadcast_nothing(spark):
+    from sessionloom.operators import compress as P
+
+    turns, records, digests = (spark.createDataFrame([], s) for s in (P.TURNS, P.RECORDS, P.DIGESTS))
+    plan = P.next_windows(turns, records, digests)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
