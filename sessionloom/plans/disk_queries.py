@@ -34,7 +34,8 @@ def log_ranges(spark, d):
     folder = _folder(spark)
     export.write_files(docs.select(F.concat(F.coalesce("source", F.lit("none")), F.lit(".jsonl")).alias("path"), F.col("doc_id").alias("place"), body.alias("body")), folder)
     lines = L.read_lines(spark, folder, range_bytes=64 << 10)
-    return lines.select(F.regexp_extract("log_file", r"([^/]+)\.jsonl$", 1).alias("log"), "log_line", "raw")
+    name = F.substring_index("log_file", "/", -1)
+    return lines.select(F.left(name, F.length(name) - F.lit(len(".jsonl"))).alias("log"), "log_line", "raw")
 
 
 _register("log_ranges", log_ranges, r"""WITH b AS (SELECT coalesce(source, 'none') AS log, doc_id, coalesce(text, '') AS t, CASE WHEN doc_id % 5 = 0 THEN chr(13) || chr(10) ELSE chr(10) END AS e FROM documents),

@@ -18,3 +18,8 @@ def test_waves_of_compression_broadcast_nothing(spark):
     turns, records, digests = (spark.createDataFrame([], s) for s in (P.TURNS, P.RECORDS, P.DIGESTS))
     plan = P.next_windows(turns, records, digests)._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and "Broadcast" not in plan
+
+
+def test_no_line_of_log_ranges_searches_its_path(spark):
+    plan = catalogue.QUERIES["log_ranges"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "log_file" in plan and "regexp" not in plan.lower()
