@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import tools as C
-from .facts import call_results
+from .facts import call_results, paired
 from .folds import ordered_fold
 
 #: Calls after which a block may end at the next turn's start.
@@ -15,41 +15,47 @@ FULL = 8
 FAMILIES = ("read", "search", "edit", "execute", "web", "agent", "mcp", "other")
 
 
+def _block(s: dict, row: tuple) -> tuple:
+    """The block of an entry; of one without kind none."""
+    kind, family, turn_start = row
+    if kind is None:
+        return (None,)
+
+    def opened() -> None:
+        if not s["open"]:
+            s.update(block=s["block"] + 1, open=True, calls={})
+
+    if kind == "user_text":
+        s["open"] = False
+        opened()
+    elif kind == "assistant_text":
+        if s["open"] and s["calls"] and not turn_start:
+            s["open"] = False
+            return (s["block"],)
+        if s["open"] and s["calls"]:
+            s["open"] = False
+        opened()
+    else:
+        calls = s["calls"]
+        if s["open"] and calls and turn_start and (sum(calls.values()) >= FULL or max(calls, key=calls.get) != family):
+            s["open"] = False
+        opened()
+        s["calls"][family] = s["calls"].get(family, 0) + 1
+    return (s["block"],)
+
+
+def _folded(rows: DataFrame, kind: str, dealt: bool = False) -> DataFrame:
+    return ordered_fold(rows, "session_key", ["seq"], [kind, "family", "turn_start"], lambda: {"block": 0, "open": False, "calls": {}}, _block, "block_index bigint", dealt)
+
+
 def with_blocks(entries: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(session_key, seq, kind, family, turn_start, block_index from 1, and ``keep``) of the entries that make up blocks (no side chains).
 
     A prompt opens a block. Narration behind calls closes one, unless it opens a new turn. A turn that starts with another
     family than the block's commonest, or behind FULL calls, opens a new one.
     """
-
-    def step(s: dict, row: tuple) -> tuple:
-        kind, family, turn_start = row
-
-        def opened() -> None:
-            if not s["open"]:
-                s.update(block=s["block"] + 1, open=True, calls={})
-
-        if kind == "user_text":
-            s["open"] = False
-            opened()
-        elif kind == "assistant_text":
-            if s["open"] and s["calls"] and not turn_start:
-                s["open"] = False
-                return (s["block"],)
-            if s["open"] and s["calls"]:
-                s["open"] = False
-            opened()
-        else:
-            calls = s["calls"]
-            if s["open"] and calls and turn_start and (sum(calls.values()) >= FULL or max(calls, key=calls.get) != family):
-                s["open"] = False
-            opened()
-            s["calls"][family] = s["calls"].get(family, 0) + 1
-        return (s["block"],)
-
     own = entries.where("not sidechain").where(F.col("kind").isin("user_text", "assistant_text", "tool_call")).withColumn("family", F.when(F.col("kind") == "tool_call", C.classify_tool(F.col("tool_name"))))
-    own = own.select("session_key", "seq", "kind", "family", "turn_start", *keep)
-    return ordered_fold(own, "session_key", ["seq"], ["kind", "family", "turn_start"], lambda: {"block": 0, "open": False, "calls": {}}, step, "block_index bigint")
+    return _folded(own.select("session_key", "seq", "kind", "family", "turn_start", *keep), "kind")
 
 
 def _label() -> Column:
@@ -110,8 +116,10 @@ def render_fact() -> Column:
 
 def rendered_calls(entries: DataFrame, cwd: str | None = None) -> DataFrame:
     """call_results with signature, fact and line: the call, its place and what came of it; the result's place only if it isn't close by."""
-    pairs = call_results(entries)
-    signature = C.tool_signature(F.col("tool_name"), F.col("tool_input"))
+    return _rendered(call_results(entries), C.tool_signature(F.col("tool_name"), F.col("tool_input")), cwd)
+
+
+def _rendered(pairs: DataFrame, signature: Column, cwd: str | None = None) -> DataFrame:
     if cwd:
         signature = F.when(F.startswith(signature, F.lit(f"cd {cwd} && ")), F.substr(signature, F.lit(len(f"cd {cwd} && ") + 1))).otherwise(signature)
     rows = pairs.withColumn("signature", T.cap_line(signature, 110)).withColumn("fact", render_fact())
@@ -120,14 +128,74 @@ def rendered_calls(entries: DataFrame, cwd: str | None = None) -> DataFrame:
     return rows.withColumn("line", F.concat(called, F.lit(" → "), "fact", far))
 
 
+def _alike() -> Column:
+    """What equal calls have in common."""
+    return F.concat_ws("|", "tool_name", "signature", F.coalesce("is_error", F.lit(False)).cast("string"), T.strip_refs(F.col("fact")))
+
+
+def _times() -> Column:
+    return F.when(F.col("occurrences") > 1, F.concat("line", F.format_string(" ×%d", "occurrences"))).otherwise(F.col("line"))
+
+
 def tool_lines(entries: DataFrame, cwd: str | None = None) -> DataFrame:
     """(session_key, block_index, pos, text, log_line, is_error, family, occurrences): calls of a block, equal ones (places aside) as one line at
     the first place with the last one's text."""
     called = with_blocks(entries).where("kind = 'tool_call'").select("session_key", "seq", "block_index", "family")
-    key = F.concat_ws("|", "tool_name", "signature", F.coalesce("is_error", F.lit(False)).cast("string"), T.strip_refs(F.col("fact")))
-    rows = called.join(rendered_calls(entries, cwd).withColumnRenamed("call_seq", "seq").drop("sidechain"), ["session_key", "seq"]).withColumn("key", key)
+    rows = called.join(rendered_calls(entries, cwd).withColumnRenamed("call_seq", "seq").drop("sidechain"), ["session_key", "seq"]).withColumn("key", _alike())
     merged = rows.groupBy("session_key", "block_index", "key").agg(F.min("seq").alias("pos"), F.max_by("line", "seq").alias("line"), F.max_by("call_line", "seq").alias("log_line"), F.first("is_error").alias("is_error"), F.first("family").alias("family"), F.count("*").alias("occurrences"))
-    return merged.select("session_key", "block_index", "pos", F.when(F.col("occurrences") > 1, F.concat("line", F.format_string(" ×%d", "occurrences"))).otherwise(F.col("line")).alias("text"), "log_line", F.coalesce("is_error", F.lit(False)).alias("is_error"), "family", "occurrences")
+    return merged.select("session_key", "block_index", "pos", _times().alias("text"), "log_line", F.coalesce("is_error", F.lit(False)).alias("is_error"), "family", "occurrences")
+
+
+def rendered_rows(entries: DataFrame) -> DataFrame:
+    """All entries without their texts, calls with what ``blocks``, ``tool_lines`` and ``file_ops`` make of them, from one shuffle on the session.
+
+    (session_key, seq, log_line, kind, ts, sidechain, chars, block_index, family, said, line, key, result_line, is_error, interrupted, run, failed, path, op, op_line, added, removed): block_index,
+    said (narration) and key (of equal calls) are null outside blocks; is_error and interrupted of a call are its result's.
+    """
+    call, result, main = F.col("kind") == "tool_call", F.col("kind") == "tool_result", ~F.col("sidechain")
+    of = lambda c: F.when(call, F.col(f"result.{c}")).alias(c)
+    mixed = lambda c: F.when(call, F.col(f"result.{c}")).otherwise(F.col(c)).alias(c)
+    rows = paired(entries).select(
+        "session_key", "seq", F.col("log_line"), F.col("log_line").alias("call_line"), "kind", "ts", "sidechain", "turn_start", F.length(F.coalesce("text", "content", "tool_input", F.lit(""))).alias("chars"), "tool_name", "tool_input",
+        F.when(main & F.col("kind").isin("user_text", "assistant_text", "tool_call"), F.col("kind")).alias("part"), "family", F.when(main & (F.col("kind") == "assistant_text"), T.cap_block(F.col("text"), 500)).alias("said"), _told().alias("told"),
+        F.when(result & main & (F.col("owner") == "execute"), C.detect_checks(F.col("content"))).alias("checks"),
+        F.when(call, F.col("result.log_line")).alias("result_line"), of("content"), mixed("is_error"), mixed("interrupted"), of("diff_added"), of("diff_removed"), "own_result",
+        F.when(call, C.tool_signature(F.col("tool_name"), F.col("tool_input"))).alias("whole"),
+    )
+    operated, edit = call & main & F.col("family").isin("read", "edit"), F.col("family") == "edit"
+    rows = _rendered(rows.withColumn("own", F.when(operated & edit, C.edit_diff(F.col("tool_name"), F.col("tool_input")))), F.col("whole"))
+    slim = rows.select(
+        "session_key", "seq", "log_line", "kind", "ts", "sidechain", "turn_start", "chars", "part", "family", "said", F.when(call, F.col("line")).otherwise(F.col("told")).alias("line"),
+        F.when(F.col("part") == "tool_call", _alike()).alias("key"), "result_line", "is_error", "interrupted", "checks.run", "checks.failed", F.when(operated, F.nullif(C.extract_path(F.col("whole")), F.lit(""))).alias("path"), F.when(edit, "modify").otherwise("read").alias("op"),
+        F.when(edit, F.coalesce("own_result.log_line", "call_line")).otherwise(F.col("call_line")).alias("op_line"), *(F.when(edit, F.coalesce(f"own_result.diff_{c}", f"own.{c}")).alias(c) for c in ("added", "removed")),
+    )
+    return _folded(slim, "part", dealt=True).drop("part", "turn_start")
+
+
+def _told() -> Column:
+    """The line of a prompt or a note."""
+    listed = F.col("subtype").isin("away_summary", "compaction_summary", "compact_boundary", "pr-link")
+    prompt, note = (F.col("kind") == "user_text") & ~F.col("sidechain"), (F.col("kind") == "system_note") & listed
+    return F.when(prompt, F.concat(F.lit("> "), T.cap_block(F.col("text"), 700), F.lit(" "), T.ref_tag(F.col("log_line")))).when(note, F.concat(F.lit("- "), T.cap_line(F.col("text"), 240), F.lit(" "), T.ref_tag(F.col("log_line"))))
+
+
+def block_lines(rows: DataFrame) -> DataFrame:
+    """``blocks`` and, as tools, their ``tool_lines``, from rendered_rows: (session_key, block_index, label, summary, assistant_text, tools, calls, errors, line_from, line_to)."""
+    call = F.col("kind") == "tool_call"
+    line = F.coalesce("result_line", "log_line")
+    own = rows.where("block_index is not null").select("session_key", "block_index", "key", "seq", "family", "said", "line", "kind", F.coalesce("is_error", F.lit(False)).alias("failed"), F.when(call, F.least("log_line", line)).alias("at"), F.when(call, F.greatest("log_line", line)).alias("to"))
+    alike = own.repartition("session_key").groupBy("session_key", "block_index", "key").agg(
+        F.min("seq").alias("pos"), F.max_by("line", "seq").alias("line"), F.max("family").alias("family"), F.count_if(call).alias("occurrences"), F.count_if(call & F.col("failed")).alias("errors"),
+        F.max_by("said", F.when(F.col("kind") == "assistant_text", F.col("seq"))).alias("said"), F.min("at").alias("at"), F.max("to").alias("to"),
+    )
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("occurrences"))), F.lit(0)).cast("bigint")
+    known = F.col("key").isNotNull()
+    tools = F.sort_array(F.collect_list(F.when(known, F.struct("pos", F.concat(F.lit("- "), _times()).alias("line")))))
+    shaped = alike.groupBy("session_key", "block_index").agg(
+        *(total(F.col("family") == f).alias(f"n_{f}") for f in FAMILIES), total(known).alias("calls"), F.sum("errors").alias("errors"), F.max("said").alias("assistant_text"),
+        F.coalesce(F.min("at"), F.lit(0)).alias("line_from"), F.coalesce(F.max("to"), F.lit(0)).alias("line_to"), F.array_join(F.transform(tools, lambda x: x["line"]), "\n").alias("tools"),
+    )
+    return shaped.select("session_key", "block_index", _label().alias("label"), _summary().alias("summary"), "assistant_text", F.when(F.col("calls") > 0, F.col("tools")).alias("tools"), "calls", "errors", "line_from", "line_to")
 
 
 def collapse_identical(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:

@@ -17,6 +17,17 @@ def call_results(entries: DataFrame) -> DataFrame:
     return calls.join(results, ["session_key", "tool_call_id"], "left").select("*", F.col("r.seq").alias("result_seq"), F.col("r.log_line").alias("result_line"), F.col("r.content").alias("content"), F.col("r.is_error").alias("is_error"), F.col("r.interrupted").alias("interrupted"), F.col("r.diff_added").alias("diff_added"), F.col("r.diff_removed").alias("diff_removed")).drop("r")
 
 
+def paired(entries: DataFrame) -> DataFrame:
+    """entries, dealt by session, with the family of calls and the last rows of each one's id, in one pass: result, own_result (side chains' results left out) and owner, a call's family; null without one."""
+    tied = Window.partitionBy("session_key", "tool_call_id")
+    last = lambda when, *columns: F.max_by(F.struct(*columns), F.when(when & (F.col("tool_call_id") != ""), F.col("seq"))).over(tied)
+    result = F.col("kind") == "tool_result"
+    found = {"result": last(result, "log_line", "content", "is_error", "interrupted", "diff_added", "diff_removed"), "own_result": last(result & ~F.col("sidechain"), "log_line", "diff_added", "diff_removed")}
+    call = F.col("kind") == "tool_call"
+    known = entries.withColumn("family", F.when(call, C.classify_tool(F.col("tool_name"))))
+    return known.repartition("session_key").withColumns(found | {"owner": F.max_by("family", F.when(call & (F.col("tool_call_id") != ""), F.col("seq"))).over(tied)})
+
+
 def result_owners(entries: DataFrame) -> DataFrame:
     """Each result with the name and input of the call that owns it, the last of its id; null without one."""
     calls = entries.where("kind = 'tool_call' and tool_call_id <> ''").groupBy("session_key", "tool_call_id").agg(F.max_by(F.struct("tool_name", "tool_input"), "seq").alias("c"))
@@ -84,16 +95,29 @@ def tools_by_tool(entries: DataFrame) -> DataFrame:
 
 def session_checks(entries: DataFrame) -> DataFrame:
     """(session_key, run, failed, ever_failed): the last test summary of commands, and whether any failed."""
-    ran = result_owners(entries).where(~F.col("sidechain")).where(C.classify_tool(F.col("tool_name")) == "execute").withColumn("c", C.detect_checks(F.col("content"))).where("c is not null")
-    return ran.groupBy("session_key").agg(F.max_by("c.run", "seq").alias("run"), F.max_by("c.failed", "seq").alias("failed"), F.bool_or(F.col("c.failed") > 0).alias("ever_failed"))
+    ran = result_owners(entries).where(~F.col("sidechain")).where(C.classify_tool(F.col("tool_name")) == "execute").withColumn("checks", C.detect_checks(F.col("content"))).where("checks is not null")
+    return ran.select("session_key", "seq", "checks.run", "checks.failed").groupBy("session_key").agg(*check_signs())
+
+
+def check_signs() -> list[Column]:
+    """Aggregates over rows with the run and failed checks of a test summary, null without one."""
+    last = lambda c: F.max_by(c, F.when(F.col("run").isNotNull(), F.col("seq"))).alias(c)
+    return [last("run"), last("failed"), F.bool_or(F.col("failed") > 0).alias("ever_failed")]
+
+
+def signs(own: Column) -> list[Column]:
+    """Aggregates over the entries of ``own`` that outcomes rest on, checks aside."""
+    result = F.col("kind") == "tool_result"
+    return [
+        F.bool_or(F.when(own, result & F.col("interrupted"))).alias("cut"), F.count_if(own & result & F.col("is_error")).alias("errors"), F.count_if(own & (F.col("kind") == "tool_call")).alias("calls"),
+        F.max_by("is_error", F.when(own & result, F.col("seq"))).alias("last_error"),
+    ]
 
 
 def outcome_signs(entries: DataFrame) -> DataFrame:
     """(session_key, cut, errors, calls, last_error, run, failed, ever_failed): what verdicts rest on; last_error is null without results, run and
     failed without checks."""
-    own = entries.where(~F.col("sidechain"))
-    result = F.col("kind") == "tool_result"
-    base = own.groupBy("session_key").agg(F.bool_or(result & F.col("interrupted")).alias("cut"), F.count_if(result & F.col("is_error")).alias("errors"), F.count_if(F.col("kind") == "tool_call").alias("calls"), F.max_by("is_error", F.when(result, F.col("seq"))).alias("last_error"))
+    base = entries.where(~F.col("sidechain")).groupBy("session_key").agg(*signs(F.lit(True)))
     return base.join(session_checks(entries), "session_key", "left")
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
-def ordered_fold(df: DataFrame, key: str, order: list[str], columns: list[str], start: Callable[[], Any], step: Callable[[Any, tuple], tuple], added: str) -> DataFrame:
-    """df with new columns (``added``, a schema) that ``step(state, values of columns)`` gives for each row of a key in order."""
+def ordered_fold(df: DataFrame, key: str, order: list[str], columns: list[str], start: Callable[[], Any], step: Callable[[Any, tuple], tuple], added: str, dealt: bool = False) -> DataFrame:
+    """df with new columns (``added``, a schema) that ``step(state, values of columns)`` gives for each row of a key in order; ``dealt``: df's partitions hold whole keys already."""
     new = StructType.fromDDL(added)
     out = StructType(df.schema.fields + new.fields)
     names = [f.name for f in new.fields]
@@ -30,4 +30,4 @@ def ordered_fold(df: DataFrame, key: str, order: list[str], columns: list[str],
             fresh = [pa.array(x, k) for x, k in zip(zip(*made, strict=True), kinds, strict=True)] if made else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([*batch.columns, *fresh], names=[*batch.schema.names, *names])
 
-    return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(work, out)
+    return (df if dealt else df.repartition(key)).sortWithinPartitions(key, *order).mapInArrow(work, out)

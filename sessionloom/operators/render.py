@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..storage import written
 from . import blocks as B
 from . import chains as H
 from . import facts as A
@@ -15,29 +16,25 @@ def _section(title: str, body: Column) -> Column:
     return F.when(F.length(body) > 0, F.concat(F.lit(f"\n## {title}\n\n"), body, F.lit("\n"))).otherwise("")
 
 
-def _lines(rows: DataFrame, order: str, line: str, name: str) -> DataFrame:
-    """(session_key, name): the lines of each session, in order."""
-    return rows.groupBy("session_key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), F.col(line)))), lambda x: x[line]), "\n").alias(name))
-
-
 def traces(entries: DataFrame, files_shown: int = 20) -> DataFrame:
     """(session_key, verdict, log_tokens, trace_tokens, ratio, markdown) of each session.
 
-    Header, verdict, task, working set, timeline of blocks with tool lines, notes and how to go back to the log. Each part is an ordered
-    aggregate of its session; a session's trace is one row, as large as its compressed log. ``entries`` is read by each part, so it should be a table.
+    Header, verdict, task, working set, timeline of blocks with tool lines, notes and how to go back to the log. Entries are read, paired, folded into blocks and rendered once, into a
+    table without their texts, from which each part is an ordered aggregate of its session; a session's trace is one row, as large as its compressed log.
     """
-    block = B.blocks(entries)
-    tool = B.tool_lines(entries).withColumn("line", F.concat(F.lit("- "), "text"))
-    inner = tool.groupBy("session_key", "block_index").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("tools"))
+    rows = written(B.rendered_rows(entries.where("session_key is not null")))
     head = F.concat(F.format_string("### b%d · ", "block_index"), "label", F.lit(" · "), "summary", F.lit(" "), T.ref_range(F.col("line_from"), F.col("line_to")))
-    timeline = block.join(inner, ["session_key", "block_index"], "left").withColumn("line", F.concat_ws("\n", head, F.col("assistant_text"), F.col("tools")))
-    tasks = entries.where("kind = 'user_text' and not sidechain").withColumn("line", F.concat(F.lit("> "), T.cap_block(F.col("text"), 700), F.lit(" "), T.ref_tag(F.col("log_line"))))
-    notes = entries.where("kind = 'system_note' and subtype in ('away_summary', 'compaction_summary', 'compact_boundary', 'pr-link')").withColumn("line", F.concat(F.lit("- "), T.cap_line(F.col("text"), 240), F.lit(" "), T.ref_tag(F.col("log_line"))))
-    files = B.working_set(B.file_ledger(entries)).where(F.col("modified") | (F.col("rank") <= files_shown))
+    block = B.block_lines(rows).withColumn("line", F.concat_ws("\n", head, F.col("assistant_text"), F.col("tools")))
+    timeline = block.groupBy("session_key").agg(_in_order("block_index", "line").alias("timeline"))
+    files = B.working_set(B.ledger_of(rows.where("path is not null"), ["session_key", "path"], ["seq"], F.col("op_line").cast("string"))).where(F.col("modified") | (F.col("rank") <= files_shown))
     files = files.withColumn("line", F.concat(F.lit("- `"), "path", F.lit("`"), F.format_string(" reads %d", "reads"), F.when(F.col("modified"), F.format_string(" · +%d/−%d @L%s", "added", "removed", "modify_refs")).otherwise("")))
-    out = A.verdicts(entries).join(entries.groupBy("session_key").agg(F.min("ts").alias("started"), F.max("ts").alias("ended"), F.sum(F.length(F.coalesce("text", "content", "tool_input", F.lit("")))).alias("chars")), "session_key")
-    for rows, order, name in ((tasks, "seq", "tasks"), (files, "rank", "files"), (timeline, "block_index", "timeline"), (notes, "seq", "notes")):
-        out = out.join(_lines(rows, order, "line", name), "session_key", "left")
+    files = files.groupBy("session_key").agg(_in_order("rank", "line").alias("files"))
+    main = ~F.col("sidechain")
+    whole = rows.groupBy("session_key").agg(
+        *A.signs(main), *A.check_signs(), F.count_if(main).alias("own"), F.min("ts").alias("started"), F.max("ts").alias("ended"), F.sum("chars").alias("chars"),
+        _in_order("seq", "line", F.col("kind") == "user_text").alias("tasks"), _in_order("seq", "line", F.col("kind") == "system_note").alias("notes"),
+    )
+    out = A.with_verdict(whole.where("own > 0")).join(files, "session_key", "left").join(timeline, "session_key", "left")
     front = F.concat(F.lit("---\nsession: "), "session_key", F.lit("\nstarted: "), F.coalesce("started", F.lit("")), F.lit("\nended: "), F.coalesce("ended", F.lit("")), F.lit("\nverdict: "), "status", F.lit("\n---\n"))
     body = [_section(t, F.coalesce(c, F.lit(""))) for t, c in (("Verdict", F.concat("status", F.lit(": "), "why")), ("Task", F.col("tasks")), ("Working Set", F.col("files")), ("Timeline", F.col("timeline")), ("Notes", F.col("notes")), ("Trace Recovery", F.lit("> `@L<n>` is line n of the session's log.")))]
     made = out.withColumn("markdown", F.concat(front, *body)).withColumn("trace_tokens", T.estimate_tokens(F.col("markdown")))
@@ -64,8 +61,10 @@ def chain_traces(traced: DataFrame, chained: DataFrame, subs: DataFrame, stats:
     return made.select(group, "chain", "session_keys", text.alias("markdown"), *(c for c in sums.columns if c not in (group, "chain")))
 
 
-def _in_order(order: str, line: str) -> Column:
-    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, line))), lambda x: x[line]), "\n")
+def _in_order(order: str, line: str, when: Column | None = None) -> Column:
+    """Lines as one text, in order; only those of rows ``when``."""
+    row = F.struct(order, line)
+    return F.array_join(F.transform(F.sort_array(F.collect_list(row if when is None else F.when(when & F.col(line).isNotNull(), row))), lambda x: x[line]), "\n")
 
 
 def turn_prompts(entries: DataFrame, turned: DataFrame) -> DataFrame:
