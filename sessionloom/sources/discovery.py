@@ -87,17 +87,20 @@ def refs(spark: SparkSession, roots: list[Root], listed: DataFrame, stamps: bool
     rows = own.select("source", "log_file", folder.alias("folder"), F.when(kimi, kimi_id).otherwise(minimax_id).alias("own_id"), role.alias("ref_role"), hint.alias("ref_hint"))
     if not any(r.source in ("kimi", "minimax") for r in roots):
         return rows.select("log_file", F.col("own_id").alias("ref_id"), "ref_role", none.alias("ref_cwd"), "ref_hint", none.alias("ref_started"), none.alias("ref_ended")).limit(0)
-    beside = sniff.beside(rows.select("folder", F.when(kimi, "state.json").otherwise("manifest.json").alias("name")))
+    # Fields and times are taken before the joins, so neither files nor edges are joined; for the hints see logs.JOIN.
     field = lambda p: F.nullif(F.get_json_object("body", f"$.{p}"), F.lit(""))
     stamp = lambda p: T.iso_from_millis(field(p).try_cast("double"))
+    beside = sniff.beside(rows.select("folder", F.when(kimi, "state.json").otherwise("manifest.json").alias("name")))
+    told = beside.select("folder", field("workDir").alias("told_cwd"), field("sessionId").alias("told_id"), stamp("createdAtMs").alias("told_started"), stamp("updatedAtMs").alias("told_ended")).dropDuplicates(["folder"])
     edges = sniff.edges(rows.where("source = 'kimi'").select("log_file"), 4096, 4096) if stamps else rows.limit(0).select("log_file", none.alias("head"), none.alias("tail"))
-    rows = rows.join(beside.dropDuplicates(["folder"]), "folder", "left").join(edges, "log_file", "left")
     first = F.coalesce(F.nullif(F.regexp_extract("head", r'"created_at"\s*:\s*(\d{12,})', 1), F.lit("")).cast("double"), F.nullif(F.regexp_extract("head", r'"timestamp"\s*:\s*(\d+(?:\.\d+)?)', 1), F.lit("")).cast("double") * 1000)
     last = F.element_at(F.concat(F.array(F.lit("")), F.regexp_extract_all("tail", F.lit(r'("timestamp"\s*:\s*\d+(?:\.\d+)?|"time"\s*:\s*\d{12,})'), F.lit(1))), -1)
     last = F.nullif(F.regexp_extract(last, r"([\d.]+)$", 1), F.lit("")).cast("double") * F.when(F.startswith(last, F.lit('"timestamp"')), 1000).otherwise(1)
+    times = edges.select("log_file", T.iso_from_millis(first).alias("first"), T.iso_from_millis(last).alias("last"))
+    rows = rows.join(told.hint(logs.JOIN), "folder", "left").join(times.hint(logs.JOIN), "log_file", "left")
     return rows.select(
-        "log_file", F.when(kimi, F.col("own_id")).otherwise(F.coalesce(field("sessionId"), "own_id")).alias("ref_id"), "ref_role", F.when(kimi, field("workDir")).alias("ref_cwd"), "ref_hint",
-        F.when(kimi, T.iso_from_millis(first)).otherwise(stamp("createdAtMs")).alias("ref_started"), F.when(kimi, T.iso_from_millis(last)).otherwise(stamp("updatedAtMs")).alias("ref_ended"),
+        "log_file", F.when(kimi, F.col("own_id")).otherwise(F.coalesce("told_id", "own_id")).alias("ref_id"), "ref_role", F.when(kimi, F.col("told_cwd")).alias("ref_cwd"), "ref_hint",
+        F.when(kimi, F.col("first")).otherwise(F.col("told_started")).alias("ref_started"), F.when(kimi, F.col("last")).otherwise(F.col("told_ended")).alias("ref_ended"),
     )
 
 
@@ -111,7 +114,8 @@ def census(spark: SparkSession, roots: list[Root], only: str | None = None, unde
     if not under:
         return listed.withColumns({"cwd": F.lit(None).cast("string"), "read_bytes": F.lit(0).cast("long"), "skipped": F.lit(None).cast("string")})
     clean = under.rstrip("/")
-    found = listed.join(sniff.working_dirs(listed), "log_file").join(refs(spark, roots, listed, stamps=False).select("log_file", "ref_cwd", "ref_hint"), "log_file", "left")
+    known = refs(spark, roots, listed, stamps=False).select("log_file", "ref_cwd", "ref_hint")
+    found = listed.join(sniff.working_dirs(listed).hint(logs.JOIN), "log_file").join(known.hint(logs.JOIN), "log_file", "left")
     cwd = F.when(F.col("source") == "kimi", F.col("ref_cwd")).otherwise(F.col("cwd"))
     below = (cwd == clean) | F.startswith(cwd, F.lit(clean + "/"))
     other_hint = (F.col("source") == "kimi") & (F.col("ref_hint") != clean.rsplit("/", 1)[-1])
@@ -138,7 +142,7 @@ def read(spark: SparkSession, roots: list[Root], only: str | None = None, under:
     if any(r.source in ("kimi", "minimax") for r in roots):
         known = refs(spark, roots, kept)
         own = sessions.columns
-        sessions = sessions.join(known, "log_file", "left").withColumns({
+        sessions = sessions.join(known.hint(logs.JOIN), "log_file", "left").withColumns({
             "session_id": F.coalesce("ref_id", "session_id"), "role": F.coalesce("ref_role", "role"), "cwd": F.coalesce(F.col("ref_cwd"), F.col("cwd")),
             "started_at": F.coalesce("started_at", "ref_started"), "ended_at": F.coalesce("ended_at", "ref_ended"),
         }).select(*own)

@@ -25,6 +25,9 @@ from .tables import entry as _entry
 
 #: Bytes of a range, of a task's ranges, and of a batch of lines; logs of a task.
 RANGE, TASK_BYTES, BATCH_BYTES, TASK_LOGS = 16 << 20, 32 << 20, 4 << 20, 4_000
+#: The hint of joins with a row for each log. Spark takes such tables for small, as paths shrink to little on disk and texts that Python
+#: adds have a fixed guess; it would gather them in the driver to broadcast them.
+JOIN = "merge"
 _CHANGED = "the ranges of a log changed while it was read"
 
 
@@ -433,7 +436,7 @@ def sessions(lines: DataFrame, source: str) -> DataFrame:
         first(F.when(_get(raw, "type") == "session_meta", _get(raw, "payload.source.subagent.thread_spawn.parent_thread_id"))).alias("parent_thread_id"), last(_get(raw, "uuid")).alias("last_uuid"), last(_get(raw, "leafUuid")).alias("leaf_uuid"), F.max_by(_get(raw, "logicalParentUuid"), F.when((_get(raw, "type") == "user") & (_get(raw, "isCompactSummary") == "true"), F.col("log_line"))).alias("logical_parent_uuid"),
     )
     sizes = lines.groupBy("log_file").agg(F.max("log_line").alias("log_lines"), F.max("log_bytes").alias("log_bytes"))
-    rows = sizes.join(made, "log_file", "left")
+    rows = sizes.join(made.hint(JOIN), "log_file", "left")
     return rows.select(T.session_key(F.col("log_file")).alias("session_key"), F.lit(source).alias("source"), F.coalesce("_id", stem).alias("session_id"), "log_file", "log_lines", "log_bytes", F.coalesce("cwd", F.lit("")).alias("cwd"), "model", "title", "started_at", "ended_at", F.when(F.col("parent_thread_id").isNotNull(), "subagent").otherwise("main").alias("role"), "parent_thread_id", "last_uuid", "leaf_uuid", "logical_parent_uuid", "requests", "input", "output", "cache_read", "cache_write")
 
 

@@ -21,6 +21,8 @@ from ..storage import written
 STEP = 8 << 10
 #: A line's part that is kept between reads; no path is longer.
 KEPT = 64 << 10
+#: Files whose bytes make one batch.
+FEW = 500
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,7 @@ def edges(listed: DataFrame, head: int, tail: int) -> DataFrame:
     """(log_file, head, tail): the first and last bytes of listed files (log_file) as text; broken characters at the cuts are replaced."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             paths, rows = batch.column("log_file").to_pylist(), []
             for path in paths:
                 with opened(path) as f:
@@ -118,7 +120,7 @@ def beside(folders: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        for batch in batches:
+        for batch in _few(batches):
             rows = []
             for folder, name in zip(batch.column("folder").to_pylist(), batch.column("name").to_pylist(), strict=True):
                 store, inner = store_of(f"{folder}/{name}")
@@ -182,6 +184,12 @@ def tree(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.select("root", "log_file", "log_bytes", F.timestamp_millis("log_mtime").alias("log_mtime"))
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of FEW rows."""
+    for batch in batches:
+        yield from (batch.slice(at, FEW) for at in range(0, batch.num_rows, FEW))
+
+
 def _spread(listed: DataFrame, by: str = "log_file") -> DataFrame:
     """A file costs an open, whatever its size: files are dealt out evenly by their path, to a number of tasks that Spark does not lower."""
     return listed.repartition(4 * listed.sparkSession.sparkContext.defaultParallelism, by)

@@ -41,3 +41,23 @@ def test_many_ranges_are_one_task(spark, tmp_path):
     made = logs.read_lines(spark, str(tmp_path), range_bytes=200)
     assert len(made.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism
     assert [(r.log_line, r.raw) for r in made.orderBy("log_line").collect()] == [(i + 1, f"line {i}") for i in range(9000)]
+
+
+def test_no_table_of_logs_is_broadcast(spark, tmp_path):
+    pad = {"pad": "x" * 5000}
+    for i in range(40):
+        place = tmp_path / f"kimi/wd_w_0123456789ab/session_{i}/agents/main/wire.jsonl"
+        place.parent.mkdir(parents=True)
+        place.write_text("\n".join(map(json.dumps, [{"type": "turn.prompt", "time": 1714557600000, "input": "go", "pad": pad}, {"type": "turn.cancel", "time": 1714557700000, **pad}, {"type": "turn.cancel", "time": 1714557700000}])))
+        (tmp_path / f"mini/named-session_{i}").mkdir(parents=True)
+        (tmp_path / f"mini/named-session_{i}/messages.jsonl").write_text(json.dumps({"message": {"role": "custom", "content": "YOUR WORKSPACE DIRECTORY: /w"}, "pad": pad}))
+        (tmp_path / f"mini/named-session_{i}/manifest.json").write_text(json.dumps({"sessionId": f"m-{i}", "createdAtMs": 1714557600000, "pad": pad}))
+    roots = [Root("kimi", str(tmp_path / "kimi")), Root("minimax", str(tmp_path / "mini"))]
+    kept = discovery.census(spark, roots, under="/w")
+    sessions = discovery.read(spark, roots)[1]
+    for made, n in ((kept, 80), (sessions, 80)):
+        assert len(made.collect()) == n
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    told = {r.session_id: (r.started_at, r.ended_at) for r in sessions.collect()}
+    assert told["7"] == ("2024-05-01T10:00:00.000Z", "2024-05-01T10:01:40.000Z") and told["m-7"] == ("2024-05-01T10:00:00.000Z", None)
